@@ -18,4 +18,4 @@ def list_or_empty(features: Column) -> Column:
 def parsed_list(text: Column, single_quoted: bool = False) -> Column:
     """List of strings in a JSON text, null where it is malformed."""
     source = F.translate(text, "'", '"') if single_quoted else text
-    return F.from_json(source, "array<string>")
+    return F.from_json(source, "array<string>", {"allowSingleQuotes": "false"})

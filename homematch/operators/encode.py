@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from homematch import schemas
 from homematch.functions import arrays, dates, numbers, text
 from homematch.lookups import LOCATION_CLASSES, PROPERTY_CLASSES, SHIRES, type_column
-from homematch.operators.joins import average_buyer, join_statistics, one_row
+from homematch.operators.joins import average_buyer, join_statistics, with_row
+from homematch.session import saved
 
 CALENDAR = ["year", "month", "day_of_week"]
 
@@ -90,8 +91,8 @@ def engineer(df: DataFrame, as_of: dt.date, counties: Sequence[str] = tuple(SHIR
 
 def affordability(df: DataFrame, users: DataFrame) -> DataFrame:
     """Price against the average buyer; the averages are one value, not a join."""
-    buyer = one_row(average_buyer(users))
-    return df.withColumns(numbers.average_ratios(F.col("price"), buyer["avg_income"], buyer["avg_savings"]))
+    held = with_row(df, average_buyer(users), "_buyer")
+    return held.withColumns(numbers.average_ratios(F.col("price"), F.col("_buyer.avg_income"), F.col("_buyer.avg_savings"))).drop("_buyer")
 
 
 def encode(df: DataFrame) -> DataFrame:
@@ -109,18 +110,17 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def scale(df: DataFrame, scaler: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Columns less their mean over their deviation; a constant column becomes 0."""
-    held = one_row(scaler)
-
     def scaled(c: str) -> Column:
-        gap = F.col(c).cast("double") - held[f"{c}_mean"]
-        return F.when(held[f"{c}_std"] == 0, F.when(gap.isNotNull(), F.lit(0.0))).otherwise(gap / held[f"{c}_std"])
+        gap = F.col(c).cast("double") - F.col(f"_scaler.{c}_mean")
+        deviation = F.col(f"_scaler.{c}_std")
+        return F.when(deviation == 0, F.when(gap.isNotNull(), F.lit(0.0))).otherwise(gap / deviation)
 
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
+    return with_row(df, scaler, "_scaler").withColumns({f"{c}{suffix}": scaled(c) for c in columns}).drop("_scaler")
 
 
 def scale_calendar(df: DataFrame) -> DataFrame:
     """Calendar columns scaled over the whole table."""
-    return scale(df, fit_scaler(df, CALENDAR), CALENDAR)
+    return scale(df, saved(fit_scaler(df, CALENDAR), "scaler"), CALENDAR)
 
 
 def processed_columns(df: DataFrame) -> DataFrame:

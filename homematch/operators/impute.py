@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from homematch import schemas
 from homematch.functions import arrays, numbers, text
 from homematch.operators.filters import numeric_columns
-from homematch.operators.joins import join_statistics, one_row
+from homematch.operators.joins import join_statistics, with_row
 from homematch.operators.ranking import exact_medians, modes
+from homematch.session import saved
 
 KEY_COLUMNS = ("id", "listing_id", "historical_id")
 
@@ -24,6 +25,15 @@ def columns_lacking(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if counts[c]]
 
 
+def filled_with(df: DataFrame, row: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Frame with columns computed beside a single row of figures named ``_row``.
+
+    The row is written first, so that a chain of filling steps does not carry
+    the passes that led to it.
+    """
+    return with_row(df, saved(row, "figures"), "_row").withColumns(columns).drop("_row")
+
+
 def fill_medians(df: DataFrame, columns: Sequence[str], only_lacking: bool = False) -> DataFrame:
     """Fill numeric columns with their exact median; a column without values stays null.
 
@@ -34,8 +44,7 @@ def fill_medians(df: DataFrame, columns: Sequence[str], only_lacking: bool = Fal
     wanted = columns_lacking(df, present) if only_lacking else present
     if not wanted:
         return df
-    medians = one_row(exact_medians(df, wanted))
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), medians[c]) for c in wanted})
+    return filled_with(df, exact_medians(df, wanted), {c: F.coalesce(F.col(c).cast("double"), F.col(f"_row.{c}")) for c in wanted})
 
 
 def fill_numeric(df: DataFrame, exclude: Sequence[str] = KEY_COLUMNS) -> DataFrame:
@@ -47,13 +56,23 @@ def fill_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill columns with their most frequent value; an empty text column becomes Unknown."""
     if not columns:
         return df
-    common = one_row(modes(df, columns))
+    return filled_with(df, modes(df, columns), mode_columns(df, columns))
+
+
+def mode_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Columns filled from the modes in ``_row``."""
     filled = {}
     for c in columns:
         kind = df.schema[c].dataType
         fallback = F.lit("Unknown") if isinstance(kind, T.StringType) else F.lit(None)
-        filled[c] = F.coalesce(F.col(c), common[c].try_cast(kind.simpleString()), fallback.cast(kind))
-    return df.withColumns(filled)
+        filled[c] = F.coalesce(F.col(c), F.col(f"_row.{c}").try_cast(kind.simpleString()), fallback.cast(kind))
+    return filled
+
+
+def plain_columns(df: DataFrame, exclude: Sequence[str] = KEY_COLUMNS) -> list[str]:
+    """Text and date columns that take their mode."""
+    kinds = (T.StringType, T.DateType)
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds) and f.name not in {*exclude, "size", "features"}]
 
 
 def fill_categorical(df: DataFrame, exclude: Sequence[str] = KEY_COLUMNS) -> DataFrame:
@@ -62,16 +81,16 @@ def fill_categorical(df: DataFrame, exclude: Sequence[str] = KEY_COLUMNS) -> Dat
     The size loses its missing-value text, a missing feature list becomes empty,
     every other column takes its mode.
     """
-    special = {"size", "features"}
-    kinds = (T.StringType, T.DateType)
-    plain = [f.name for f in df.schema.fields
-             if isinstance(f.dataType, kinds) and f.name not in {*exclude, *special}]
+    return fill_modes(_special_filled(df), plain_columns(df, exclude))
+
+
+def _special_filled(df: DataFrame) -> DataFrame:
     replaced: dict[str, Column] = {}
     if "size" in df.columns:
         replaced["size"] = text.size_or_null(F.col("size"))
     if "features" in df.columns:
         replaced["features"] = arrays.list_or_empty(F.col("features"))
-    return fill_modes(df.withColumns(replaced) if replaced else df, plain)
+    return df.withColumns(replaced) if replaced else df
 
 
 def fill_group_median(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
@@ -84,12 +103,35 @@ def fill_group_median(df: DataFrame, column: str, keys: Sequence[str]) -> DataFr
     return joined.withColumn(column, F.coalesce(column, "_median")).select(*df.columns)
 
 
+def fill_by_levels(df: DataFrame, column: str, levels: Sequence[Sequence[str]]) -> DataFrame:
+    """Fill a column by group medians, each level taken after the one before, then overall.
+
+    Levels go from fine to coarse; each one uses keys of the first. The rows are
+    read once into counts per keys and value. All medians come from those
+    counts, and one join on the finest keys brings the result back.
+    """
+    keys = list(levels[0])
+    counts = df.groupBy(*keys, F.col(column).cast("double").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = saved(counts, "counts").withColumn("_filled", F.col("_value"))
+    fills = counts.select(*keys).distinct().withColumn("_fill", F.lit(None).cast("double"))
+    for level in levels:
+        medians = saved(exact_medians(counts, ["_filled"], level, "_n").withColumnRenamed("_filled", "_median"), "medians")
+        counts = _take_median(counts, medians, level, "_filled")
+        fills = _take_median(fills, medians, level, "_fill")
+    overall = exact_medians(counts, ["_filled"], weight="_n")
+    fills = filled_with(fills, overall, {"_fill": F.coalesce("_fill", F.col("_row._filled"))})
+    joined = join_statistics(df, fills, keys)
+    return joined.withColumn(column, F.coalesce(F.col(column).cast("double"), "_fill")).select(*df.columns)
+
+
+def _take_median(counts: DataFrame, medians: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    return counts.join(medians, list(keys), "left").withColumn(column, F.coalesce(column, "_median")).select(*counts.columns)
+
+
 def fill_size(df: DataFrame, size: str = "size", result: str = "size_sq_ft") -> DataFrame:
     """Square feet from the size text, filled by type and bedrooms, by type, then overall."""
     sized = df.withColumn(result, text.square_feet(F.col(size)))
-    by_rooms = fill_group_median(sized, result, ["property_type", "bedrooms"])
-    by_type = fill_group_median(by_rooms, result, ["property_type"])
-    return fill_medians(by_type, [result])
+    return fill_by_levels(sized, result, [["property_type", "bedrooms"], ["property_type"]])
 
 
 def fill_coordinate_medians(df: DataFrame, columns: Sequence[str] = ("latitude", "longitude")) -> DataFrame:
@@ -101,13 +143,21 @@ def fill_coordinate_medians(df: DataFrame, columns: Sequence[str] = ("latitude",
 def handle_missing(df: DataFrame) -> DataFrame:
     """All filling steps of the merged table, in their fixed order.
 
-    Rooms and coordinates stored as numbers are complete after the first step
+    Medians and modes of the first two steps concern different columns, so both
+    come from the table as it is and are applied together. Rooms and coordinates stored as numbers are complete after the first step
     and are not filled a second time.
     """
-    done = set(numeric_columns(df))
-    filled = fill_size(fill_categorical(fill_numeric(df)))
-    filled = fill_medians(filled, [c for c in ("bedrooms", "bathrooms") if c not in done])
-    places = [c for c in ("latitude", "longitude") if c in df.columns and c not in done]
+    numeric = [c for c in numeric_columns(df) if c not in KEY_COLUMNS]
+    plain = plain_columns(df)
+    medians, common = exact_medians(df, numeric), modes(df, plain)
+    figures = with_row(medians, common, "_modes").select(*numeric, *[F.col(f"_modes.{c}").alias(c) for c in plain])
+    filled = filled_with(_special_filled(df), figures, {
+        **{c: F.coalesce(F.col(c).cast("double"), F.col(f"_row.{c}")) for c in numeric},
+        **mode_columns(df, plain),
+    })
+    filled = fill_size(filled)
+    filled = fill_medians(filled, [c for c in ("bedrooms", "bathrooms") if c not in numeric])
+    places = [c for c in ("latitude", "longitude") if c in df.columns and c not in numeric]
     return fill_coordinate_medians(filled, places) if places else filled
 
 
@@ -126,7 +176,7 @@ def type_label() -> Column:
 def fill_pair_size(df: DataFrame, column: str = "size_sq_ft") -> DataFrame:
     """Fill the size of pairs by the median of the property class, then overall."""
     labelled = df.withColumn("_class", type_label())
-    return fill_medians(fill_group_median(labelled, column, ["_class"]), [column]).select(*df.columns)
+    return fill_by_levels(labelled, column, [["_class"]]).select(*df.columns)
 
 
 def fill_features(df: DataFrame, numeric: Sequence[str], flags: Sequence[str]) -> DataFrame:

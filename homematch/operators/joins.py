@@ -4,42 +4,65 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from homematch.functions import dates, text
 from homematch.operators.ranking import first_by_key, hash_rank
+from homematch.session import saved
 
 BROADCAST_ROWS = 100_000
 
 
 def one_row(df: DataFrame) -> Column:
-    """The single row of a frame as a struct value, usable in any expression."""
+    """The single row of a frame as a struct value, for use in one expression."""
     return df.select(F.struct(*[F.col(c) for c in df.columns])).scalar()
 
 
+def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """Frame with the single row of another one as struct column ``name``.
+
+    The row is a scalar subquery that is planned once however many of its
+    fields are used.
+    """
+    return df.withColumn(name, one_row(row))
+
+
 def join_statistics(
     df: DataFrame, statistics: DataFrame, keys: Sequence[str],
     limit: int = BROADCAST_ROWS, salts: int = 32,
 ) -> DataFrame:
-    """Attach per-group figures to every row of the group.
+    """Attach per-group figures to every row of the group; null keys match null keys.
 
-    The figures are counted. Up to ``limit`` groups they are broadcast, so that
-    a hot group costs nothing. Beyond, they are copied under each salt and every
-    group of rows is spread over the salts.
+    The figures are written once and counted. Up to ``limit`` groups they are
+    broadcast, so that a hot group costs nothing. Beyond, they are copied under
+    each salt and every group of rows is spread over the salts.
     """
-    statistics = statistics.persist()
-    if statistics.limit(limit + 1).count() <= limit:
-        return df.join(F.broadcast(statistics), list(keys), "left")
-    copies = statistics.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    return spread.join(copies, [*keys, "_salt"], "left").drop("_salt")
-
-
-def left_join_present(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join that rows without a key skip, so that they do not pile up in one task."""
-    matched = df.where(F.col(key).isNotNull()).join(right, key, "left")
-    return matched.unionByName(df.where(F.col(key).isNull()), allowMissingColumns=True)
+    named = statistics.withColumnsRenamed({k: f"_{k}" for k in keys})
+    held = saved(named, "statistics")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    if held.count() <= limit:
+        joined = df.join(F.broadcast(held), same, "left")
+    else:
+        copies = held.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        joined = spread.join(copies, same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
+    return joined.drop(*[f"_{k}" for k in keys])
+
+
+def left_join_present(df: DataFrame, right: DataFrame, key: str, salts: int = 64) -> DataFrame:
+    """Left join in which rows without a key are spread out.
+
+    They get one of many salts that the right side never has, instead of all
+    meeting in the task of the null key.
+    """
+    missing = F.lit(0 if df.schema[key].dataType != T.StringType() else "").cast(df.schema[key].dataType)
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(salts)) + 1)
+    left = df.withColumns({"_key": F.coalesce(key, missing), "_salt": F.coalesce(spread, F.lit(0).cast("bigint"))})
+    salted = right.withColumn("_salt", F.lit(0).cast("bigint")).withColumnRenamed(key, "_key")
+    return left.join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def first_listing_per_address(listings: DataFrame) -> DataFrame:
@@ -153,18 +176,24 @@ def coordinates_for(addresses: DataFrame, address: str, primary: DataFrame, seco
     return found.select("address_key", place["latitude"].alias("latitude"), place["longitude"].alias("longitude"))
 
 
+def known_places(primary: DataFrame, secondary: DataFrame) -> DataFrame:
+    """Both gazetteers as one, the first taking precedence: ``address_key`` and ``_found``."""
+    place = F.struct("latitude", "longitude")
+    ranked = primary.select("address_key", F.lit(0).alias("_rank"), place.alias("_found")).unionByName(
+        secondary.select("address_key", F.lit(1).alias("_rank"), place.alias("_found")))
+    whole = F.col("_found.latitude").isNotNull() & F.col("_found.longitude").isNotNull()
+    return ranked.groupBy("address_key").agg(F.min_by("_found", "_rank").alias("_found")).where(whole)
+
+
 def fill_coordinates(df: DataFrame, address: str, primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """Fill the coordinates of rows that lack one; rows not found keep what they had.
 
-    A half-filled pair is replaced as a whole when its address is known.
+    A half-filled pair is replaced as a whole when its address is known. The
+    rows are read and shuffled once.
     """
     lacking = F.col("latitude").isNull() | F.col("longitude").isNull()
-    found = coordinates_for(df.where(lacking), address, primary, secondary).where(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-    ).select("address_key", F.struct("latitude", "longitude").alias("_found"))
-    keyed = df.where(lacking).withColumn("address_key", text.address_key(F.col(address)))
-    filled = _use_found(left_join_present(keyed, found, "address_key"), df.columns)
-    return df.where(~lacking).unionByName(filled)
+    keyed = df.withColumn("address_key", F.when(lacking, text.address_key(F.col(address))))
+    return _use_found(left_join_present(keyed, known_places(primary, secondary), "address_key"), df.columns)
 
 
 def _use_found(joined: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homematch.functions.numbers import confidence, ratio
-from homematch.operators.joins import one_row
+from homematch.operators.joins import with_row
 from homematch.operators.ranking import running_sum, value_bucket
 
 
@@ -115,8 +115,7 @@ def misclassification_report(df: DataFrame, key: str, features: Sequence[str], l
         F.col(probability).alias("probability"),
         F.posexplode(strongest_features(features)).alias("place", "_feature"),
     ).select("sample", "key", "true_label", "probability", (F.col("place") + 1).alias("place"), F.col("_feature.feature").alias("feature"), F.col("_feature.value").alias("value"))
-    totals = one_row(misclassification_totals(df, label, predicted))
-    return named.withColumns({c: totals[c] for c in ("total", "misclassified", "rate")})
+    return with_row(named, misclassification_totals(df, label, predicted), "_totals").select(*named.columns, "_totals.*")
 
 
 def top_importances(importances: DataFrame, n: int = 15) -> DataFrame:

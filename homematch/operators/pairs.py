@@ -11,8 +11,9 @@ from homematch.functions import numbers, text
 from homematch.operators.encode import fit_scaler, scale
 from homematch.operators.filters import columns_with_prefix, first_rows, with_missing_columns
 from homematch.operators.impute import fill_features, fill_medians, fill_pair_size
-from homematch.operators.joins import one_row
+from homematch.operators.joins import with_row
 from homematch.operators.ranking import hash_order, hash_rank
+from homematch.session import saved
 
 ANY_TENURE = 2
 
@@ -35,20 +36,21 @@ def sample_pairs(
     join keys whatever the pool sizes are. A pool without properties falls back
     to all of them.
     """
-    sizes = one_row(properties.agg(
+    sizes = properties.agg(
         F.count_if(F.col("tenure") == 0).alias("freehold"),
         F.count_if(F.col("tenure") == 1).alias("leasehold"),
         F.count(F.lit(1)).alias("everything"),
-    ))
+    )
+    freehold, leasehold, everything = (F.col(f"_sizes.{c}") for c in sizes.columns)
     code = text.preference_number if numeric_preference else text.preference_code
     wanted = code(F.col("tenure_preference"))
     pool = (
-        F.when((wanted == 0) & (sizes["freehold"] > 0), 0)
-        .when((wanted == 1) & (sizes["leasehold"] > 0), 1)
+        F.when((wanted == 0) & (freehold > 0), 0)
+        .when((wanted == 1) & (leasehold > 0), 1)
         .otherwise(ANY_TENURE)
     )
-    picked = users.select(F.col("id").alias("user_id"), pool.alias("pool"))
-    size = F.when(F.col("pool") == 0, sizes["freehold"]).when(F.col("pool") == 1, sizes["leasehold"]).otherwise(sizes["everything"])
+    picked = with_row(users, sizes, "_sizes").select(F.col("id").alias("user_id"), pool.alias("pool"), "_sizes")
+    size = F.when(F.col("pool") == 0, freehold).when(F.col("pool") == 1, leasehold).otherwise(everything)
     number = F.conv(F.substring(hash_order(F.col("user_id"), seed), 1, 8), 16, 10).cast("bigint")
     picked = picked.withColumn("_size", size).where(F.col("_size") > 0)
     picked = picked.select(
@@ -126,11 +128,13 @@ def labelled_pairs(
     """Sampled pairs with features, label ``y`` and key ``pair_id``.
 
     ``sample_size`` keeps the first rows of each input by id, the reference
-    set-up for small experiments; by default everything is used.
+    set-up for small experiments; by default everything is used. The sampled
+    pairs are written once, since the filling steps read them several times.
     """
     properties, users = first_rows(properties, "id", sample_size), first_rows(users, "id", sample_size)
     pairs = sample_pairs(properties, users, pairs_per_user, seed, numeric_preference)
-    ready = prepare_features(pair_rows(pairs, properties, users), numeric_preference)
+    rows = saved(pair_rows(pairs, properties, users), "pairs")
+    ready = prepare_features(rows, numeric_preference)
     return ready.withColumns({
         "y": suitable(),
         "pair_id": F.concat_ws("-", F.col("user_id").cast("string"), F.col("property_id").cast("string")),
@@ -145,7 +149,7 @@ def scaled_split(
     Returns the pairs with ``is_test`` and ``z_`` columns, and the scaler.
     """
     divided = stratified_split(pairs, "y", key, seed=seed)
-    scaler = fit_scaler(divided.where(F.col("is_test") == 0), features)
+    scaler = saved(fit_scaler(divided.where(F.col("is_test") == 0), features), "scaler")
     renamed = divided.withColumns({f"z_{c}": F.col(c).cast("double") for c in features})
     z_scaler = scaler.select(*[F.col(f"{c}_{part}").alias(f"z_{c}_{part}") for c in features for part in ("mean", "std")])
     return scale(renamed, z_scaler, [f"z_{c}" for c in features]), scaler

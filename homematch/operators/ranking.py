@@ -18,7 +18,7 @@ BUCKETS_PER_OCTAVE = 4096
 def value_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
     """Bucket number that grows with the value, finer around zero."""
     size = F.floor(F.log2(F.abs(value) + 1) * per_octave)
-    return F.when(value < 0, -size - 1).otherwise(size)
+    return F.coalesce(F.when(value < 0, -size - 1).otherwise(size), F.lit(0).cast("bigint"))
 
 
 def bucket_offsets(df: DataFrame, by: Sequence[str], bucket: str, amount: Column) -> DataFrame:
@@ -73,28 +73,37 @@ def hash_rank(
     return ranked.withColumn(rank, F.col("_position") - 1).drop("_order", "_bucket", "_one", "_position")
 
 
-def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), kind: str = "double") -> DataFrame:
-    """One row per present value: group columns, ``column`` and ``value``."""
-    source = df.select(*by, *[F.col(c).cast(kind).alias(c) for c in columns])
-    tall = source.unpivot(list(by), list(columns), "column", "value")
-    return tall.where(F.col("value").isNotNull() & ~F.isnan("value") if kind == "double" else F.col("value").isNotNull())
+def long_values(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), kind: str = "double", weight: str | None = None,
+) -> DataFrame:
+    """One row per present value: group columns, ``column``, ``value`` and its weight ``n``."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns])
+    present = F.col("value").isNotNull()
+    times = (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("n")
+    tall = df.select(*by, times, F.inline(entries))
+    return tall.where(present & ~F.isnan("value") if kind == "double" else present)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), kind: str = "string") -> DataFrame:
+def value_counts(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), kind: str = "string", weight: str | None = None,
+) -> DataFrame:
     """Rows per distinct value of every named column, in one pass."""
-    return long_values(df, columns, by, kind).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long_values(df, columns, by, kind, weight).groupBy(*by, "column", "value").agg(F.sum("n").alias("n"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], points: Sequence[float], by: Sequence[str] = (), weight: str | None = None,
+) -> DataFrame:
     """Exact interpolated quantiles: ``by``, ``column``, ``point`` and ``value``.
 
     Equal values are counted first; then only the buckets that hold a wanted
-    rank are sorted. Rows with a null group key are left out.
+    rank are sorted. Rows with a null group key are left out. With ``weight`` a
+    row stands for that many rows.
     """
     present = df
     for key in by:
         present = present.where(F.col(key).isNotNull())
-    counts = value_counts(present, columns, by, "double").withColumn("bucket", value_bucket(F.col("value")))
+    counts = value_counts(present, columns, by, "double", weight).withColumn("bucket", value_bucket(F.col("value")))
     keys = [*by, "column", "bucket"]
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in points]))
     spans = bucket_offsets(counts, [*by, "column"], "bucket", F.col("n")).withColumn("point", wanted)
@@ -112,9 +121,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], points: Sequence[floa
     return running.groupBy(*by, "column", "point").agg((low + (high - low) * F.max("_part")).alias("value"))
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Exact medians, one column each; without ``by`` always exactly one row."""
-    tall = exact_quantiles(df, columns, [0.5], by)
+    tall = exact_quantiles(df, columns, [0.5], by, weight)
     picked = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]
     return tall.groupBy(*by).agg(*picked) if by else tall.agg(*picked)
 

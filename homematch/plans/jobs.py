@@ -55,7 +55,7 @@ def standardise(
 def run_standardise(
     spark: SparkSession, store: str, as_of: dt.date, mode: str = "full", registry: str | None = None,
     listing_files: list[str] | None = None, geocoded: tuple[str, str] | None = None,
-    gazetteers: tuple[DataFrame, DataFrame] | None = None,
+    gazetteers: tuple[DataFrame, DataFrame] | None = None, json_lines: bool = False,
 ) -> DataFrame:
     """Load the stored tables in one of three modes and return the load summary or coverage.
 
@@ -88,7 +88,7 @@ def run_standardise(
         raise ValueError(f"unknown mode: {mode}")
 
     raw_history = stores.historical_rows(files.read_csv(spark, registry, _registry_text()))
-    raw_listings = stores.listing_rows(files.read_listings(spark, listing_files))
+    raw_listings = stores.listing_rows(files.read_listings(spark, listing_files, json_lines))
     history = save("historical", stores.upsert(current("historical", schemas.HISTORICAL), stores.valid_rows(raw_history), "id", None))
     incoming = stores.valid_rows(raw_listings)
     if gazetteers:

@@ -1 +1,270 @@
-"""Queries."""
+"""Queries of pairs, labels, evaluation, models and recommendations."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from homematch import schemas
+from homematch.operators import metrics, model, pairs, profile, recommend
+from homematch.plans import sqltext as S
+from homematch.plans.catalog import query, rounded, whole
+from homematch.plans.jobs import merged_price, train_and_evaluate
+from homematch.plans.q_profile import PAIR_FEATURES
+from homematch.session import saved, scratch_path
+
+
+@query("n1_sample_pairs", "SELECT user_id, property_id FROM pairs", "pairs")
+def n1(t):
+    return pairs.sample_pairs(t.props, t.users)
+
+
+@query("n2_label", f"WITH {PAIR_FEATURES} SELECT user_id, property_id, y FROM ready", "pairs props users")
+def n2(t):
+    return pairs.labelled_pairs(t.props, t.users).select("user_id", "property_id", "y")
+
+
+_SPLIT = """
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY md5('42:' || {key}), {key}) - 1 AS rnk, count(*) OVER (PARTITION BY y) AS n FROM {table}),
+    split AS (SELECT *, CASE WHEN rnk < round(n * 0.2) THEN 1 ELSE 0 END AS is_test FROM ranked)"""
+
+
+@query("n3_stratified_split", f"WITH {_SPLIT.format(key='id', table='judged')} SELECT id, y, is_test FROM split", "judged")
+def n3(t):
+    return pairs.stratified_split(t.judged, "y", "id").select("id", "y", "is_test")
+
+
+_READY = {"price": "price", "size_sq_ft": "size_sq_ft", "bedrooms": "bedrooms", "latitude": "latitude", "pir": "price_to_income_ratio",
+          "psr": "price_to_savings_ratio", "aff": "affordability_score", "log_price": "log_price", "log_size": "log_size"}
+
+
+@query("n4_prepare_features", f"""
+    WITH {PAIR_FEATURES} SELECT user_id, property_id, {', '.join(f'round({a}, 6) AS {b}' for a, b in _READY.items())}, pref AS tenure_preference, tenure FROM ready""",
+       "pairs props users")
+def n4(t):
+    ready = pairs.labelled_pairs(t.props, t.users)
+    return ready.select("user_id", "property_id", *[rounded(c).alias(c) for c in _READY.values()], "tenure_preference", "tenure")
+
+
+_SCALED = {"price": "price", "income": "income", "aff": "affordability_score", "log_size": "log_size", "family_size": "family_size", "tenure": "tenure"}
+
+
+@query("n5_scaled_split", f"""
+    WITH {PAIR_FEATURES}, {_SPLIT.format(key='pair_id', table='ready')}
+    SELECT pair_id, y, is_test, {', '.join(f'round(({a} - (SELECT avg({a}) FROM split WHERE is_test = 0)) / (SELECT stddev_pop({a}) FROM split WHERE is_test = 0), 5) AS z_{b}' for a, b in _SCALED.items())}
+    FROM split""", "pairs props users")
+def n5(t):
+    split, _ = pairs.scaled_split(pairs.labelled_pairs(t.props, t.users))
+    return split.select("pair_id", "y", "is_test", *[rounded(f"z_{c}", 5).alias(f"z_{c}") for c in _SCALED.values()])
+
+
+INPUTS = [f"z_{c}" for c in schemas.MODEL_FEATURES]
+
+
+def training_rows(t) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Assembled training and test pairs, written once, and the scaler."""
+    split, scaler = pairs.scaled_split(saved(pairs.labelled_pairs(t.props, t.users), "labelled"))
+    ready = model.assembled(saved(split.select("pair_id", "user_id", "property_id", "y", "is_test", *INPUTS), "split"))
+    return ready.where("is_test = 0"), ready.where("is_test = 1"), scaler
+
+
+@query("n6_classifier")
+def n6(t):
+    train, test, _ = training_rows(t)
+    judged = saved(model.scored(model.train_classifier(train, "gbt", rounds=10), test).select("y", "predicted", "probability"), "judged")
+    return metrics.scores(judged)
+
+
+@query("n7_early_stopping")
+def n7(t):
+    train, _, _ = training_rows(t)
+    fitted = model.train_classifier(train, "gbt", rounds=12)
+    return train.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(fitted.getNumTrees).alias("trees"))
+
+
+@query("n8_training_history")
+def n8(t):
+    train, test, _ = training_rows(t)
+    return model.training_history(model.train_classifier(train, "gbt", rounds=8), train, test)
+
+
+@query("n9_scored_pairs")
+def n9(t):
+    train, test, _ = training_rows(t)
+    return model.scored(model.train_classifier(train, "logistic", rounds=30), test).select("pair_id", "y", rounded("probability").alias("probability"), "predicted")
+
+
+def _judged(t) -> DataFrame:
+    return t.judged.withColumn("predicted", (F.col("probability") > 0.5).cast("int"))
+
+
+_COUNTS = """
+    c AS (SELECT CAST(count(*) FILTER (y = 1 AND probability > 0.5) AS DOUBLE) AS tp, count(*) FILTER (y = 0 AND probability > 0.5) AS fp,
+                 count(*) FILTER (y = 1 AND probability <= 0.5) AS fn, CAST(count(*) FILTER (y = 0 AND probability <= 0.5) AS DOUBLE) AS tn FROM judged)"""
+
+
+@query("n10_scores", f"""
+    WITH {_COUNTS} SELECT round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy, round(tp / (tp + fp), 6) AS "precision",
+           round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c""", "judged")
+def n10(t):
+    return metrics.scores(_judged(t)).select(*[rounded(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+@query("n11_confusion_matrix", """
+    SELECT y AS actual, count(*) FILTER (probability <= 0.5) AS predicted_0, count(*) FILTER (probability > 0.5) AS predicted_1 FROM judged GROUP BY 1""", "judged")
+def n11(t):
+    return metrics.confusion_matrix(_judged(t))
+
+
+@query("n12_classification_report", f"""
+    WITH {_COUNTS},
+    r AS (SELECT '0' AS class, tn / (tn + fn) AS p, tn / (tn + fp) AS r, 2 * tn / (2 * tn + fn + fp) AS f, tn + fp AS s FROM c
+          UNION ALL SELECT '1', tp / (tp + fp), tp / (tp + fn), 2 * tp / (2 * tp + fp + fn), tp + fn FROM c),
+    a AS (SELECT * FROM r UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(s) FROM r
+          UNION ALL SELECT 'weighted avg', sum(p * s) / sum(s), sum(r * s) / sum(s), sum(f * s) / sum(s), sum(s) FROM r)
+    SELECT class, round(p, 6) AS "precision", round(r, 6) AS recall, round(f, 6) AS f1, CAST(s AS BIGINT) AS support FROM a""", "judged")
+def n12(t):
+    report = metrics.classification_report(_judged(t))
+    return report.select("class", *[rounded(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("n13_roc_auc", """
+    WITH r AS (SELECT y, rank() OVER (ORDER BY probability) + (count(*) OVER (PARTITION BY probability) - 1) / 2.0 AS rnk FROM judged)
+    SELECT round((sum(rnk) FILTER (y = 1) - CAST(count(*) FILTER (y = 1) AS DOUBLE) * (count(*) FILTER (y = 1) + 1) / 2)
+                 / (CAST(count(*) FILTER (y = 1) AS DOUBLE) * count(*) FILTER (y = 0)), 6) AS auc FROM r""", "judged")
+def n13(t):
+    return metrics.roc_auc(t.judged).select(rounded("auc").alias("auc"))
+
+
+@query("n14_permutation_importance")
+def n14(t):
+    train, test, _ = training_rows(t)
+    fitted = model.train_classifier(train, "logistic", rounds=30)
+    return metrics.top_importances(model.permutation_importance(fitted, test, INPUTS))
+
+
+@query("n15_recommendations", """
+    SELECT user_id, position, property_id, price, round(1 / (1 + exp(-(profile_score + property_score))), 6) AS probability FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY property_score DESC, property_id) AS position FROM eligible)
+    WHERE position <= 5 AND 1 / (1 + exp(-(profile_score + property_score))) > 0.5""", "eligible")
+def n15(t):
+    found = recommend.recommend(t.profiles, t.props)
+    return found.select("user_id", whole("position").alias("position"), "property_id", "price", rounded("probability").alias("probability"))
+
+
+@query("n15_displayed", f"""
+    SELECT user_id, position, property_id, {S.flags_label(S.MARKET_FLAGS['location'][0], 'location_')} AS location, has_garden, has_parking, size_sq_ft FROM (
+        SELECT e.user_id, e.property_id, e.profile_score + e.property_score AS s, p.*, row_number() OVER (PARTITION BY e.user_id ORDER BY e.property_score DESC, e.property_id) AS position
+        FROM eligible e JOIN props p ON p.id = e.property_id) WHERE position <= 3 AND 1 / (1 + exp(-s)) > 0.6""", "eligible props")
+def n15_displayed(t):
+    from homematch.functions.text import flag_label
+
+    shown = recommend.displayed(recommend.recommend(t.profiles, t.props, k=3, threshold=0.6), t.props)
+    place = flag_label({c: c.removeprefix("location_") for c in schemas.LOCATION_FLAGS})
+    return shown.select("user_id", whole("position").alias("position"), "property_id", place.alias("location"), "has_garden", "has_parking", "size_sq_ft")
+
+
+@query("n15_model_recommendations")
+def n15_model(t):
+    """Recommendations with the scores of a trained linear model."""
+    labelled = saved(pairs.labelled_pairs(t.props, t.users), "labelled")
+    stored = labelled.drop("price_to_income_ratio", "price_to_savings_ratio", "affordability_score").join(
+        t.props.select(F.col("id").alias("property_id"), "price_to_income_ratio", "price_to_savings_ratio", "affordability_score"), "property_id")
+    split, scaler = pairs.scaled_split(saved(stored, "stored"))
+    ready = model.assembled(saved(split.select("pair_id", "y", "is_test", *INPUTS), "split"))
+    fitted = model.train_classifier(ready.where("is_test = 0"), "logistic")
+    median = {"size_sq_ft": 600.0, "bedrooms": 2.0, "latitude": 51.9}
+    complete = t.props.drop("property_score").na.fill(median).withColumns({"log_price": F.log1p("price"), "log_size": F.log1p("size_sq_ft")})
+    from homematch.functions.text import preference_code
+
+    coded = t.profiles.drop("profile_score").withColumn("tenure_preference", preference_code(F.replace("tenure_preference", F.lit("_"), F.lit(" "))))
+    properties, profiles = model.serving_scores(fitted, scaler, complete, coded)
+    return recommend.recommend(profiles, properties)
+
+
+@query("n16_prepared_profiles", f"""
+    WITH c AS (SELECT id, income, savings, max_commute_time, family_size, CASE tenure_preference WHEN 'FREEHOLD' THEN 0 WHEN 'LEASEHOLD' THEN 1 ELSE 2 END AS tenure_preference FROM profiles),
+    u AS (SELECT income, savings, max_commute_time, family_size, {S.preference('tenure_preference')} AS tenure_preference FROM users)
+    SELECT id, {', '.join(f'round(({c} - (SELECT avg({c}) FROM u)) / (SELECT stddev_pop({c}) FROM u), 6) AS {c}_scaled' for c in schemas.USER_FEATURES)} FROM c""", "profiles users")
+def n16(t):
+    from homematch.functions.text import preference_code
+    from homematch.operators.encode import fit_scaler
+
+    users = t.users.withColumn("tenure_preference", preference_code(F.col("tenure_preference")))
+    prepared = recommend.prepared_profiles(t.profiles, fit_scaler(users, schemas.USER_FEATURES))
+    return prepared.select("id", *[rounded(f"{c}_scaled").alias(f"{c}_scaled") for c in schemas.USER_FEATURES])
+
+
+_WEIGHED = {"a": "(o_totalprice - 250000) / 1E5", "b": "(o_custkey % 17) / 1E1 - 8E-1", "c": "(o_orderkey % 23) / 1E1 - 1E0"}
+
+
+@query("n17_misclassifications", f"""
+    WITH w AS (SELECT j.id, j.y, j.probability, {', '.join(f'CAST({e} AS DOUBLE) AS {n}' for n, e in _WEIGHED.items())} FROM judged j JOIN orders o ON o.o_orderkey = j.id),
+    bad AS (SELECT *, abs(probability - 0.5) AS conf FROM w WHERE (probability > 0.5) <> (y = 1)),
+    top AS (SELECT * FROM bad ORDER BY conf DESC, id LIMIT 3),
+    num AS (SELECT *, row_number() OVER (ORDER BY conf, id DESC) AS sample FROM top),
+    tall AS (SELECT *, unnest([{', '.join(f"struct_pack(f := '{n}', v := {n}, o := {i})" for i, n in enumerate(_WEIGHED))}]) AS e FROM num)
+    SELECT sample, CAST(id AS VARCHAR) AS key, CASE WHEN y = 1 THEN 'Suitable' ELSE 'Not Suitable' END AS true_label, round(probability, 6) AS probability,
+           row_number() OVER (PARTITION BY sample ORDER BY abs(e.v) DESC, e.o) AS place, e.f AS feature, round(e.v, 6) AS value,
+           (SELECT count(*) FROM w) AS total, (SELECT count(*) FROM bad) AS misclassified, round((SELECT count(*) FROM bad) / CAST((SELECT count(*) FROM w) AS DOUBLE), 6) AS rate
+    FROM tall""", "judged")
+def n17(t):
+    features = t.orders.selectExpr("o_orderkey AS id", *[f"CAST({e} AS DOUBLE) AS {n}" for n, e in _WEIGHED.items()])
+    report = metrics.misclassification_report(_judged(t).join(features, "id"), "id", list(_WEIGHED))
+    return report.select(whole("sample").alias("sample"), "key", "true_label", rounded("probability").alias("probability"), whole("place").alias("place"),
+                         "feature", rounded("value").alias("value"), "total", "misclassified", rounded("rate").alias("rate"))
+
+
+_INSPECTED = ["price", "size_sq_ft", "log_price", "income", "savings"]
+
+
+@query("n18_inspection", f"WITH {PAIR_FEATURES} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS missing, round(min({c}), 4) AS minimum, round(max({c}), 4) AS maximum, "
+    f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS deviation, CAST(sum(y) AS BIGINT) AS positives, round(avg(y), 6) AS ratio FROM ready" for c in _INSPECTED),
+       "pairs props users")
+def n18(t):
+    ready = saved(pairs.labelled_pairs(t.props, t.users).select("y", *_INSPECTED), "inspected")
+    figures = profile.numeric_profile(ready, _INSPECTED).join(profile.null_counts(ready, _INSPECTED), "column")
+    from homematch.operators.joins import one_row
+
+    target = one_row(ready.agg(F.sum("y").alias("positives"), F.avg("y").alias("ratio")))
+    return figures.select("column", "missing", *[rounded(c, 4).alias(c) for c in ("minimum", "maximum", "mean", "deviation")],
+                          target["positives"].alias("positives"), rounded(target["ratio"]).alias("ratio"))
+
+
+@query("n19_saved_model")
+def n19(t):
+    train, test, scaler = training_rows(t)
+    folder = scratch_path(t.spark, "model")
+    model.save_model(model.train_classifier(train, "logistic", rounds=30), scaler, folder)
+    loaded, _ = model.load_model(t.spark, folder, "logistic")
+    return metrics.scores(model.scored(loaded, test))
+
+
+@query("n20_price_regression")
+def n20(t):
+    features = [*schemas.TYPE_FLAGS, "latitude", "longitude", "size_sq_ft", "bedrooms"]
+    return model.price_regression(t.props, features).select("id", "price", rounded("estimate", 2).alias("estimate"))
+
+
+@query("n21_regression_errors", """
+    SELECT round(avg(abs(o_totalprice - e)), 4) AS mae, round(sqrt(avg((o_totalprice - e) * (o_totalprice - e))), 4) AS rmse
+    FROM (SELECT o_totalprice, 2.5E5 + (o_custkey % 100) * 1E2 AS e FROM orders)""")
+def n21(t):
+    estimated = t.orders.withColumn("estimate", F.expr("2.5E5 + (o_custkey % 100) * 1E2"))
+    return metrics.regression_errors(estimated, "o_totalprice", "estimate").select(rounded("mae", 4).alias("mae"), rounded("rmse", 4).alias("rmse"))
+
+
+@query("n22_merged_price", f"""
+    SELECT l.id, coalesce({S.price('l.price')}, CAST(r.price AS DOUBLE)) AS price FROM listing_raw l LEFT JOIN registry r ON r.id = 'T' || l.id""", "listing_raw registry")
+def n22(t):
+    from homematch.functions.text import price_number
+
+    recorded = t.registry.select(F.substring("id", 2, 20).cast("bigint").alias("id"), F.col("price").cast("double").alias("recorded"))
+    joined = t.listing_raw.select("id", price_number(F.col("price")).alias("listed")).join(recorded, "id", "left")
+    return joined.select("id", merged_price(F.col("listed"), F.col("recorded")).alias("price"))
+
+
+@query("t4_train_and_evaluate")
+def t4(t):
+    report = train_and_evaluate(t.props, t.users, scratch_path(t.spark, "training"), rounds=8)
+    return report["scores"].withColumn("auc", F.lit(report["auc"].first()["auc"]))

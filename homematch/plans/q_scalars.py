@@ -120,7 +120,7 @@ def h15(t):
 @query("h16_resolved_tenure", """
     SELECT historical_id, data_source, tenure FROM merged WHERE data_source <> 'listing'""", "merged")
 def h16(t):
-    return t.merged.where("data_source <> 'listing'").select("historical_id", "data_source", "tenure")
+    return t.merge().where("data_source <> 'listing'").select("historical_id", "data_source", "tenure")
 
 
 @query("h17_tenure_code", f"SELECT id, CAST({S.tenure_code('tenure')} AS INTEGER) AS tenure FROM listing", "listing")

@@ -114,6 +114,20 @@ MARKET_FLAGS = {
     "kind": (TYPE_FLAGS, "property_type_"),
 }
 
+MERGED_ID = "coalesce(CAST(substr(historical_id, 2, 20) AS BIGINT) * 2, listing_id * 2 + 1)"
+
+
+def mode_of(column: str, table: str) -> str:
+    """Most frequent value as text, the smallest on ties."""
+    return f"(SELECT CAST({column} AS VARCHAR) FROM {table} WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+
+
+_NUMBERS = ["price", "bedrooms", "bathrooms", "latitude", "longitude"]
+_TEXTS = ["postal_code", "property_type", "property_age", "tenure", "epc_rating", "data_source", "listing_time", "county"]
+_CALENDAR = {"year": "year(\"date\")", "month": "month(\"date\")", "day_of_week": "isodow(\"date\") - 1"}
+_PLACE = centre_distance("latitude", "longitude", "county")
+_DATED = f"datediff('day', \"date\", DATE '{AS_OF}')"
+
 _KINDS = ", ".join("'" + type_column(c).removeprefix("property_type_") + "'" for c in PROPERTY_CLASSES)
 _SHIRES = ", ".join(f"'{s}'" for s in SHIRES)
 
@@ -141,6 +155,33 @@ DERIVED: dict[str, tuple[list[str], str]] = {
                {size('l.size')}, l.features, 'listing', l.listing_time, l.latitude, l.longitude, {shire('l.county')}
         FROM listing l LEFT JOIN (SELECT DISTINCT f.id FROM first_listing f JOIN registry h ON h.postal_code = f.address) t ON l.id = t.id
         WHERE t.id IS NULL"""),
+    "handled": (["merged"], f"""
+        WITH f AS (SELECT {MERGED_ID} AS id, {', '.join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM merged)) AS {c}" for c in _NUMBERS)},
+                          {', '.join(f"coalesce({c}, {mode_of(c, 'merged')}, 'Unknown') AS {c}" for c in _TEXTS)},
+                          coalesce("date", CAST({mode_of('"date"', 'merged')} AS DATE)) AS "date",
+                          nullif(size, 'Size info not available') AS size, coalesce(features, []) AS features, {square_feet("nullif(size, 'Size info not available')")} AS v FROM merged),
+        e1 AS (SELECT f.*, coalesce(f.v, g.m) AS v1 FROM f LEFT JOIN (SELECT property_type, bedrooms, median(v) AS m FROM f GROUP BY 1, 2) g
+               ON g.property_type = f.property_type AND g.bedrooms = f.bedrooms),
+        e2 AS (SELECT e1.*, coalesce(e1.v1, g.m) AS v2 FROM e1 LEFT JOIN (SELECT property_type, median(v1) AS m FROM e1 GROUP BY 1) g ON g.property_type = e1.property_type)
+        SELECT * EXCLUDE (v, v1, v2), coalesce(v2, (SELECT median(v2) FROM e2)) AS size_sq_ft FROM e2"""),
+    "engineered": (["handled"], f"""
+        SELECT * REPLACE (coalesce(epc_rating, 'Unknown') AS epc_rating), {', '.join(f'CAST({e} AS BIGINT) AS "{n}"' for n, e in _CALENDAR.items())},
+               {_DATED} AS days_since_date, {recency(_DATED)} AS listing_recency,
+               {case_of('epc_rating', lookups.EPC_CODES, '0')} AS epc_rating_encoded,
+               {mentions('features', 'garden')} AS has_garden, {mentions('features', 'parking')} AS has_parking,
+               {', '.join(f"CASE WHEN {location_class(_PLACE)} = '{n}' THEN 1 ELSE 0 END AS location_{n}" for n in lookups.LOCATION_CLASSES)},
+               {', '.join(f"CASE WHEN county = '{n}' THEN 1 ELSE 0 END AS county_{n}" for n in SHIRES)},
+               price / nullif(avg(price) OVER (PARTITION BY county), 0) AS price_relative_to_county_avg FROM handled"""),
+    "processed": (["engineered", "users"], f"""
+        WITH m AS (SELECT avg(income) AS i, avg(savings) AS s FROM users)
+        SELECT e.* REPLACE (CAST({tenure_code('e.tenure')} AS INTEGER) AS tenure,
+                            {', '.join(f'(e."{c}" - avg(e."{c}") OVER ()) / nullif(stddev_pop(e."{c}") OVER (), 0) AS "{c}"' for c in _CALENDAR)}),
+               {', '.join(f"CASE WHEN property_type = '{n}' THEN 1 ELSE 0 END AS {type_column(n)}" for n in PROPERTY_CLASSES)},
+               price / m.i AS price_to_income_ratio, price / m.s AS price_to_savings_ratio, (m.i * 4 + m.s) / nullif(price, 0) AS affordability_score
+        FROM engineered e, m"""),
+    "listing_loaded": (["listing"], f"""
+        SELECT * REPLACE (row_number() OVER (ORDER BY md5('0:' || property_url), property_url) AS id, CAST(NULL AS DOUBLE) AS latitude,
+                          CAST(NULL AS DOUBLE) AS longitude, CASE WHEN county = lower(county) THEN county ELSE 'berkshire' END AS county) FROM listing"""),
     "asked": (["profiles"], f"""
         SELECT *, CASE WHEN lower(preferred_county) IN ({_SHIRES}) THEN lower(preferred_county) ELSE '*' END AS m_county,
                CASE WHEN preferred_location IN ('Urban', 'Suburban', 'Rural') THEN preferred_location ELSE '*' END AS m_location,
@@ -170,6 +211,12 @@ DERIVED: dict[str, tuple[list[str], str]] = {
 }
 
 
+DERIVED["registry_valid"] = (["registry"], "SELECT * FROM registry WHERE duration <> 'U'")
+for _name, _needs in (("first_listing", ["listing_loaded"]), ("merged", ["registry_valid", "first_listing_loaded", "listing_loaded"])):
+    _text = DERIVED[_name][1].replace("first_listing", "first_listing_loaded").replace("FROM listing", "FROM listing_loaded").replace("registry h", "registry_valid h")
+    DERIVED[f"{_name}_loaded"] = (_needs, _text)
+
+
 def with_views(names: list[str], body: str) -> str:
     """SQL with the named views and everything they need in front."""
     done: dict[str, str] = {}

@@ -193,15 +193,21 @@ class Tables:
 
         return valid_rows(listing_rows(self.listing_raw))
 
-    @cached_property
-    def merged(self) -> DataFrame:
-        """Merged table with the row key as id text instead of numbered ids."""
+    def merge(self) -> DataFrame:
+        """Merge of registry and listings, without ids."""
         import datetime as dt
 
         from homematch.operators.joins import merged_rows
 
         return merged_rows(self.registry, self.listing, dt.date.fromisoformat(AS_OF))
 
+    @cached_property
+    def merged(self) -> DataFrame:
+        """The merge as a stored table."""
+        from homematch.session import saved
+
+        return saved(self.merge(), "merged")
+
 
 def view_sql(name: str) -> str:
     """SELECT that gives a view, for the SQL checks."""

@@ -43,18 +43,22 @@ def county_of_file(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, r"(?:property_data_|county=)([a-z]+)", 1), F.lit(""))
 
 
-def read_listings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All listing files in one read, each row tagged with the county of its file."""
-    raw = spark.read.schema(schemas.LISTING_RAW).option("multiLine", True).json(paths)
+def read_listings(spark: SparkSession, paths: str | list[str], lines: bool = False) -> DataFrame:
+    """All listing files in one read, each row tagged with the county of its file.
+
+    Files hold one JSON array each, or with ``lines`` one object per line, which
+    large files should, since only those can be split between tasks.
+    """
+    raw = spark.read.schema(schemas.LISTING_RAW).option("multiLine", not lines).json(paths)
     return raw.withColumn("county", county_of_file(F.input_file_name()))
 
 
-def read_any(spark: SparkSession, path: str) -> DataFrame:
+def read_any(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Table in a CSV or JSON file, chosen by its extension."""
     if path.endswith(".csv"):
         return read_csv(spark, path)
     if path.endswith(".json"):
-        return spark.read.option("multiLine", True).json(path)
+        return spark.read.option("multiLine", not lines).json(path)
     raise ValueError("Unsupported file format. Please use CSV or JSON.")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from homematch.functions.text import absolute_url
@@ -50,6 +52,10 @@ DETAIL_WORDS = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
+# Tasks get the parser with the job, so workers need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class _Node:
     """Element with its texts and child elements in page order."""
 
