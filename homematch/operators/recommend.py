@@ -10,7 +10,7 @@ far, and each distinct budget reads off the list at its place.
 from __future__ import annotations
 
 from bisect import insort
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -106,8 +106,9 @@ def best_by_budget(asked: DataFrame, properties: DataFrame, k: int = 5) -> DataF
 
     ``properties`` carries a ``property_score``. Only the best ``k`` of equal
     prices can ever appear. Prices fall into narrow bands: the best of all
-    cheaper bands is handed to each band, and tasks walk single bands. ``worth``
-    is the negated score, so that smaller is better.
+    cheaper bands joins the offers of each band, and tasks walk their sorted
+    bands row by row, holding ``k`` entries. ``worth`` is the negated score, so
+    that smaller is better.
     """
     offers = offers_in(asked.select(*MARKET).distinct(), properties, ["id", "price", "property_score"])
     offers = offers.where(F.col("property_score").isNotNull()).select(
@@ -128,26 +129,27 @@ def best_by_budget(asked: DataFrame, properties: DataFrame, k: int = 5) -> DataF
     cheaper = Window.partitionBy(*MARKET).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     carried = bands.select(*keys, F.slice(F.array_sort(F.flatten(F.collect_list("best").over(cheaper))), 1, k).alias("best"))
 
-    points = offers.select(*keys, F.col("price").alias("amount"), F.lit(0).alias("asked"), "worth", "id")
+    rows = offers.select(*keys, "worth", "id", "price").unionByName(carried.select(*keys, F.inline("best")))
+    points = rows.select(*keys, F.col("price").alias("amount"), F.lit(0).alias("asked"), "worth", "id")
     points = points.unionByName(budgets.select(*keys, F.col("budget").alias("amount"), F.lit(1).alias("asked")), allowMissingColumns=True)
 
-    def walk(part: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        best = [(e["worth"], e["id"], e["price"]) for e in start["best"].iloc[0]] if len(start) else []
-        found = []
-        part = part.sort_values(["amount", "asked"], kind="stable")
-        for amount, asks, worth, key in zip(part["amount"], part["asked"], part["worth"], part["id"]):
-            if asks:
-                found.append((amount, [{"worth": w, "id": i, "price": p} for w, i, p in best]))
-            else:
-                insort(best, (worth, int(key), amount))
-                del best[k:]
-        result = pd.DataFrame(found, columns=["budget", "best"])
-        for name in MARKET:
-            result[name] = part[name].iloc[0] if len(part) else None
-        return result
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, best = None, []
+        for batch in batches:
+            found = []
+            for row in zip(*[batch[c] for c in [*keys, "amount", "asked", "worth", "id"]]):
+                amount, asks, worth, key = row[-4:]
+                if row[:-4] != place:
+                    place, best = row[:-4], []
+                if asks:
+                    found.append((*place[:-1], amount, [{"worth": w, "id": i, "price": p} for w, i, p in best]))
+                else:
+                    insort(best, (worth, int(key), amount))
+                    del best[k:]
+            yield pd.DataFrame(found, columns=[*MARKET, "budget", "best"])
 
     shape = f"county string, location string, kind string, garden int, parking int, budget double, best array<{_BEST}>"
-    return points.groupBy(*keys).cogroup(carried.groupBy(*keys)).applyInPandas(walk, shape)
+    return points.repartition(*keys).sortWithinPartitions(*keys, "amount", "asked").mapInPandas(walk, shape)
 
 
 def recommend(profiles: DataFrame, properties: DataFrame, k: int = 5, threshold: float = 0.5) -> DataFrame:
