@@ -11,7 +11,6 @@ from homematch import schemas
 from homematch.functions import arrays, dates, numbers, text
 from homematch.lookups import LOCATION_CLASSES, PROPERTY_CLASSES, SHIRES, type_column
 from homematch.operators.joins import average_buyer, join_statistics, with_row
-from homematch.session import saved
 
 CALENDAR = ["year", "month", "day_of_week"]
 
@@ -109,18 +108,24 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def scale(df: DataFrame, scaler: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
-    """Columns less their mean over their deviation; a constant column becomes 0."""
+    """Columns less their mean over their deviation; a constant column becomes 0.
+
+    The scaler is one row of numbers, read before the columns are built.
+    """
+    held = scaler.first()
+
     def scaled(c: str) -> Column:
-        gap = F.col(c).cast("double") - F.col(f"_scaler.{c}_mean")
-        deviation = F.col(f"_scaler.{c}_std")
-        return F.when(deviation == 0, F.when(gap.isNotNull(), F.lit(0.0))).otherwise(gap / deviation)
+        gap = F.col(c).cast("double") - F.lit(held[f"{c}_mean"]).cast("double")
+        if held[f"{c}_std"] == 0:
+            return F.when(gap.isNotNull(), F.lit(0.0))
+        return gap / F.lit(held[f"{c}_std"]).cast("double")
 
-    return with_row(df, scaler, "_scaler").withColumns({f"{c}{suffix}": scaled(c) for c in columns}).drop("_scaler")
+    return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
 
 
 def scale_calendar(df: DataFrame) -> DataFrame:
     """Calendar columns scaled over the whole table."""
-    return scale(df, saved(fit_scaler(df, CALENDAR), "scaler"), CALENDAR)
+    return scale(df, fit_scaler(df, CALENDAR), CALENDAR)
 
 
 def processed_columns(df: DataFrame) -> DataFrame:

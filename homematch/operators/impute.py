@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 
 from homematch import schemas
 from homematch.functions import arrays, numbers, text
 from homematch.operators.filters import numeric_columns
-from homematch.operators.joins import join_statistics, with_row
+from homematch.operators.joins import join_statistics
 from homematch.operators.ranking import exact_medians, modes
 from homematch.session import saved
 
@@ -25,26 +25,21 @@ def columns_lacking(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if counts[c]]
 
 
-def filled_with(df: DataFrame, row: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Frame with columns computed beside a single row of figures named ``_row``.
-
-    The row is written first, so that a chain of filling steps does not carry
-    the passes that led to it.
-    """
-    return with_row(df, saved(row, "figures"), "_row").withColumns(columns).drop("_row")
+def _median_columns(df: DataFrame, columns: Sequence[str], figures: Row) -> dict[str, Column]:
+    return {c: F.coalesce(F.col(c).cast("double"), F.lit(figures[c]).cast("double")) for c in columns}
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str], only_lacking: bool = False) -> DataFrame:
     """Fill numeric columns with their exact median; a column without values stays null.
 
-    ``only_lacking`` first counts the nulls, so that medians are taken for the
+    The medians, one number per column, are taken first. ``only_lacking`` first counts the nulls, so that medians are taken for the
     columns that need one.
     """
     present = [c for c in columns if c in df.columns]
     wanted = columns_lacking(df, present) if only_lacking else present
     if not wanted:
         return df
-    return filled_with(df, exact_medians(df, wanted), {c: F.coalesce(F.col(c).cast("double"), F.col(f"_row.{c}")) for c in wanted})
+    return df.withColumns(_median_columns(df, wanted, exact_medians(df, wanted).first()))
 
 
 def fill_numeric(df: DataFrame, exclude: Sequence[str] = KEY_COLUMNS) -> DataFrame:
@@ -56,16 +51,15 @@ def fill_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill columns with their most frequent value; an empty text column becomes Unknown."""
     if not columns:
         return df
-    return filled_with(df, modes(df, columns), mode_columns(df, columns))
+    return df.withColumns(_mode_columns(df, columns, modes(df, columns).first()))
 
 
-def mode_columns(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    """Columns filled from the modes in ``_row``."""
+def _mode_columns(df: DataFrame, columns: Sequence[str], figures: Row) -> dict[str, Column]:
     filled = {}
     for c in columns:
         kind = df.schema[c].dataType
-        fallback = F.lit("Unknown") if isinstance(kind, T.StringType) else F.lit(None)
-        filled[c] = F.coalesce(F.col(c), F.col(f"_row.{c}").try_cast(kind.simpleString()), fallback.cast(kind))
+        value = figures[c] if figures[c] is not None or not isinstance(kind, T.StringType) else "Unknown"
+        filled[c] = F.coalesce(F.col(c), F.lit(value).cast(kind))
     return filled
 
 
@@ -118,8 +112,8 @@ def fill_by_levels(df: DataFrame, column: str, levels: Sequence[Sequence[str]])
         medians = saved(exact_medians(counts, ["_filled"], level, "_n").withColumnRenamed("_filled", "_median"), "medians")
         counts = _take_median(counts, medians, level, "_filled")
         fills = _take_median(fills, medians, level, "_fill")
-    overall = exact_medians(counts, ["_filled"], weight="_n")
-    fills = filled_with(fills, overall, {"_fill": F.coalesce("_fill", F.col("_row._filled"))})
+    overall = exact_medians(counts, ["_filled"], weight="_n").first()["_filled"]
+    fills = fills.withColumn("_fill", F.coalesce("_fill", F.lit(overall).cast("double")))
     joined = join_statistics(df, fills, keys)
     return joined.withColumn(column, F.coalesce(F.col(column).cast("double"), "_fill")).select(*df.columns)
 
@@ -149,12 +143,8 @@ def handle_missing(df: DataFrame) -> DataFrame:
     """
     numeric = [c for c in numeric_columns(df) if c not in KEY_COLUMNS]
     plain = plain_columns(df)
-    medians, common = exact_medians(df, numeric), modes(df, plain)
-    figures = with_row(medians, common, "_modes").select(*numeric, *[F.col(f"_modes.{c}").alias(c) for c in plain])
-    filled = filled_with(_special_filled(df), figures, {
-        **{c: F.coalesce(F.col(c).cast("double"), F.col(f"_row.{c}")) for c in numeric},
-        **mode_columns(df, plain),
-    })
+    medians, common = exact_medians(df, numeric).first(), modes(df, plain).first()
+    filled = _special_filled(df).withColumns({**_median_columns(df, numeric, medians), **_mode_columns(df, plain, common)})
     filled = fill_size(filled)
     filled = fill_medians(filled, [c for c in ("bedrooms", "bathrooms") if c not in numeric])
     places = [c for c in ("latitude", "longitude") if c in df.columns and c not in numeric]

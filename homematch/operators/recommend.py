@@ -20,6 +20,7 @@ from homematch.functions.text import flag_label, preference_code
 from homematch.lookups import LOCATION_CLASSES, PROPERTY_CLASSES, SHIRES, type_column
 from homematch.operators.encode import scale
 from homematch.operators.ranking import running_sum, top_per_group, value_bucket
+from homematch.session import saved
 from homematch.schemas import COUNTY_FLAGS, LOCATION_FLAGS, TYPE_FLAGS, USER_FEATURES
 
 ANY = "*"
@@ -72,7 +73,8 @@ def offers_in(markets: DataFrame, properties: DataFrame, keep: Sequence[str]) ->
     rows however many profiles there are, so they can be broadcast.
     """
     priced = properties.where(F.col("price").isNotNull())
-    named = priced.select(*keep, *[c.alias(name) for name, c in market_columns(properties.columns).items()])
+    named = priced.select(*keep, *MARKET) if "kind" in properties.columns else priced.select(
+        *keep, *[c.alias(name) for name, c in market_columns(properties.columns).items()])
     for name in ("county", "location", "kind"):
         named = named.withColumn(name, F.explode(F.array(F.col(name), F.lit(ANY))))
     for name in ("garden", "parking"):
@@ -156,10 +158,12 @@ def recommend(profiles: DataFrame, properties: DataFrame, k: int = 5, threshold:
     """At most ``k`` properties per profile with a probability above the threshold.
 
     ``profiles`` carries a ``profile_score``; the probability is the logistic
-    function of both scores. Ties are broken by property id.
+    function of both scores. Ties are broken by property id. The few columns
+    needed of either side are written once, because each is read several times.
     """
-    asked = profile_markets(profiles)
-    best = best_by_budget(asked, properties, k)
+    asked = saved(profile_markets(profiles).select("id", "profile_score", *MARKET, "budget"), "asked")
+    markets = [c.alias(name) for name, c in market_columns(properties.columns).items()]
+    best = best_by_budget(asked, saved(properties.select("id", "price", "property_score", *markets), "scored"), k)
     lists = asked.select(F.col("id").alias("user_id"), "profile_score", *MARKET, "budget").join(best, [*MARKET, "budget"])
     rows = lists.select("user_id", "profile_score", F.posexplode("best").alias("place", "offer"))
     score = F.col("profile_score") - F.col("offer.worth")
