@@ -127,7 +127,7 @@ def labelled_pairs(
 ) -> DataFrame:
     """Sampled pairs with features, label ``y`` and key ``pair_id``.
 
-    ``sample_size`` keeps the first rows of each input by id, the reference
+    ``sample_size`` keeps the first rows of each input by id, a
     set-up for small experiments; by default everything is used. The sampled
     pairs are written once, since the filling steps read them several times.
     """

@@ -66,32 +66,37 @@ def profile_markets(profiles: DataFrame) -> DataFrame:
     })
 
 
-def offers_in(markets: DataFrame, properties: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Priced properties under each market of ``markets`` that finds them.
+def in_markets(properties: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Priced properties with some of their columns and the market they lie in."""
+    priced = properties.where(F.col("price").isNotNull())
+    if "kind" in properties.columns:
+        return priced.select(*keep, *MARKET)
+    return priced.select(*keep, *[c.alias(name) for name, c in market_columns(properties.columns).items()])
+
+
+def under_asked(offers: DataFrame, markets: DataFrame) -> DataFrame:
+    """Offers under each asked market that finds them.
 
     The markets are combinations of closed value lists, at most a few hundred
     rows however many profiles there are, so they can be broadcast.
     """
-    priced = properties.where(F.col("price").isNotNull())
-    named = priced.select(*keep, *MARKET) if "kind" in properties.columns else priced.select(
-        *keep, *[c.alias(name) for name, c in market_columns(properties.columns).items()])
     for name in ("county", "location", "kind"):
-        named = named.withColumn(name, F.explode(F.array(F.col(name), F.lit(ANY))))
+        offers = offers.withColumn(name, F.explode(F.array(F.col(name), F.lit(ANY))))
     for name in ("garden", "parking"):
-        named = named.withColumn(name, F.explode(F.sequence(F.lit(0), F.col(name))))
-    return named.join(F.broadcast(markets), MARKET, "left_semi")
+        offers = offers.withColumn(name, F.explode(F.sequence(F.lit(0), F.col(name))))
+    return offers.join(F.broadcast(markets), MARKET, "left_semi")
 
 
 def eligible_counts(profiles: DataFrame, properties: DataFrame) -> DataFrame:
     """Number of properties that pass the hard preferences of each profile.
 
-    Offers are counted per market and price; a bucketed running sum over prices
+    Offers are counted per market and price before they are copied under the
+    asked markets; a bucketed running sum over prices
     and budgets then gives the count at each distinct budget.
     """
     asked = profile_markets(profiles)
-    counted = offers_in(asked.select(*MARKET).distinct(), properties, ["price"]).groupBy(
-        *MARKET, F.col("price").cast("double").alias("budget")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    own = in_markets(properties, ["price"]).groupBy(*MARKET, F.col("price").cast("double").alias("budget")).agg(F.count(F.lit(1)).alias("n"))
+    counted = under_asked(own, asked.select(*MARKET).distinct()).groupBy(*MARKET, "budget").agg(F.sum("n").alias("n"))
     budgets = asked.select(*MARKET, "budget").distinct().withColumn("n", F.lit(0).cast("bigint"))
     points = counted.withColumn("_asked", F.lit(0)).unionByName(budgets.withColumn("_asked", F.lit(1)))
     points = points.withColumn("_bucket", value_bucket(F.col("budget")))
@@ -112,12 +117,13 @@ def best_by_budget(asked: DataFrame, properties: DataFrame, k: int = 5) -> DataF
     bands row by row, holding ``k`` entries. ``worth`` is the negated score, so
     that smaller is better.
     """
-    offers = offers_in(asked.select(*MARKET).distinct(), properties, ["id", "price", "property_score"])
-    offers = offers.where(F.col("property_score").isNotNull()).select(
+    offers = in_markets(properties.where(F.col("property_score").isNotNull()), ["id", "price", "property_score"]).select(
         *MARKET, F.col("price").cast("double").alias("price"),
         (-F.col("property_score")).cast("double").alias("worth"), F.col("id").cast("bigint").alias("id"),
     )
     order = [F.col("worth"), F.col("id")]
+    own = top_per_group(offers, [*MARKET, "price"], order, k, "_n").drop("_n")
+    offers = under_asked(own, asked.select(*MARKET).distinct())
     offers = top_per_group(offers, [*MARKET, "price"], order, k, "_n").drop("_n")
     offers = offers.withColumn("band", value_bucket(F.col("price"), BANDS_PER_OCTAVE))
     budgets = asked.select(*MARKET, "budget").distinct().withColumn("band", value_bucket(F.col("budget"), BANDS_PER_OCTAVE))

@@ -74,7 +74,7 @@ def m6(t):
 
 @query("m7_fill_generic", f"""
     SELECT id, coalesce(size_sq_ft, (SELECT median(size_sq_ft) FROM props)) AS size_sq_ft,
-           coalesce(CAST(bedrooms AS DOUBLE), (SELECT median(bedrooms) FROM props)) AS bedrooms, NULL AS nothing,
+           coalesce(CAST(bedrooms AS DOUBLE), (SELECT median(bedrooms) FROM props)) AS bedrooms, CAST(NULL AS DOUBLE) AS nothing,
            coalesce(CASE WHEN tenure = 2 THEN NULL ELSE 'T' || tenure END, (SELECT 'T' || tenure FROM props WHERE tenure <> 2 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS label,
            'Unknown' AS blank FROM props""", "props")
 def m7(t):
@@ -143,7 +143,7 @@ def l5(t):
 @query("l6_scale_calendar", """
     WITH c AS (SELECT id, year(date_of_transaction) AS y, month(date_of_transaction) AS m, isodow(date_of_transaction) - 1 AS d FROM registry)
     SELECT id, round((y - avg(y) OVER ()) / stddev_pop(y) OVER (), 6) AS "year", round((m - avg(m) OVER ()) / stddev_pop(m) OVER (), 6) AS "month",
-           round((d - avg(d) OVER ()) / stddev_pop(d) OVER (), 6) AS day_of_week, 0.0 AS constant FROM c""", "registry")
+           round((d - avg(d) OVER ()) / stddev_pop(d) OVER (), 6) AS day_of_week, CAST(0 AS DOUBLE) AS constant FROM c""", "registry")
 def l6(t):
     from homematch.functions.dates import calendar_parts
 
@@ -178,7 +178,8 @@ def l8(t):
 
     handled = saved(impute.handle_missing(merged_with_id(t)), "handled")
     built = encode.engineer(handled, TODAY)
-    return built.select("id", *[whole(c).alias(c) for c in _ENGINEERED], "listing_recency", rounded("price_relative_to_county_avg").alias("price_relative_to_county_avg"))
+    counted = ("year", "month", "day_of_week", "days_since_date")
+    return built.select("id", *[(whole(c) if c in counted else F.col(c).cast("int")).alias(c) for c in _ENGINEERED], "listing_recency", rounded("price_relative_to_county_avg").alias("price_relative_to_county_avg"))
 
 
 @query("l9_feature_vector")

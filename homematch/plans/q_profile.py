@@ -182,7 +182,7 @@ def d13(t):
     return documents.unionByName(profile.unique_values(t.registry, ["district", "street"])).withColumn("position", whole("position"))
 
 
-@query("d14_shape", "SELECT 'lineitem' AS source, count(*) AS \"rows\", 11 AS columns FROM lineitem UNION ALL SELECT 'documents', count(*), 5 FROM documents")
+@query("d14_shape", "SELECT 'lineitem' AS source, count(*) AS \"rows\", CAST(11 AS BIGINT) AS columns FROM lineitem UNION ALL SELECT 'documents', count(*), 5 FROM documents")
 def d14(t):
     parts = [profile.shape(getattr(t, n)).select(F.lit(n).alias("source"), "rows", "columns") for n in ("lineitem", "documents")]
     return parts[0].unionByName(parts[1])

@@ -81,7 +81,7 @@ def listing_files(t) -> str:
     path = scratch_path(t.spark, "listings")
     known = F.when(F.col("county") == F.lower("county"), F.col("county")).otherwise("berkshire")
     rows = t.listing_raw.withColumn("county", known).drop("latitude", "longitude")
-    rows.repartition("county").write.partitionBy("county").json(path)
+    rows.write.partitionBy("county").json(path)
     return path
 
 
