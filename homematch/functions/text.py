@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from homematch import lookups
@@ -16,6 +18,11 @@ def lookup(key: Column, table: dict[str, object]) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
+def _once(value: Column, build: Callable[[Column], Column]) -> Column:
+    """Expression over a costly value that is evaluated a single time."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def price_number(price: Column) -> Column:
     """Amount in a price text; null for texts that hold no plain number."""
     bare = F.trim(F.translate(price, "£,€", ""))
@@ -41,21 +48,28 @@ def size_text(size: Column) -> Column:
 
     A unit written without a blank (``1000sqft``) is read as square metres.
     """
-    text = F.trim(F.regexp_replace(size, r"\s+", " "))
     both = rf"(?i){_AMOUNT}\s*sq\s*ft\s*/\s*{_AMOUNT}\s*sq\s*m"
     single = rf"(?i){_AMOUNT}\s*(sq\s*ft|sq\s*m)"
     rate = F.lit(lookups.SQ_FT_PER_SQ_M)
-    value = _amount(text, single, 1)
-    in_feet = F.lower(F.regexp_extract(text, single, 2)) == "sq ft"
-    has_both = text.rlike(both)
-    feet = F.when(has_both, _amount(text, both, 1)).when(in_feet, value).otherwise(value * rate)
-    metres = F.when(has_both, _amount(text, both, 2)).when(in_feet, value / rate).otherwise(value)
-    feet = F.when(metres > feet, metres * rate).otherwise(feet)
-    written = F.concat(
-        F.rint(feet).cast("bigint").cast("string"), F.lit(" sq ft / "),
-        F.rint(metres).cast("bigint").cast("string"), F.lit(" sq m"),
-    )
-    return F.coalesce(F.when(text.rlike(single), written), text)
+
+    def parts(text: Column) -> Column:
+        value = _amount(text, single, 1)
+        in_feet = F.lower(F.regexp_extract(text, single, 2)) == "sq ft"
+        has_both = text.rlike(both)
+        feet = F.when(has_both, _amount(text, both, 1)).when(in_feet, value).otherwise(value * rate)
+        metres = F.when(has_both, _amount(text, both, 2)).when(in_feet, value / rate).otherwise(value)
+        return F.struct(text.alias("text"), feet.alias("feet"), metres.alias("metres"))
+
+    def written(part: Column) -> Column:
+        feet, metres = part["feet"], part["metres"]
+        larger = F.when(metres > feet, metres * rate).otherwise(feet)
+        result = F.concat(
+            F.rint(larger).cast("bigint").cast("string"), F.lit(" sq ft / "),
+            F.rint(metres).cast("bigint").cast("string"), F.lit(" sq m"),
+        )
+        return F.coalesce(result, part["text"])
+
+    return _once(_once(F.trim(F.regexp_replace(size, r"\s+", " ")), parts), written)
 
 
 def square_feet(size: Column) -> Column:
@@ -75,9 +89,8 @@ def address_key(address: Column, word_bounded: bool = False) -> Column:
     text = F.regexp_replace(text, ",+", ",")
     text = F.regexp_replace(text, repeat, "$1")
     text = F.regexp_replace(text, r"(?U),(?=\S)", ", ")
-    in_uk = F.lower(text).endswith("uk") | F.lower(text).endswith("united kingdom")
-    text = F.when(in_uk, text).otherwise(F.concat(text, F.lit(", UK")))
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return _once(text, lambda t: F.trim(F.regexp_replace(
+        F.when(F.lower(t).rlike("(uk|united kingdom)$"), t).otherwise(F.concat(t, F.lit(", UK"))), r"(?U)\s+", " ")))
 
 
 def with_shire(address: Column, shire: str = "Buckinghamshire") -> Column:
