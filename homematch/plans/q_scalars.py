@@ -60,8 +60,8 @@ def h6(t):
 
 @query("h6_clean_documents")
 def h6_documents(t):
-    cleaned = text.address_key(F.col("text"))
-    return t.documents.select("doc_id", F.length(cleaned).alias("cleaned_chars"), F.md5(cleaned).alias("cleaned_hash"))
+    cleaned = t.documents.select("doc_id", text.address_key(F.col("text")).alias("cleaned"))
+    return cleaned.select("doc_id", F.length("cleaned").alias("cleaned_chars"), F.md5("cleaned").alias("cleaned_hash"))
 
 
 @query("h7_address_with_county", """
