@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,22 +28,34 @@ def build_session(app: str = "homematch", master: str | None = None, **conf: obj
     return builder.getOrCreate()
 
 
+def is_one_machine(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[8]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach.
+    """Folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as
-    in local tests, is a temporary folder made and recorded in its place.
+    Where it is unset, a local session gets a temporary folder that goes when
+    the process ends; a cluster session gets an error, since a folder of one
+    machine would lose what the others write.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not is_one_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="homematch-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """New path under the shared folder, never used before."""
-    return f"{shared_folder(spark)}/homematch/{name}-{uuid.uuid4().hex}"
+    """New path under the shared folder, never used before; deleted when the session's process ends."""
+    path = f"{shared_folder(spark)}/homematch/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
