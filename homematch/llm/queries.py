@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from homematch.llm import fingerprint, packing, piece_codec, sharding, url_filter
+from homematch.llm import fingerprint, language_id, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
 from homematch.llm.common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,18 @@ def checks() -> dict[str, str]:
     return dict(CHECKS)
 
 
+@query
+def op2_quality_net(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_net.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.identify_languages(table(spark, folder, "documents"))
+
+
 @query
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard and slot; counts of shards differ by one at most."""
@@ -38,6 +50,50 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality_rules.judge_documents(table(spark, folder, "documents"))
+
+
+CHECKS["op6_quality_rules"] = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents
+), words AS (
+    SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), windows AS (
+    SELECT r, i, array_to_string(w[i:i + 4], chr(1)) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+), again AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, h) AS n FROM windows) WHERE n > 1
+), covered AS (
+    SELECT r, sum(least(5, coalesce(following - i, 5))) AS n
+    FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM again) GROUP BY r
+), lines AS (
+    SELECT r, host, t, l FROM (SELECT r, host, t, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
+), line_counts AS (
+    SELECT r, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY r
+), keyed AS (
+    SELECT r, host, t, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS k,
+           length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+    FROM lines
+), common AS (
+    SELECT host, k FROM keyed GROUP BY host, k HAVING count(DISTINCT t) > {quality_rules.LINE_LIMIT}
+), gone AS (
+    SELECT r, sum(chars) AS n FROM keyed JOIN common USING (host, k) GROUP BY r
+), counted AS (
+    SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(line_counts.n, 0) AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS gone_chars
+    FROM d JOIN words USING (r) LEFT JOIN line_counts USING (r) LEFT JOIN covered USING (r) LEFT JOIN gone USING (r)
+), failed AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, word_chars - gone_chars AS left_chars FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * left_chars >= {quality_rules.LEAST_LEFT_PERCENT} * word_chars AS kept, left_chars
+FROM failed
+"""
+
+
 @query
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
