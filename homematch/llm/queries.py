@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from homematch.llm import fingerprint, language_id, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
+from homematch.llm import fingerprint, language_id, license_scan, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
 from homematch.llm.common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,70 @@ def op2_quality_net(spark: SparkSession, folder: str) -> DataFrame:
     return quality_net.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and labels of every document."""
+    return license_scan.scan_licences(table(spark, folder, "documents"))
+
+
+def template_values() -> str:
+    """Template words, labels and mandatory phrases as SQL rows."""
+    known = license_scan.templates()
+    rows = [f"({t.number}, '{t.label}', {list(t.words)}, {list(t.phrase)}, {t.phrase_at})" for t in known]
+    return ", ".join(rows)
+
+
+def base_values() -> str:
+    return ", ".join(f"({phrase.split()}, '{label}')" for phrase, label in license_scan.BASE_PHRASES.items())
+
+
+CHECKS["op3_license_scan"] = rf"""
+WITH templates(template, label, tw, pw, phrase_at) AS (
+    VALUES {template_values()}
+), base(pw, label) AS (
+    VALUES {base_values()}
+), d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), licence_words AS (
+    SELECT unnest(tw) AS word FROM templates UNION SELECT unnest(pw) FROM base
+), hits AS (
+    SELECT r, word, pos FROM (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d) SEMI JOIN licence_words USING (word)
+), weights AS (
+    SELECT word, ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT r) + 1)) + 1 AS weight
+    FROM licence_words LEFT JOIN hits USING (word) GROUP BY word
+), places AS (
+    SELECT template, label, unnest(tw) AS word, unnest(range(len(tw))) AS place FROM templates
+), postings AS (
+    SELECT template, label, word, place, weight FROM places JOIN weights USING (word)
+    QUALIFY row_number() OVER (PARTITION BY template ORDER BY weight DESC, place) <= {license_scan.RARE_WORDS}
+), totals AS (
+    SELECT template, sum(weight) AS total FROM postings GROUP BY template
+), agreed AS (
+    SELECT r, template, label, pos - place AS start, sum(weight) AS weight FROM hits JOIN postings USING (word) GROUP BY ALL
+), held AS (
+    SELECT r, a.label, least(1.0, weight / total) AS share
+    FROM agreed a JOIN totals USING (template) JOIN templates t USING (template) JOIN d USING (r)
+    WHERE weight >= {license_scan.LEAST_SHARE} * total - 1e-9 AND start + phrase_at >= 0
+      AND w[start + phrase_at + 1:start + phrase_at + len(pw)] = pw
+), method AS (
+    SELECT r, label, max(share) AS share FROM held GROUP BY r, label
+), starts AS (
+    SELECT r, label, pos FROM hits JOIN d USING (r) JOIN base b ON word = b.pw[1] WHERE w[pos + 1:pos + len(pw)] = pw
+), base_found AS (
+    SELECT r, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM starts GROUP BY r
+), all_labels AS (
+    SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM method UNION SELECT r, label FROM starts) GROUP BY r
+), best AS (
+    SELECT r, max(share) AS share FROM method GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(f.n, 0) AS n_base, first_word, last_word, coalesce(f.labels, '') AS base_labels, coalesce(a.labels, '') AS labels,
+       round(CASE WHEN f.n > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE, 6) AS score
+FROM d LEFT JOIN base_found f USING (r) LEFT JOIN all_labels a USING (r) LEFT JOIN best USING (r)
+"""
+
+
 @query
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document."""
