@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from homematch.llm import fingerprint, language_id, license_scan, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
+from homematch.llm import fingerprint, language_id, license_scan, near_dedup, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
 from homematch.llm.common import table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def checks() -> dict[str, str]:
     return dict(CHECKS)
 
 
+@query
+def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every document, by shingles of two words."""
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=2)
+
+
 @query
 def op2_quality_net(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
