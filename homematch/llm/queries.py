@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -218,3 +219,9 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(joined_ids(F.col("ids")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, folder)
