@@ -39,6 +39,8 @@ COORDINATES, MATCHES = 64, 32
 PERCENT = 80
 #: Counters of the rarity sketch over full sets; their number changes what is skipped, never what is found.
 SKETCH_BITS = 16
+#: Bits of the bitmap that tells which documents are looked at again; more documents than bits only cost time.
+ID_BITS = 22
 #: Shingles hashed for all coordinates at a time.
 BLOCK = 2048
 CACHE_WORDS = 300_000
@@ -82,40 +84,103 @@ def signature(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) ->
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def arrays(values: list[np.ndarray], kind) -> pa.ListArray:
+    """Arrow list column of numpy arrays."""
+    offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.empty(0, kind)))
+
+
+def counters(shingles: np.ndarray) -> np.ndarray:
+    """Counter of the rarity sketch for each shingle."""
+    return shingles >> np.uint64(64 - SKETCH_BITS)
+
+
 def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature) of every text; the key is a 128-bit digest of the full set."""
+    """(doc_id, n_shingles, set_key, signature, sketch) of every text; the key is a 128-bit digest of the full set.
+
+    Each task adds one row that is no document: its ``sketch`` counts the
+    shingles of the task's texts in a fixed number of counters.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = coefficients(COORDINATES, seed)
+        sketch, id_type = np.zeros(1 << SKETCH_BITS, np.int64), None
+        names = ["doc_id", "n_shingles", "set_key", "signature", "sketch"]
         for batch in batches:
+            id_type = batch.schema.field(0).type
             for start in range(0, batch.num_rows, 500):
                 sets = [shingle_set(t, width) for t in batch.column(1).slice(start, 500).to_pylist()]
                 signed = [signature(s, factors, shifts) if len(s) else np.empty(0, np.int32) for s in sets]
-                offsets = np.cumsum([0, *map(len, signed)], dtype=np.int32)
+                sketch += np.bincount(counters(np.concatenate(sets)), minlength=1 << SKETCH_BITS)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, 500),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(signed) if signed else np.empty(0, np.int32))),
-                ], ["doc_id", "n_shingles", "set_key", "signature"])
+                    arrays(signed, np.int32),
+                    pa.nulls(len(sets), pa.list_(pa.int64())),
+                ], names)
+        if id_type is not None:
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), arrays([np.empty(0, np.int32)], np.int32), arrays([sketch], np.int64),
+            ], names)
+
+    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, signature array<int>, sketch array<bigint>")
+
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, set_key binary, signature array<int>")
+def rarity(sketches: DataFrame) -> np.ndarray:
+    """Sum of the tasks' sketches; its size is fixed."""
+    total = np.zeros(1 << SKETCH_BITS, np.int64)
+    for row in sketches.select(F.posexplode("sketch").alias("counter", "n")).groupBy("counter").agg(F.sum("n").alias("n")).collect():
+        total[row["counter"]] = row["n"]
+    return total
 
 
-def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(rep, shingles) of given documents."""
+def id_bits(reps: DataFrame) -> np.ndarray:
+    """Bitmap of fixed size in which the given ids are set, by a hash; other ids may be set as well."""
+    at = F.pmod(F.xxhash64("rep"), F.lit(1 << ID_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
+    words = np.zeros((1 << ID_BITS) // 64, np.int64)
+    for row in reps.select(F.floor(at / 64).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        words[row["w"]] = row["b"]
+    return np.unpackbits(words.view(np.uint8), bitorder="little")
+
+
+def second_look(texts: DataFrame, width: int, rare_for: DataFrame | None, full_for: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(rep, rarest, last, shingles) of some documents, by one more scan.
+
+    ``rarest`` are the rarest shingles, of which similar sets share some, as
+    32-bit hashes, one more than the sets' sizes leave out; ``last`` is where
+    they end in the order of rarity. They are given for ids of ``rare_for``, and
+    ``shingles`` for ids of ``full_for``. Ids are told by bitmaps of fixed size,
+    so whole texts are not shuffled; a few other documents may be given too.
+    """
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    wanted = id_bits(full_for)
+    rare = id_bits(rare_for) if rare_for is not None else np.zeros(1 << ID_BITS, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast((np.packbits(rare), np.packbits(wanted), counts))
+    last_type = pa.struct([("often", pa.int64()), ("shingle", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare, wanted, counts = (np.unpackbits(shared.value[0]), np.unpackbits(shared.value[1]), shared.value[2])
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).slice(start, 500).to_pylist()]
-                offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(start, 500),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))),
-                ], ["rep", "shingles"])
-
-    return docs.mapInArrow(run, f"rep {docs.schema['doc_id'].dataType.simpleString()}, shingles array<bigint>")
+            place = batch.column(1).to_numpy(zero_copy_only=False)
+            chosen = np.flatnonzero((rare[place] | wanted[place]) & batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+            for start in range(0, len(chosen), 500):
+                at = chosen[start : start + 500]
+                part = batch.take(pa.array(at))
+                parts, ends, sets = [], [], []
+                for text, want_rare, want_full in zip(part.column(2).to_pylist(), rare[place[at]], wanted[place[at]], strict=True):
+                    s = shingle_set(text, width)
+                    sets.append(s.view(np.int64) if want_full else np.empty(0, np.int64))
+                    often = counts[counters(s)]
+                    order = np.lexsort((s.view(np.int64), often))[: len(s) - -(-PERCENT * len(s) // 100) + 1 if want_rare and len(s) else 0]
+                    parts.append((s[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
+                    ends.append({"often": int(often[order[-1]]), "shingle": int(s[order[-1:]].view(np.int64)[0])} if len(order) else None)
+                yield pa.RecordBatch.from_arrays([part.column(0), arrays(parts, np.int32), pa.array(ends, last_type), arrays(sets, np.int64)], ["rep", "rarest", "last", "shingles"])
+
+    hashed = texts.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << ID_BITS)).alias("place"), "text")
+    return hashed.mapInArrow(run, f"rep {kind}, rarest array<int>, last struct<often: bigint, shingle: bigint>, shingles array<bigint>")
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
@@ -131,69 +196,35 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
     others share the set's values.
     """
     token = F.call_function("shiftleft", F.col("pos").cast("bigint"), F.lit(32)) + (F.col("value").cast("bigint") + F.lit(1 << 31))
-    tokens = sets.select("rep", "n", F.posexplode("signature").alias("pos", "value")).select("rep", "n", token.alias("token"))
+    tokens = sets.select("rep", F.posexplode("signature").alias("pos", "value")).select("rep", token.alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    held = tokens.join(shared, "token").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
+    held = tokens.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
     room = F.size("held") - F.lit(MATCHES - 1)
     central = F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["df"])
-    return held.where(room > 0).select("rep", "n", central.alias("central"), F.explode(F.slice("held", F.lit(1), room)).alias("h")).select("h.token", "rep", "n", "central")
+    posted = held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room).alias("held")).join(sets.select("rep", "n"), "rep")
+    return posted.select("rep", "n", "central", F.explode("held").alias("h")).select("h.token", "rep", "n", "central")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
-    """Pairs (a, b) that agree in enough coordinates and whose full sets are similar."""
+def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that agree in enough coordinates."""
     signed = sets.select("rep", "signature")
     left = pairs.join(signed.withColumnsRenamed({"rep": "a", "signature": "sa"}), "a")
     both = left.join(signed.withColumnsRenamed({"rep": "b", "signature": "sb"}), "b")
-    agreeing = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    near = both.where(agreeing >= MATCHES).select("a", "b")
-    left = near.join(full.withColumnsRenamed({"rep": "a", "shingles": "fa"}), "a")
-    both = left.join(full.withColumnsRenamed({"rep": "b", "shingles": "fb"}), "b")
-    shared = F.size(F.array_intersect("fa", "fb"))
-    return both.where(100 * shared >= PERCENT * (F.size("fa") + F.size("fb") - shared)).select("a", "b")
-
+    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
+    return both.where(same >= MATCHES).select("a", "b")
 
-def rarity(full: DataFrame) -> np.ndarray:
-    """How many shingles of all given sets fall into each counter. Tasks count on their own; the result has a fixed size."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            held += np.bincount(values >> np.uint64(64 - SKETCH_BITS), minlength=1 << SKETCH_BITS)
-        at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(held[at], pa.int64())], ["counter", "n"])
-
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in full.select("shingles").mapInArrow(run, "counter int, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).collect():
-        total[row["counter"]] = row["n"]
-    return total
+def ends(pairs: DataFrame) -> DataFrame:
+    """Ids that occur in pairs."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
 
 
-def rarest_parts(full: DataFrame) -> DataFrame:
-    """(rep, rarest, last) of full sets: the rarest shingles, of which similar sets share some, and where they end in the order.
-
-    ``rarest`` holds 32-bit hashes, one more than the sets' sizes leave out.
-    """
-    counts = full.sparkSession.sparkContext.broadcast(rarity(full))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts, ends = [], []
-            for values in batch.column(1).to_pylist():
-                s = np.array(values, np.int64)
-                often = counts.value[s.view(np.uint64) >> np.uint64(64 - SKETCH_BITS)]
-                order = np.lexsort((s, often))[: len(s) - -(-PERCENT * len(s) // 100) + 1]
-                parts.append((s[order] & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
-                ends.append({"often": int(often[order[-1]]), "shingle": int(s[order[-1]])})
-            offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32))),
-                pa.array(ends, pa.struct([("often", pa.int64()), ("shingle", pa.int64())])),
-            ], ["rep", "rarest", "last"])
-
-    kind = full.schema["rep"].dataType.simpleString()
-    return full.select("rep", "shingles").mapInArrow(run, f"rep {kind}, rarest array<int>, last struct<often: bigint, shingle: bigint>")
+def similar(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar."""
+    left = pairs.join(full.select(F.col("rep").alias("a"), F.col("shingles").alias("fa")), "a")
+    both = left.join(full.select(F.col("rep").alias("b"), F.col("shingles").alias("fb")), "b")
+    shared = F.size(F.array_intersect("fa", "fb"))
+    return both.where(100 * shared >= PERCENT * (F.size("fa") + F.size("fb") - shared)).select("a", "b")
 
 
 def parts_allow(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -216,7 +247,15 @@ def star_pairs(posts: DataFrame) -> DataFrame:
     return met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
-def crossing_pairs(posts: DataFrame, parts: DataFrame, full: DataFrame) -> DataFrame:
+def star_pairs(posts: DataFrame) -> DataFrame:
+    """Each set with the most central set of every list it stands in."""
+    centres = posts.groupBy("token").agg(F.max(F.struct("central", "rep", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
+    met = posts.join(centres.select("token", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "token")
+    met = met.where((F.col("rep") != F.col("centre")) & sizes_allow(F.col("n"), F.col("centre_n")))
+    return met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+
+
+def crossing_pairs(posts: DataFrame, parts: DataFrame, looked: DataFrame) -> DataFrame:
     """Pairs of sets of different components that share a list and can be similar.
 
     In each list the component with most entries is taken as one side only, so
@@ -226,8 +265,7 @@ def crossing_pairs(posts: DataFrame, parts: DataFrame, full: DataFrame) -> DataF
     counts = named.groupBy("token", "part").agg(F.count("*").alias("k"))
     main = counts.groupBy("token").agg(F.max(F.struct("k", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
     active = saved(named.join(main.select("token", F.col("m.part").alias("main")), "token").select("token", "rep", "n", "part", "main"), "active")
-    rarest = saved(rarest_parts(full.join(active.select("rep").distinct(), "rep", "left_semi")), "rarest")
-    known = active.join(rarest, "rep")
+    known = active.join(looked.select("rep", "rarest", "last").where(F.size("rarest") > 0), "rep")
     few = known.where("part <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "part", "rarest", "last")])
     every = known.select("token", (F.col("part") == F.col("main")).alias("is_main"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "part", "rarest", "last")])
     a, b = ({c: F.col(f"{side}_{c}") for c in ("rep", "n", "part", "rarest", "last")} for side in "ab")
@@ -247,7 +285,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "
     gives no rows; other columns, whatever their names, are ignored.
     """
     texts = docs.select(docs[key].alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = saved(signed_documents(texts, width, seed), "signatures")
+    written = saved(signed_documents(texts, width, seed), "signatures")
+    rows = written.where("sketch IS NULL")
     linked = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     sets = saved(
         linked.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("m"))
@@ -255,11 +294,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "
     )
     posts = saved(prefix_postings(sets), "postings")
     several = posts.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    wanted = posts.join(several, "token", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    full = saved(full_sets(texts.join(wanted, "doc_id", "left_semi"), width), "full-sets")
-    near = saved(confirmed(star_pairs(posts), sets, full), "star-links")
-    crossing = crossing_pairs(posts, components(near), full)
-    near = near.unionByName(saved(confirmed(crossing, sets, full), "crossing-links"))
+    listed = posts.join(several, "token", "left_semi").select("rep").distinct()
+    star = saved(agreeing(star_pairs(posts), sets), "star-pairs")
+    counts = rarity(written.where("sketch IS NOT NULL"))
+    looked = saved(second_look(texts, width, listed, ends(star), counts), "second-look")
+    near = saved(similar(star, looked), "star-links")
+    crossing = saved(agreeing(crossing_pairs(posts, components(near), looked), sets), "crossing-pairs")
+    full = second_look(texts, width, None, ends(crossing), counts)
+    near = near.unionByName(saved(similar(crossing, saved(full, "full-sets")), "crossing-links"))
     parts = saved(components(near), "components")
     classes = sets.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     placed = rows.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
