@@ -18,7 +18,7 @@ sets bounds what two of them can share, and pairs below the threshold are
 skipped inside the join.
 
 Two sets with similarity 0.8 agree in 51 of 64 coordinates on average and in
-fewer than 32 with a probability of about 1e-8.
+fewer than 36 with a probability of about 5e-6.
 """
 
 from __future__ import annotations
@@ -34,11 +34,11 @@ from homematch.llm.components import components
 from homematch.llm.sharding import mixed
 from homematch.session import saved
 
-COORDINATES, MATCHES = 64, 32
+COORDINATES, MATCHES = 64, 36
 #: Similarity of linked documents in per cent.
 PERCENT = 80
 #: Counters of the rarity sketch over full sets; their number changes what is skipped, never what is found.
-SKETCH_BITS = 16
+SKETCH_BITS = 18
 #: Bits of the bitmap that tells which documents are looked at again; more documents than bits only cost time.
 ID_BITS = 22
 #: Shingles hashed for all coordinates at a time.
@@ -99,7 +99,8 @@ def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, signature, sketch) of every text; the key is a 128-bit digest of the full set.
 
     Each task adds one row that is no document: its ``sketch`` counts the
-    shingles of the task's texts in a fixed number of counters.
+    shingles of the task's texts in a fixed number of counters, each entry
+    holding a counter above and its count below 32 bits.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -122,7 +123,7 @@ def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
                 ], names)
         if id_type is not None:
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), arrays([np.empty(0, np.int32)], np.int32), arrays([sketch], np.int64),
+                pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), arrays([np.empty(0, np.int32)], np.int32), arrays([(np.flatnonzero(sketch) << 32) + sketch[sketch > 0]], np.int64),
             ], names)
 
     return docs.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, signature array<int>, sketch array<bigint>")
@@ -131,7 +132,8 @@ def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
 def rarity(sketches: DataFrame) -> np.ndarray:
     """Sum of the tasks' sketches; its size is fixed."""
     total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for row in sketches.select(F.posexplode("sketch").alias("counter", "n")).groupBy("counter").agg(F.sum("n").alias("n")).collect():
+    entries = sketches.select(F.explode("sketch").alias("e")).select(F.shiftright("e", 32).alias("counter"), F.col("e").bitwiseAND((1 << 32) - 1).alias("n"))
+    for row in entries.groupBy("counter").agg(F.sum("n").alias("n")).collect():
         total[row["counter"]] = row["n"]
     return total
 
@@ -188,12 +190,18 @@ def sizes_allow(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def short(token: Column) -> Column:
+    """32-bit hash of a token."""
+    return F.hash(token)
+
+
 def prefix_postings(sets: DataFrame) -> DataFrame:
-    """(token, rep, n, central) for the prefix of each set under the order of rarity.
+    """(token, rep, n, central, prefix) for the prefix of each set under the order of rarity.
 
     Values that one set alone holds come first in the order and are posted
     nowhere; they only shorten the rest of the prefix. ``central`` says how many
-    others share the set's values.
+    others share the set's values, ``prefix`` lists all its tokens in the order,
+    as 32-bit hashes.
     """
     token = F.call_function("shiftleft", F.col("pos").cast("bigint"), F.lit(32)) + (F.col("value").cast("bigint") + F.lit(1 << 31))
     tokens = sets.select("rep", F.posexplode("signature").alias("pos", "value")).select("rep", token.alias("token"))
@@ -202,7 +210,8 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
     room = F.size("held") - F.lit(MATCHES - 1)
     central = F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["df"])
     posted = held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room).alias("held")).join(sets.select("rep", "n"), "rep")
-    return posted.select("rep", "n", "central", F.explode("held").alias("h")).select("h.token", "rep", "n", "central")
+    prefix = F.transform("held", lambda h: short(h["token"]))
+    return posted.select("rep", "n", "central", prefix.alias("prefix"), F.explode("held").alias("h")).select("h.token", "rep", "n", "central", "prefix")
 
 
 def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -259,18 +268,20 @@ def crossing_pairs(posts: DataFrame, parts: DataFrame, looked: DataFrame) -> Dat
     """Pairs of sets of different components that share a list and can be similar.
 
     In each list the component with most entries is taken as one side only, so
-    its entries are not paired with each other.
+    its entries are not paired with each other. A pair is met in the first list
+    it shares.
     """
     named = posts.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
     counts = named.groupBy("token", "part").agg(F.count("*").alias("k"))
     main = counts.groupBy("token").agg(F.max(F.struct("k", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-    active = saved(named.join(main.select("token", F.col("m.part").alias("main")), "token").select("token", "rep", "n", "part", "main"), "active")
+    active = saved(named.join(main.select("token", F.col("m.part").alias("main")), "token").select("token", "rep", "n", "part", "main", "prefix"), "active")
     known = active.join(looked.select("rep", "rarest", "last").where(F.size("rarest") > 0), "rep")
-    few = known.where("part <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "part", "rarest", "last")])
-    every = known.select("token", (F.col("part") == F.col("main")).alias("is_main"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "part", "rarest", "last")])
-    a, b = ({c: F.col(f"{side}_{c}") for c in ("rep", "n", "part", "rarest", "last")} for side in "ab")
+    few = known.where("part <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")])
+    every = known.select("token", (F.col("part") == F.col("main")).alias("is_main"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")])
+    a, b = ({c: F.col(f"{side}_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")} for side in "ab")
+    first = F.get(F.array_intersect(a["prefix"], b["prefix"]), 0) == short(few["token"])
     differ = (a["part"] != b["part"]) & (F.col("is_main") | (a["rep"] < b["rep"]))
-    met = few.join(every, (few["token"] == every["token"]) & differ & sizes_allow(a["n"], b["n"]) & parts_allow(a, b))
+    met = few.join(every, (few["token"] == every["token"]) & differ & sizes_allow(a["n"], b["n"]) & first & parts_allow(a, b))
     return met.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
 
 
