@@ -13,8 +13,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 BUCKETS = 128
 #: Places of the three bytes in a window of five; each holds the first byte.
@@ -89,17 +90,6 @@ def range_edges(light: DataFrame, rows: int, most: int) -> list[int]:
     return sorted(set(light.agg(F.percentile_approx("order", points, 10 * parts).alias("p")).first()["p"]))
 
 
-def range_number(value: Column, edges: Column, count: int) -> Column:
-    """How many of ``count`` ascending edges are not above a value, by halving."""
-    low = F.lit(0)
-    step = 1 << (count.bit_length() - 1)
-    while step:
-        probe = low + F.lit(step)
-        low = F.when((probe <= count) & (F.get(edges, probe - 1) <= value), probe).otherwise(low)
-        step >>= 1
-    return low
-
-
 def with_following(docs: DataFrame, rows: int, most: int) -> DataFrame:
     """Rows of (doc_id, order, text), dealt by ranges of ``order`` and sorted; each range ends with guests.
 
@@ -107,23 +97,25 @@ def with_following(docs: DataFrame, rows: int, most: int) -> DataFrame:
     last range. Ranges that hold nothing are passed over. The driver sees a few
     numbers for each range, of which there are at most ``most``.
     """
-    spark, light = docs.sparkSession, docs.select("order")
-    edges = range_edges(light, rows, most)
-
-    def constant(values: list[int]) -> Column:
-        return spark.createDataFrame([(values,)], "v array<bigint>").scalar()
-
-    number = range_number(F.col("order"), constant(edges), len(edges)) if edges else F.lit(0)
-    firsts = light.select(number.alias("part"), "order").groupBy("part").agg(F.min("order").alias("first")).orderBy("part").collect()
-    first, before = [None] * (len(edges) + 1), [0] * (len(edges) + 1)
-    for i, row in enumerate(firsts):
-        first[row["part"]] = row["first"]
-        before[row["part"]] = firsts[i - 1]["part"]
-    own = F.struct(F.col("part").cast("bigint").alias("part"), F.lit(False).alias("guest"))
-    also = F.struct(F.get(constant(before), F.col("part")).alias("part"), F.lit(True).alias("guest"))
-    is_first = F.col("order") == F.get(constant(first), F.col("part"))
-    places = F.when(is_first, F.array(own, also)).otherwise(F.array(own))
-    dealt = docs.withColumn("part", number).select("doc_id", "order", "text", F.inline(places))
+    light = docs.select("order")
+    edges = np.array(range_edges(light, rows, most), np.int64)
+
+    @F.pandas_udf("int")
+    def number(order: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, order.to_numpy(), side="right"))
+
+    held = light.select(number("order").alias("part"), "order").groupBy("part").agg(F.min("order").alias("first")).orderBy("part").collect()
+    parts, firsts = np.array([r["part"] for r in held], np.int32), np.array([r["first"] for r in held], np.int64)
+
+    @F.pandas_udf("array<int>")
+    def places(order: pd.Series) -> pd.Series:
+        """The own range, and for its first document the range before as well, as -1 - range."""
+        values = order.to_numpy()
+        at = np.searchsorted(firsts, values, side="right") - 1
+        return pd.Series([[parts[i], -1 - parts[i - 1]] if v == firsts[i] else [parts[i]] for i, v in zip(at, values, strict=True)])
+
+    placed = docs.select("doc_id", "order", "text", F.explode(places("order")).alias("place"))
+    dealt = placed.select("doc_id", "order", "text", F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")).alias("part"), (F.col("place") < 0).alias("guest"))
     return dealt.repartition("part").sortWithinPartitions("part", "guest", "order", "text")
 
 
