@@ -1,0 +1,282 @@
+"""Operators against brute force and on odd input."""
+
+import os
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from homematch.llm import components, fingerprint, language_id, license_scan, near_dedup, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
+
+tokenizer_files = pytest.importorskip("public_tokenizers")
+PIECES, BYTES = tokenizer_files.path("piece_bpe_32k.model"), tokenizer_files.path("byte_bpe_50k.json")
+SMALL = "/root/testdata/sf0.001"
+has_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables are absent")
+
+
+def brute_components(rows, width):
+    sets = [(i, frozenset(near_dedup.shingle_set(t, width).tolist())) for i, t in rows if i is not None]
+    root = {i: i for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[k:]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in root}
+
+
+def test_near_duplicates_of_odd_rows(odd, empty):
+    found = near_dedup.near_duplicates(odd, 2).collect()
+    assert len(found) == odd.count()
+    expected = brute_components([(r.doc_id, r.text) for r in odd.collect()], 2)
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == expected
+    assert all(r.component_id is None and not r.kept for r in found if r.doc_id is None)
+    assert {r.doc_id: r.n_shingles for r in found}[8] == 1 and {r.doc_id: r.n_shingles for r in found}[5] == 0
+    assert near_dedup.near_duplicates(empty, 2).count() == 0
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates_against_all_pairs(spark, width):
+    r = random.Random(width)
+    words = [f"w{i}" for i in range(300)]
+    base = [[r.choice(words) for _ in range(r.randint(20, 200))] for _ in range(40)]
+    rows = []
+    for i in range(300):
+        text = list(r.choice(base))
+        for _ in range(r.randint(0, len(text) // 12)):
+            text[r.randrange(len(text))] = r.choice(words)
+        rows.append((i, " ".join(text)))
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width).collect()
+    assert {x.doc_id: x.component_id for x in found} == brute_components(rows, width)
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
+    found = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_quality_net_learns_and_handles_odd_rows(spark, odd, empty):
+    r = random.Random(1)
+    words = ["green", "house", "by", "the", "river", "and", "hill", "with", "old", "trees"]
+    rows = [(i, " ".join(r.choice(words) for _ in range(60)), 1) if i % 2 else (i, " ".join(r.choice(words).upper() + "!!" for _ in range(60)), 0) for i in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id bigint, quality int")
+    found = quality_net.score_quality(docs, labels).collect()
+    held = [x for x in found if x.held_out]
+    assert held and all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in found)
+    assert np.mean([x.predicted == rows[x.doc_id][2] for x in held]) > 0.95
+    scores = quality_net.score_quality(odd, labels).collect()
+    assert len(scores) == odd.count() and all(0 <= x.score <= 1 for x in scores)
+    assert quality_net.score_quality(empty, labels.where("false")).count() == 0
+
+
+def test_quality_gradients_follow_the_loss():
+    net = quality_net.QualityNet.fresh(3)
+    data = np.frombuffer(b"some text with a few words in it, more than one chunk " * 8, np.uint8)
+    grad = {k: np.zeros(a.shape, np.float64) for k, a in net.w.items()}
+    net.gradients(data, 1, grad)
+
+    def loss():
+        return -np.log(net.score(data.tobytes().decode()))
+
+    for name, at in (("out", (2,)), ("dense", (5, 3)), ("filters", (0, 4, 1)), ("embed", (ord("w"), 2))):
+        old = net.w[name][at]
+        net.w[name][at] = old + 1e-2
+        up = loss()
+        net.w[name][at] = old - 1e-2
+        down = loss()
+        net.w[name][at] = old
+        assert grad[name][at] == pytest.approx((up - down) / 2e-2, rel=0.15, abs=2e-3)
+
+
+def test_blocks_do_not_change_scores(monkeypatch):
+    net, text = quality_net.QualityNet.fresh(3), "abc def " * 20_000
+    whole = net.score(text)
+    monkeypatch.setattr(quality_net, "BLOCK", quality_net.HALF * 4)
+    assert net.score(text) == pytest.approx(whole, abs=1e-6)
+
+
+def test_license_scan(odd, empty):
+    found = {r.doc_id: r for r in license_scan.scan_licences(odd).collect()}
+    assert (found[6].base_labels, found[6].labels, found[6].n_base, found[6].first_word) == ("mit", "mit", 1, 9)
+    assert (found[None].base_labels, found[None].labels) == ("cc-by", "cc-by,cc-by-nc")
+    assert found[3].n_words == 0 and found[3].labels == "" and found[3].first_word is None and found[7].n_words == 30_000
+    assert license_scan.scan_licences(odd).count() == odd.count() and license_scan.scan_licences(empty).count() == 0
+
+
+def test_language_identification(spark, odd, empty):
+    r = random.Random(5)
+    words = {"en": ["the", "house", "with", "thing", "where"], "de": ["das", "haus", "mit", "straße", "über"]}
+    rows = [(i, " ".join(r.choice(words[g]) for _ in range(30)), g) for i, g in enumerate(["en", "de"] * 150)]
+    found = language_id.identify_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    held = [x for x in found if x.held_out]
+    assert held and np.mean([x.lang_pred == rows[x.doc_id][2] for x in held]) > 0.98
+    odd_found = language_id.identify_languages(odd).collect()
+    assert len(odd_found) == odd.count() and all(x.lang_pred == "und" and x.score == 0 for x in odd_found if x.doc_id in (3, 4, 5))
+    assert language_id.identify_languages(empty).count() == 0
+
+
+def test_grams_are_counted_over_whole_texts(monkeypatch):
+    text = "Straße und Haus " * 50
+    whole = language_id.gram_counts(text)
+    monkeypatch.setattr(language_id, "BLOCK", 37)
+    assert (language_id.gram_counts(text) == whole).all() and whole.sum() == 3 * len(text) - 3
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 17, 1000, 4096, 4097])
+def test_permutation(total):
+    places = sharding.permuted(np.arange(total), total, 9)
+    assert sorted(places) == list(range(total))
+
+
+def test_shards(odd, empty):
+    found = sharding.shard_rows(odd, 5, 1).collect()
+    slots = {}
+    for r in found:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == odd.count() == len({r.row_number for r in found})
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert {(r.doc_id, r.size, r.text_crc32) for r in found} == {(r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in odd.collect()}
+    again = sharding.shard_rows(odd.repartition(7), 5, 1).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, again)) and sharding.shard_rows(empty, 5).count() == 0
+
+
+def test_quality_rules(odd, empty):
+    found = {r.doc_id: r for r in quality_rules.judge_documents(odd).collect()}
+    for row in odd.collect():
+        words = (row.text or "").replace("\u3000", "x").split()
+        starts = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+        many = {k for k, n in Counter(starts).items() if n > 1}
+        covered = {i + k for i, s in enumerate(starts) if s in many for k in range(5)}
+        got = found[row.doc_id]
+        assert (got.n_words, got.n_repeat_words, got.word_chars) == (len(words), len(covered), sum(map(len, words)))
+        assert got.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
+    assert quality_rules.judge_documents(odd).count() == odd.count() and quality_rules.judge_documents(empty).count() == 0
+
+
+def test_frequent_lines_go(spark):
+    own = [" ".join(chr(97 + i) + chr(97 + k) for k in range(12)) for i in range(9)]
+    rows = [(i, f"Common line {i} of ten words that all of the documents share\n{own[i]}", "h") for i in range(8)]
+    rows.append((8, f"common  LINE 7 of ten words that all of the documents share\n{own[8]}", "h"))
+    rows += [(20, "Common line 1 of ten words that all of the documents share", "h"), (21, "Common line 1 of ten words that all of the documents share", "other")]
+    found = {r.doc_id: r for r in quality_rules.judge_documents(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), line_limit=5, with_text=True).collect()}
+    assert found[0].kept and found[0].clean_text == own[0]
+    assert not found[20].kept and found[20].clean_text == "" and found[21].kept
+
+
+def test_fingerprints(odd, empty):
+    found = fingerprint.fingerprint_documents(odd, rows_per_range=2).collect()
+    assert len(found) == odd.count()
+    rows = sorted(((r.doc_id if r.doc_id is not None else -(1 << 63), r.text or "") for r in odd.collect()))
+    expected = Counter()
+    for (_, text), (_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
+        expected[len(text), fingerprint.edited(text, following)] += 1
+    assert Counter((r.n_chars, r.edited) for r in found) == expected
+    assert all(r.fingerprint == fingerprint.digest(t.encode()) for r in found for i, t in [(r.doc_id, {a: b for a, b in rows}.get(r.doc_id))] if t is not None)
+    assert all(0 <= x <= 1 for r in found for x in (r.near_edited, r.near_next))
+    assert fingerprint.fingerprint_documents(empty).count() == 0
+
+
+def test_likeness_falls_with_edits():
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefghij klmnop") for _ in range(4000))
+    near, far = text[:3800] + "".join(r.choice("zyxw ") for _ in range(200)), "".join(r.choice("qrstuv zyxw") for _ in range(4000))
+    a, b, c = (fingerprint.digest(t.encode()) for t in (text, near, far))
+    assert fingerprint.likeness(a, a) == 1 and fingerprint.likeness(a, b) > fingerprint.likeness(a, c)
+
+
+RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"))
+
+
+@pytest.mark.parametrize(("url", "host", "path", "rule", "verdict"), [
+    ("http://A.Example.COM/en/x?y#z", "a.example.com", "/en/x", "example.com/en/", "block"),
+    ("https://www.example.com/en/", "www.example.com", "/en/", "www.example.com/en/", "allow"),
+    ("http://b.com?q=/en/", "b.com", "", None, "allow"),
+    ("x://net/es/a://com/", "net", "/es/a://com/", "net/es/", "block"),
+    ("no scheme", "", "", None, "allow"), (None, "", "", None, "allow"), ("http://notexample.com/en/", "notexample.com", "/en/", "com/", "allow"),
+])
+def test_urls(spark, url, host, path, rule, verdict):
+    pages = spark.createDataFrame([(1, url, "x"), (1, url, "x")], "page_id bigint, url string, host string")
+    found = url_filter.judge_urls(pages, RULES).collect()
+    assert found == [(1, host, path, rule, verdict)] * 2
+    assert url_filter.judge_urls(pages.where("false"), RULES).count() == 0
+
+
+def test_cascade_is_exact(spark):
+    universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 37 == 0).alias("listed"))
+    levels = url_filter.cascade(universe)
+    assert len(levels) > 1
+    wrong = universe.where(url_filter.is_listed(levels, F.col("key")) != F.col("listed"))
+    assert wrong.count() == 0
+
+
+def test_packing(odd, empty):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    found = packing.pack_documents(odd, BYTES, size=256, keep=2, group=2).collect()
+    used = {}
+    for r in sorted(found, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used.get(r.sequence_id, 0) and len(r.ids) == 4 * r.length
+        used[r.sequence_id] = r.offset + r.length
+    assert max(used.values()) <= 256
+    expected = Counter()
+    for row in odd.collect():
+        ids = [*library.encode(row.text or "", add_special_tokens=False).ids, 0]
+        for start in range(0, len(ids), 256):
+            expected[row.doc_id, start, len(ids), np.array(ids[start:start + 256], "<u4").tobytes()] += 1
+    assert Counter((r.doc_id, r.start, r.doc_tokens, bytes(r.ids)) for r in found) == expected
+    assert packing.pack_documents(empty, BYTES).count() == 0
+
+
+def odd_texts(count, seed):
+    r = random.Random(seed)
+    parts = ["a", "e", " ", "  ", "\n", "'s", "th", "é", "\x1c", "\x85", ".", "1", "\t", "\r\n", "日", "\U0001F600", "$ ", "\x00", "<|endoftext|>", "▁", "ß", "The", "<0x41>", "\u200b", "\u2003"]
+    return ["".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(count)] + [" " * n + tail for n in range(0, 200, 7) for tail in ("", "w", "\U0001F600")]
+
+
+def test_unit_tokenizer_equals_the_library():
+    from tokenizers import Tokenizer
+
+    library, own, texts = Tokenizer.from_file(BYTES), packing.UnitTokenizer(BYTES), odd_texts(3000, 1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_piece_codec_equals_the_library(odd, empty):
+    import sentencepiece
+
+    library, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), piece_codec.PieceCodec(piece_codec.load_pieces(PIECES))
+    for text in [*odd_texts(3000, 2), *[r.text or "" for r in odd.collect()]]:
+        ids = own.encode(text)
+        assert ids.tolist() == library.encode(text) and own.decode(ids) == library.decode(ids.tolist())
+    found = Counter((r.doc_id, tuple(r.ids), r.decoded) for r in piece_codec.encode_documents(odd, PIECES).collect())
+    assert found == Counter((r.doc_id, tuple(library.encode(r.text or "")), library.decode(library.encode(r.text or ""))) for r in odd.collect())
+    assert piece_codec.encode_documents(empty, PIECES).count() == 0
+
+
+@has_data
+def test_pipeline(spark, odd, empty, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        kept = stage(spark, kept, SMALL)
+        assert kept.columns == docs.columns
+    left = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert 0 < len(left) < docs.count()
+    pieces = corpus_pipeline.run(spark, SMALL)
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left
+    for rows in (odd, empty):
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, rows, SMALL).count() <= 10 * rows.count() + 1000
