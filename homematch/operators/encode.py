@@ -30,12 +30,9 @@ def county_flags(county: Column, names: Sequence[str] = tuple(SHIRES)) -> dict[s
     return {f"county_{name}": _flag(county == name) for name in names}
 
 
-def county_names(df: DataFrame, column: str = "county", limit: int = 200) -> list[str]:
+def county_names(df: DataFrame, column: str = "county") -> list[str]:
     """County names that occur, for flags by data instead of the fixed six."""
-    names = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"{column} holds more than {limit} names")
-    return sorted(names)
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def location_flags(latitude: Column, longitude: Column, county: Column) -> dict[str, Column]:

@@ -165,24 +165,25 @@ def average_buyer(users: DataFrame) -> DataFrame:
 def coordinates_for(addresses: DataFrame, address: str, primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """Coordinates of each distinct cleaned address, from the first gazetteer that knows it.
 
-    Gazetteers hold one row per ``address_key`` with latitude and longitude.
-    Addresses known to neither stay, with nulls.
+    Addresses that neither has whole coordinates for stay, with nulls.
     """
     keys = addresses.select(text.address_key(F.col(address)).alias("address_key")).where(F.col("address_key").isNotNull()).distinct()
-    first = primary.select("address_key", F.struct("latitude", "longitude").alias("_first"))
-    second = secondary.select("address_key", F.struct("latitude", "longitude").alias("_second"))
-    found = keys.join(first, "address_key", "left").join(second, "address_key", "left")
-    place = F.coalesce("_first", "_second")
-    return found.select("address_key", place["latitude"].alias("latitude"), place["longitude"].alias("longitude"))
+    found = keys.join(known_places(primary, secondary), "address_key", "left")
+    return found.select("address_key", F.col("_found.latitude").alias("latitude"), F.col("_found.longitude").alias("longitude"))
 
 
 def known_places(primary: DataFrame, secondary: DataFrame) -> DataFrame:
-    """Both gazetteers as one, the first taking precedence: ``address_key`` and ``_found``."""
+    """Whole coordinates of both gazetteers, one place per ``address_key`` as ``_found``.
+
+    The first gazetteer takes precedence wherever it has both coordinates; of
+    several rows of one key the one with the smallest coordinates counts.
+    """
     place = F.struct("latitude", "longitude")
     ranked = primary.select("address_key", F.lit(0).alias("_rank"), place.alias("_found")).unionByName(
         secondary.select("address_key", F.lit(1).alias("_rank"), place.alias("_found")))
     whole = F.col("_found.latitude").isNotNull() & F.col("_found.longitude").isNotNull()
-    return ranked.groupBy("address_key").agg(F.min_by("_found", "_rank").alias("_found")).where(whole)
+    best = ranked.where(whole).groupBy("address_key").agg(F.min(F.struct("_rank", "_found")).alias("_best"))
+    return best.select("address_key", F.col("_best._found").alias("_found"))
 
 
 def fill_coordinates(df: DataFrame, address: str, primary: DataFrame, secondary: DataFrame) -> DataFrame:

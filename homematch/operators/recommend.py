@@ -88,7 +88,7 @@ def under_asked(offers: DataFrame, markets: DataFrame) -> DataFrame:
 
 
 def eligible_counts(profiles: DataFrame, properties: DataFrame) -> DataFrame:
-    """Number of properties that pass the hard preferences of each profile.
+    """Number of properties that pass the hard preferences of each profile; none without a budget.
 
     Offers are counted per market and price before they are copied under the
     asked markets; a bucketed running sum over prices
@@ -97,12 +97,12 @@ def eligible_counts(profiles: DataFrame, properties: DataFrame) -> DataFrame:
     asked = profile_markets(profiles)
     own = in_markets(properties, ["price"]).groupBy(*MARKET, F.col("price").cast("double").alias("budget")).agg(F.count(F.lit(1)).alias("n"))
     counted = under_asked(own, asked.select(*MARKET).distinct()).groupBy(*MARKET, "budget").agg(F.sum("n").alias("n"))
-    budgets = asked.select(*MARKET, "budget").distinct().withColumn("n", F.lit(0).cast("bigint"))
+    budgets = asked.where(F.col("budget").isNotNull()).select(*MARKET, "budget").distinct().withColumn("n", F.lit(0).cast("bigint"))
     points = counted.withColumn("_asked", F.lit(0)).unionByName(budgets.withColumn("_asked", F.lit(1)))
     points = points.withColumn("_bucket", value_bucket(F.col("budget")))
     running = running_sum(points, MARKET, "_bucket", ["budget", "_asked"], "n", "eligible")
     at_budget = running.where(F.col("_asked") == 1).select(*MARKET, "budget", "eligible")
-    return asked.join(at_budget, [*MARKET, "budget"]).select("id", "eligible")
+    return asked.join(at_budget, [*MARKET, "budget"], "left").select("id", F.coalesce("eligible", F.lit(0).cast("bigint")).alias("eligible"))
 
 
 _BEST = "struct<worth: double, id: bigint, price: double>"

@@ -71,14 +71,25 @@ def refresh(df: DataFrame, root: str) -> str:
 def upsert(target: DataFrame, incoming: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Rows of ``target`` with those of ``incoming`` put in by key.
 
-    With ``order`` the last of several incoming rows wins; it is dropped from
-    the result. Repeated keys collapse before the shuffle.
+    The last of several incoming rows wins, by ``order``, which is dropped from
+    the result, or else by the order in which the rows are read. Rows without a
+    key cannot be put in and are left out. Repeated keys collapse before the
+    shuffle.
     """
-    latest = last_by_key(incoming, key, order).drop(order) if order else incoming
+    latest = last_rows(incoming, key, order)
     kept = target.join(latest.select(key), key, "left_anti")
     return kept.unionByName(latest)
 
 
+def last_rows(incoming: DataFrame, key: str, order: str | None) -> DataFrame:
+    """Last row of each present key, by ``order`` or else by the order of reading."""
+    keyed = incoming.where(F.col(key).isNotNull())
+    if order is None:
+        order = "_read"
+        keyed = keyed.withColumn(order, F.monotonically_increasing_id())
+    return last_by_key(keyed, key, order).drop(order)
+
+
 def upsert_listings(target: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
     """Listings put in by their web address.
 
@@ -86,7 +97,7 @@ def upsert_listings(target: DataFrame, incoming: DataFrame, order: str | None =
     coordinates. New ones are numbered after the highest id, in the hash order
     of their address.
     """
-    latest = last_by_key(incoming, "property_url", order).drop(order) if order else incoming
+    latest = last_rows(incoming, "property_url", order)
     held = target.select("property_url", F.struct("id", "latitude", "longitude").alias("_old"))
     joined = latest.drop("id").join(held, "property_url", "left")
     known = joined.where(F.col("_old").isNotNull()).withColumn("id", F.col("_old.id"))

@@ -224,3 +224,23 @@ def test_source_dates(spark):
     df = spark.createDataFrame([("registry", "2023-01-01"), ("scraped", "2023-02-01"), ("registry", "bad")], "source string, old_date string")
     assert [r.Date for r in with_source_date(df, "old_date", dt.date(2023, 5, 1)).collect()] == [dt.date(2023, 1, 1), dt.date(2023, 5, 1), None]
     assert {r.Date for r in with_source_date(df, "absent", dt.date(2023, 5, 1)).collect()} == {dt.date(2023, 5, 1)}
+
+
+def test_upsert_takes_the_last_row_of_a_key(spark):
+    from homematch.sources import stores
+
+    target = spark.createDataFrame([("a", 1), ("c", 9)], "k string, v int")
+    load = spark.createDataFrame([("a", 2), ("a", 3), ("b", 4), ("b", 5), (None, 6)], "k string, v int").coalesce(1)
+    assert sorted(map(tuple, stores.upsert(target, load, "k").collect())) == [("a", 3), ("b", 5), ("c", 9)]
+
+
+def test_second_gazetteer_fills_half_empty_and_repeated_rows(spark):
+    from homematch.functions import text
+
+
+    fields = "address_key string, latitude double, longitude double"
+    key = spark.range(1).select(text.address_key(F.lit("1 High Street")).alias("k")).first()["k"]
+    primary = spark.createDataFrame([(key, None, 0.5), (key, None, None)], fields)
+    secondary = spark.createDataFrame([(key, 51.0, 0.25), (key, 51.0, 0.25)], fields)
+    asked = spark.createDataFrame([("1 High Street",)], "address string")
+    assert [tuple(r)[1:] for r in joins.coordinates_for(asked, "address", primary, secondary).collect()] == [(51.0, 0.25)]
