@@ -256,14 +256,6 @@ def star_pairs(posts: DataFrame) -> DataFrame:
     return met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
-def star_pairs(posts: DataFrame) -> DataFrame:
-    """Each set with the most central set of every list it stands in."""
-    centres = posts.groupBy("token").agg(F.max(F.struct("central", "rep", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    met = posts.join(centres.select("token", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "token")
-    met = met.where((F.col("rep") != F.col("centre")) & sizes_allow(F.col("n"), F.col("centre_n")))
-    return met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-
-
 def crossing_pairs(posts: DataFrame, parts: DataFrame, looked: DataFrame) -> DataFrame:
     """Pairs of sets of different components that share a list and can be similar.
 
