@@ -195,13 +195,12 @@ def short(token: Column) -> Column:
     return F.hash(token)
 
 
-def prefix_postings(sets: DataFrame) -> DataFrame:
-    """(token, rep, n, central, prefix) for the prefix of each set under the order of rarity.
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(rep, n, central, tokens) with the prefix of each set under the order of rarity.
 
     Values that one set alone holds come first in the order and are posted
     nowhere; they only shorten the rest of the prefix. ``central`` says how many
-    others share the set's values, ``prefix`` lists all its tokens in the order,
-    as 32-bit hashes.
+    others share the set's values.
     """
     token = F.call_function("shiftleft", F.col("pos").cast("bigint"), F.lit(32)) + (F.col("value").cast("bigint") + F.lit(1 << 31))
     tokens = sets.select("rep", F.posexplode("signature").alias("pos", "value")).select("rep", token.alias("token"))
@@ -209,14 +208,22 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
     held = tokens.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
     room = F.size("held") - F.lit(MATCHES - 1)
     central = F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["df"])
-    posted = held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room).alias("held")).join(sets.select("rep", "n"), "rep")
-    prefix = F.transform("held", lambda h: short(h["token"]))
-    return posted.select("rep", "n", "central", prefix.alias("prefix"), F.explode("held").alias("h")).select("h.token", "rep", "n", "central", "prefix")
+    posted = held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room)["token"].alias("tokens"))
+    return posted.join(sets.select("rep", "n"), "rep").select("rep", "n", "central", "tokens")
+
+
+def postings(held: DataFrame) -> DataFrame:
+    """(token, rep, n, central) of every prefix."""
+    return held.select(F.explode("tokens").alias("token"), "rep", "n", "central")
 
 
 def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that agree in enough coordinates."""
-    signed = sets.select("rep", "signature")
+    """Pairs (a, b) that agree in enough coordinates.
+
+    The low 15 bits of each value are compared, which halves what is shuffled;
+    a chance agreement, one in 500 pairs, only adds a pair to confirm.
+    """
+    signed = sets.select("rep", F.transform("signature", lambda v: v.bitwiseAND(F.lit(0x7FFF)).cast("smallint")).alias("signature"))
     left = pairs.join(signed.withColumnsRenamed({"rep": "a", "signature": "sa"}), "a")
     both = left.join(signed.withColumnsRenamed({"rep": "b", "signature": "sb"}), "b")
     same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
@@ -256,18 +263,19 @@ def star_pairs(posts: DataFrame) -> DataFrame:
     return met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
 
 
-def crossing_pairs(posts: DataFrame, parts: DataFrame, looked: DataFrame) -> DataFrame:
+def crossing_pairs(held: DataFrame, parts: DataFrame, looked: DataFrame) -> DataFrame:
     """Pairs of sets of different components that share a list and can be similar.
 
     In each list the component with most entries is taken as one side only, so
     its entries are not paired with each other. A pair is met in the first list
-    it shares.
+    it shares. Sizes and parts of sets are attached only to the entries left.
     """
-    named = posts.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
+    named = postings(held).select("token", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
     counts = named.groupBy("token", "part").agg(F.count("*").alias("k"))
     main = counts.groupBy("token").agg(F.max(F.struct("k", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-    active = saved(named.join(main.select("token", F.col("m.part").alias("main")), "token").select("token", "rep", "n", "part", "main", "prefix"), "active")
-    known = active.join(looked.select("rep", "rarest", "last").where(F.size("rarest") > 0), "rep")
+    active = saved(named.join(main.select("token", F.col("m.part").alias("main")), "token").select("token", "rep", "part", "main"), "active")
+    prefix = F.transform("tokens", short).alias("prefix")
+    known = active.join(looked.select("rep", "rarest", "last").where(F.size("rarest") > 0), "rep").join(held.select("rep", "n", prefix), "rep")
     few = known.where("part <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")])
     every = known.select("token", (F.col("part") == F.col("main")).alias("is_main"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")])
     a, b = ({c: F.col(f"{side}_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")} for side in "ab")
@@ -295,14 +303,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "
         linked.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("m"))
         .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.signature").alias("signature")), "sets",
     )
-    posts = saved(prefix_postings(sets), "postings")
+    held = saved(prefixes(sets), "prefixes")
+    posts = postings(held)
     several = posts.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     listed = posts.join(several, "token", "left_semi").select("rep").distinct()
     star = saved(agreeing(star_pairs(posts), sets), "star-pairs")
     counts = rarity(written.where("sketch IS NOT NULL"))
     looked = saved(second_look(texts, width, listed, ends(star), counts), "second-look")
     near = saved(similar(star, looked), "star-links")
-    crossing = saved(agreeing(crossing_pairs(posts, components(near), looked), sets), "crossing-pairs")
+    crossing = saved(agreeing(crossing_pairs(held, components(near), looked), sets), "crossing-pairs")
     full = second_look(texts, width, None, ends(crossing), counts)
     near = near.unionByName(saved(similar(crossing, saved(full, "full-sets")), "crossing-links"))
     parts = saved(components(near), "components")
