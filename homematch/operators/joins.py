@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 
 from homematch.functions import dates, text
 from homematch.operators.ranking import first_by_key, hash_rank
-from homematch.session import saved
-
-BROADCAST_ROWS = 100_000
 
 
 def one_row(df: DataFrame) -> Column:
@@ -30,26 +27,15 @@ def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one_row(row))
 
 
-def join_statistics(
-    df: DataFrame, statistics: DataFrame, keys: Sequence[str],
-    limit: int = BROADCAST_ROWS, salts: int = 32,
-) -> DataFrame:
+def join_statistics(df: DataFrame, statistics: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Attach per-group figures to every row of the group; null keys match null keys.
 
-    The figures are written once and counted. Up to ``limit`` groups they are
-    broadcast, so that a hot group costs nothing. Beyond, they are copied under
-    each salt and every group of rows is spread over the salts.
+    A plain join at every size: adaptive execution broadcasts figures that turn
+    out small in bytes and otherwise splits the rows of a hot group.
     """
     named = statistics.withColumnsRenamed({k: f"_{k}" for k in keys})
-    held = saved(named, "statistics")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    if held.count() <= limit:
-        joined = df.join(F.broadcast(held), same, "left")
-    else:
-        copies = held.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-        joined = spread.join(copies, same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
-    return joined.drop(*[f"_{k}" for k in keys])
+    return df.join(named, same, "left").drop(*[f"_{k}" for k in keys])
 
 
 def left_join_present(df: DataFrame, right: DataFrame, key: str, salts: int = 64) -> DataFrame:

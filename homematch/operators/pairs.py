@@ -51,7 +51,7 @@ def sample_pairs(
     )
     picked = with_row(users, sizes, "_sizes").select(F.col("id").alias("user_id"), pool.alias("pool"), "_sizes")
     size = F.when(F.col("pool") == 0, freehold).when(F.col("pool") == 1, leasehold).otherwise(everything)
-    number = F.conv(F.substring(hash_order(F.col("user_id"), seed), 1, 8), 16, 10).cast("bigint")
+    number = F.conv(F.substring(hash_order(F.col("user_id"), seed), 1, 15), 16, 10).cast("bigint")
     picked = picked.withColumn("_size", size).where(F.col("_size") > 0)
     picked = picked.select(
         "user_id", "pool", "_size", (number % F.col("_size")).alias("_start"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from homematch.operators.filters import numeric_columns, text_columns
+from homematch.operators.filters import numeric_columns
 from homematch.operators.ranking import exact_quantiles, top_per_group, value_counts
 
 
@@ -98,11 +98,14 @@ def _names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe_all(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Full description, one row per column; figures that do not apply are null."""
+    """Full description, one row per column; figures that do not apply are null.
+
+    Whatever is no number, such as dates, booleans and lists, is described by its
+    text: distinct values and the most frequent one.
+    """
     chosen = list(columns or df.columns)
     numeric = [c for c in numeric_columns(df) if c in chosen]
-    texts = [c for c in text_columns(df) if c in chosen]
-    texts = [c for c in texts if dict(df.dtypes)[c] == "string"]
+    texts = [c for c in chosen if c not in numeric]
     result = None
     if numeric:
         points = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
@@ -110,7 +113,7 @@ def describe_all(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         wide = tall.groupBy("column").agg(*[F.max(F.when(F.col("point") == p, F.col("value"))).alias(n) for p, n in points.items()])
         result = numeric_profile(df, numeric).drop("median").join(wide, "column", "left")
     if texts:
-        words = text_profile(df, texts)
+        words = _names(df, texts).join(text_profile(df, texts), "column", "left").na.fill({"present": 0, "distinct_values": 0})
         result = words if result is None else result.unionByName(words, allowMissingColumns=True)
     return result
 

@@ -60,12 +60,13 @@ def hash_order(key: Column, seed: int) -> Column:
 
 def hash_rank(
     df: DataFrame, key: str, by: Sequence[str] = (), seed: int = 0,
-    rank: str = "rank", total: str = "total", digits: int = 3,
+    rank: str = "rank", total: str = "total", digits: int = 5,
 ) -> DataFrame:
     """Rank from 0 of each row in the hash order of a unique key, per group.
 
     The leading hex digits of the hash are the buckets, so they are even
-    whatever the group sizes are. The result does not depend on partitioning.
+    whatever the group sizes are; a group has at most 16 ** ``digits`` of them,
+    which only bounds the totals in front of them. The result does not depend on partitioning.
     """
     tagged = df.withColumn("_order", hash_order(F.col(key), seed))
     tagged = tagged.withColumn("_bucket", F.substring("_order", 1, digits)).withColumn("_one", F.lit(1).cast("bigint"))

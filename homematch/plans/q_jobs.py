@@ -79,7 +79,7 @@ def p3(t):
     return records.select("page_id", "property_url", "title", "address", "price", "size", F.array_join("features", "|").alias("features"))
 
 
-@query("p4_feature_bullets", f"SELECT page_id, CAST(len({_NAV}) AS INTEGER) AS items, array_to_string({_NAV}, '|') AS bullets FROM pages")
+@query("p4_feature_bullets", f"SELECT page_id, CAST(len({_NAV}) AS INTEGER) AS items, {_plain(f"array_to_string({_NAV}, '|')")} AS bullets FROM pages")
 def p4(t):
     html = F.replace(F.col("html"), F.lit("<nav>"), F.lit('<section id="f" class="otm-FeaturesList">'))
     html = F.replace(F.replace(html, F.lit("</nav>"), F.lit("</section>")), F.lit("<li>"), F.lit('<li class="otm-ListItemOtmBullet">'))

@@ -70,27 +70,27 @@ def training_rows(t) -> tuple[DataFrame, DataFrame, DataFrame]:
 @query("n6_classifier")
 def n6(t):
     train, test, _ = training_rows(t)
-    judged = saved(model.scored(model.train_classifier(train, "gbt", rounds=10), test).select("y", "predicted", "probability"), "judged")
+    judged = saved(model.scored(model.train_classifier(train, "gbt"), test).select("y", "predicted", "probability"), "judged")
     return metrics.scores(judged)
 
 
 @query("n7_early_stopping")
 def n7(t):
     train, _, _ = training_rows(t)
-    fitted = model.train_classifier(train, "gbt", rounds=12)
+    fitted = model.train_classifier(train, "gbt")
     return train.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(fitted.getNumTrees).alias("trees"))
 
 
 @query("n8_training_history")
 def n8(t):
     train, test, _ = training_rows(t)
-    return model.training_history(model.train_classifier(train, "gbt", rounds=8), train, test)
+    return model.training_history(model.train_classifier(train, "gbt"), train, test)
 
 
 @query("n9_scored_pairs")
 def n9(t):
     train, test, _ = training_rows(t)
-    return model.scored(model.train_classifier(train, "logistic", rounds=30), test).select("pair_id", "y", rounded("probability").alias("probability"), "predicted")
+    return model.scored(model.train_classifier(train, "logistic"), test).select("pair_id", "y", rounded("probability").alias("probability"), "predicted")
 
 
 def _judged(t) -> DataFrame:
@@ -138,7 +138,7 @@ def n13(t):
 @query("n14_permutation_importance")
 def n14(t):
     train, test, _ = training_rows(t)
-    fitted = model.train_classifier(train, "logistic", rounds=30)
+    fitted = model.train_classifier(train, "logistic")
     return metrics.top_importances(model.permutation_importance(fitted, test, INPUTS))
 
 
@@ -235,7 +235,7 @@ def n18(t):
 def n19(t):
     train, test, scaler = training_rows(t)
     folder = scratch_path(t.spark, "model")
-    model.save_model(model.train_classifier(train, "logistic", rounds=30), scaler, folder)
+    model.save_model(model.train_classifier(train, "logistic"), scaler, folder)
     loaded, _ = model.load_model(t.spark, folder, "logistic")
     return metrics.scores(model.scored(loaded, test))
 
@@ -266,5 +266,5 @@ def n22(t):
 
 @query("t4_train_and_evaluate")
 def t4(t):
-    report = train_and_evaluate(t.props, t.users, scratch_path(t.spark, "training"), rounds=8)
+    report = train_and_evaluate(t.props, t.users, scratch_path(t.spark, "training"))
     return report["scores"].withColumn("auc", F.lit(report["auc"].first()["auc"]))

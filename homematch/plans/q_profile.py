@@ -163,9 +163,9 @@ def _describe_sql(numeric: list[str], texts: list[str], table: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("d12_describe_all", _describe_sql(["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"], "orders"))
+@query("d12_describe_all", _describe_sql(["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority", "o_orderdate"], "(SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders)"))
 def d12(t):
-    found = profile.describe_all(t.orders.drop("o_orderdate"))
+    found = profile.describe_all(t.orders)
     figures = ("mean", "deviation", "q25", "q50", "q75")
     return found.select("column", "present", "minimum", "maximum", *[rounded(c, 3).alias(c) for c in figures], "distinct_values", "top", "top_count")
 

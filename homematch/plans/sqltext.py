@@ -205,7 +205,7 @@ DERIVED: dict[str, tuple[list[str], str]] = {
         wish AS (SELECT id, {preference('tenure_preference')} AS pref FROM users),
         held AS (SELECT w.id, coalesce(p.pool, 2) AS pool, coalesce(p.n, (SELECT n FROM pools WHERE pool = 2)) AS n
                  FROM wish w LEFT JOIN pools p ON p.pool = w.pref),
-        steps AS (SELECT id, pool, (CAST('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) + s.step) % n AS rnk
+        steps AS (SELECT id, pool, (CAST('0x' || substr(md5('42:' || CAST(id AS VARCHAR)), 1, 15) AS BIGINT) + s.step) % n AS rnk
                   FROM held, (SELECT unnest(range(10)) AS step) s WHERE s.step < n)
         SELECT s.id AS user_id, r.property_id FROM steps s JOIN ranked_pool r ON r.pool = s.pool AND r.rnk = s.rnk"""),
 }

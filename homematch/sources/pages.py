@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -59,10 +59,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class _Node:
     """Element with its texts and child elements in page order."""
 
-    __slots__ = ("tag", "classes", "items")
+    __slots__ = ("tag", "classes", "href", "title", "items")
 
-    def __init__(self, tag: str, classes: str):
-        self.tag, self.classes, self.items = tag, classes, []
+    def __init__(self, tag: str, attributes: dict[str, str | None]):
+        self.tag, self.classes, self.items = tag, attributes.get("class") or "", []
+        self.href, self.title = attributes.get("href"), attributes.get("title")
 
     def walk(self) -> Iterator["_Node | str"]:
         """Everything under this element in page order, without recursion."""
@@ -92,17 +93,17 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("", "")
+        self.root = _Node("", {})
         self.open = [self.root]
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs).get("class") or "")
+        node = _Node(tag, dict(attrs))
         self.open[-1].items.append(node)
         if tag not in VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].items.append(_Node(tag, dict(attrs).get("class") or ""))
+        self.open[-1].items.append(_Node(tag, dict(attrs)))
 
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, 0, -1):
@@ -115,12 +116,17 @@ class _Page(HTMLParser):
             self.open[-1].items.append(data)
 
 
-def listing_record(html: str, selectors: dict[str, tuple[str, str | None]]) -> dict[str, object]:
-    """Fields of one listing page."""
+def parsed(html: str) -> _Node:
+    """Root element of a page."""
     page = _Page()
     page.feed(html)
     page.close()
-    root = page.root
+    return page.root
+
+
+def listing_record(html: str, selectors: dict[str, tuple[str, str | None]]) -> dict[str, object]:
+    """Fields of one listing page."""
+    root = parsed(html)
 
     def text_of(name: str, block: _Node | None) -> str:
         found = block.find(selectors[name]) if block is not None else None
@@ -175,9 +181,27 @@ def failed_records(records: DataFrame) -> DataFrame:
     return records.where(F.col("error").isNotNull()).select("page_id", "property_url", "error")
 
 
+def _from_pages(html: Column, kind: str, pick: Callable[[_Node], object]) -> Column:
+    """What ``pick`` takes from each parsed page; null for a null or unreadable page."""
+
+    def take(page: str | None) -> object:
+        if page is None:
+            return None
+        try:
+            return pick(parsed(page))
+        except Exception:  # a bad page must not stop the others
+            return None
+
+    @F.pandas_udf(kind)
+    def run(htmls: pd.Series) -> pd.Series:
+        return pd.Series([take(h) for h in htmls], dtype=object)
+
+    return run(html)
+
+
 def anchors(html: Column) -> Column:
     """Targets of all links on a page."""
-    return F.regexp_extract_all(html, F.lit(r'(?is)<a\s(?:[^>]*\s)?href="([^"]*)"'), F.lit(1))
+    return _from_pages(html, "array<string>", lambda root: [a.href for a in root.find_all(("a", None)) if a.href is not None])
 
 
 def listing_links(pages: DataFrame, base: str, prefix: str = "/details/") -> DataFrame:
@@ -189,13 +213,15 @@ def listing_links(pages: DataFrame, base: str, prefix: str = "/details/") -> Dat
 
 def next_page(html: Column, base: str, title: str = "Next page") -> Column:
     """Absolute address of the following search page, null on the last one."""
-    tag = F.regexp_extract(html, rf'(?is)<a\s[^>]*title="{title}"[^>]*>', 0)
-    link = F.regexp_extract(tag, r'(?is)href="([^"]*)"', 1)
+    link = _from_pages(html, "string", lambda root: next((a.href for a in root.find_all(("a", None)) if a.title == title), None))
     return F.when(link != "", F.concat(F.lit(base), link))
 
 
 def feature_bullets(html: Column, section: str = "otm-FeaturesList", item: str = "otm-ListItemOtmBullet") -> Column:
-    """Texts of the feature bullets of a listing page."""
-    block = F.regexp_extract(html, rf'(?is)<section\s[^>]*class="{section}"[^>]*>(.*?)</section>', 1)
-    bullets = F.regexp_extract_all(block, F.lit(rf'(?is)<li\s[^>]*class="{item}"[^>]*>(.*?)</li>'), F.lit(1))
-    return F.transform(bullets, lambda b: F.trim(F.regexp_replace(b, r"(?s)<[^>]*>", "")))
+    """Texts of the feature bullets of a listing page; none without the section."""
+
+    def bullets(root: _Node) -> list[str]:
+        block = root.find(("section", section))
+        return [node.text() for node in block.find_all(("li", item))] if block is not None else []
+
+    return _from_pages(html, "array<string>", bullets)

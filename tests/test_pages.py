@@ -32,5 +32,11 @@ def test_links(spark):
     df = spark.createDataFrame([(1, html), (2, "<p></p>")], "page_id long, html string")
     assert sorted(r[0] for r in pages.listing_links(df, "https://h.example").collect()) == ["https://h.example/details/1/", "https://h.example/details/2/"]
     assert [r[0] for r in df.orderBy("page_id").select(pages.next_page(F.col("html"), "https://h.example")).collect()] == ["https://h.example/p?page=2", None]
+    odd = "<a class=x href='/details/3/?a=1&amp;b=2'>a</a><a href=/details/4/>b</a><a>c</a><a href='/p?page=3&amp;s=1' title='Next page'>n</a>"
+    odd += '<section id="s" class="wide otm-FeaturesList"><li class="first otm-ListItemOtmBullet">Gas &amp; water</li></section>'
+    df = spark.createDataFrame([(1, odd), (2, None), (3, "")], "page_id long, html string")
+    assert sorted(r[0] for r in pages.listing_links(df, "https://h.example").collect()) == ["https://h.example/details/3/?a=1&b=2", "https://h.example/details/4/"]
+    assert [r[0] for r in df.orderBy("page_id").select(pages.next_page(F.col("html"), "https://h.example")).collect()] == ["https://h.example/p?page=3&s=1", None, None]
+    assert [r[0] for r in df.orderBy("page_id").select(pages.feature_bullets(F.col("html"))).collect()] == [["Gas & water"], None, []]
     bullets = spark.createDataFrame([(FULL,)], "html string").select(pages.feature_bullets(F.col("html"))).first()[0]
     assert bullets == ["Tenure: Leasehold", "Parking"]
