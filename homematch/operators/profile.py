@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homematch.operators.filters import numeric_columns
+from homematch.operators.joins import with_row
 from homematch.operators.ranking import exact_quantiles, top_per_group, value_counts
 
 
@@ -118,6 +119,12 @@ def describe_all(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return result
 
 
+def inspect(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
+    """Description and missing values of each column, numbers and others, with the label's positives and their share on each row."""
+    figures = describe_all(df, columns).join(null_counts(df, columns), "column")
+    return with_row(figures, df.agg(F.sum(label).alias("positives"), F.avg(label).alias("ratio")), "_label").select(*figures.columns, "_label.*")
+
+
 def unique_values(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
     """First ``n`` distinct values of each column in value order, with their total number."""
     counts = value_counts(df, columns)

@@ -14,6 +14,7 @@ from homematch.lookups import CLEANSE_TARGETS
 from homematch.operators import encode, impute, joins, metrics, model, pairs, profile
 from homematch.operators.filters import require_rows, shires_in_year
 from homematch.operators.unions import stacked
+from homematch.session import saved
 from homematch.sources import files, stores
 
 
@@ -106,8 +107,11 @@ def _registry_text():
 
 
 def post_process(merged: DataFrame, users: DataFrame, as_of: dt.date) -> DataFrame:
-    """Processed features of the merged table: fill, engineer, affordability, encode, scale, project."""
-    filled = impute.handle_missing(merged)
+    """Processed features of the merged table: fill, engineer, affordability, encode, scale, project.
+
+    The filled table is written once, since means, scaler and result each read it.
+    """
+    filled = saved(impute.handle_missing(merged), "filled")
     built = encode.affordability(encode.engineer(filled, as_of), users)
     return encode.processed_columns(encode.scale_calendar(encode.encode(built)))
 
@@ -123,8 +127,8 @@ def train_and_evaluate(
 ) -> dict[str, DataFrame | Model]:
     """Pairs, training, evaluation, importances, mistakes; model and scaler are saved.
 
-    The split pairs are written below ``folder`` once; training and every
-    report read them from there.
+    The split pairs are written below ``folder`` once, and so are the scored test
+    rows; training and every report read them from there.
     """
     require_rows(properties=properties, users=users)
     spark = properties.sparkSession
@@ -137,14 +141,15 @@ def train_and_evaluate(
     fitted = model.train_classifier(train, kind, rounds=rounds)
     model.save_model(fitted, scaler, folder)
     inputs = [f"z_{c}" for c in schemas.MODEL_FEATURES]
-    judged = model.scored(fitted, test)
+    model.scored(fitted, test).select("pair_id", "y", "predicted", "probability", *inputs).write.mode("overwrite").parquet(f"{folder}/judged")
+    judged = spark.read.parquet(f"{folder}/judged")
     return {
         "model": fitted,
         "scores": metrics.scores(judged),
         "confusion": metrics.confusion_matrix(judged),
         "report": metrics.classification_report(judged),
         "auc": metrics.roc_auc(judged),
-        "history": model.training_history(fitted, train, test),
+        "history": model.training_history(fitted, train),
         "importances": metrics.top_importances(model.permutation_importance(fitted, test, inputs)),
         "mistakes": metrics.misclassification_report(judged, "pair_id", inputs),
     }

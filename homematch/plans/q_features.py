@@ -11,6 +11,7 @@ from homematch.lookups import PROPERTY_CLASSES, SHIRES, type_column
 from homematch.operators import encode, impute
 from homematch.plans import sqltext as S
 from homematch.plans.catalog import day, query, rounded, whole
+from homematch.plans.q_profile import PAIR_FEATURES
 from homematch.plans.views import AS_OF
 
 TODAY = dt.date.fromisoformat(AS_OF)
@@ -182,7 +183,16 @@ def l8(t):
     return built.select("id", *[(whole(c) if c in counted else F.col(c).cast("int")).alias(c) for c in _ENGINEERED], "listing_recency", rounded("price_relative_to_county_avg").alias("price_relative_to_county_avg"))
 
 
-@query("l9_feature_vector")
+_OF_PAIR = {
+    **{c: c for c in ("price", "size_sq_ft", "latitude", "bedrooms", "tenure", "log_price", "log_size", "income", "max_commute_time", "family_size")},
+    "price_to_income_ratio": "pir", "price_to_savings_ratio": "psr", "affordability_score": "aff", "savings": "savings", "tenure_preference": "pref",
+}
+_VECTOR = ", ".join(f"CAST(r.{_OF_PAIR[c]} AS DOUBLE)" if c in _OF_PAIR else f"CAST(h.{c} AS DOUBLE)" for c in schemas.MODEL_FEATURES)
+
+
+@query("l9_feature_vector", f"""
+    WITH {PAIR_FEATURES}, vectors AS (SELECT r.user_id, r.property_id, [{_VECTOR}] AS features FROM ready r JOIN props h ON h.id = r.property_id)
+    SELECT user_id, property_id, unnest(range(len(features))) AS place, round(unnest(features), 6) AS value FROM vectors""", "pairs props users")
 def l9(t):
     from pyspark.ml.functions import vector_to_array
 
@@ -190,4 +200,5 @@ def l9(t):
     from homematch.operators.pairs import labelled_pairs
 
     vectors = assembled(labelled_pairs(t.props, t.users), schemas.MODEL_FEATURES)
-    return vectors.select("user_id", "property_id", vector_to_array("features").alias("features"))
+    values = vectors.select("user_id", "property_id", F.posexplode(vector_to_array("features")).alias("place", "value"))
+    return values.select("user_id", "property_id", whole("place").alias("place"), rounded("value").alias("value"))

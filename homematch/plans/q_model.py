@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from homematch import schemas
 from homematch.operators import metrics, model, pairs, profile, recommend
+from homematch.operators.joins import one_row
+from homematch.operators.ranking import exact_quantiles
 from homematch.plans import sqltext as S
 from homematch.plans.catalog import query, rounded, whole
 from homematch.plans.jobs import merged_price, train_and_evaluate
@@ -67,30 +69,47 @@ def training_rows(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     return ready.where("is_test = 0"), ready.where("is_test = 1"), scaler
 
 
-@query("n6_classifier")
+_TEST = f"WITH {PAIR_FEATURES}, {_SPLIT.format(key='pair_id', table='ready')}, test AS (SELECT * FROM split WHERE is_test = 1)"
+#: Least F1 and area under the curve on test rows, and least accuracy on the rows of the training history.
+GOOD = 0.97
+
+
+@query("n6_classifier", f"{_TEST} SELECT count(*) AS test_rows, CAST(sum(y) AS BIGINT) AS positives, TRUE AS good_f1 FROM test", "pairs props users")
 def n6(t):
     train, test, _ = training_rows(t)
     judged = saved(model.scored(model.train_classifier(train, "gbt"), test).select("y", "predicted", "probability"), "judged")
-    return metrics.scores(judged)
+    good = one_row(metrics.scores(judged))
+    return judged.agg(F.count(F.lit(1)).alias("test_rows"), F.sum("y").alias("positives")).select("test_rows", "positives", (good["f1"] > GOOD).alias("good_f1"))
 
 
-@query("n7_early_stopping")
+@query("n7_early_stopping", f"{_TEST} SELECT count(*) AS train_rows, TRUE AS stopped_early FROM split WHERE is_test = 0", "pairs props users")
 def n7(t):
+    """On labels that say nothing about the inputs, training must stop before its last round."""
     train, _, _ = training_rows(t)
-    fitted = model.train_classifier(train, "gbt")
-    return train.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit(fitted.getNumTrees).alias("trees"))
+    noise = train.withColumn("y", F.pmod(F.xxhash64("pair_id"), F.lit(2)).cast("int"))
+    fitted = model.train_classifier(noise, "gbt", rounds=40)
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).select("train_rows", F.lit(fitted.getNumTrees < 40).alias("stopped_early"))
 
 
-@query("n8_training_history")
+@query("n8_training_history", f"{_TEST} SELECT part, TRUE AS loss_falls, TRUE AS accuracy_rises, TRUE AS good_accuracy FROM (SELECT unnest(['train', 'validation']) AS part)", "pairs props users")
 def n8(t):
-    train, test, _ = training_rows(t)
-    return model.training_history(model.train_classifier(train, "gbt"), train, test)
+    """First against last round, on training rows and on the validation tenth."""
+    train, _, _ = training_rows(t)
+    history = model.training_history(model.train_classifier(train, "gbt"), train)
+    tall = history.select("round", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("part"), F.col(f"{p}_loss").alias("loss"), F.col(f"{p}_accuracy").alias("accuracy")) for p in ("train", "validation")])).alias("e"))
+    ends = tall.select("round", "e.*").groupBy("part").agg(*[
+        f(c, "round").alias(f"{n}_{c}") for n, f in (("first", F.min_by), ("last", F.max_by)) for c in ("loss", "accuracy")])
+    return ends.select("part", (F.col("last_loss") < F.col("first_loss")).alias("loss_falls"),
+                       (F.col("last_accuracy") >= F.col("first_accuracy")).alias("accuracy_rises"), (F.col("last_accuracy") > GOOD).alias("good_accuracy"))
 
 
-@query("n9_scored_pairs")
+@query("n9_scored_pairs", f"{_TEST} SELECT pair_id, y, TRUE AS is_probability, TRUE AS follows_threshold FROM test", "pairs props users")
 def n9(t):
     train, test, _ = training_rows(t)
-    return model.scored(model.train_classifier(train, "logistic"), test).select("pair_id", "y", rounded("probability").alias("probability"), "predicted")
+    judged = model.scored(model.train_classifier(train, "logistic"), test)
+    return judged.select("pair_id", "y", F.col("probability").between(0, 1).alias("is_probability"),
+                         (F.col("predicted") == (F.col("probability") > 0.5).cast("int")).alias("follows_threshold"))
 
 
 def _judged(t) -> DataFrame:
@@ -172,7 +191,7 @@ def n15_model(t):
     split, scaler = pairs.scaled_split(saved(stored, "stored"))
     ready = model.assembled(saved(split.select("pair_id", "y", "is_test", *INPUTS), "split"))
     fitted = model.train_classifier(ready.where("is_test = 0"), "logistic")
-    median = {"size_sq_ft": 600.0, "bedrooms": 2.0, "latitude": 51.9}
+    median = {r["column"]: r["value"] for r in exact_quantiles(t.props, ["size_sq_ft", "bedrooms", "latitude"], [0.5]).collect()}
     complete = t.props.drop("property_score").na.fill(median).withColumns({"log_price": F.log1p("price"), "log_size": F.log1p("size_sq_ft")})
     from homematch.functions.text import preference_code
 
@@ -214,36 +233,45 @@ def n17(t):
                          "feature", rounded("value").alias("value"), "total", "misclassified", rounded("rate").alias("rate"))
 
 
-_INSPECTED = ["price", "size_sq_ft", "log_price", "income", "savings"]
+_INSPECTED = {
+    **{c: c for c in ("price", "size_sq_ft", "bedrooms", "latitude", "tenure", "log_price", "log_size", "income", "savings", "max_commute_time", "family_size")},
+    "price_to_income_ratio": "pir", "price_to_savings_ratio": "psr", "affordability_score": "aff", "tenure_preference": "pref",
+}
 
 
 @query("n18_inspection", f"WITH {PAIR_FEATURES} " + " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS missing, round(min({c}), 4) AS minimum, round(max({c}), 4) AS maximum, "
-    f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS deviation, CAST(sum(y) AS BIGINT) AS positives, round(avg(y), 6) AS ratio FROM ready" for c in _INSPECTED),
+    f"SELECT '{n}' AS \"column\", count(*) FILTER ({c} IS NULL) AS missing, round(CAST(min({c}) AS DOUBLE), 4) AS minimum, round(CAST(max({c}) AS DOUBLE), 4) AS maximum, "
+    f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS deviation, CAST(NULL AS BIGINT) AS distinct_values, CAST(NULL AS VARCHAR) AS top, "
+    f"CAST(sum(y) AS BIGINT) AS positives, round(avg(y), 6) AS ratio FROM ready" for n, c in _INSPECTED.items())
+    + " UNION ALL SELECT 'pair_id', 0, NULL, NULL, NULL, NULL, count(DISTINCT pair_id), min(pair_id), CAST(sum(y) AS BIGINT), round(avg(y), 6) FROM ready",
        "pairs props users")
 def n18(t):
-    ready = saved(pairs.labelled_pairs(t.props, t.users).select("y", *_INSPECTED), "inspected")
-    figures = profile.numeric_profile(ready, _INSPECTED).join(profile.null_counts(ready, _INSPECTED), "column")
-    from homematch.operators.joins import one_row
+    columns = [*_INSPECTED, "pair_id"]
+    found = profile.inspect(saved(pairs.labelled_pairs(t.props, t.users).select("y", *columns), "inspected"), "y", columns)
+    return found.select("column", "missing", *[rounded(c, 4).alias(c) for c in ("minimum", "maximum", "mean", "deviation")],
+                        "distinct_values", "top", "positives", rounded("ratio").alias("ratio"))
 
-    target = one_row(ready.agg(F.sum("y").alias("positives"), F.avg("y").alias("ratio")))
-    return figures.select("column", "missing", *[rounded(c, 4).alias(c) for c in ("minimum", "maximum", "mean", "deviation")],
-                          target["positives"].alias("positives"), rounded(target["ratio"]).alias("ratio"))
 
-
-@query("n19_saved_model")
+@query("n19_saved_model", f"{_TEST} SELECT count(*) AS test_rows, TRUE AS same FROM test", "pairs props users")
 def n19(t):
     train, test, scaler = training_rows(t)
     folder = scratch_path(t.spark, "model")
-    model.save_model(model.train_classifier(train, "logistic"), scaler, folder)
+    fitted = model.train_classifier(train, "logistic")
+    model.save_model(fitted, scaler, folder)
     loaded, _ = model.load_model(t.spark, folder, "logistic")
-    return metrics.scores(model.scored(loaded, test))
+    before, after = (model.scored(m, test).select("pair_id", F.col("probability").alias(n)) for m, n in ((fitted, "before"), (loaded, "after")))
+    return before.join(after, "pair_id").agg(F.count(F.lit(1)).alias("test_rows"), F.bool_and(F.col("before") == F.col("after")).alias("same"))
+
+
+_HELD = [*schemas.TYPE_FLAGS, "latitude", "longitude", "size_sq_ft", "bedrooms"]
 
 
-@query("n20_price_regression")
+@query("n20_price_regression", f"""
+    WITH complete AS (SELECT *, 1 AS y FROM props WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*_HELD, 'price'])}), {_SPLIT.format(key='id', table='complete')}
+    SELECT id, price, TRUE AS estimated FROM split WHERE is_test = 1""", "props")
 def n20(t):
-    features = [*schemas.TYPE_FLAGS, "latitude", "longitude", "size_sq_ft", "bedrooms"]
-    return model.price_regression(t.props, features).select("id", "price", rounded("estimate", 2).alias("estimate"))
+    estimated = F.col("estimate").isNotNull() & ~F.isnan("estimate")
+    return model.price_regression(t.props, _HELD).select("id", "price", estimated.alias("estimated"))
 
 
 @query("n21_regression_errors", """
@@ -264,7 +292,8 @@ def n22(t):
     return joined.select("id", merged_price(F.col("listed"), F.col("recorded")).alias("price"))
 
 
-@query("t4_train_and_evaluate")
+@query("t4_train_and_evaluate", f"{_TEST} SELECT count(*) AS test_rows, TRUE AS good_f1, TRUE AS good_auc FROM test", "pairs props users")
 def t4(t):
     report = train_and_evaluate(t.props, t.users, scratch_path(t.spark, "training"))
-    return report["scores"].withColumn("auc", F.lit(report["auc"].first()["auc"]))
+    auc, rows = one_row(report["auc"]), one_row(report["confusion"].agg(F.sum(F.col("predicted_0") + F.col("predicted_1")).alias("n")))
+    return report["scores"].select(rows["n"].alias("test_rows"), (F.col("f1") > GOOD).alias("good_f1"), (auc["auc"] > GOOD).alias("good_auc"))

@@ -246,9 +246,8 @@ def a16(t):
     SELECT 'listing' AS source, count(*) FILTER (latitude IS NULL OR longitude IS NULL) = 0 AS complete FROM listing
     UNION ALL SELECT 'gazetteer', count(*) FILTER (latitude IS NULL OR longitude IS NULL) = 0 FROM gazetteer_a""", "listing gazetteer_a")
 def a17(t):
-    lacking = F.count_if(F.col("latitude").isNull() | F.col("longitude").isNull()) == 0
-    parts = [d.agg(lacking.alias("complete")).select(F.lit(n).alias("source"), "complete") for n, d in (("listing", t.listing), ("gazetteer", t.gazetteer_a))]
-    return parts[0].unionByName(parts[1])
+    found = [(n, stores.coordinates_complete(d)) for n, d in (("listing", t.listing), ("gazetteer", t.gazetteer_a))]
+    return t.spark.createDataFrame(found, "source string, complete boolean")
 
 
 @query("b1_shires_in_year", """
