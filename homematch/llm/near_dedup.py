@@ -18,7 +18,7 @@ sets bounds what two of them can share, and pairs below the threshold are
 skipped inside the join.
 
 Two sets with similarity 0.8 agree in 51 of 64 coordinates on average and in
-fewer than 36 with a probability of about 5e-6.
+fewer than 32 with a probability of about 2e-8.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from homematch.llm.components import components
 from homematch.llm.sharding import mixed
 from homematch.session import saved
 
-COORDINATES, MATCHES = 64, 36
+COORDINATES, MATCHES = 64, 32
 #: Similarity of linked documents in per cent.
 PERCENT = 80
 #: Counters of the rarity sketch over full sets; their number changes what is skipped, never what is found.

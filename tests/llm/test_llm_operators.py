@@ -59,6 +59,15 @@ def test_near_duplicates_against_all_pairs(spark, width):
     assert {x.doc_id: x.component_id for x in found} == brute_components(rows, width)
 
 
+def test_near_duplicates_that_agree_in_half_of_the_coordinates(spark):
+    seed, texts = 131897, ("a b c d", "a b c d e")
+    factors, shifts = near_dedup.coefficients(near_dedup.COORDINATES, seed)
+    first, second = (near_dedup.signature(near_dedup.shingle_set(t, 1), factors, shifts) for t in texts)
+    assert (first == second).sum() == 34
+    found = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 1, seed).collect()
+    assert {r.doc_id: r.component_id for r in found} == {0: 0, 1: 0}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
