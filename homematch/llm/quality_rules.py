@@ -1,7 +1,7 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
-Lines are normalised and hashed, and the documents of a host that hold a line
-are counted, equal texts once. Lines that more documents share than a limit
+Lines are normalised and hashed, and the distinct documents of a host that hold
+a line are counted, copies included. Lines that more documents share than a limit
 allows are taken out; a document that is depleted by that, or that fails a base
 rule of its own, is rejected.
 """
@@ -18,7 +18,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 FEWEST_WORDS = 10
 MOST_REPEAT_PERCENT = 20
-#: A line goes if more different texts of one host hold it.
+#: A line goes if more documents of one host hold it.
 LINE_LIMIT = 50
 #: A document goes if less of its word characters than this percentage is left.
 LEAST_LEFT_PERCENT = 30
@@ -88,6 +88,20 @@ def measured(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
     ).select("doc_id", "host", "text_hash", "word_chars", "n_symbols", "_words.*", "_lines.*")
 
 
+def common_lines(held: DataFrame, ids: DataFrame, line_limit: int) -> DataFrame:
+    """(host, line) of lines that more distinct documents of a host hold than the limit.
+
+    ``held`` has the lines of each text with the text's documents ``n``; an id
+    whose different texts hold the same line counts once. Without an id each
+    different text is one document.
+    """
+    several = ids.groupBy("host", "doc_id").agg(F.count("*").alias("k")).where("k > 1").select("host", "doc_id")
+    again = held.join(ids.join(several, ["host", "doc_id"]), ["host", "text_hash"]).groupBy("host", "line", "doc_id").agg((F.count("*") - 1).alias("k"))
+    twice = again.where("k > 0").groupBy("host", "line").agg(F.sum("k").alias("twice"))
+    many = held.groupBy("host", "line").agg(F.sum("n").alias("n")).where(F.col("n") > line_limit)
+    return many.join(twice, ["host", "line"], "left").where(F.col("n") - F.coalesce("twice", F.lit(0)) > line_limit).select("host", "line")
+
+
 def judge_documents(
     docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: int = LEAST_LEFT_PERCENT, with_text: bool = False,
     key: str = "doc_id", text: str = "text", host: str = "source",
@@ -100,10 +114,11 @@ def judge_documents(
     """
     rows = saved(measured(docs, key, text, host), "lines")
     texts = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"))
-    held = texts.select("host", "text_hash", F.inline("lines")).groupBy("host", "line", "text_hash").agg(F.sum("chars").alias("chars"))
+    ids = rows.select("host", "text_hash", "doc_id").distinct()
+    texts = texts.join(ids.groupBy("host", "text_hash").agg(F.count("*").alias("n")), ["host", "text_hash"])
+    held = texts.select("host", "text_hash", "n", F.inline("lines")).groupBy("host", "line", "text_hash").agg(F.sum("chars").alias("chars"), F.max("n").alias("n"))
     held = saved(held, "line-texts")
-    common = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > line_limit).select("host", "line")
-    found = held.join(common, ["host", "line"])
+    found = held.join(common_lines(held, ids, line_limit), ["host", "line"])
     taken = found.groupBy("host", "text_hash").agg(F.sum("chars").alias("gone_chars"), *([F.collect_set("line").alias("gone")] if with_text else []))
     left = F.col("word_chars") - F.coalesce("gone_chars", F.lit(0))
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words"))

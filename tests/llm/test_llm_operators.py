@@ -183,6 +183,18 @@ def test_frequent_lines_go(spark):
     assert not found[20].kept and found[20].clean_text == "" and found[21].kept
 
 
+def test_line_counts_take_copies_as_documents(spark):
+    line = "A page made of one template that every copy of it repeats"
+    own = [" ".join(chr(97 + i) + chr(97 + k) for k in range(12)) for i in range(6)]
+    rows = [(i, line, "copies") for i in range(6)] + [(i, line, "few") for i in range(10, 15)] + [(10, line, "few")]
+    rows += [(20, f"{line}\n{o}", "one id") for o in own]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    found = quality_rules.judge_documents(docs, line_limit=5).collect()
+    assert len(found) == len(rows)
+    assert all((r.kept, r.left_chars) == (False, 0) for r in found if r.doc_id < 6)
+    assert all(r.kept and r.left_chars == r.word_chars for r in found if r.doc_id >= 10)
+
+
 def test_fingerprints(odd, empty):
     found = fingerprint.fingerprint_documents(odd, rows_per_range=2).collect()
     assert len(found) == odd.count()
