@@ -61,7 +61,8 @@ def run_standardise(
     """Load the stored tables in one of three modes and return the load summary or coverage.
 
     ``full`` upserts a registry file and listing files and rebuilds the merged
-    table. ``update-geocoding`` fills coordinates of the stored tables only.
+    table; gazetteers, where given, fill the coordinates of all stored listings
+    by address and of the merged rows left by postal code. ``update-geocoding`` fills coordinates of the stored tables only.
     ``load-geocoded`` upserts pre-geocoded merged and listing files by id.
     """
     def current(name: str, schema) -> DataFrame:
@@ -94,8 +95,10 @@ def run_standardise(
     incoming = stores.valid_rows(raw_listings)
     if gazetteers:
         incoming = joins.fill_coordinates(incoming, "address", *gazetteers)
-    listings = save("listing", stores.upsert_listings(current("listing", schemas.LISTING), incoming))
-    save("merged", joins.with_merged_ids(joins.merged_rows(history, listings, as_of)))
+    known = stores.upsert_listings(current("listing", schemas.LISTING), incoming)
+    listings = save("listing", joins.fill_coordinates(known, "address", *gazetteers) if gazetteers else known)
+    merged = joins.with_merged_ids(joins.merged_rows(history, listings, as_of))
+    save("merged", joins.fill_coordinates(merged, "postal_code", *gazetteers) if gazetteers else merged)
     summaries = [stores.load_summary(d).withColumn("source", F.lit(n)) for n, d in (("historical", raw_history), ("listing", raw_listings))]
     return stacked(*summaries)
 

@@ -106,7 +106,7 @@ def t1(t):
     SELECT historical_id, price, property_type, tenure, data_source, county, bedrooms, size FROM merged_loaded""", "merged_loaded")
 def t2(t):
     store = scratch_path(t.spark, "store")
-    jobs.run_standardise(t.spark, store, TODAY, "full", registry_file(t, header=True), [listing_files(t) + "/*"], json_lines=True)
+    jobs.run_standardise(t.spark, store, TODAY, "full", registry_file(t, header=True), [listing_files(t) + "/*"], gazetteers=gazetteers(t), json_lines=True)
     merged = stores.read_generation(t.spark, f"{store}/merged")
     return merged.select("historical_id", "price", "property_type", "tenure", "data_source", "county", "bedrooms", "size")
 

@@ -77,6 +77,24 @@ def test_reload_keeps_ids_and_coordinates(spark, tmp_path):
         jobs.run_standardise(spark, store, today, "other")
 
 
+def test_full_run_fills_stored_listings_and_merged_rows(spark, tmp_path):
+    source = tmp_path / "property_data_oxfordshire_900000.json"
+    registry = tmp_path / "registry.csv"
+    registry.write_text("\n".join([",".join(f'"{c}"' for c in REGISTRY_COLUMNS), *registry_lines()]))
+    store, today = str(tmp_path / "store"), dt.date(2024, 1, 31)
+    places = (gazetteer(spark, [("1 Road, UK", 51.5, -0.1)]), gazetteer(spark, [("HP1AA, UK", 51.8, -0.8)]))  # the key of HP1 1AA
+    source.write_text(json.dumps([listing(1, "£100")]))
+    jobs.run_standardise(spark, store, today, "full", str(registry), [str(source)])
+    source.write_text(json.dumps([listing(2, "£300", "2 Road")]))
+    jobs.run_standardise(spark, store, today, "full", str(registry), [str(source)], gazetteers=places)
+    listings = stores.read_generation(spark, f"{store}/listing").collect()
+    assert {(r.address, r.latitude, r.longitude) for r in listings} == {("1 Road", 51.5, -0.1), ("2 Road", None, None)}
+    merged = stores.read_generation(spark, f"{store}/merged").collect()
+    recorded = [(r.latitude, r.longitude) for r in merged if r.data_source == "historical"]
+    assert recorded == [(51.8, -0.8)] * 4
+    assert {(r.latitude, r.longitude) for r in merged if r.data_source != "historical"} == {(51.5, -0.1), (None, None)}
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
 def test_classifier_learns_the_label(spark):
     from homematch.plans.q_model import training_rows
