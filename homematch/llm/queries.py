@@ -8,8 +8,10 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from homematch.llm import fingerprint, language_id, license_scan, near_dedup, packing, piece_codec, quality_net, quality_rules, sharding, url_filter
-from homematch.llm.common import table
+from homematch.llm import (
+    alignment, fingerprint, language_id, license_scan, merkle, near_dedup, packing, piece_codec, quality_net, quality_rules, sharding, simhash, url_filter,
+)
+from homematch.llm.common import id_remainder, table
 
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -221,6 +223,83 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the check of a copy in which some counts were changed."""
+    chars = F.col("n_chars").cast("decimal(38,0)")
+    changed = F.when(F.col("doc_id").isNotNull() & (id_remainder("doc_id", 7) == 0), chars + 1).otherwise(chars)
+    held = merkle.dataset_manifest(table(spark, folder, "documents"), MANIFEST_FIELDS, {"n_chars": changed})
+    shown = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root", "folded_root")]
+    return held.select("doc_id", *shown, merkle.siblings_digest(F.col("path")).alias("proof_sha256"), "verified")
+
+
+def sql_climb(name: str, start: str) -> str:
+    """Recursive SQL table that climbs two by two from leaves (r, grp, pos, n, node, now, sibs)."""
+    return f"""{name}(r, grp, pos, n, node, now, sibs) AS (
+    {start}
+    UNION ALL
+    SELECT r, grp, pos // 2, (n + 1) // 2, sha256(c0 || c1), sha256(CASE WHEN pos % 2 = 0 THEN now || c1 ELSE c0 || now END),
+           sibs || CASE WHEN pos % 2 = 0 THEN c1 ELSE c0 END
+    FROM (
+        SELECT *, max(CASE WHEN pos % 2 = 0 THEN node END) OVER run AS c0, coalesce(max(CASE WHEN pos % 2 = 1 THEN node END) OVER run, '') AS c1
+        FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY grp, pos // 2)
+    )
+)"""
+
+
+def sql_field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def sql_leaf(chars: str) -> str:
+    return "sha256(" + " || ".join(map(sql_field, ["doc_id", "source", "lang", chars, "text"])) + ")"
+
+
+CHECKS["op11_merkle_manifest"] = f"""
+WITH RECURSIVE bits(i, v, k) AS (
+    SELECT i, i::UBIGINT, 0 FROM range(256) t(i)
+    UNION ALL
+    SELECT i, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc(i, v) AS (
+    SELECT i, v FROM bits WHERE k = 8
+), sums(id, place, v) AS (
+    SELECT id, 0, 4294967295::UBIGINT FROM (SELECT DISTINCT doc_id::VARCHAR AS id FROM documents WHERE doc_id IS NOT NULL)
+    UNION ALL
+    SELECT id, place + 1, xor(crc.v, s.v >> 8) FROM sums s JOIN crc ON crc.i = xor(s.v & 255, ascii(id[place + 1])::UBIGINT) WHERE place < length(id)
+), changed AS (
+    SELECT id FROM sums WHERE place = length(id) AND xor(v, 4294967295::UBIGINT) % 7 = 0
+), d AS (
+    SELECT row_number() OVER () AS r, *, coalesce('1' || lang, '0') AS grp, doc_id::VARCHAR IN (FROM changed) AND doc_id IS NOT NULL AS tampered FROM documents
+), hashed AS (
+    SELECT *, {sql_leaf("n_chars")} AS leaf, {sql_leaf("n_chars::HUGEINT + CASE WHEN tampered THEN 1 ELSE 0 END")} AS now FROM d
+), {sql_climb("tree", """SELECT r, grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1, count(*) OVER (PARTITION BY grp), leaf, now, '' FROM hashed""")
+}, subs AS (
+    SELECT * FROM tree WHERE n = 1
+), {sql_climb("top", """SELECT r, '', dense_rank() OVER (ORDER BY grp) - 1, (SELECT count(DISTINCT grp) FROM subs), node, now, sibs FROM subs""")}
+SELECT doc_id, leaf, subs.node AS subroot, top.node AS root, top.now AS folded_root, sha256(top.sibs) AS proof_sha256, top.now = top.node AS verified
+FROM hashed JOIN subs USING (r) JOIN top USING (r) WHERE top.n = 1
+"""
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    known = alignment.load_vocabularies(public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+    aligned = alignment.align_documents(table(spark, folder, "documents"), known)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    counted = alignment.with_counts(alignment.stored(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest, "links")), known)
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.simhash_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline over all documents."""

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 
 def test_registered():
     assert set(queries.runnable()) <= set(contract.queries()) and set(queries.checks()) <= set(contract.oracle_sql())
-    assert {n.split("_")[0] for n in queries.runnable()} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in queries.runnable()} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.checks()))
