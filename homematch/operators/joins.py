@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from homematch.functions import dates, text
 from homematch.operators.ranking import first_by_key, hash_rank
+from homematch.session import saved
 
 
 def one_row(df: DataFrame) -> Column:
@@ -63,15 +64,9 @@ def match_listings(historical: DataFrame, listings: DataFrame, key: str = "posta
     return left_join_present(historical, packed, key)
 
 
-def unmatched_listings(listings: DataFrame, historical: DataFrame, key: str = "postal_code") -> DataFrame:
-    """Listings that no historical row took.
-
-    A listing is taken when it is the first of its address and the address is a
-    postal code of the registry.
-    """
-    codes = historical.where(F.col(key).isNotNull()).select(F.col(key).alias("address")).distinct()
-    taken = listings.where(F.col("address").isNotNull()).groupBy("address").agg(F.min("id").alias("id"))
-    taken = taken.join(codes, "address", "left_semi").select("id")
+def unmatched_listings(listings: DataFrame, matched: DataFrame) -> DataFrame:
+    """Listings that no historical row of ``matched`` took."""
+    taken = matched.where(F.col("lp").isNotNull()).select(F.col("lp.id").alias("id")).distinct()
     return listings.join(taken, "id", "left_anti")
 
 
@@ -79,11 +74,13 @@ def merged_rows(historical: DataFrame, listings: DataFrame, as_of: dt.date) -> D
     """Registry and listings as one table, without ids.
 
     Matched and unmatched registry rows come first, then the listings left over.
-    A registry price of 0 counts as missing.
+    A registry price of 0 counts as missing. The registry is read and shuffled
+    once; which listings it took is read off the match, which is written once.
     """
     lp = F.col("lp")
     found = lp.isNotNull()
-    matched = match_listings(historical, listings).select(
+    pairs = saved(match_listings(historical, listings), "matched")
+    matched = pairs.select(
         F.col("id").alias("historical_id"),
         lp["id"].alias("listing_id"),
         F.coalesce(F.nullif(F.col("price").cast("double"), F.lit(0.0)), lp["price"]).alias("price"),
@@ -103,7 +100,7 @@ def merged_rows(historical: DataFrame, listings: DataFrame, as_of: dt.date) -> D
         lp["longitude"].alias("longitude"),
         text.shire(F.when(found, lp["county"]).otherwise(F.col("district"))).alias("county"),
     )
-    rest = unmatched_listings(listings, historical).select(
+    rest = unmatched_listings(listings, pairs).select(
         F.col("id").alias("listing_id"),
         F.col("price").cast("double").alias("price"),
         F.col("address").alias("postal_code"),
@@ -130,8 +127,8 @@ def merged_key() -> Column:
 
 
 def with_merged_ids(merged: DataFrame) -> DataFrame:
-    """Number merged rows from 1 in the hash order of their key."""
-    keyed = merged.withColumn("_key", merged_key())
+    """Number merged rows from 1 in the hash order of their key; they are written once beforehand."""
+    keyed = saved(merged.withColumn("_key", merged_key()), "merged")
     ranked = hash_rank(keyed, "_key", rank="_rank", total="_rows")
     return ranked.select((F.col("_rank") + 1).alias("id"), *merged.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homematch.functions.numbers import confidence, ratio
 from homematch.operators.joins import with_row
-from homematch.operators.ranking import running_sum, value_bucket
+from homematch.operators.ranking import running_sum, split_buckets
 
 
 def _or_zero(top: Column, bottom: Column) -> Column:
@@ -69,16 +69,13 @@ def roc_auc(df: DataFrame, label: str = "y", probability: str = "probability") -
     """Exact area under the ROC curve; ties count one half.
 
     Equal scores collapse into counts, then a bucketed running sum gives the
-    negatives below each score. Buckets follow the log-odds, so that crowds of
-    scores near 0 or 1 are spread as well.
+    negatives below each score. Buckets are split where the scores lie, so that
+    crowds of scores near 0 or 1 are spread as well.
     """
-    p = F.col("p")
     counts = df.groupBy(F.col(probability).cast("double").alias("p")).agg(
         F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives"),
     )
-    edge = F.lit(1 << 40)
-    bucket = F.when(p <= 0, -edge).when(p >= 1, edge).otherwise(value_bucket(F.log(p / F.when(p < 1, 1 - p))))
-    ranked = running_sum(counts.withColumn("bucket", bucket), [], "bucket", ["p"], "negatives", "below_or_equal")
+    ranked = running_sum(split_buckets(counts, [], "p"), [], "bucket", ["p"], "negatives", "below_or_equal")
     wins = F.sum(F.col("positives") * (F.col("below_or_equal") - F.col("negatives") / 2))
     return ranked.agg(ratio(wins, (F.sum("positives") * F.sum("negatives")).cast("double")).alias("auc"))
 

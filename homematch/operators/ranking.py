@@ -12,13 +12,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS_PER_OCTAVE = 4096
+#: Distinct values that are sorted in one task without being split.
+SORTED_TOGETHER = 4096
+#: Split points of larger groups, one less than a power of two.
+SPLITS = 1023
+#: Rows that one bucket of a hash order holds, about.
+ROWS_PER_BUCKET = 32_768
 
 
-def value_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
-    """Bucket number that grows with the value, finer around zero."""
-    size = F.floor(F.log2(F.abs(value) + 1) * per_octave)
-    return F.coalesce(F.when(value < 0, -size - 1).otherwise(size), F.lit(0).cast("bigint"))
+def split_buckets(counts: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+    """Adds ``bucket``, which grows with the value, to rows of distinct values.
+
+    A sketch over each group's values gives points that split them into about
+    equal parts, wherever they lie; a value's bucket is the number of points
+    below it. The sketch only decides how even the buckets are: what is counted
+    in them stays exact. Group keys must not be null.
+    """
+    points = [i / (SPLITS + 1) for i in range(1, SPLITS + 1)]
+    sketch = counts.groupBy(*by).agg(F.percentile_approx(value, points, 10 * SPLITS).alias("_points"), F.count("*").alias("_k"))
+    splits = sketch.select(*by, F.when(F.col("_k") > SORTED_TOGETHER, F.col("_points")).alias("_splits"))
+    known = counts.join(splits, list(by)) if by else counts.withColumn("_splits", splits.scalar())
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(SPLITS.bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        return at + F.when(F.get("_splits", at + step - 1) < F.col(value), step).otherwise(F.lit(0))
+
+    return known.withColumn("bucket", F.when(F.col("_splits").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), further))).drop("_splits")
 
 
 def bucket_offsets(df: DataFrame, by: Sequence[str], bucket: str, amount: Column) -> DataFrame:
@@ -60,18 +79,21 @@ def hash_order(key: Column, seed: int) -> Column:
 
 def hash_rank(
     df: DataFrame, key: str, by: Sequence[str] = (), seed: int = 0,
-    rank: str = "rank", total: str = "total", digits: int = 5,
+    rank: str = "rank", total: str = "total", rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Rank from 0 of each row in the hash order of a unique key, per group.
 
     The leading hex digits of the hash are the buckets, so they are even
-    whatever the group sizes are; a group has at most 16 ** ``digits`` of them,
-    which only bounds the totals in front of them. The result does not depend on partitioning.
+    whatever the group sizes are; a count of the rows, taken in the same job,
+    says how many digits that takes. Frames that are costly to work out should
+    be saved first, since they are read for that count too. The result depends
+    neither on partitioning nor on the size of buckets.
     """
-    tagged = df.withColumn("_order", hash_order(F.col(key), seed))
-    tagged = tagged.withColumn("_bucket", F.substring("_order", 1, digits)).withColumn("_one", F.lit(1).cast("bigint"))
-    ranked = running_sum(tagged, by, "_bucket", ["_order", key], "_one", "_position", total)
-    return ranked.withColumn(rank, F.col("_position") - 1).drop("_order", "_bucket", "_one", "_position")
+    digits = F.ceil(F.log(16.0, F.greatest(F.count("*") / rows_per_bucket, F.lit(1.5)))).cast("int")
+    tagged = df.withColumn("_hash", hash_order(F.col(key), seed))
+    tagged = tagged.withColumn("_bucket", F.substring("_hash", F.lit(1), df.agg(digits.alias("digits")).scalar())).withColumn("_one", F.lit(1).cast("bigint"))
+    ranked = running_sum(tagged, by, "_bucket", ["_hash", key], "_one", "_position", total)
+    return ranked.withColumn(rank, F.col("_position") - 1).drop("_hash", "_bucket", "_one", "_position")
 
 
 def long_values(
@@ -104,7 +126,8 @@ def exact_quantiles(
     present = df
     for key in by:
         present = present.where(F.col(key).isNotNull())
-    counts = value_counts(present, columns, by, "double", weight).withColumn("bucket", value_bucket(F.col("value")))
+    counts = value_counts(present, columns, by, "double", weight)
+    counts = split_buckets(counts, [*by, "column"])
     keys = [*by, "column", "bucket"]
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in points]))
     spans = bucket_offsets(counts, [*by, "column"], "bucket", F.col("n")).withColumn("point", wanted)
@@ -143,14 +166,21 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k:
 
 
 def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Row with the smallest ``order`` per key, kept by a pre-aggregating minimum."""
-    rest = [c for c in df.columns if c != key]
-    best = df.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_row"))
-    return best.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    """Row with the smallest ``order`` of each key; see ``_end_by_key``."""
+    return _end_by_key(df, key, order, F.min(order))
 
 
 def last_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Row with the largest ``order`` per key."""
-    rest = [c for c in df.columns if c != key]
-    best = df.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return best.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    """Row with the largest ``order`` of each key; see ``_end_by_key``."""
+    return _end_by_key(df, key, order, F.max(order))
+
+
+def _end_by_key(df: DataFrame, key: str, order: str, end: Column) -> DataFrame:
+    """Rows whose ``order`` is the end of their key's; null keys are one key.
+
+    ``order`` is a present number or date that no two rows of a key share. Only
+    keys and orders are aggregated, by hash and before the shuffle; whole rows
+    are fetched by key and order together, so the rows of a hot key are spread.
+    """
+    ends = df.groupBy(F.col(key).alias("_end_key")).agg(end.alias("_end"))
+    return df.join(ends, F.col(key).eqNullSafe(F.col("_end_key")) & (F.col(order) == F.col("_end")), "left_semi")

@@ -3,29 +3,32 @@
 The score of a pair is a property part plus a buyer part, as a linear model
 gives it, so every buyer of a market ranks its properties alike and only the
 budget differs. That allows an exact answer without pairing buyers and
-properties: markets are walked once in price order, keeping the best ``k`` so
-far, and each distinct budget reads off the list at its place.
+properties. Whole prices are cells; a dyadic interval of level ``l`` spans
+``2 ** l`` cells. All cells below a budget are the union of one interval for
+each set bit of the budget, so the best ``k`` of every (market, interval), kept
+by partial aggregation, answer every budget by one equi-join and one top ``k``.
 """
 
 from __future__ import annotations
 
-from bisect import insort
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from homematch.functions.text import flag_label, preference_code
 from homematch.lookups import LOCATION_CLASSES, PROPERTY_CLASSES, SHIRES, type_column
 from homematch.operators.encode import scale
-from homematch.operators.ranking import running_sum, top_per_group, value_bucket
+from homematch.operators.ranking import top_per_group
 from homematch.session import saved
 from homematch.schemas import COUNTY_FLAGS, LOCATION_FLAGS, TYPE_FLAGS, USER_FEATURES
 
 ANY = "*"
 MARKET = ["county", "location", "kind", "garden", "parking"]
-BANDS_PER_OCTAVE = 16
+#: Cells above this are one cell.
+HIGHEST_CELL = (1 << 40) - 1
+OWN_CELL = -1
+INTERVAL = ["level", "place"]
 
 
 def market_columns(columns: Sequence[str]) -> dict[str, Column]:
@@ -87,35 +90,72 @@ def under_asked(offers: DataFrame, markets: DataFrame) -> DataFrame:
     return offers.join(F.broadcast(markets), MARKET, "left_semi")
 
 
+def cell(amount: Column) -> Column:
+    """Whole part of an amount between 0 and the highest cell; grows with the amount."""
+    return F.greatest(F.least(F.floor(amount), F.lit(HIGHEST_CELL)), F.lit(0)).cast("bigint")
+
+
+def in_intervals(offers: DataFrame, budgets: DataFrame) -> DataFrame:
+    """Offers under each dyadic interval that a budget can ask for: up to the highest budget, left halves only.
+
+    A set bit of a budget asks for the interval before the one that holds the
+    budget on that level, whose place is even.
+    """
+    highest = budgets.agg(F.coalesce(F.max(cell(F.col("budget"))), F.lit(0)).alias("highest")).scalar()
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.col("_highest"), F.lit(1)))).cast("int"))
+    spans = F.transform(levels, lambda level: F.struct(level.alias("level"), _shifted(F.col("_cell"), level).alias("place")))
+    known = offers.withColumn("_highest", highest).withColumn("_cell", cell(F.col("price")))
+    return known.withColumn("_span", F.explode(F.filter(spans, lambda span: span["place"] % 2 == 0))).select(*offers.columns, "_span.level", "_span.place")
+
+
+def _shifted(value: Column, level: Column) -> Column:
+    return F.call_function("shiftright", value, level)
+
+
+def in_own_cell(offers: DataFrame) -> DataFrame:
+    """Offers under the cell of their price, where a budget has to look at each price."""
+    return offers.withColumns({"level": F.lit(OWN_CELL), "place": cell(F.col("price"))})
+
+
+def covering(budgets: DataFrame) -> DataFrame:
+    """Budgets with the intervals that cover all cells below theirs, and their own cell."""
+    at = cell(F.col("budget"))
+    spans = F.transform(F.sequence(F.lit(0), F.lit(39)), lambda level: F.struct(level.alias("level"), (_shifted(at, level) - 1).alias("place")))
+    own = F.array(F.struct(F.lit(OWN_CELL).alias("level"), at.alias("place")))
+    below = F.filter(spans, lambda span: span["place"] % 2 == 0)
+    return budgets.withColumn("_span", F.explode(F.concat(below, own))).select(*budgets.columns, "_span.level", "_span.place")
+
+
+def affordable(offers: DataFrame, budgets: DataFrame) -> DataFrame:
+    """Offers of intervals and own cells with each budget that covers them; an offer meets a budget at most once."""
+    return covering(budgets).join(offers, [*MARKET, *INTERVAL]).where(F.col("price").isNull() | (F.col("price") <= F.col("budget")))
+
+
 def eligible_counts(profiles: DataFrame, properties: DataFrame) -> DataFrame:
     """Number of properties that pass the hard preferences of each profile; none without a budget.
 
     Offers are counted per market and price before they are copied under the
-    asked markets; a bucketed running sum over prices
-    and budgets then gives the count at each distinct budget.
+    asked markets, and again per dyadic interval; a budget sums up its covering
+    intervals and the prices of its own cell. What the profiles ask for is
+    written once.
     """
-    asked = profile_markets(profiles)
-    own = in_markets(properties, ["price"]).groupBy(*MARKET, F.col("price").cast("double").alias("budget")).agg(F.count(F.lit(1)).alias("n"))
-    counted = under_asked(own, asked.select(*MARKET).distinct()).groupBy(*MARKET, "budget").agg(F.sum("n").alias("n"))
-    budgets = asked.where(F.col("budget").isNotNull()).select(*MARKET, "budget").distinct().withColumn("n", F.lit(0).cast("bigint"))
-    points = counted.withColumn("_asked", F.lit(0)).unionByName(budgets.withColumn("_asked", F.lit(1)))
-    points = points.withColumn("_bucket", value_bucket(F.col("budget")))
-    running = running_sum(points, MARKET, "_bucket", ["budget", "_asked"], "n", "eligible")
-    at_budget = running.where(F.col("_asked") == 1).select(*MARKET, "budget", "eligible")
+    asked = saved(profile_markets(profiles).select("id", *MARKET, "budget"), "asked")
+    own = in_markets(properties, ["price"]).groupBy(*MARKET, F.col("price").cast("double").alias("price")).agg(F.count(F.lit(1)).alias("n"))
+    counted = under_asked(own, asked.select(*MARKET).distinct()).groupBy(*MARKET, "price").agg(F.sum("n").alias("n"))
+    budgets = asked.where(F.col("budget").isNotNull()).select(*MARKET, "budget").distinct()
+    spans = in_intervals(counted, budgets).groupBy(*MARKET, *INTERVAL).agg(F.sum("n").alias("n"))
+    met = affordable(in_own_cell(counted).unionByName(spans, allowMissingColumns=True), budgets)
+    at_budget = met.groupBy(*MARKET, "budget").agg(F.sum("n").alias("eligible"))
     return asked.join(at_budget, [*MARKET, "budget"], "left").select("id", F.coalesce("eligible", F.lit(0).cast("bigint")).alias("eligible"))
 
 
-_BEST = "struct<worth: double, id: bigint, price: double>"
-
-
 def best_by_budget(asked: DataFrame, properties: DataFrame, k: int = 5) -> DataFrame:
-    """Best ``k`` affordable properties of each distinct market and budget.
+    """Best ``k`` affordable properties of each distinct market and budget, by ``position``.
 
     ``properties`` carries a ``property_score``. Only the best ``k`` of equal
-    prices can ever appear. Prices fall into narrow bands: the best of all
-    cheaper bands joins the offers of each band, and tasks walk their sorted
-    bands row by row, holding ``k`` entries. ``worth`` is the negated score, so
-    that smaller is better.
+    prices, and of an interval, can ever appear, so each step keeps ``k`` rows
+    of a group before its shuffle. ``worth`` is the negated score, so that
+    smaller is better.
     """
     offers = in_markets(properties.where(F.col("property_score").isNotNull()), ["id", "price", "property_score"]).select(
         *MARKET, F.col("price").cast("double").alias("price"),
@@ -125,39 +165,10 @@ def best_by_budget(asked: DataFrame, properties: DataFrame, k: int = 5) -> DataF
     own = top_per_group(offers, [*MARKET, "price"], order, k, "_n").drop("_n")
     offers = under_asked(own, asked.select(*MARKET).distinct())
     offers = top_per_group(offers, [*MARKET, "price"], order, k, "_n").drop("_n")
-    offers = offers.withColumn("band", value_bucket(F.col("price"), BANDS_PER_OCTAVE))
-    budgets = asked.select(*MARKET, "budget").distinct().withColumn("band", value_bucket(F.col("budget"), BANDS_PER_OCTAVE))
-    keys = [*MARKET, "band"]
-
-    entry = F.struct("worth", "id", "price")
-    tops = top_per_group(offers, keys, order, k, "_n").groupBy(*keys).agg(F.collect_list(entry).alias("best"))
-    empty = F.array().cast(f"array<{_BEST}>")
-    bands = tops.unionByName(budgets.select(*keys).distinct().withColumn("best", empty))
-    bands = bands.groupBy(*keys).agg(F.flatten(F.collect_list("best")).alias("best"))
-    cheaper = Window.partitionBy(*MARKET).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    carried = bands.select(*keys, F.slice(F.array_sort(F.flatten(F.collect_list("best").over(cheaper))), 1, k).alias("best"))
-
-    rows = offers.select(*keys, "worth", "id", "price").unionByName(carried.select(*keys, F.inline("best")))
-    points = rows.select(*keys, F.col("price").alias("amount"), F.lit(0).alias("asked"), "worth", "id")
-    points = points.unionByName(budgets.select(*keys, F.col("budget").alias("amount"), F.lit(1).alias("asked")), allowMissingColumns=True)
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        place, best = None, []
-        for batch in batches:
-            found = []
-            for row in zip(*[batch[c] for c in [*keys, "amount", "asked", "worth", "id"]]):
-                amount, asks, worth, key = row[-4:]
-                if row[:-4] != place:
-                    place, best = row[:-4], []
-                if asks:
-                    found.append((*place[:-1], amount, [{"worth": w, "id": i, "price": p} for w, i, p in best]))
-                else:
-                    insort(best, (worth, int(key), amount))
-                    del best[k:]
-            yield pd.DataFrame(found, columns=[*MARKET, "budget", "best"])
-
-    shape = f"county string, location string, kind string, garden int, parking int, budget double, best array<{_BEST}>"
-    return points.repartition(*keys).sortWithinPartitions(*keys, "amount", "asked").mapInPandas(walk, shape)
+    budgets = asked.where(F.col("budget").isNotNull()).select(*MARKET, "budget").distinct()
+    spans = top_per_group(in_intervals(offers, budgets), [*MARKET, *INTERVAL], order, k, "_n").drop("_n")
+    met = affordable(in_own_cell(offers).unionByName(spans), budgets)
+    return top_per_group(met, [*MARKET, "budget"], order, k).select(*MARKET, "budget", "position", "worth", "id", "price")
 
 
 def recommend(profiles: DataFrame, properties: DataFrame, k: int = 5, threshold: float = 0.5) -> DataFrame:
@@ -170,12 +181,11 @@ def recommend(profiles: DataFrame, properties: DataFrame, k: int = 5, threshold:
     asked = saved(profile_markets(profiles).select("id", "profile_score", *MARKET, "budget"), "asked")
     markets = [c.alias(name) for name, c in market_columns(properties.columns).items()]
     best = best_by_budget(asked, saved(properties.select("id", "price", "property_score", *markets), "scored"), k)
-    lists = asked.select(F.col("id").alias("user_id"), "profile_score", *MARKET, "budget").join(best, [*MARKET, "budget"])
-    rows = lists.select("user_id", "profile_score", F.posexplode("best").alias("place", "offer"))
-    score = F.col("profile_score") - F.col("offer.worth")
+    lists = asked.select(F.col("id").alias("user_id"), "profile_score", *MARKET, "budget")
+    rows = lists.join(best.withColumnRenamed("id", "property_id"), [*MARKET, "budget"])
+    score = F.col("profile_score") - F.col("worth")
     return rows.select(
-        "user_id", (F.col("place") + 1).alias("position"), F.col("offer.id").alias("property_id"),
-        F.col("offer.price").alias("price"), (1 / (1 + F.exp(-score))).alias("probability"),
+        "user_id", "position", "property_id", "price", (1 / (1 + F.exp(-score))).alias("probability"),
     ).where(F.col("probability") > threshold)
 
 

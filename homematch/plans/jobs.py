@@ -39,23 +39,19 @@ def _as_text(df: DataFrame):
 def standardise(
     historical: DataFrame, listings: DataFrame, as_of: dt.date,
     gazetteers: tuple[DataFrame, DataFrame] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Listings and merged table of a full run.
+) -> DataFrame:
+    """Merged table of stored registry rows and listings.
 
-    Gazetteers, where given, fill missing coordinates of the listings first and
-    of the merged rows by postal code afterwards; without them that is skipped.
+    Gazetteers, where given, fill the coordinates of merged rows by postal code;
+    without them that is skipped.
     """
-    if gazetteers:
-        listings = joins.fill_coordinates(listings, "address", *gazetteers)
     merged = joins.with_merged_ids(joins.merged_rows(historical, listings, as_of))
-    if gazetteers:
-        merged = joins.fill_coordinates(merged, "postal_code", *gazetteers)
-    return listings, merged
+    return joins.fill_coordinates(merged, "postal_code", *gazetteers) if gazetteers else merged
 
 
 def run_standardise(
     spark: SparkSession, store: str, as_of: dt.date, mode: str = "full", registry: str | None = None,
-    listing_files: list[str] | None = None, geocoded: tuple[str, str] | None = None,
+    listing_files: list[str] | None = None, geocoded: tuple[str | list[str], str | list[str]] | None = None,
     gazetteers: tuple[DataFrame, DataFrame] | None = None, json_lines: bool = False,
 ) -> DataFrame:
     """Load the stored tables in one of three modes and return the load summary or coverage.
@@ -64,6 +60,10 @@ def run_standardise(
     table; gazetteers, where given, fill the coordinates of all stored listings
     by address and of the merged rows left by postal code. ``update-geocoding`` fills coordinates of the stored tables only.
     ``load-geocoded`` upserts pre-geocoded merged and listing files by id.
+
+    Of several rows of one key the last counts, by file and place in the file.
+    Rows that cannot be stored are kept below ``rejected`` with their reason, in
+    the types of their table, and counted in the summary or the coverage.
     """
     def current(name: str, schema) -> DataFrame:
         found = stores.generations(spark, f"{store}/{name}")
@@ -78,29 +78,29 @@ def run_standardise(
         return profile.coverage(listing=save("listing", listings), merged=save("merged", merged))
     if mode == "load-geocoded":
         merged_file, listing_file = geocoded
-        loaded = {}
+        loaded, rejected = {}, {}
         for name, path, schema, quoted in (
             ("merged", merged_file, schemas.MERGED, False), ("listing", listing_file, schemas.LISTING, True),
         ):
-            raw = files.read_csv_with_nulls(spark, path, schema.fieldNames())
-            rows = stores.geocoded_rows(raw, {f.name: f.dataType.simpleString() for f in schema.fields}, quoted)
-            loaded[name] = save(name, stores.upsert(current(name, schema), rows, "id"))
-        return profile.coverage(**loaded)
+            raw = files.read_csv_with_nulls(spark, path, schema.fieldNames(), with_order=True)
+            rows = saved(stores.geocoded_rows(raw, {f.name: f.dataType.simpleString() for f in schema.fields}, quoted), f"load-{name}")
+            loaded[name] = save(name, stores.upsert(current(name, schema), stores.valid_rows(rows), "id", files.ORDER))
+            rejected[name] = save(f"rejected/{name}", stores.quarantined_rows(rows))
+        counts = stacked(*[d.agg(F.count("*").alias("rejected")).withColumn("source", F.lit(n)) for n, d in rejected.items()])
+        return profile.coverage(**loaded).join(counts, "source")
     if mode != "full":
         raise ValueError(f"unknown mode: {mode}")
 
-    raw_history = stores.historical_rows(files.read_csv(spark, registry, _registry_text()))
-    raw_listings = stores.listing_rows(files.read_listings(spark, listing_files, json_lines))
-    history = save("historical", stores.upsert(current("historical", schemas.HISTORICAL), stores.valid_rows(raw_history), "id", None))
-    incoming = stores.valid_rows(raw_listings)
-    if gazetteers:
-        incoming = joins.fill_coordinates(incoming, "address", *gazetteers)
-    known = stores.upsert_listings(current("listing", schemas.LISTING), incoming)
+    raw_history = saved(stores.historical_rows(files.read_csv(spark, registry, _registry_text(), with_order=True)), "load-historical")
+    raw_listings = saved(stores.listing_rows(files.read_listings(spark, listing_files, json_lines, with_order=True)), "load-listing")
+    raw = {"historical": raw_history, "listing": raw_listings}
+    history = save("historical", stores.upsert(current("historical", schemas.HISTORICAL), stores.valid_rows(raw_history), "id", files.ORDER))
+    known = stores.upsert_listings(current("listing", schemas.LISTING), stores.valid_rows(raw_listings), files.ORDER)
     listings = save("listing", joins.fill_coordinates(known, "address", *gazetteers) if gazetteers else known)
-    merged = joins.with_merged_ids(joins.merged_rows(history, listings, as_of))
-    save("merged", joins.fill_coordinates(merged, "postal_code", *gazetteers) if gazetteers else merged)
-    summaries = [stores.load_summary(d).withColumn("source", F.lit(n)) for n, d in (("historical", raw_history), ("listing", raw_listings))]
-    return stacked(*summaries)
+    save("merged", standardise(history, listings, as_of, gazetteers))
+    for name, rows in raw.items():
+        save(f"rejected/{name}", stores.quarantined_rows(rows))
+    return stacked(*[stores.load_summary(d).withColumn("source", F.lit(n)) for n, d in raw.items()])
 
 
 def _registry_text():
@@ -206,11 +206,13 @@ def with_source_date(df: DataFrame, source_column: str, new_date: dt.date, resul
     return df.withColumn(result, F.when(F.col("source") == "registry", recorded).when(F.col("source") == "scraped", fixed))
 
 
-def run_premerge(spark: SparkSession, listing_file: str, registry_file: str, target: str, gazetteers: tuple[DataFrame, DataFrame]) -> DataFrame:
-    """Write the pre-merged file, reusing a complete earlier one."""
+def run_premerge(
+    spark: SparkSession, listing_file: str, registry_file: str, target: str, gazetteers: tuple[DataFrame, DataFrame], json_lines: bool = False,
+) -> DataFrame:
+    """Write the pre-merged file, reusing a complete earlier one; with ``json_lines`` the listing file can be split."""
     if stores.file_complete(spark, target):
         return files.read_csv(spark, target)  # its date, type and price columns are final already
-    listings = spark.read.schema(schemas.LISTING_RAW).option("multiLine", True).json(listing_file)
+    listings = spark.read.schema(schemas.LISTING_RAW).option("multiLine", not json_lines).json(listing_file)
     registry = files.read_csv(spark, registry_file, _registry_text())
     stores.write_csv(premerge(listings, registry, gazetteers), target)
     return files.read_csv(spark, target)

@@ -102,13 +102,22 @@ def t1(t):
     return jobs.cleanse(t.spark, registry_file(t), scratch_path(t.spark, "cleansed"), year=1999)
 
 
-@query("t2_standardise_full", """
-    SELECT historical_id, price, property_type, tenure, data_source, county, bedrooms, size FROM merged_loaded""", "merged_loaded")
+_COPIED = [c for c in schemas.MERGED.fieldNames() if c not in ("id", "price", "date", "features", "latitude", "longitude")]
+
+
+@query("t2_standardise_full", f"""
+    WITH place AS (SELECT coalesce(a.address_key, b.address_key) AS address_key, coalesce(a.latitude, b.latitude) AS latitude, coalesce(a.longitude, b.longitude) AS longitude
+                   FROM (SELECT * FROM gazetteer_a WHERE known) a FULL JOIN (SELECT * FROM gazetteer_b WHERE known) b ON a.address_key = b.address_key)
+    SELECT row_number() OVER (ORDER BY md5('0:' || coalesce(historical_id, 'L' || listing_id)), coalesce(historical_id, 'L' || listing_id)) AS id,
+           {', '.join(f'm.{c}' for c in _COPIED)}, round(price, 4) AS price, strftime("date", '%Y-%m-%d') AS "date", array_to_string(features, '|') AS features,
+           round(place.latitude, 6) AS latitude, round(place.longitude, 6) AS longitude
+    FROM merged_loaded m LEFT JOIN place ON place.address_key = m.postal_code || ', UK'""", "merged_loaded gazetteer_a gazetteer_b")
 def t2(t):
     store = scratch_path(t.spark, "store")
     jobs.run_standardise(t.spark, store, TODAY, "full", registry_file(t, header=True), [listing_files(t) + "/*"], gazetteers=gazetteers(t), json_lines=True)
     merged = stores.read_generation(t.spark, f"{store}/merged")
-    return merged.select("historical_id", "price", "property_type", "tenure", "data_source", "county", "bedrooms", "size")
+    return merged.select("id", *_COPIED, rounded("price", 4).alias("price"), day("date").alias("date"), F.array_join("features", "|").alias("features"),
+                         rounded("latitude").alias("latitude"), rounded("longitude").alias("longitude"))
 
 
 @query("t2_update_geocoding", """
@@ -125,14 +134,25 @@ def t2_geocoding(t):
     return jobs.run_standardise(t.spark, store, TODAY, "update-geocoding", gazetteers=gazetteers(t))
 
 
-@query("t2_load_geocoded", """
-    SELECT 'listing' AS source, count(*) AS total, count(*) FILTER (latitude IS NOT NULL AND longitude IS NOT NULL) AS with_coordinates FROM listing
-    UNION ALL SELECT 'merged', count(*), count(*) FILTER (latitude IS NOT NULL AND longitude IS NOT NULL) FROM merged""", "listing merged")
+_SOUND = "id % 11 <> 4"
+
+
+@query("t2_load_geocoded", f"""
+    WITH m AS (SELECT {S.MERGED_ID} AS id, latitude, longitude FROM merged)
+    SELECT 'listing' AS source, count(*) FILTER ({_SOUND}) AS total, count(*) FILTER ({_SOUND} AND latitude IS NOT NULL AND longitude IS NOT NULL) AS with_coordinates,
+           count(*) FILTER (NOT ({_SOUND})) AS rejected FROM listing
+    UNION ALL SELECT 'merged', count(*) FILTER ({_SOUND}), count(*) FILTER ({_SOUND} AND latitude IS NOT NULL AND longitude IS NOT NULL), count(*) FILTER (NOT ({_SOUND})) FROM m""",
+       "listing merged")
 def t2_load(t):
-    paths = {n: scratch_path(t.spark, f"geocoded-{n}") for n in ("merged", "listing")}
-    stores.write_csv(merged_with_id(t).select(*schemas.MERGED.fieldNames()), paths["merged"])
-    stores.write_csv(t.listing.select(*schemas.LISTING.fieldNames()), paths["listing"])
-    return jobs.run_standardise(t.spark, scratch_path(t.spark, "store"), TODAY, "load-geocoded", geocoded=(paths["merged"], paths["listing"]))
+    """Files in which some rows stand twice, the earlier one without coordinates, and some have no readable id."""
+    paths = {}
+    for name, rows, schema in (("merged", merged_with_id(t), schemas.MERGED), ("listing", t.listing, schemas.LISTING)):
+        paths[name] = scratch_path(t.spark, f"geocoded-{name}")
+        own = rows.select(*schema.fieldNames())
+        stores.write_csv(own.where(f"id % 5 = 0 AND {_SOUND}").withColumn("latitude", F.lit(None).cast("double")), f"{paths[name]}/1")
+        stores.write_csv(own.withColumn("id", F.expr(f"CASE WHEN {_SOUND} THEN CAST(id AS STRING) WHEN id % 2 = 0 THEN 'no ' || id END")), f"{paths[name]}/2")
+    files_of = tuple([f"{paths[n]}/1", f"{paths[n]}/2"] for n in ("merged", "listing"))
+    return jobs.run_standardise(t.spark, scratch_path(t.spark, "store"), TODAY, "load-geocoded", geocoded=files_of)
 
 
 _PROCESSED = [c for c in schemas.PROCESSED_COLUMNS if c != "id"] + schemas.COUNTY_FLAGS

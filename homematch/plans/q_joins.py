@@ -14,19 +14,21 @@ from homematch.operators.unions import distinct_union, stacked
 from homematch.plans import sqltext as S
 from homematch.plans.catalog import day, query, rounded, whole
 from homematch.plans.views import AS_OF
+from homematch.session import saved
 
 
 @query("c1_first_listing_join", """
     SELECT h.id, l.id AS listing_id, l.price AS listing_price FROM registry h LEFT JOIN first_listing l ON h.postal_code = l.address""", "registry first_listing")
 def c1(t):
-    matched = joins.match_listings(t.registry, t.listing)
+    matched = joins.match_listings(t.registry, saved(t.listing, "listings"))
     return matched.select("id", F.col("lp.id").alias("listing_id"), F.col("lp.price").alias("listing_price"))
 
 
 @query("c2_unmatched_listings", """
     SELECT l.id, l.address FROM listing l WHERE l.id NOT IN (SELECT f.id FROM first_listing f JOIN registry h ON h.postal_code = f.address)""", "listing first_listing registry")
 def c2(t):
-    return joins.unmatched_listings(t.listing, t.registry).select("id", "address")
+    listings = saved(t.listing, "listings")
+    return joins.unmatched_listings(listings, joins.match_listings(t.registry, listings)).select("id", "address")
 
 
 _MERGED = ["postal_code", "property_type", "property_age", "tenure", "bedrooms", "bathrooms", "epc_rating", "size",

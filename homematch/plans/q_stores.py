@@ -42,17 +42,15 @@ def registry_file(t, header: bool = False) -> str:
 
 
 _FILE_SQL = """
-    SELECT id, price, strftime(date_of_transaction, '%Y-%m-%d') || ' 00:00' AS "date", postal_code, paon, saon,
-           nullif(locality, '') AS locality, district, county FROM registry"""
+    SELECT id, price, strftime(date_of_transaction, '%Y-%m-%d') || ' 00:00' AS "date", nullif(postal_code, '') AS postal_code, nullif(property_type, '') AS property_type,
+           nullif(property_age, '') AS property_age, nullif(duration, '') AS duration, nullif(paon, '') AS paon, nullif(saon, '') AS saon, nullif(street, '') AS street,
+           nullif(locality, '') AS locality, nullif(town_city, '') AS town_city, nullif(district, '') AS district, nullif(county, '') AS county,
+           nullif(ppd_category_type, '') AS ppd_category_type, nullif(record_status, '') AS record_status FROM registry"""
 
 
 def _file_columns(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("Unique Transaction Identifier").alias("id"), F.col("Price").cast("bigint").alias("price"),
-        F.col("Date of Transaction").alias("date"), F.col("Postal Code").alias("postal_code"),
-        F.col("PAON").alias("paon"), F.col("SAON").alias("saon"), F.col("Locality").alias("locality"),
-        F.col("District").alias("district"), F.col("County").alias("county"),
-    )
+    named = {v: k for k, v in REGISTRY_NAMES.items()} | {"Date of Transaction": "date"}
+    return df.select(*[F.col(f"`{c}`").cast("bigint" if c == "Price" else "string").alias(named[c]) for c in schemas.REGISTRY_COLUMNS])
 
 
 @query("a1_headerless_csv", _FILE_SQL, "registry")
@@ -65,6 +63,18 @@ def a2(t):
     return _file_columns(files.read_csv(t.spark, registry_file(t, header=True), schemas.REGISTRY_RAW))
 
 
+@query("a2_quoted_line_breaks", """
+    SELECT doc_id, nullif(text, '') AS text, lang FROM documents""")
+def a2_breaks(t):
+    """Whole texts, with their line breaks and quotes, through delimited files."""
+    from pyspark.sql import types as T
+
+    path = scratch_path(t.spark, "texts")
+    t.documents.select("doc_id", "text", "lang").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    kinds = T.StructType.fromDDL("doc_id bigint, text string, lang string")
+    return files.read_csv(t.spark, path, kinds)
+
+
 _NULLS = "CASE o_orderkey % 4 WHEN 0 THEN 'null' WHEN 1 THEN 'NaN' WHEN 2 THEN '' ELSE o_orderpriority END"
 
 
@@ -104,9 +114,9 @@ def a5(t):
     return parts[0].unionByName(parts[1])
 
 
-@query("a6_whole_table_read", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+@query("a6_whole_table_read", "SELECT * FROM customer")
 def a6(t):
-    return files.read_table(t.spark, f"{t.folder}/customer.parquet").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return files.read_table(t.spark, f"{t.folder}/customer.parquet")
 
 
 _JSON_LIST = (
@@ -167,23 +177,25 @@ def a10(t):
             FROM lineitem) WHERE rn = 1) i ON i.o_orderkey = o.o_orderkey""")
 def a11(t):
     target = t.orders.select("o_orderkey", F.col("o_totalprice").alias("total"), F.lit(False).alias("updated"))
-    order = F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    place = {"unix_date(CAST(l_shipdate AS DATE))": 48, "l_linenumber": 45, "l_partkey": 20, "l_suppkey": 0}  # days, lines, parts and suppliers in one number
+    order = F.expr(" + ".join(f"shiftleft(CAST({c} AS BIGINT), {bits})" for c, bits in place.items()))
     incoming = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").alias("total"), F.lit(True).alias("updated"), order.alias("loaded"))
     return stores.upsert(target, incoming, "o_orderkey", "loaded")
 
 
 def _stored_and_incoming(t) -> tuple[DataFrame, DataFrame]:
-    """Stored listings, and a later load of supplied parts that overlaps them."""
+    """Stored listings, and a later load of supplied parts that overlaps them and names some addresses twice."""
     stored = t.listing.where("property_type <> 'Studio' AND county IS NOT NULL")
     fresh = t.listing.where("county IS NULL OR county <> 'oxfordshire'").withColumns({
         "price": F.col("price") + 1000, "latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double"),
     })
-    return stored, fresh
+    again = fresh.where("id % 5 = 0").withColumn("price", F.col("price") + 500)
+    return stored, again.withColumn("loaded", F.lit(2)).unionByName(fresh.withColumn("loaded", F.lit(1)))
 
 
 @query("a12_upsert_listings", """
     WITH stored AS (SELECT * FROM listing WHERE property_type <> 'Studio' AND county IS NOT NULL),
-    fresh AS (SELECT * REPLACE (price + 1000 AS price) FROM listing WHERE county IS NULL OR county <> 'oxfordshire'),
+    fresh AS (SELECT * REPLACE (price + CASE WHEN id % 5 = 0 THEN 1500 ELSE 1000 END AS price) FROM listing WHERE county IS NULL OR county <> 'oxfordshire'),
     added AS (SELECT f.property_url, (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY md5('0:' || f.property_url), f.property_url) AS id
               FROM fresh f ANTI JOIN stored s ON s.property_url = f.property_url)
     SELECT coalesce(s.id, a.id) AS id, coalesce(f.property_url, s.property_url) AS property_url, coalesce(f.price, s.price) AS price,
@@ -191,24 +203,29 @@ def _stored_and_incoming(t) -> tuple[DataFrame, DataFrame]:
     FROM fresh f FULL JOIN stored s ON s.property_url = f.property_url LEFT JOIN added a ON a.property_url = f.property_url""", "listing")
 def a12(t):
     stored, fresh = _stored_and_incoming(t)
-    return stores.upsert_listings(stored, fresh).select("id", "property_url", "price", "latitude", "longitude")
+    return stores.upsert_listings(stored, fresh, "loaded").select("id", "property_url", "price", "latitude", "longitude")
 
 
 @query("a13_load_geocoded", """
-    SELECT id, price, strftime(DATE '2023-01-01' + CAST(id % 300 AS INTEGER), '%Y-%m-%d') AS "date",
-           array_to_string(features, '|') AS features, CAST(latitude AS DOUBLE) AS latitude, 'loaded' AS state FROM listing WHERE county IS NOT NULL
-    UNION ALL SELECT id, price, NULL, array_to_string(features, '|'), latitude, 'kept' FROM listing WHERE county IS NULL""", "listing")
+    SELECT CASE WHEN id % 7 = 3 THEN NULL ELSE id END AS id, price, strftime(DATE '2023-01-01' + CAST(id % 300 AS INTEGER), '%Y-%m-%d') AS "date",
+           array_to_string(features, '|') AS features, CAST(latitude AS DOUBLE) AS latitude, 'loaded' AS state,
+           CASE WHEN id % 14 = 3 THEN 'error: missing id' WHEN id % 7 = 3 THEN 'error: unreadable id' END AS reason FROM listing WHERE county IS NOT NULL
+    UNION ALL SELECT id, price, NULL, array_to_string(features, '|'), latitude, 'kept', NULL FROM listing WHERE county IS NULL OR id % 7 = 3""", "listing")
 def a13(t):
+    """A file with some rows twice, the later one counting, and some without a readable id."""
     types = {"id": "bigint", "price": "double", "date": "date", "features": "array<string>", "latitude": "double", "state": "string"}
     columns = list(types)
     stored = t.listing.select("id", "price", F.lit(None).cast("date").alias("date"), "features", "latitude", F.lit("kept").alias("state"))
     dated = t.listing.where("county IS NOT NULL").select(
-        "id", "price", F.expr("date_add(DATE '2023-01-01', CAST(id % 300 AS INT))").alias("date"), "features", "latitude", F.lit("loaded").alias("state"))
+        F.expr("CASE WHEN id % 14 = 3 THEN NULL WHEN id % 7 = 3 THEN 'x' || id ELSE CAST(id AS STRING) END").alias("id"),
+        "price", F.expr("date_add(DATE '2023-01-01', CAST(id % 300 AS INT))").alias("date"), "features", "latitude", F.lit("loaded").alias("state"))
     path = scratch_path(t.spark, "geocoded")
-    stores.write_csv(dated, path)
-    loaded = stores.geocoded_rows(files.read_csv_with_nulls(t.spark, path, columns), types)
-    merged = stores.upsert(stored, loaded, "id")
-    return merged.select("id", "price", day("date").alias("date"), F.array_join("features", "|").alias("features"), "latitude", "state")
+    stores.write_csv(dated.where("id IS NOT NULL AND NOT startswith(id, 'x')").withColumns({"price": F.lit(-1.0), "state": F.lit("replaced")}), f"{path}/1")
+    stores.write_csv(dated, f"{path}/2")
+    loaded = stores.geocoded_rows(files.read_csv_with_nulls(t.spark, [f"{path}/1", f"{path}/2"], columns, with_order=True), types)
+    merged = stores.upsert(stored, stores.valid_rows(loaded), "id", files.ORDER).withColumn("reason", F.lit(None).cast("string"))
+    shown = merged.unionByName(stores.quarantined_rows(loaded).drop(files.ORDER))
+    return shown.select("id", "price", day("date").alias("date"), F.array_join("features", "|").alias("features"), "latitude", "state", "reason")
 
 
 @query("a14_full_refresh", "SELECT o_orderkey, o_orderpriority FROM orders")

@@ -198,8 +198,9 @@ class Tables:
         import datetime as dt
 
         from homematch.operators.joins import merged_rows
+        from homematch.session import saved
 
-        return merged_rows(self.registry, self.listing, dt.date.fromisoformat(AS_OF))
+        return merged_rows(self.registry, saved(self.listing, "listings"), dt.date.fromisoformat(AS_OF))
 
     @cached_property
     def merged(self) -> DataFrame:

@@ -12,6 +12,7 @@ from homematch.functions import dates, text
 from homematch.functions.arrays import parsed_list
 from homematch.operators.joins import one_row
 from homematch.operators.ranking import hash_rank, last_by_key
+from homematch.sources.files import ORDER, read_csv
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -68,30 +69,26 @@ def refresh(df: DataFrame, root: str) -> str:
     return write_generation(df, root, keep=1)
 
 
-def upsert(target: DataFrame, incoming: DataFrame, key: str, order: str | None = None) -> DataFrame:
+def upsert(target: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
     """Rows of ``target`` with those of ``incoming`` put in by key.
 
-    The last of several incoming rows wins, by ``order``, which is dropped from
-    the result, or else by the order in which the rows are read. Rows without a
-    key cannot be put in and are left out. Repeated keys collapse before the
-    shuffle.
+    The last of several incoming rows of a key wins, by ``order``, which is
+    dropped from the result: a number that no two rows of a key share, such as
+    the one that the readers give for file and place in the file. Rows without
+    a key cannot be put in; loads keep them apart with a reason beforehand.
     """
     latest = last_rows(incoming, key, order)
     kept = target.join(latest.select(key), key, "left_anti")
     return kept.unionByName(latest)
 
 
-def last_rows(incoming: DataFrame, key: str, order: str | None) -> DataFrame:
-    """Last row of each present key, by ``order`` or else by the order of reading."""
-    keyed = incoming.where(F.col(key).isNotNull())
-    if order is None:
-        order = "_read"
-        keyed = keyed.withColumn(order, F.monotonically_increasing_id())
-    return last_by_key(keyed, key, order).drop(order)
+def last_rows(incoming: DataFrame, key: str, order: str) -> DataFrame:
+    """Last row of each present key by ``order``."""
+    return last_by_key(incoming.where(F.col(key).isNotNull()), key, order).drop(order)
 
 
-def upsert_listings(target: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
-    """Listings put in by their web address.
+def upsert_listings(target: DataFrame, incoming: DataFrame, order: str) -> DataFrame:
+    """Listings put in by their web address; the last of several rows wins, by ``order``.
 
     Known listings keep their id and, where the new row has none, their
     coordinates. New ones are numbered after the highest id, in the hash order
@@ -107,8 +104,8 @@ def upsert_listings(target: DataFrame, incoming: DataFrame, order: str | None =
     ready = known.unionByName(fresh).withColumns({
         "latitude": F.coalesce("latitude", "_old.latitude"),
         "longitude": F.coalesce("longitude", "_old.longitude"),
-    })
-    return upsert(target, ready.select(*target.columns), "property_url")
+    }).select(*target.columns)
+    return target.join(ready.select("property_url"), "property_url", "left_anti").unionByName(ready)
 
 
 def historical_rows(raw: DataFrame) -> DataFrame:
@@ -128,10 +125,16 @@ def historical_rows(raw: DataFrame) -> DataFrame:
         F.col("PAON").alias("paon"), F.col("SAON").alias("saon"), F.col("Street").alias("street"),
         F.col("Locality").alias("locality"), F.col("`Town/City`").alias("town_city"), F.col("District").alias("district"),
         F.col("PPD Category Type").alias("ppd_category_type"), F.col("Record Status").alias("record_status"),
+        *carried_order(raw),
     )
     return named.withColumn("reason", invalid_reason())
 
 
+def carried_order(raw: DataFrame) -> list[Column]:
+    """The readers' order column, where a frame has it."""
+    return [F.col(ORDER)] if ORDER in raw.columns else []
+
+
 def invalid_reason(domains: dict[str, list[str]] | None = None) -> Column:
     """First rule a historical row breaks, null for a valid row."""
     rules = [F.when(F.col("id").isNull(), "missing id"), F.when(F.col("date_of_transaction").isNull(), "bad date")]
@@ -154,7 +157,7 @@ def listing_rows(raw: DataFrame, county: Column | None = None) -> DataFrame:
         .when(F.col("property_url").isNull(), "error: no address on the web")
         .when(F.col("title").isNull() | F.col("address").isNull() | F.col("property_type").isNull(), "error: incomplete")
     )
-    return named.select(*schemas.LISTING.fieldNames(), reason.alias("reason"))
+    return named.select(*schemas.LISTING.fieldNames(), *carried_order(raw), reason.alias("reason"))
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
@@ -171,24 +174,28 @@ def load_summary(df: DataFrame) -> DataFrame:
     return df.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def geocoded_rows(raw: DataFrame, types: dict[str, str], single_quoted: bool = False) -> DataFrame:
-    """Text rows of a pre-geocoded file in the types of their table.
+def geocoded_rows(raw: DataFrame, types: dict[str, str], single_quoted: bool = False, key: str = "id") -> DataFrame:
+    """Text rows of a pre-geocoded file in the types of their table, with a ``reason`` where they cannot be stored.
 
     Features are JSON lists, for listings with single quotes; malformed lists
-    and unreadable dates or numbers become null.
+    and unreadable dates or numbers become null. A row without a readable id
+    has no place in the table, which makes it an error.
     """
-    built = []
+    built = {}
     for name in raw.columns:
-        if name == "features":
+        if name == ORDER:
+            value = F.col(name)
+        elif name == "features":
             value = parsed_list(F.col(name), single_quoted)
         elif types.get(name) == "date":
             value = dates.parsed_date(F.col(name))
         elif types.get(name) == "bigint":
-            value = F.col(name).try_cast("double").cast("bigint")
+            value = F.col(name).try_cast("double").try_cast("bigint")
         else:
             value = F.col(name).try_cast(types.get(name, "string"))
-        built.append(value.alias(name))
-    return raw.select(*built)
+        built[name] = value
+    reason = F.when(F.col(key).isNull(), "error: missing id").when(built[key].isNull(), "error: unreadable id")
+    return raw.select(*[v.alias(n) for n, v in built.items()], reason.alias("reason"))
 
 
 def coordinates_complete(df: DataFrame) -> bool:
@@ -203,7 +210,7 @@ def file_complete(spark: SparkSession, path: str) -> bool:
     fs, found = _files(spark, path)
     if not fs.exists(found):
         return False
-    return coordinates_complete(with_numbers(spark.read.option("header", True).option("escape", '"').csv(path)))
+    return coordinates_complete(with_numbers(read_csv(spark, path)))
 
 
 def with_numbers(df: DataFrame) -> DataFrame:

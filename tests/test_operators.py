@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from homematch.operators import encode, impute, joins, metrics, pairs, recommend
-from homematch.operators.ranking import exact_medians, exact_quantiles, hash_rank, modes
+from homematch.operators.ranking import exact_medians, exact_quantiles, first_by_key, hash_rank, last_by_key, modes, split_buckets
 from homematch.sources import stores
 
 
@@ -31,6 +31,51 @@ def test_weighted_quantiles(spark):
     assert found == {0.25: 1.0, 0.5: 6.0, 0.75: 10.0}
 
 
+@pytest.mark.parametrize("values", [
+    [i * 1e-10 for i in range(30_000)], [51.0 + i / 30_000 for i in range(30_000)], [-1e300, 1e300, *[float(i % 5000) for i in range(30_000)]],
+])
+def test_quantiles_of_crowded_values(spark, values):
+    """However close the values lie, no bucket holds more than a hundredth of the different ones."""
+    df = spark.createDataFrame([(v, "g") for v in values], "v double, g string").repartition(5)
+    counts = df.groupBy("g", F.col("v").alias("value")).agg(F.count("*").alias("n"))
+    placed = split_buckets(counts, ["g"])
+    held = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).orderBy("bucket").collect()
+    assert max(r.n for r in held) <= len(set(values)) / 100
+    assert all(a.high < b.low for a, b in zip(held, held[1:]))
+    ordered = sorted(values)
+    found = {r.point: r.value for r in exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0], ["g"]).collect()}
+    place = (len(ordered) - 1) * 0.25
+    low, part = int(place), place - int(place)
+    assert found[0.0] == ordered[0] and found[1.0] == ordered[-1] and found[0.5] == pytest.approx(statistics.median(ordered), rel=1e-12)
+    assert found[0.25] == pytest.approx(ordered[low] + (ordered[low + 1] - ordered[low]) * part, rel=1e-12)
+
+
+def test_hash_ranks_with_small_buckets(spark):
+    df = spark.range(300).withColumn("g", F.col("id") % 2)
+    few, many = (hash_rank(df, "id", ["g"], rows_per_bucket=n).orderBy("id").collect() for n in (1000, 2))
+    assert few == many
+
+
+def test_ends_by_key(spark):
+    rows = [("hot", i, f"v{i}") for i in range(200)] + [("cold", 7, "x"), (None, 3, "n"), (None, 9, "m")]
+    df = spark.createDataFrame(rows, "k string, n int, v string").repartition(5)
+    assert sorted(map(tuple, first_by_key(df, "k", "n").collect()), key=str) == [("cold", 7, "x"), ("hot", 0, "v0"), (None, 3, "n")]
+    assert sorted(map(tuple, last_by_key(df, "k", "n").collect()), key=str) == [("cold", 7, "x"), ("hot", 199, "v199"), (None, 9, "m")]
+
+
+def test_intervals_cover_what_a_budget_can_pay(spark):
+    draw = random.Random(8)
+    prices = [draw.choice([-5.0, 0.0, 0.5, 0.75, 1.0, 2.0**40, 2.0**41, draw.uniform(0, 300), float(draw.randint(0, 300))]) for _ in range(150)]
+    amounts = sorted({draw.choice([-9.0, -5.0, 0.0, 0.6, 2.0**41, draw.uniform(0, 320), float(draw.randint(0, 300))]) for _ in range(60)})
+    market = {c: "x" for c in ("county", "location", "kind")} | {"garden": 0, "parking": 0}
+    offers = spark.createDataFrame([{"id": i, "price": p, **market} for i, p in enumerate(prices)])
+    budgets = spark.createDataFrame([{"budget": a, **market} for a in amounts])
+    held = recommend.in_own_cell(offers).unionByName(recommend.in_intervals(offers, budgets))
+    found = [(r.budget, r.id) for r in recommend.affordable(held, budgets).collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == {(a, i) for a in amounts for i, p in enumerate(prices) if p <= a}
+
+
 def test_modes(spark):
     df = spark.createDataFrame([("b", None), ("a", None), ("b", None), ("a", None), (None, None)], "t string, e string")
     assert modes(df, ["t", "e"]).first().asDict() == {"t": "a", "e": None}
@@ -233,8 +278,11 @@ def test_upsert_takes_the_last_row_of_a_key(spark):
     from homematch.sources import stores
 
     target = spark.createDataFrame([("a", 1), ("c", 9)], "k string, v int")
-    load = spark.createDataFrame([("a", 2), ("a", 3), ("b", 4), ("b", 5), (None, 6)], "k string, v int").coalesce(1)
-    assert sorted(map(tuple, stores.upsert(target, load, "k").collect())) == [("a", 3), ("b", 5), ("c", 9)]
+    load = spark.createDataFrame([("a", 2, 1), ("a", 3, 2), ("b", 5, 4), ("b", 4, 3), (None, 6, 5)], "k string, v int, n int").repartition(3)
+    done = stores.upsert(target, load, "k", "n")
+    assert sorted(map(tuple, done.collect())) == [("a", 3), ("b", 5), ("c", 9)]
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_second_gazetteer_fills_half_empty_and_repeated_rows(spark):
