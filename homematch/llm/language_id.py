@@ -9,7 +9,6 @@ the sample that was not learned from calibrates the probabilities.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,10 +27,18 @@ SAMPLE_PER_LANGUAGE = 1500
 BLOCK = 200_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
-LETTER = re.compile(r"[^\W\d_]")
+#: Different languages that a model takes at most; each has a column of weights.
+MOST_LANGUAGES = 1000
+#: Weight of the calibration's prior, which draws the temperature to 1 where few texts or no errors speak.
+PRIOR = 4.0
 UNKNOWN = "und"
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a text is a letter by its Unicode category; number signs such as halves are none."""
+    return any(map(str.isalpha, text))
+
+
 def gram_counts(text: str) -> np.ndarray:
     """Counts of the hashed 1-, 2- and 3-grams of a whole text, letter case ignored."""
     low = text.lower()
@@ -68,7 +75,7 @@ class LanguageModel:
         return x @ self.weights[at] + self.intercepts
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         p = softmax(self.logits(*weighted(gram_counts(text), self.idf)) / self.temperature)
         best = int(np.argmax(p))
@@ -123,11 +130,11 @@ def learned(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, seed:
 
 
 def fitted_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Temperature of least log loss, by golden-section search on its logarithm."""
+    """Temperature of least log loss under a prior around 1, by golden-section search on its logarithm."""
 
     def loss(t: float) -> float:
         p = softmax(logits / np.exp(t))
-        return -float(np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).mean())
+        return -float(np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).sum()) + PRIOR * t * t
 
     low, high, ratio = -4.0, 3.0, (np.sqrt(5) - 1) / 2
     for _ in range(60):
@@ -143,7 +150,9 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
     most about ``per_language`` texts a language, chosen by hash; a fifth of it
     is kept for the temperature.
     """
-    per = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    per = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(per) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different languages")
     languages = sorted(per)
     if not languages:
         return LanguageModel([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
@@ -189,7 +198,9 @@ def identify_languages(
     Learns from rows whose crc32(key as text) mod ``divisor`` is not ``held``
     and whose text and language are present. Texts that are null, empty or
     without a letter are ``und`` with score 0, as are all if there is nothing to
-    learn from. Repeated rows are judged each; an empty table gives no rows;
+    learn from. Of languages with equal probability the first in the order of
+    their names counts. Texts of any length are read whole, in blocks. Over
+    ``MOST_LANGUAGES`` different languages raise an error. Repeated rows are judged each; an empty table gives no rows;
     other columns, whatever their names, are ignored.
     """
     predict = predictor(docs, train(training_rows(docs, key, text, lang, divisor, held)))
