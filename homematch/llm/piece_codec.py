@@ -29,9 +29,29 @@ CACHE_UNITS, CACHE_CHARS = 300_000, 64
 
 
 def load_pieces(path: str) -> dict:
-    """Pieces, scores, byte ids and the flags that matter, read from a model file."""
-    import sentencepiece
+    """Pieces, scores and byte ids, read from a model file.
 
+    A model that this codec would not encode exactly raises an error: one that
+    is no merge model, changes texts before it splits them, drops blanks, adds
+    no leading one, has pieces of its user, or no bytes to fall back on.
+    """
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as layout
+
+    with open(path, "rb") as file:
+        spec = layout.ModelProto.FromString(file.read())
+    trainer, rules = spec.trainer_spec, spec.normalizer_spec
+    wrong = {
+        "no merge model": trainer.model_type != trainer.BPE,
+        "texts are normalised": bool(rules.precompiled_charsmap) or rules.name != "identity" or bool(rules.normalization_rule_tsv),
+        "blanks are dropped": rules.remove_extra_whitespaces,
+        "no leading blank": not rules.add_dummy_prefix or trainer.treat_whitespace_as_suffix,
+        "blanks stay as they are": not rules.escape_whitespaces,
+        "no byte fallback": not trainer.byte_fallback,
+        "pieces of the user": any(p.type == p.USER_DEFINED for p in spec.pieces),
+    }
+    if any(wrong.values()):
+        raise ValueError(f"{path}: {', '.join(k for k, v in wrong.items() if v)}")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     size = model.get_piece_size()
     plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
