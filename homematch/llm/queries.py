@@ -142,15 +142,15 @@ WITH d AS (
     SELECT r, sum(least(5, coalesce(following - i, 5))) AS n
     FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM again) GROUP BY r
 ), lines AS (
-    SELECT r, host, t, l FROM (SELECT r, host, t, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
+    SELECT r, host, doc, l FROM (SELECT r, host, coalesce('id ' || doc_id, 'text ' || t) AS doc, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
 ), line_counts AS (
     SELECT r, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY r
 ), keyed AS (
-    SELECT r, host, t, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS k,
+    SELECT r, host, doc, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS k,
            length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS chars
     FROM lines
 ), common AS (
-    SELECT host, k FROM keyed GROUP BY host, k HAVING count(DISTINCT t) > {quality_rules.LINE_LIMIT}
+    SELECT host, k FROM keyed GROUP BY host, k HAVING count(DISTINCT doc) > {quality_rules.LINE_LIMIT}
 ), gone AS (
     SELECT r, sum(chars) AS n FROM keyed JOIN common USING (host, k) GROUP BY r
 ), counted AS (
