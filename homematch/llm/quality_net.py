@@ -1,9 +1,10 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-Bytes are embedded, filters slide over the whole text, and their answers are
-pooled to a maximum in overlapping chunks that cover it. The largest and the
-mean chunk answers of all filters go through a small dense layer to one
-probability. The weights are learned on a bounded sample of labelled texts.
+Bytes are embedded, filters stand at every byte of the whole text, and their
+answers are pooled to a maximum in overlapping chunks that cover it. The largest
+and the mean chunk answers of all filters go through a small dense layer to one
+probability. The weights are learned on a bounded sample of labelled texts, in
+a number of updates that does not fall with the sample.
 """
 
 from __future__ import annotations
@@ -16,15 +17,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from homematch.llm.common import id_remainder, sampled
 
-#: Embedding size, bytes a step, steps a filter sees, filters, hidden units.
-EMBED, STEP, REACH, FILTERS, HIDDEN = 8, 4, 2, 32, 16
-#: Steps pooled first; a chunk is two neighbouring runs of ``HALF`` steps, so chunks overlap by half.
-HALF = 16
-#: Steps scored at a time.
-BLOCK = HALF * 2048
+#: Embedding size, bytes a filter sees, filters, hidden units.
+EMBED, REACH, FILTERS, HIDDEN = 8, 8, 32, 16
+#: Bytes pooled first; a chunk is two neighbouring runs of ``HALF`` bytes, so chunks overlap by half.
+HALF = 64
+#: Bytes scored at a time.
+BLOCK = HALF * 256
 #: Labelled documents the learning sample has at most, about.
 SAMPLE_ROWS = 3000
-EPOCHS, BATCH, RATE = 4, 16, 0.004
+#: Passes over the sample, and updates that are made at least.
+EPOCHS, UPDATES, BATCH, RATE = 4, 500, 16, 0.004
 THRESHOLD = 0.7
 
 
@@ -39,7 +41,7 @@ class QualityNet:
         r = np.random.default_rng(seed)
         return cls({
             "embed": r.normal(0, 0.5, (256, EMBED)).astype(np.float32),
-            "filters": r.normal(0, 0.15, (REACH, STEP * EMBED, FILTERS)).astype(np.float32),
+            "filters": r.normal(0, 0.15, (REACH, EMBED, FILTERS)).astype(np.float32),
             "bias": np.zeros(FILTERS, np.float32),
             "dense": r.normal(0, 0.15, (2 * FILTERS, HIDDEN)).astype(np.float32),
             "dense_bias": np.zeros(HIDDEN, np.float32),
@@ -47,33 +49,30 @@ class QualityNet:
             "out_bias": np.zeros(1, np.float32),
         })
 
-    def steps(self, data: np.ndarray) -> np.ndarray:
-        """Steps of a text's bytes, padded by zero bytes to whole half chunks and one step more for the filters' reach."""
-        count = max(1, -(-data.size // (STEP * HALF))) * HALF + REACH - 1
-        padded = np.zeros(count * STEP, np.uint8)
-        padded[: data.size] = data
-        return padded.reshape(count, STEP)
-
-    def answers(self, steps: np.ndarray) -> np.ndarray:
-        """Filter answers at all but the last steps."""
-        seen = self.w["embed"][steps].reshape(len(steps), STEP * EMBED)
-        count = len(steps) - REACH + 1
-        total = seen[:count] @ self.w["filters"][0]
-        for i in range(1, REACH):
-            total += seen[i : i + count] @ self.w["filters"][i]
-        return total
-
-    def halves(self, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Largest answer of each half chunk and the step where it stands."""
-        answers = self.answers(steps).reshape(-1, HALF, FILTERS)
+    def padded(self, data: np.ndarray) -> np.ndarray:
+        """A text's bytes, padded by zero bytes to whole half chunks and the filters' reach beyond."""
+        count = max(1, -(-data.size // HALF)) * HALF + REACH - 1
+        out = np.zeros(count, np.uint8)
+        out[: data.size] = data
+        return out
+
+    def answers(self, data: np.ndarray) -> np.ndarray:
+        """Filter answers at all bytes that have the filters' reach behind them."""
+        seen = self.w["embed"][data]
+        windows = np.lib.stride_tricks.sliding_window_view(seen.reshape(-1), REACH * EMBED)[::EMBED]
+        return np.ascontiguousarray(windows) @ self.w["filters"].reshape(REACH * EMBED, FILTERS)
+
+    def halves(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest answer of each half chunk and the byte where it stands."""
+        answers = self.answers(data).reshape(-1, HALF, FILTERS)
         at = answers.argmax(axis=1)
         return np.take_along_axis(answers, at[:, None], 1)[:, 0], at + np.arange(len(answers))[:, None] * HALF
 
-    def half_maxima(self, steps: np.ndarray) -> np.ndarray:
+    def half_maxima(self, data: np.ndarray) -> np.ndarray:
         """Largest answer of each half chunk, in blocks so that long texts need no more memory."""
-        count = len(steps) - REACH + 1
+        count = len(data) - REACH + 1
         parts = [
-            self.answers(steps[start : min(start + BLOCK, count) + REACH - 1]).reshape(-1, HALF, FILTERS).max(axis=1)
+            self.answers(data[start : min(start + BLOCK, count) + REACH - 1]).reshape(-1, HALF, FILTERS).max(axis=1)
             for start in range(0, count, BLOCK)
         ]
         return np.concatenate(parts)
@@ -87,15 +86,15 @@ class QualityNet:
 
     def score(self, text: str | None) -> float:
         """Probability of good quality; also for an empty text, which is one chunk of padding."""
-        half = self.half_maxima(self.steps(np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)))
+        half = self.half_maxima(self.padded(np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)))
         chunks = np.maximum(half[:-1], half[1:]) if len(half) > 1 else half
         z = self.hidden(self.pooled(chunks)) @ self.w["out"] + self.w["out_bias"][0]
         return float(1 / (1 + np.exp(-np.clip(float(z), -30, 30))))
 
     def gradients(self, data: np.ndarray, label: int, grad: dict[str, np.ndarray]) -> None:
         """Add the gradients of one text's log loss."""
-        w, steps = self.w, self.steps(data)
-        value, at = self.halves(steps)
+        w, held = self.w, self.padded(data)
+        value, at = self.halves(held)
         if len(value) > 1:
             first = value[:-1] >= value[1:]
             at, value = np.where(first, at[:-1], at[1:]), np.maximum(value[:-1], value[1:])
@@ -116,8 +115,8 @@ class QualityNet:
         to_answer = (to_seen * (1 - seen**2)).astype(np.float32)
         grad["bias"] += to_answer.sum(axis=0)
         for i in range(REACH):
-            codes = steps[at + i]  # chunks x filters x STEP
-            vectors = w["embed"][codes].reshape(len(at), FILTERS, STEP * EMBED)
+            codes = held[at + i]  # chunks x filters
+            vectors = w["embed"][codes]
             grad["filters"][i] += np.einsum("cfe,cf->ef", vectors, to_answer)
             to_embed = to_answer[:, :, None] * w["filters"][i].T[None]
             places, flat = codes.reshape(-1), to_embed.reshape(-1, EMBED)
@@ -125,9 +124,10 @@ class QualityNet:
                 grad["embed"][:, e] += np.bincount(places, flat[:, e], 256)
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 2, epochs: int = EPOCHS) -> QualityNet:
-    """Network learned by Adam on whole texts."""
+def fit(texts: list[str], labels: list[int], seed: int = 2) -> QualityNet:
+    """Network learned by Adam on whole texts; small samples are passed over more often."""
     net = QualityNet.fresh(seed)
+    epochs = max(EPOCHS, -(-UPDATES * BATCH // max(len(texts), 1))) if texts else 0
     data = [np.frombuffer(t.encode("utf-8", "replace"), np.uint8) for t in texts]
     if labels:
         share = min(max(sum(labels) / len(labels), 0.01), 0.99)
@@ -183,7 +183,8 @@ def score_quality(
 
     Learns from labels whose crc32(key as text) mod ``divisor`` is not ``held``.
     Null texts count as empty and get a score too. Without labels the network is
-    the untrained one. Repeated rows are scored each; an empty table gives no
+    the untrained one. Texts of any length are scored whole, in blocks that
+    change nothing. Repeated rows are scored each; an empty table gives no
     rows; other columns, whatever their names, are ignored.
     """
     score = scorer(docs, train(docs, labels, key, text, label, divisor, held))
