@@ -14,7 +14,7 @@ TEXTS = [
     (None, "A text without an id, licensed under CC BY-NC 4.0.", "en", "c"),
     (10, "日本語 \U0001F600  \U0001F601 é\u0301 ½", "en", "c"),
 ]
-CLASHING = ["score", "part", "order", "hits", "row", "rep", "n", "token", "window", "signature", "_label", "place", "path", "kept", "host"]
+CLASHING = ["score", "part", "order", "hits", "row", "rep", "n", "token", "window", "signature", "_label", "_unnamed", "row_key", "place", "path", "kept", "host"]
 
 
 @pytest.fixture(scope="session")

@@ -98,7 +98,7 @@ def test_quality_gradients_follow_the_loss():
     def loss():
         return -np.log(net.score(data.tobytes().decode()))
 
-    for name, at in (("out", (2,)), ("dense", (5, 3)), ("filters", (0, 4, 1)), ("embed", (ord("w"), 2))):
+    for name, at in (("out", (2,)), ("dense", (5, 3)), ("filters", (3, 4, 1)), ("embed", (ord("w"), 2))):
         old = net.w[name][at]
         net.w[name][at] = old + 1e-2
         up = loss()
@@ -108,6 +108,43 @@ def test_quality_gradients_follow_the_loss():
         assert grad[name][at] == pytest.approx((up - down) / 2e-2, rel=0.15, abs=2e-3)
 
 
+def plain_score(net, text):
+    """The forward pass, byte by byte and chunk by chunk."""
+    data = (text or "").encode()
+    count = max(1, -(-len(data) // quality_net.HALF)) * quality_net.HALF
+    data += bytes(count + quality_net.REACH - 1 - len(data))
+    answers = []
+    for at in range(count):
+        total = np.zeros(quality_net.FILTERS)
+        for i in range(quality_net.REACH):
+            for e in range(quality_net.EMBED):
+                total += float(net.w["embed"][data[at + i], e]) * net.w["filters"][i, e]
+        answers.append(total)
+    halves = [np.max(answers[s:s + quality_net.HALF], axis=0) for s in range(0, count, quality_net.HALF)]
+    chunks = [np.maximum(a, b) for a, b in zip(halves, halves[1:])] or halves
+    seen = [np.tanh(c + net.w["bias"]) for c in chunks]
+    pooled = np.concatenate([np.max(seen, axis=0), np.mean(seen, axis=0)])
+    hidden = np.tanh(pooled @ net.w["dense"] + net.w["dense_bias"])
+    return 1 / (1 + np.exp(-(hidden @ net.w["out"] + net.w["out_bias"][0])))
+
+
+def test_quality_scores_against_a_plain_pass():
+    net = quality_net.QualityNet.fresh(3)
+    for text in ("", None, "a", "Straße " * 30, "x" * 64, "some words, " * 17):
+        assert net.score(text) == pytest.approx(float(plain_score(net, text)), abs=1e-5)
+
+
+def test_shifted_texts_keep_their_decision():
+    """Filters stand at every byte, so some blanks in front move a score by little."""
+    r = random.Random(2)
+    words = ["green", "house", "by", "the", "river", "and", "hill", "with", "old", "trees"]
+    texts = [" ".join(r.choice(words) for _ in range(60)) if i % 2 else " ".join(r.choice(words).upper() + "!!" for _ in range(60)) for i in range(60)]
+    net = quality_net.fit(texts[:40], [i % 2 for i in range(40)])
+    for text in texts[40:]:
+        scores = [net.score(" " * shift + text) for shift in range(4)]
+        assert max(scores) - min(scores) < 0.05 and len({s >= 0.5 for s in scores}) == 1
+
+
 def test_blocks_do_not_change_scores(monkeypatch):
     net, text = quality_net.QualityNet.fresh(3), "abc def " * 20_000
     whole = net.score(text)
@@ -135,6 +172,59 @@ def test_language_identification(spark, odd, empty):
     assert language_id.identify_languages(empty).count() == 0
 
 
+@pytest.mark.parametrize(("text", "letter"), [("½ ² ① Ⅷ 12 _ !", False), ("\u0301 \u200b 😀", False), ("½a", True), ("日", True), ("ª", True), ("", False)])
+def test_letters(text, letter):
+    assert language_id.has_letter(text) == letter
+    model = language_id.LanguageModel(["a", "b"], np.ones(language_id.BUCKETS), np.zeros((language_id.BUCKETS, 2)), np.zeros(2), 1.0)
+    assert model.predict(text) == (("a", 0.5) if letter else ("und", 0.0))  # equal probabilities: the first name
+
+
+def plain_ftrl(rows, classes, seed):
+    """Follow-the-regularised-leader over dictionaries, one number at a time."""
+    z, n, bias, bias_n = {}, {}, [0.0] * classes, [0.0] * classes
+
+    def weight(key):
+        value = z.get(key, 0.0)
+        if abs(value) <= language_id.L1:
+            return 0.0
+        return -(value - np.sign(value) * language_id.L1) / ((language_id.BETA + np.sqrt(n.get(key, 0.0))) / language_id.ALPHA + language_id.L2)
+
+    order = np.random.default_rng(seed)
+    for _ in range(language_id.EPOCHS):
+        for i in order.permutation(len(rows)):
+            at, x, label = rows[i]
+            held = {(b, c): weight((b, c)) for b in at.tolist() for c in range(classes)}
+            scores = [bias[c] + sum(v * held[b, c] for b, v in zip(at.tolist(), x.tolist(), strict=True)) for c in range(classes)]
+            top = [np.exp(s - max(scores)) for s in scores]
+            for c in range(classes):
+                error = top[c] / sum(top) - (c == label)
+                for b, v in zip(at.tolist(), x.tolist(), strict=True):
+                    g, key = v * error, (b, c)
+                    sigma = (np.sqrt(n.get(key, 0.0) + g * g) - np.sqrt(n.get(key, 0.0))) / language_id.ALPHA
+                    z[key] = z.get(key, 0.0) + g - sigma * held[key]
+                    n[key] = n.get(key, 0.0) + g * g
+                bias_n[c] += error * error
+                bias[c] -= language_id.ALPHA * error / (language_id.BETA + np.sqrt(bias_n[c]))
+    return {key: weight(key) for key in z}, bias
+
+
+def test_learning_against_plain_ftrl():
+    r = random.Random(3)
+    texts = [("ab ba abba", 0), ("cd dc cddc", 1), ("ef fe", 2)]
+    rows = [(*language_id.weighted(language_id.gram_counts(" ".join(r.choice(t.split()) for _ in range(4))), np.ones(language_id.BUCKETS)), y) for t, y in texts * 6]
+    weights, bias = language_id.learned(rows, 3, 1)
+    expected, expected_bias = plain_ftrl(rows, 3, 1)
+    assert bias == pytest.approx(expected_bias, abs=1e-9) and (weights != 0).sum() == sum(v != 0 for v in expected.values()) > 0
+    assert all(weights[key] == pytest.approx(v, abs=1e-9) for key, v in expected.items())
+
+
+def test_calibration_without_errors_stays_moderate():
+    logits = np.array([[4.0, 0.0], [0.0, 4.0]] * 20)
+    labels = np.array([0, 1] * 20)
+    assert 0.5 < language_id.fitted_temperature(logits, labels) <= 1.05
+    assert language_id.fitted_temperature(logits, 1 - labels) > 3
+
+
 def test_grams_are_counted_over_whole_texts(monkeypatch):
     text = "Straße und Haus " * 50
     whole = language_id.gram_counts(text)
@@ -285,6 +375,67 @@ def test_piece_codec_equals_the_library(odd, empty):
     assert piece_codec.encode_documents(empty, PIECES).count() == 0
 
 
+def test_other_piece_models_raise(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as layout
+
+    for change in ("normaliser", "kind", "blanks"):
+        spec = layout.ModelProto.FromString(open(PIECES, "rb").read())
+        if change == "normaliser":
+            spec.normalizer_spec.name = "nmt_nfkc"
+        elif change == "kind":
+            spec.trainer_spec.model_type = spec.trainer_spec.UNIGRAM
+        else:
+            spec.normalizer_spec.remove_extra_whitespaces = True
+        (tmp_path / change).write_bytes(spec.SerializeToString())
+        with pytest.raises(ValueError):
+            piece_codec.load_pieces(str(tmp_path / change))
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(5, long), (5, "another text of its own"), (3, long + " w"), (4, "another text of its own"), (9, "nothing like it at all"), (9, "nothing like it at all")]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(3, 3), (4, 3), (5, 3), (9, 9)} and len(found) == 6
+
+
+def test_parities_never_exceed_the_difference():
+    r = random.Random(7)
+    for _ in range(200):
+        a, b = ({r.randrange(1 << 64) for _ in range(r.randint(0, 700))} for _ in range(2))
+        b |= set(list(a)[: r.randint(0, 700)])
+        marks = [near_dedup.parities(np.array(sorted(x), np.uint64)).view(np.uint64) for x in (a, b)]
+        assert int(np.bitwise_count(marks[0] ^ marks[1]).sum()) <= len(a ^ b)
+
+
+def test_copies_over_the_line_limit_in_sql(spark):
+    import duckdb
+
+    from homematch.llm import queries
+
+    line = "A page made of one template that every copy of it repeats"
+    rows = [(i, line, "copies") for i in range(quality_rules.LINE_LIMIT + 10)] + [(1000 + i, line, "few") for i in range(5)] + [(None, line, "none"), (1000, line, "few")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    cursor = con.execute(queries.CHECKS["op6_quality_rules"])
+    names = [d[0] for d in cursor.description]
+    expected = Counter(map(tuple, cursor.fetchall()))
+    assert Counter(tuple(r[n] for n in names) for r in quality_rules.judge_documents(docs).collect()) == expected
+    assert sum(n for row, n in expected.items() if not row[names.index("kept")]) == quality_rules.LINE_LIMIT + 10
+
+
+def test_pipeline_keeps_every_clean_text(spark):
+    import corpus_pipeline
+
+    own = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcde"]
+    rows = [(1, own[0]), (2, own[1]), (2, own[2]), (None, own[3]), (None, own[4]), (None, own[4]), (7, own[0] + " end"), (2, own[0] + " more"), (8, own[1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x", "y") for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, row_key string, _id string")
+    left = corpus_pipeline.without_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = sorted((r.text, r.doc_id is None) for r in left.collect())
+    assert [t for t, _ in kept] == sorted(own) and {r.row_key + r._id for r in left.collect()} == {"xy"}
+
+
 @has_data
 def test_pipeline(spark, odd, empty, tmp_path):
     import corpus_pipeline
