@@ -81,9 +81,10 @@ def address_key(address: Column, word_bounded: bool = False) -> Column:
     """Address cleaned for lookup.
 
     Repeated fragments collapse even inside words; ``word_bounded`` limits that
-    to whole words.
+    to whole words. A fragment always ends its word, so the pattern never gives
+    a character back.
     """
-    repeat = r"(?U)\b(\w+)\s+\1\b" if word_bounded else r"(?U)(\w+)\s+\1"
+    repeat = r"(?U)\b(\w++)\s++\1\b" if word_bounded else r"(?U)(\w++)\s++\1"
     text = F.regexp_replace(address, r"(?U)[^\w\s,]", "")
     text = F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
     text = F.regexp_replace(text, ",+", ",")

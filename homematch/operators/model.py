@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
@@ -11,14 +13,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from homematch import schemas
 from homematch.operators.encode import fit_scaler, scale
 from homematch.operators.filters import profile_mask
 from homematch.operators.pairs import stratified_split
-from homematch.operators.ranking import hash_rank
+from homematch.operators.ranking import exact_medians, hash_rank
 from homematch.operators.recommend import linear_part
 
 MODELS = {
@@ -28,6 +30,39 @@ MODELS = {
 }
 
 
+#: Share of the unit matrix that is added to a Gram matrix, so that inputs which add up to a constant can be solved.
+RIDGE = 1e-4
+
+
+@dataclass(frozen=True)
+class StoredWeights:
+    """Linear classifier kept as a table of weights; the weight without a feature is the intercept."""
+
+    weights: dict[str, float]
+    intercept: float = 0.0
+
+    @classmethod
+    def read(cls, table: DataFrame) -> StoredWeights:
+        """From rows (feature, weight), one for each input."""
+        held = {r["feature"]: r["weight"] for r in table.select("feature", "weight").collect()}
+        intercept = held.pop(None, 0.0)
+        return cls(held, intercept)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([*self.weights.items(), (None, self.intercept)], "feature string, weight double")
+
+    def probability(self, values: Column) -> Column:
+        """Probability for an array of inputs in the order of the weights."""
+        products = F.zip_with(values, F.array(*[F.lit(float(w)) for w in self.weights.values()]), lambda value, weight: value * weight)
+        score = F.aggregate(products, F.lit(float(self.intercept)), lambda total, part: total + part)
+        return 1 / (1 + F.exp(-score))
+
+
+def stored_weights(model: LogisticRegressionModel, features: Sequence[str] = tuple(schemas.MODEL_FEATURES)) -> StoredWeights:
+    """Weights of a fitted linear classifier under the names of its inputs."""
+    return StoredWeights(dict(zip(features, map(float, model.coefficients.toArray()), strict=True)), float(model.intercept))
+
+
 def assembled(df: DataFrame, features: Sequence[str] = tuple(f"z_{c}" for c in schemas.MODEL_FEATURES)) -> DataFrame:
     """Vector ``features`` in fixed order; a missing value stops the job."""
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(df)
@@ -90,13 +125,16 @@ def training_history(model: Model, train: DataFrame, key: str = "pair_id", seed:
     return spark.createDataFrame(rows, "round int, train_loss double, validation_loss double, train_accuracy double, validation_accuracy double")
 
 
-def scored(model: Model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+def scored(model: Model | StoredWeights, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Add ``probability`` of a suitable pair and the ``predicted`` label."""
+    if isinstance(model, StoredWeights):
+        judged = df.withColumn("probability", model.probability(vector_to_array("features")))
+        return judged.withColumn("predicted", (F.col("probability") > threshold).cast("int"))
     out = model.transform(df).withColumn("probability", vector_to_array("probability")[1])
     return out.withColumn("predicted", (F.col("probability") > threshold).cast("int")).drop("rawPrediction", "prediction")
 
 
-def permutation_importance(model: Model, df: DataFrame, features: Sequence[str], key: str = "pair_id", seed: int = 7) -> DataFrame:
+def permutation_importance(model: Model | StoredWeights, df: DataFrame, features: Sequence[str], key: str = "pair_id", seed: int = 7) -> DataFrame:
     """Accuracy lost when one input is swapped between rows, for every input.
 
     Each row meets a partner, the row at the same rank of a second hash order.
@@ -128,54 +166,97 @@ def load_model(spark, folder: str, kind: str = "gbt") -> tuple[Model, DataFrame]
     return MODELS[kind].load(f"{folder}/model"), spark.read.parquet(f"{folder}/scaler")
 
 
+#: Stored property inputs that may be missing; flags count as 0.
+MEASURED = ["price", "size_sq_ft", "latitude", "longitude", "bedrooms", "bathrooms", "price_relative_to_county_avg"]
+
+
+def fill_values(properties: DataFrame) -> DataFrame:
+    """Median of each measured input, one row, to be kept with a model."""
+    return exact_medians(properties, [c for c in MEASURED if c in properties.columns])
+
+
+def complete_properties(properties: DataFrame, fill: DataFrame) -> DataFrame:
+    """Properties with all model inputs: medians and zeros where missing, and the logarithms."""
+    held = {c: v for c, v in fill.first().asDict().items() if v is not None}
+    inputs = [c for c in schemas.PROPERTY_FEATURES if c not in ("log_price", "log_size")]
+    absent = {c: F.lit(0.0) for c in inputs if c not in properties.columns}
+    full = properties.withColumns(absent).na.fill(held).na.fill(0, [c for c in inputs if c not in held])
+    return full.withColumns({"log_price": F.log1p("price"), "log_size": F.log1p("size_sq_ft")})
+
+
+def save_serving(weights: StoredWeights, fill: DataFrame, folder: str) -> None:
+    """Write what batch recommendations need beside a model and its scaler."""
+    weights.table(fill.sparkSession).coalesce(1).write.mode("overwrite").parquet(f"{folder}/weights")
+    fill.write.mode("overwrite").parquet(f"{folder}/fill")
+
+
+def load_serving(spark: SparkSession, folder: str) -> tuple[StoredWeights, DataFrame]:
+    """Weights and fill values as they were saved."""
+    return StoredWeights.read(spark.read.parquet(f"{folder}/weights")), spark.read.parquet(f"{folder}/fill")
+
+
 def serving_scores(
-    model: LogisticRegressionModel, scaler: DataFrame, properties: DataFrame, profiles: DataFrame,
-    features: Sequence[str] = tuple(schemas.MODEL_FEATURES),
+    model: LogisticRegressionModel | StoredWeights, scaler: DataFrame, properties: DataFrame, profiles: DataFrame,
 ) -> tuple[DataFrame, DataFrame]:
     """``property_score`` and ``profile_score`` of a linear model.
 
     Both sides are scaled with the stored scaler. Every input belongs to one
     side, so the two parts add up to the log-odds of the pair.
     """
-    weights = dict(zip(features, model.coefficients.toArray()))
-    own = [c for c in features if c not in schemas.USER_FEATURES]
-    theirs = [c for c in features if c in schemas.USER_FEATURES]
+    held = model if isinstance(model, StoredWeights) else stored_weights(model)
+    own = [c for c in held.weights if c not in schemas.USER_FEATURES]
+    theirs = [c for c in held.weights if c in schemas.USER_FEATURES]
 
     def part(df: DataFrame, columns: Sequence[str], intercept: float, name: str) -> DataFrame:
         scaled = scale(df, scaler, columns, suffix="_scaled")
-        total = linear_part({f"{c}_scaled": weights[c] for c in columns}, intercept)
+        total = linear_part({f"{c}_scaled": held.weights[c] for c in columns}, intercept)
         return scaled.withColumn(name, total).drop(*[f"{c}_scaled" for c in columns])
 
-    return part(properties, own, float(model.intercept), "property_score"), part(profiles, theirs, 0.0, "profile_score")
+    return part(properties, own, held.intercept, "property_score"), part(profiles, theirs, 0.0, "profile_score")
 
 
-def recommend_profile(model: Model, scaler: DataFrame, properties: DataFrame, profile: dict, k: int = 5, threshold: float = 0.5) -> DataFrame:
-    """Best ``k`` properties of one profile under any classifier.
+def recommend_profile(
+    model: Model | StoredWeights, scaler: DataFrame, properties: DataFrame, profile: dict, fill: DataFrame | None = None, k: int = 5, threshold: float = 0.5,
+) -> DataFrame:
+    """Best ``k`` properties of one profile under any classifier, by ``position``.
 
     ``profile`` holds plain values with the tenure preference already a code.
     The hard preferences filter first, so only properties in question are scored,
-    with the ratios of this buyer as in training.
+    with the ratios of this buyer as in training. ``fill`` completes properties
+    that lack an input. Equal probabilities go by id.
     """
     from homematch.functions.numbers import pair_ratios
 
+    features = list(model.weights) if isinstance(model, StoredWeights) else list(schemas.MODEL_FEATURES)
     kept = properties.where(profile_mask(properties.columns, profile))
+    kept = complete_properties(kept, fill) if fill is not None else kept.withColumns({"log_price": F.log1p("price"), "log_size": F.log1p("size_sq_ft")})
     income, savings = F.lit(float(profile["income"])), F.lit(float(profile["savings"]))
     asked = kept.withColumns({c: F.lit(float(profile[c])) for c in schemas.USER_FEATURES})
-    asked = asked.withColumns({
-        **pair_ratios(F.col("price"), income, savings),
-        "log_price": F.log1p("price"), "log_size": F.log1p("size_sq_ft"),
-    })
-    inputs = scale(asked, scaler, schemas.MODEL_FEATURES, suffix="_scaled")
-    out = scored(model, assembled(inputs, [f"{c}_scaled" for c in schemas.MODEL_FEATURES]), threshold)
+    asked = asked.withColumns(pair_ratios(F.col("price"), income, savings))
+    inputs = scale(asked, scaler, features, suffix="_scaled")
+    out = scored(model, assembled(inputs, [f"{c}_scaled" for c in features]), threshold)
     best = out.where(F.col("probability") > threshold).orderBy(F.desc("probability"), "id").limit(k)
-    return best.drop("features", *[f"{c}_scaled" for c in schemas.MODEL_FEATURES])
+    placed = best.withColumn("position", F.row_number().over(Window.orderBy(F.desc("probability"), "id")))
+    return placed.drop("features", *[f"{c}_scaled" for c in features])
+
+
+def moments(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Mean products of every two columns, by one aggregation; the driver sees one number for each pair of columns."""
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    row = df.agg(*[F.avg(F.col(columns[i]) * F.col(columns[j])).alias(f"m{n}") for n, (i, j) in enumerate(pairs)]).first()
+    out = np.zeros((len(columns), len(columns)))
+    for n, (i, j) in enumerate(pairs):
+        out[i, j] = out[j, i] = row[n] or 0.0
+    return out
 
 
 def price_regression(df: DataFrame, features: Sequence[str], key: str = "id", target: str = "price", kind: str = "linear", seed: int = 42) -> DataFrame:
     """Price estimates for a held-out fifth, on the original scale.
 
     Inputs and target are scaled with figures of the training rows; the target
-    is not among the inputs.
+    is not among the inputs. The linear kind solves the normal equations of the
+    scaled inputs with a small ridge, so one aggregation fits it; ``gbt`` are
+    boosted trees.
     """
     if target in features:
         raise ValueError(f"{target} cannot be an input")
@@ -184,8 +265,16 @@ def price_regression(df: DataFrame, features: Sequence[str], key: str = "id", ta
     columns = [*features, target]
     scaler = fit_scaler(divided.where(F.col("is_test") == 0), columns)
     held = scaler.first()
-    ready = assembled(scale(divided, scaler, columns, suffix="_z"), [f"{c}_z" for c in features])
-    maker = LinearRegression if kind == "linear" else GBTRegressor
-    model = maker(labelCol=f"{target}_z", featuresCol="features").fit(ready.where(F.col("is_test") == 0))
+    ready = scale(divided, scaler, columns, suffix="_z")
+    train, test = ready.where(F.col("is_test") == 0), ready.where(F.col("is_test") == 1)
+    inputs = [f"{c}_z" for c in features]
+    if kind == "linear":
+        products = moments(train, [*inputs, f"{target}_z"])
+        size = len(inputs)
+        weights = np.linalg.solve(products[:size, :size] + RIDGE * np.eye(size), products[:size, size])
+        judged = test.withColumn("prediction", linear_part(dict(zip(inputs, weights, strict=True))))
+    else:
+        fitted = GBTRegressor(labelCol=f"{target}_z", featuresCol="features").fit(assembled(train, inputs))
+        judged = fitted.transform(assembled(test, inputs))
     estimate = F.col("prediction") * float(held[f"{target}_std"] or 1.0) + float(held[f"{target}_mean"])
-    return model.transform(ready.where(F.col("is_test") == 1)).select(key, target, estimate.alias("estimate"))
+    return judged.select(key, target, estimate.alias("estimate"))

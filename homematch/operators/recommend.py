@@ -189,11 +189,19 @@ def recommend(profiles: DataFrame, properties: DataFrame, k: int = 5, threshold:
     ).where(F.col("probability") > threshold)
 
 
+#: What a buyer sees of a property.
+SHOWN = ["price", "size_sq_ft", *LOCATION_FLAGS, "has_garden", "has_parking", *TYPE_FLAGS, "county", "property_url"]
+
+
+def shown(properties: DataFrame, key: str = "id") -> DataFrame:
+    """Properties under their key with the columns shown to a buyer, as far as there are such."""
+    return properties.select(key, *[c for c in SHOWN if c in properties.columns])
+
+
 def displayed(recommendations: DataFrame, properties: DataFrame) -> DataFrame:
     """Recommendations with the columns shown to a buyer."""
-    shown = ["size_sq_ft", *LOCATION_FLAGS, "has_garden", "has_parking", *TYPE_FLAGS, "county", "property_url"]
-    kept = properties.select(F.col("id").alias("property_id"), *[c for c in shown if c in properties.columns])
-    return recommendations.join(kept, "property_id")
+    kept = shown(properties).withColumnRenamed("id", "property_id")
+    return recommendations.join(kept.drop(*[c for c in recommendations.columns if c != "property_id"]), "property_id")
 
 
 def prepared_profiles(profiles: DataFrame, scaler: DataFrame) -> DataFrame:

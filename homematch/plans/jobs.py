@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from homematch import schemas
 from homematch.functions import dates, text
 from homematch.lookups import CLEANSE_TARGETS
-from homematch.operators import encode, impute, joins, metrics, model, pairs, profile
+from homematch.operators import encode, impute, joins, metrics, model, pairs, profile, recommend
 from homematch.operators.filters import require_rows, shires_in_year
 from homematch.operators.unions import stacked
 from homematch.session import saved
@@ -128,9 +128,11 @@ def train_and_evaluate(
     properties: DataFrame, users: DataFrame, folder: str, kind: str = "gbt", pairs_per_user: int = 10,
     sample_size: int | None = None, rounds: int = 40, numeric_preference: bool = False,
 ) -> dict[str, DataFrame | Model]:
-    """Pairs, training, evaluation, importances, mistakes; model and scaler are saved.
+    """Pairs, training, evaluation, importances, mistakes; model, scaler and what serving needs are saved.
 
-    The split pairs are written below ``folder`` once, and so are the scored test
+    Beside the classifier asked for, a linear one is fitted on the same rows and
+    kept as a table of weights with the medians that fill properties, which is
+    what batch recommendations take. The split pairs are written below ``folder`` once, and so are the scored test
     rows; training and every report read them from there.
     """
     require_rows(properties=properties, users=users)
@@ -143,6 +145,8 @@ def train_and_evaluate(
     train, test = ready.where(F.col("is_test") == 0), ready.where(F.col("is_test") == 1)
     fitted = model.train_classifier(train, kind, rounds=rounds)
     model.save_model(fitted, scaler, folder)
+    linear = fitted if kind == "logistic" else model.train_classifier(train, "logistic", rounds=rounds)
+    model.save_serving(model.stored_weights(linear), model.fill_values(properties), folder)
     inputs = [f"z_{c}" for c in schemas.MODEL_FEATURES]
     model.scored(fitted, test).select("pair_id", "y", "predicted", "probability", *inputs).write.mode("overwrite").parquet(f"{folder}/judged")
     judged = spark.read.parquet(f"{folder}/judged")
@@ -158,6 +162,25 @@ def train_and_evaluate(
     }
 
 
+def recommend_saved(spark: SparkSession, folder: str, properties: DataFrame, profiles: DataFrame, k: int = 5, threshold: float = 0.5) -> DataFrame:
+    """Recommendations of all profiles with the weights, scaler and fill values that training saved below ``folder``.
+
+    Profiles hold plain texts; their tenure preference may be written with an
+    underscore.
+    """
+    weights, fill = model.load_serving(spark, folder)
+    return recommend_with(weights, spark.read.parquet(f"{folder}/scaler"), fill, properties, profiles, k, threshold)
+
+
+def recommend_with(
+    weights: model.StoredWeights, scaler: DataFrame, fill: DataFrame, properties: DataFrame, profiles: DataFrame, k: int = 5, threshold: float = 0.5,
+) -> DataFrame:
+    """Recommendations of all profiles by a linear model."""
+    preference = text.preference_code(F.replace(F.col("tenure_preference"), F.lit("_"), F.lit(" ")))
+    scored = model.serving_scores(weights, scaler, model.complete_properties(properties, fill), profiles.withColumn("tenure_preference", preference))
+    return recommend.recommend(scored[1], scored[0], k, threshold)
+
+
 def premerge(
     listings: DataFrame, registry: DataFrame, gazetteers: tuple[DataFrame, DataFrame] | None = None,
     new_date: dt.date = dt.date(2023, 12, 31),

@@ -115,13 +115,9 @@ def l2(t):
     return t.listing.select("id", *[c.alias(n) for n, c in encode.county_flags(F.col("county")).items()])
 
 
-_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-
-@query("l2_flags_of_found_names", f"SELECT c_custkey, {', '.join(f'''CASE WHEN c_mktsegment = '{n}' THEN 1 ELSE 0 END AS county_{n}''' for n in _SEGMENTS)} FROM customer")
+@query("l2_flags_of_found_names", "SELECT c_custkey, 'county_' || c_mktsegment AS flag FROM customer WHERE c_mktsegment IS NOT NULL")
 def l2_found(t):
-    names = encode.county_names(t.customer, "c_mktsegment")
-    return t.customer.select("c_custkey", *[c.alias(n) for n, c in encode.county_flags(F.col("c_mktsegment"), names).items()])
+    return encode.found_flags(t.customer, "c_custkey", "c_mktsegment")
 
 
 @query("l3_location_columns", "SELECT id, 0 AS \"location_Urban\", 0 AS \"location_Suburban\", 0 AS \"location_Rural\", CAST(tenure AS VARCHAR) AS tenure FROM listing", "listing")

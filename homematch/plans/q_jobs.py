@@ -13,7 +13,7 @@ from homematch.plans.catalog import day, query, rounded, whole
 from homematch.plans.q_features import merged_with_id
 from homematch.plans.q_joins import gazetteers
 from homematch.plans.q_stores import listing_files, registry_file, registry_raw
-from homematch.plans.views import AS_OF
+from homematch.plans.views import AS_OF, VIEWS
 from homematch.session import scratch_path
 from homematch.sources import files, pages, stores, synthetic
 
@@ -172,31 +172,46 @@ def t3(t):
                       property_type AS code, 'registry' AS source FROM registry),
     s AS (SELECT property_url AS key, {S.price('price')} AS price, address || ', Buckinghamshire' AS address, DATE '2023-12-31' AS d,
                  {S.case_of('property_type', lookups.LISTING_TO_REGISTRY)} AS code, 'scraped' AS source FROM listing_raw),
-    known AS (SELECT address_key FROM gazetteer_a WHERE known UNION SELECT address_key FROM gazetteer_b WHERE known)
-    SELECT source, key, price, address, strftime(d, '%Y-%m-%d') AS "date", code FROM (SELECT * FROM r UNION ALL SELECT * FROM s)""", "registry listing_raw gazetteer_a gazetteer_b")
+    place AS (SELECT replace(coalesce(a.address_key, b.address_key), ', UK', ', Buckinghamshire, UK') AS address_key, coalesce(a.latitude, b.latitude) AS latitude, coalesce(a.longitude, b.longitude) AS longitude
+              FROM (SELECT * FROM gazetteer_a WHERE known) a FULL JOIN (SELECT * FROM gazetteer_b WHERE known) b ON a.address_key = b.address_key)
+    SELECT source, key, price, address, strftime(d, '%Y-%m-%d') AS "date", code, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude
+    FROM (SELECT * FROM r UNION ALL SELECT * FROM s) m LEFT JOIN place p ON p.address_key = m.address || ', UK'""", "registry listing_raw gazetteer_a gazetteer_b")
 def t5(t):
-    merged = jobs.premerge(t.listing_raw.drop("latitude", "longitude", "county"), registry_raw(t), gazetteers(t))
+    places = tuple(g.withColumn("address_key", F.replace("address_key", F.lit(", UK"), F.lit(", Buckinghamshire, UK"))) for g in gazetteers(t))
+    merged = jobs.premerge(t.listing_raw.drop("latitude", "longitude", "county"), registry_raw(t), places)
     return merged.select(
         "source", F.coalesce("`Unique Transaction Identifier`", "property_url").alias("key"), "price", F.col("normalized_address").alias("address"),
-        day("Date").alias("date"), F.col("Property Type").alias("code"),
+        day("Date").alias("date"), F.col("Property Type").alias("code"), rounded("latitude").alias("latitude"), rounded("longitude").alias("longitude"),
     )
 
 
-@query("t6_exploration", """
-    SELECT 'head' AS part, "column", value FROM (SELECT unnest(['id', 'price', 'street']) AS "column", unnest([id, CAST(price AS VARCHAR), street]) AS value FROM (SELECT * FROM registry ORDER BY id LIMIT 5))
-    UNION ALL SELECT 'tail', "column", value FROM (SELECT unnest(['id', 'price', 'street']) AS "column", unnest([id, CAST(price AS VARCHAR), street]) AS value FROM (SELECT * FROM registry ORDER BY id DESC LIMIT 5))
-    UNION ALL SELECT 'columns', unnest(['id', 'price', 'street']), unnest(['string', 'bigint', 'string'])
-    UNION ALL SELECT 'present', unnest(['id', 'price', 'street']), unnest([CAST(count(id) AS VARCHAR), CAST(count(price) AS VARCHAR), CAST(count(street) AS VARCHAR)]) FROM registry
-    UNION ALL SELECT 'unique', 'street', v FROM (SELECT DISTINCT street AS v FROM registry ORDER BY 1 LIMIT 10)
-    UNION ALL SELECT 'unique', 'id', v FROM (SELECT DISTINCT id AS v FROM registry ORDER BY 1 LIMIT 10)""", "registry")
+_EXPLORED = list(VIEWS["registry"][1])
+_PLAIN = [c for c in _EXPLORED if c != "price"]
+_AS_TEXT = {c: f"CAST({c} AS VARCHAR)" for c in _EXPLORED}
+
+
+def _end_rows(part: str, order: str) -> str:
+    return (f"SELECT '{part}' AS part, \"column\", value FROM (SELECT unnest({_EXPLORED}) AS \"column\", unnest([{', '.join(_AS_TEXT.values())}]) AS value "
+            f"FROM (SELECT * FROM registry ORDER BY id {order} LIMIT 5))")
+
+
+@query("t6_exploration", " UNION ALL ".join([
+    _end_rows("head", ""), _end_rows("tail", "DESC"),
+    *[f"SELECT 'columns', '{c}', '{dict(price='bigint', date_of_transaction='date').get(c, 'string')}'" for c in _EXPLORED],
+    "SELECT 'description', 'price', concat_ws('|', count(price), min(price), max(price), CAST(round(avg(price) * 100) AS BIGINT), CAST(median(price) * 2 AS BIGINT)) FROM registry",
+    *[f"SELECT 'description', '{c}', concat_ws('|', count({c}), count(DISTINCT {c}), (SELECT v || '|' || n FROM (SELECT {_AS_TEXT[c]} AS v, count(*) AS n FROM registry WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1))) FROM registry" for c in _PLAIN],
+    *[f"SELECT 'unique', '{c}', v FROM (SELECT DISTINCT {_AS_TEXT[c]} AS v FROM registry WHERE {c} IS NOT NULL ORDER BY 1 LIMIT 10)" for c in _PLAIN if c != "date_of_transaction"],
+]), "registry")
 def t6(t):
-    report = jobs.explore(t.registry.select("id", "price", "street"), "id")
+    report = jobs.explore(t.registry, "id")
     parts = []
     for name in ("head", "tail"):
-        texts = report[name].select(*[F.col(c).cast("string").alias(c) for c in ("id", "price", "street")])
-        parts.append(texts.unpivot([], ["id", "price", "street"], "column", "value").select(F.lit(name).alias("part"), "column", "value"))
+        texts = report[name].select(*[F.col(c).cast("string").alias(c) for c in _EXPLORED])
+        parts.append(texts.unpivot([], _EXPLORED, "column", "value").select(F.lit(name).alias("part"), "column", "value"))
     parts.append(report["columns"].select(F.lit("columns").alias("part"), "column", F.col("type").alias("value")))
-    parts.append(report["description"].select(F.lit("present").alias("part"), "column", F.col("present").cast("string").alias("value")))
+    numbers = [whole("minimum"), whole("maximum"), whole(F.round(F.col("mean") * 100)), whole(F.col("q50") * 2)]
+    figures = F.when(F.col("column") == "price", F.concat_ws("|", "present", *numbers)).otherwise(F.concat_ws("|", "present", "distinct_values", "top", "top_count"))
+    parts.append(report["description"].select(F.lit("description").alias("part"), "column", figures.alias("value")))
     parts.append(report["unique"].select(F.lit("unique").alias("part"), "column", "value"))
     result = parts[0]
     for part in parts[1:]:

@@ -7,10 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from homematch import schemas
 from homematch.operators import metrics, model, pairs, profile, recommend
 from homematch.operators.joins import one_row
-from homematch.operators.ranking import exact_quantiles
 from homematch.plans import sqltext as S
 from homematch.plans.catalog import query, rounded, whole
-from homematch.plans.jobs import merged_price, train_and_evaluate
+from homematch.plans.jobs import merged_price, recommend_saved, train_and_evaluate
 from homematch.plans.q_profile import PAIR_FEATURES
 from homematch.session import saved, scratch_path
 
@@ -69,6 +68,35 @@ def training_rows(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     return ready.where("is_test = 0"), ready.where("is_test = 1"), scaler
 
 
+#: Inputs that the SQL tables hold, under their names there.
+JUDGED_INPUTS = {
+    **{c: c for c in ("price", "size_sq_ft", "bedrooms", "latitude", "tenure", "log_price", "log_size", "income", "savings", "max_commute_time", "family_size")},
+    "price_to_income_ratio": "pir", "price_to_savings_ratio": "psr", "affordability_score": "aff", "tenure_preference": "pref",
+}
+#: Fixed weights, one for each of these inputs, by a rule on its place; SQL reads the same ones.
+WEIGHTS = model.StoredWeights({c: ((7 * i) % 11 - 5) / 4 for i, c in enumerate(JUDGED_INPUTS)}, 0.25)
+
+
+def stored_model(t) -> model.StoredWeights:
+    """The fixed weights, written as a table and read back."""
+    folder = scratch_path(t.spark, "weights")
+    WEIGHTS.table(t.spark).coalesce(1).write.parquet(folder)
+    held = model.StoredWeights.read(t.spark.read.parquet(folder))
+    return model.StoredWeights({c: held.weights[c] for c in JUDGED_INPUTS}, held.intercept)
+
+
+def judged_rows(rows: DataFrame) -> DataFrame:
+    """Assembled rows with the inputs of the fixed weights alone."""
+    return model.assembled(rows.drop("features"), [f"z_{c}" for c in JUDGED_INPUTS])
+
+
+_Z = ", ".join(f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM split WHERE is_test = 0)) / (SELECT stddev_pop({c}) FROM split WHERE is_test = 0) AS z_{n}" for n, c in JUDGED_INPUTS.items())
+
+
+def weighted(prefix: str, names=tuple(JUDGED_INPUTS), intercept: float = WEIGHTS.intercept) -> str:
+    return " + ".join([f"CAST({intercept} AS DOUBLE)", *[f"{prefix}{c} * CAST({WEIGHTS.weights[c]} AS DOUBLE)" for c in names]])
+
+
 _TEST = f"WITH {PAIR_FEATURES}, {_SPLIT.format(key='pair_id', table='ready')}, test AS (SELECT * FROM split WHERE is_test = 1)"
 #: Least F1 and area under the curve on test rows, and least accuracy on the rows of the training history.
 GOOD = 0.97
@@ -104,12 +132,14 @@ def n8(t):
                        (F.col("last_accuracy") >= F.col("first_accuracy")).alias("accuracy_rises"), (F.col("last_accuracy") > GOOD).alias("good_accuracy"))
 
 
-@query("n9_scored_pairs", f"{_TEST} SELECT pair_id, y, TRUE AS is_probability, TRUE AS follows_threshold FROM test", "pairs props users")
+@query("n9_scored_pairs", f"""
+    {_TEST}, z AS (SELECT pair_id, y, {_Z} FROM test)
+    SELECT pair_id, y, round(1 / (1 + exp(-({weighted('z_')}))), 6) AS probability, CASE WHEN 1 / (1 + exp(-({weighted('z_')}))) > 0.5 THEN 1 ELSE 0 END AS predicted FROM z""",
+       "pairs props users")
 def n9(t):
-    train, test, _ = training_rows(t)
-    judged = model.scored(model.train_classifier(train, "logistic"), test)
-    return judged.select("pair_id", "y", F.col("probability").between(0, 1).alias("is_probability"),
-                         (F.col("predicted") == (F.col("probability") > 0.5).cast("int")).alias("follows_threshold"))
+    _, test, _ = training_rows(t)
+    judged = model.scored(stored_model(t), judged_rows(test))
+    return judged.select("pair_id", "y", rounded("probability").alias("probability"), "predicted")
 
 
 def _judged(t) -> DataFrame:
@@ -154,11 +184,21 @@ def n13(t):
     return metrics.roc_auc(t.judged).select(rounded("auc").alias("auc"))
 
 
-@query("n14_permutation_importance")
+_SWAPPED = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, avg(CASE WHEN (({weighted('own.z_')} + (other.z_{c} - own.z_{c}) * CAST({WEIGHTS.weights[c]} AS DOUBLE)) > 0) = (own.y = 1) THEN 1.0 ELSE 0.0 END) AS accuracy "
+    "FROM swaps own JOIN swaps other ON other.partner = own.place" for c in JUDGED_INPUTS)
+
+
+@query("n14_permutation_importance", f"""
+    {_TEST}, z AS (SELECT pair_id, y, {_Z} FROM test),
+    swaps AS (SELECT *, row_number() OVER (ORDER BY md5('7:' || pair_id), pair_id) AS place, row_number() OVER (ORDER BY md5('8:' || pair_id), pair_id) AS partner FROM z),
+    base AS (SELECT avg(CASE WHEN ({weighted('z_')} > 0) = (y = 1) THEN 1.0 ELSE 0.0 END) AS accuracy FROM z),
+    swapped AS ({_SWAPPED})
+    SELECT feature, round(base.accuracy - swapped.accuracy, 6) AS importance FROM swapped, base""", "pairs props users")
 def n14(t):
-    train, test, _ = training_rows(t)
-    fitted = model.train_classifier(train, "logistic")
-    return metrics.top_importances(model.permutation_importance(fitted, test, INPUTS))
+    _, test, _ = training_rows(t)
+    found = metrics.top_importances(model.permutation_importance(stored_model(t), saved(judged_rows(test).drop("features"), "judged"), [f"z_{c}" for c in JUDGED_INPUTS]))
+    return found.select(F.expr("substr(feature, 3)").alias("feature"), rounded("importance").alias("importance"))
 
 
 @query("n15_recommendations", """
@@ -182,22 +222,70 @@ def n15_displayed(t):
     return shown.select("user_id", whole("position").alias("position"), "property_id", place.alias("location"), "has_garden", "has_parking", "size_sq_ft")
 
 
-@query("n15_model_recommendations")
+_OWN = [c for c in JUDGED_INPUTS if c not in schemas.USER_FEATURES]
+_THEIRS = [c for c in JUDGED_INPUTS if c in schemas.USER_FEATURES]
+_STORED_RATIOS = ["price_to_income_ratio", "price_to_savings_ratio", "affordability_score"]
+#: Mean and deviation of each input on training rows, ratios as stored with the property where ``p`` is joined.
+_FIGURES = ", ".join(
+    f"avg({c}) AS m_{n}, stddev_pop({c}) AS d_{n}" for n, c in ((n, f"p.{n}" if n in _STORED_RATIOS else f"s.{c}") for n, c in JUDGED_INPUTS.items()))
+_COMPLETE = """
+    whole AS (SELECT * REPLACE (coalesce(size_sq_ft, (SELECT median(size_sq_ft) FROM props)) AS size_sq_ft, coalesce(bedrooms, (SELECT median(bedrooms) FROM props)) AS bedrooms,
+                                 coalesce(latitude, (SELECT median(latitude) FROM props)) AS latitude) FROM props),
+    complete AS (SELECT *, ln(1 + price) AS log_price, ln(1 + size_sq_ft) AS log_size FROM whole)"""
+
+
+def scaled_sql(values: dict[str, str]) -> dict[str, str]:
+    return {n: f"((CAST({c} AS DOUBLE) - m_{n}) / d_{n})" for n, c in values.items()}
+
+
+def score_sql(values: dict[str, str], intercept: float) -> str:
+    return " + ".join([f"CAST({intercept} AS DOUBLE)", *[f"{z} * CAST({WEIGHTS.weights[n]} AS DOUBLE)" for n, z in scaled_sql(values).items()]])
+
+
+_PROFILE_CODE = "CASE tenure_preference WHEN 'FREEHOLD' THEN 0 WHEN 'LEASEHOLD' THEN 1 ELSE 2 END"
+
+
+@query("n15_model_recommendations", f"""
+    WITH {PAIR_FEATURES}, {_SPLIT.format(key='pair_id', table='ready')},
+    figures AS (SELECT {_FIGURES} FROM split s JOIN props p ON p.id = s.property_id WHERE s.is_test = 0), {_COMPLETE},
+    own AS (SELECT c.id, {score_sql({n: f'c.{n}' for n in _OWN}, WEIGHTS.intercept)} AS worth FROM complete c, figures),
+    theirs AS (SELECT id, {score_sql({n: _PROFILE_CODE if n == 'tenure_preference' else n for n in _THEIRS}, 0.0)} AS part FROM profiles, figures),
+    placed AS (SELECT e.user_id, e.property_id, e.price, o.worth + b.part AS score, row_number() OVER (PARTITION BY e.user_id ORDER BY o.worth DESC, e.property_id) AS position
+               FROM eligible e JOIN own o ON o.id = e.property_id JOIN theirs b ON b.id = e.user_id)
+    SELECT user_id, position, property_id, price, round(1 / (1 + exp(-score)), 6) AS probability FROM placed WHERE position <= 5 AND 1 / (1 + exp(-score)) > 0.5""",
+       "pairs props users profiles eligible")
 def n15_model(t):
-    """Recommendations with the scores of a trained linear model."""
+    """Recommendations as they are served: weights, scaler and fill values saved by training and read back."""
     labelled = saved(pairs.labelled_pairs(t.props, t.users), "labelled")
-    stored = labelled.drop("price_to_income_ratio", "price_to_savings_ratio", "affordability_score").join(
-        t.props.select(F.col("id").alias("property_id"), "price_to_income_ratio", "price_to_savings_ratio", "affordability_score"), "property_id")
-    split, scaler = pairs.scaled_split(saved(stored, "stored"))
-    ready = model.assembled(saved(split.select("pair_id", "y", "is_test", *INPUTS), "split"))
-    fitted = model.train_classifier(ready.where("is_test = 0"), "logistic")
-    median = {r["column"]: r["value"] for r in exact_quantiles(t.props, ["size_sq_ft", "bedrooms", "latitude"], [0.5]).collect()}
-    complete = t.props.drop("property_score").na.fill(median).withColumns({"log_price": F.log1p("price"), "log_size": F.log1p("size_sq_ft")})
-    from homematch.functions.text import preference_code
+    stored = labelled.drop(*_STORED_RATIOS).join(t.props.select(F.col("id").alias("property_id"), *_STORED_RATIOS), "property_id")
+    _, scaler = pairs.scaled_split(saved(stored, "stored"))
+    folder = scratch_path(t.spark, "serving")
+    model.save_serving(WEIGHTS, model.fill_values(t.props), folder)
+    scaler.write.parquet(f"{folder}/scaler")
+    found = recommend_saved(t.spark, folder, t.props.drop("property_score"), t.profiles.drop("profile_score"))
+    return found.select("user_id", whole("position").alias("position"), "property_id", "price", rounded("probability").alias("probability"))
+
 
-    coded = t.profiles.drop("profile_score").withColumn("tenure_preference", preference_code(F.replace("tenure_preference", F.lit("_"), F.lit(" "))))
-    properties, profiles = model.serving_scores(fitted, scaler, complete, coded)
-    return recommend.recommend(profiles, properties)
+_BUYER = {"income": 45000.0, "savings": 12000.0, "max_commute_time": 40, "family_size": 3, "tenure_preference": 2}
+_BUYER_RATIOS = {
+    "price_to_income_ratio": f"c.price / ({_BUYER['income']} + 1)", "price_to_savings_ratio": f"c.price / ({_BUYER['savings']} + 1)",
+    "affordability_score": f"({_BUYER['income']} * 4 + {_BUYER['savings']}) / (c.price + 1)",
+}
+
+
+@query("n15_one_profile", f"""
+    WITH {PAIR_FEATURES}, {_SPLIT.format(key='pair_id', table='ready')},
+    figures AS (SELECT {', '.join(f'avg({c}) AS m_{n}, stddev_pop({c}) AS d_{n}' for n, c in JUDGED_INPUTS.items())} FROM split WHERE is_test = 0), {_COMPLETE},
+    judged AS (SELECT c.id, c.price, {score_sql({n: str(_BUYER[n]) if n in _BUYER else _BUYER_RATIOS.get(n, f'c.{n}') for n in JUDGED_INPUTS}, WEIGHTS.intercept)} AS score
+               FROM complete c, figures WHERE c.price <= {_BUYER['income'] * 4 + _BUYER['savings']} AND c.county_oxfordshire = 1 AND c.has_parking = 1)
+    SELECT row_number() OVER (ORDER BY 1 / (1 + exp(-score)) DESC, id) AS position, id AS property_id, price, round(1 / (1 + exp(-score)), 6) AS probability
+    FROM judged WHERE 1 / (1 + exp(-score)) > 0.3 QUALIFY row_number() OVER (ORDER BY 1 / (1 + exp(-score)) DESC, id) <= 5""", "pairs props users")
+def n15_one(t):
+    """Best properties of one buyer, whose own ratios are taken."""
+    _, _, scaler = training_rows(t)
+    buyer = {**_BUYER, "preferred_county": "Oxfordshire", "preferred_location": "Anywhere", "desired_property_type": "Castle", "must_have_features": ["Parking"]}
+    found = model.recommend_profile(stored_model(t), scaler, t.props, buyer, model.fill_values(t.props), threshold=0.3)
+    return found.select(whole("position").alias("position"), F.col("id").alias("property_id"), "price", rounded("probability").alias("probability"))
 
 
 @query("n16_prepared_profiles", f"""
@@ -233,20 +321,18 @@ def n17(t):
                          "feature", rounded("value").alias("value"), "total", "misclassified", rounded("rate").alias("rate"))
 
 
-_INSPECTED = {
-    **{c: c for c in ("price", "size_sq_ft", "bedrooms", "latitude", "tenure", "log_price", "log_size", "income", "savings", "max_commute_time", "family_size")},
-    "price_to_income_ratio": "pir", "price_to_savings_ratio": "psr", "affordability_score": "aff", "tenure_preference": "pref",
-}
+_INSPECTED = ", ".join(f"{f'r.{JUDGED_INPUTS[c]}' if c in JUDGED_INPUTS else f'h.{c}'} AS \"{c}\"" for c in schemas.MODEL_FEATURES)
 
 
-@query("n18_inspection", f"WITH {PAIR_FEATURES} " + " UNION ALL ".join(
-    f"SELECT '{n}' AS \"column\", count(*) FILTER ({c} IS NULL) AS missing, round(CAST(min({c}) AS DOUBLE), 4) AS minimum, round(CAST(max({c}) AS DOUBLE), 4) AS maximum, "
-    f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS deviation, CAST(NULL AS BIGINT) AS distinct_values, CAST(NULL AS VARCHAR) AS top, "
-    f"CAST(sum(y) AS BIGINT) AS positives, round(avg(y), 6) AS ratio FROM ready" for n, c in _INSPECTED.items())
-    + " UNION ALL SELECT 'pair_id', 0, NULL, NULL, NULL, NULL, count(DISTINCT pair_id), min(pair_id), CAST(sum(y) AS BIGINT), round(avg(y), 6) FROM ready",
+@query("n18_inspection", f"""
+    WITH {PAIR_FEATURES}, inspected AS (SELECT r.y, r.pair_id, {_INSPECTED} FROM ready r JOIN props h ON h.id = r.property_id) """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (\"{c}\" IS NULL) AS missing, round(CAST(min(\"{c}\") AS DOUBLE), 4) AS minimum, round(CAST(max(\"{c}\") AS DOUBLE), 4) AS maximum, "
+    f"round(avg(\"{c}\"), 4) AS mean, round(stddev_samp(\"{c}\"), 4) AS deviation, CAST(NULL AS BIGINT) AS distinct_values, CAST(NULL AS VARCHAR) AS top, "
+    f"CAST(sum(y) AS BIGINT) AS positives, round(avg(y), 6) AS ratio FROM inspected" for c in schemas.MODEL_FEATURES)
+    + " UNION ALL SELECT 'pair_id', 0, NULL, NULL, NULL, NULL, count(DISTINCT pair_id), min(pair_id), CAST(sum(y) AS BIGINT), round(avg(y), 6) FROM inspected",
        "pairs props users")
 def n18(t):
-    columns = [*_INSPECTED, "pair_id"]
+    columns = [*schemas.MODEL_FEATURES, "pair_id"]
     found = profile.inspect(saved(pairs.labelled_pairs(t.props, t.users).select("y", *columns), "inspected"), "y", columns)
     return found.select("column", "missing", *[rounded(c, 4).alias(c) for c in ("minimum", "maximum", "mean", "deviation")],
                         "distinct_values", "top", "positives", rounded("ratio").alias("ratio"))
@@ -266,12 +352,35 @@ def n19(t):
 _HELD = [*schemas.TYPE_FLAGS, "latitude", "longitude", "size_sq_ft", "bedrooms"]
 
 
+def solved_sql(size: int) -> str:
+    """SQL tables that solve a linear system whose rows are in ``g0`` as columns a_i_j, the right side last, by elimination."""
+    tables = []
+    for k in range(size):
+        cells = []
+        for i in range(size):
+            for j in range(size + 1):
+                pivot = f"a_{k}_{j} / a_{k}_{k}"
+                cells.append(f"{pivot if i == k else f'a_{i}_{j} - a_{i}_{k} * ({pivot})'} AS a_{i}_{j}")
+        tables.append(f"g{k + 1} AS MATERIALIZED (SELECT {', '.join(cells)} FROM g{k})")
+    return ", ".join(tables)
+
+
+_ALL = [*_HELD, "price"]
+_SIZE = len(_HELD)
+
+
 @query("n20_price_regression", f"""
-    WITH complete AS (SELECT *, 1 AS y FROM props WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*_HELD, 'price'])}), {_SPLIT.format(key='id', table='complete')}
-    SELECT id, price, TRUE AS estimated FROM split WHERE is_test = 1""", "props")
+    WITH complete AS (SELECT *, 1 AS y FROM props WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _ALL)}), {_SPLIT.format(key='id', table='complete')},
+    z AS MATERIALIZED (SELECT id, is_test, price, {', '.join(f'(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM split WHERE is_test = 0)) / (SELECT stddev_pop({c}) FROM split WHERE is_test = 0) AS z{i}' for i, c in enumerate(_ALL))} FROM split),
+    g0 AS MATERIALIZED (SELECT {', '.join(f"avg(z{i} * z{j}){f' + {model.RIDGE}' if i == j else ''} AS a_{i}_{j}" for i in range(_SIZE) for j in range(_SIZE + 1))} FROM z WHERE is_test = 0),
+    {solved_sql(_SIZE)},
+    estimates AS (SELECT id, price, (SELECT avg(price) FROM split WHERE is_test = 0) + (SELECT stddev_pop(price) FROM split WHERE is_test = 0) * ({' + '.join(f'a_{i}_{_SIZE} * z{i}' for i in range(_SIZE))}) AS estimate
+                  FROM z, g{_SIZE} WHERE is_test = 1)
+    SELECT id, price, round(estimate, 3) AS estimate, round(avg(abs(price - estimate)) OVER (), 3) AS mae FROM estimates""", "props")
 def n20(t):
-    estimated = F.col("estimate").isNotNull() & ~F.isnan("estimate")
-    return model.price_regression(t.props, _HELD).select("id", "price", estimated.alias("estimated"))
+    estimated = saved(model.price_regression(t.props, _HELD), "estimates")
+    mae = one_row(metrics.regression_errors(estimated, "price", "estimate"))
+    return estimated.select("id", "price", rounded("estimate", 3).alias("estimate"), rounded(mae["mae"], 3).alias("mae"))
 
 
 @query("n21_regression_errors", """

@@ -271,12 +271,12 @@ _STRONG = ["l_quantity", "l_discount", "l_tax", "l_suppkey", "l_linenumber", "l_
 
 
 @query("f3_strongest_features", f"""
-    WITH l AS (SELECT DISTINCT {', '.join(_STRONG)} FROM lineitem),
+    WITH l AS (SELECT row_number() OVER () AS row, {', '.join(_STRONG)} FROM lineitem),
     t AS (SELECT *, unnest([{', '.join(f"struct_pack(o := {i}, f := '{c}', v := CAST({c} AS DOUBLE))" for i, c in enumerate(_STRONG))}]) AS e FROM l),
-    r AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(_STRONG)} ORDER BY abs(e.v) DESC, e.o) AS place FROM t)
+    r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY abs(e.v) DESC, e.o) AS place FROM t)
     SELECT place, e.f AS feature, count(*) AS n, round(sum(e.v), 2) AS total FROM r WHERE place <= 5 GROUP BY 1, 2""")
 def f3(t):
-    rows = t.lineitem.select(*_STRONG).distinct().select(F.posexplode(metrics.strongest_features(_STRONG)).alias("place", "entry"))
+    rows = t.lineitem.select(F.posexplode(metrics.strongest_features(_STRONG)).alias("place", "entry"))
     return rows.groupBy((whole("place") + 1).alias("place"), F.col("entry.feature").alias("feature")).agg(
         F.count(F.lit(1)).alias("n"), rounded(F.sum("entry.value"), 2).alias("total"))
 

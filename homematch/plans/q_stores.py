@@ -11,7 +11,7 @@ from homematch.functions import dates, text
 from homematch.lookups import CLEANSE_TARGETS
 from homematch.operators import encode, filters, profile
 from homematch.operators.joins import merged_key
-from homematch.operators.recommend import eligible_counts
+from homematch.operators.recommend import eligible_counts, shown
 from homematch.plans import sqltext as S
 from homematch.plans.catalog import day, query, rounded, whole
 from homematch.plans.views import TABLES
@@ -315,7 +315,7 @@ _SHOWN = ["price", "size_sq_ft", *schemas.LOCATION_FLAGS, "has_garden", "has_par
 
 @query("b6_fixed_projection", f"SELECT id, {', '.join(_SHOWN)} FROM props", "props")
 def b6(t):
-    return t.props.select("id", *_SHOWN)
+    return shown(t.props)
 
 
 @query("b7_columns_by_prefix", f"SELECT id, {', '.join(schemas.COUNTY_FLAGS)} FROM props", "props")
