@@ -9,7 +9,6 @@ from pyspark.sql import Column, functions as F
 from homematch import lookups
 
 _NUMBER = r"^[+-]?(\d+|(\d+\.\d*|\.\d+)([eE][+-]?\d+)?)$"
-_AMOUNT = r"([\d,]+(?:\.\d+)?)"
 
 
 def lookup(key: Column, table: dict[str, object]) -> Column:
@@ -31,7 +30,7 @@ def price_number(price: Column) -> Column:
 
 def epc_letter(rating: Column) -> Column:
     """First letter A to G that stands alone, upper case."""
-    return F.upper(F.nullif(F.regexp_extract(rating, r"(?iU)\b([A-G])\b", 1), F.lit("")))
+    return F.upper(F.nullif(F.regexp_extract(rating, f"(?iU){lookups.RATING_PATTERN}", 1), F.lit("")))
 
 
 def first_number(text: Column) -> Column:
@@ -48,8 +47,7 @@ def size_text(size: Column) -> Column:
 
     A unit written without a blank (``1000sqft``) is read as square metres.
     """
-    both = rf"(?i){_AMOUNT}\s*sq\s*ft\s*/\s*{_AMOUNT}\s*sq\s*m"
-    single = rf"(?i){_AMOUNT}\s*(sq\s*ft|sq\s*m)"
+    both, single = lookups.BOTH_SIZES_PATTERN, lookups.SIZE_PATTERN
     rate = F.lit(lookups.SQ_FT_PER_SQ_M)
 
     def parts(text: Column) -> Column:
@@ -74,7 +72,7 @@ def size_text(size: Column) -> Column:
 
 def square_feet(size: Column) -> Column:
     """Square feet in a size text (no thousands separators, lower case only)."""
-    return F.regexp_extract(size, r"(\d+(?:\.\d+)?)\s*sq\s*ft", 1).try_cast("double")
+    return F.regexp_extract(size, lookups.SQUARE_FEET_PATTERN, 1).try_cast("double")
 
 
 def address_key(address: Column, word_bounded: bool = False) -> Column:

@@ -1,5 +1,12 @@
 """Value tables shared by the column functions."""
 
+# Patterns that find amounts, sizes and energy ratings in texts.
+AMOUNT_PATTERN = r"([\d,]+(?:\.\d+)?)"
+SIZE_PATTERN = rf"(?i){AMOUNT_PATTERN}\s*(sq\s*ft|sq\s*m)"
+BOTH_SIZES_PATTERN = rf"(?i){AMOUNT_PATTERN}\s*sq\s*ft\s*/\s*{AMOUNT_PATTERN}\s*sq\s*m"
+SQUARE_FEET_PATTERN = r"(\d+(?:\.\d+)?)\s*sq\s*ft"
+RATING_PATTERN = r"\b([A-G])\b"
+
 # Registry property-type codes and their class.
 REGISTRY_TYPES = {
     "D": "Detached",

@@ -21,7 +21,7 @@ def price(c: str) -> str:
 
 
 def epc(c: str) -> str:
-    return rf"upper(nullif(regexp_extract({c}, '(?i)\b([A-G])\b', 1), ''))"
+    return f"upper(nullif(regexp_extract({c}, '(?i){lookups.RATING_PATTERN}', 1), ''))"
 
 
 def number(c: str) -> str:
@@ -30,9 +30,7 @@ def number(c: str) -> str:
 
 def size(c: str) -> str:
     t = rf"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
-    amount = r"([\d,]+(?:\.\d+)?)"
-    both = rf"'(?i){amount}\s*sq\s*ft\s*/\s*{amount}\s*sq\s*m'"
-    one = rf"'(?i){amount}\s*(sq\s*ft|sq\s*m)'"
+    both, one = f"'{lookups.BOTH_SIZES_PATTERN}'", f"'{lookups.SIZE_PATTERN}'"
     rate = "CAST(10.7639 AS DOUBLE)"
 
     def num(pattern: str, group: int) -> str:
@@ -50,7 +48,7 @@ def size(c: str) -> str:
 
 
 def square_feet(c: str) -> str:
-    return rf"TRY_CAST(nullif(regexp_extract({c}, '(\d+(?:\.\d+)?)\s*sq\s*ft', 1), '') AS DOUBLE)"
+    return f"TRY_CAST(nullif(regexp_extract({c}, '{lookups.SQUARE_FEET_PATTERN}', 1), '') AS DOUBLE)"
 
 
 def tenure(features: str) -> str:

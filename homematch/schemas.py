@@ -64,7 +64,7 @@ USERS = _struct(
     nice_to_have_features=S, max_commute_time=I, family_size=I, tenure_preference=S,
 )
 
-# Closed value domains of the coded columns.
+# Closed value domains of the coded columns.
 DOMAINS = {
     "property_type": ["D", "S", "T", "F", "O"],
     "property_age": ["Y", "N"],
@@ -79,18 +79,19 @@ TYPE_FLAGS = [type_column(name) for name in PROPERTY_CLASSES]
 COUNTY_FLAGS = [f"county_{name}" for name in SHIRES]
 FLAGS = AMENITY_FLAGS + LOCATION_FLAGS + TYPE_FLAGS
 
-# Order of the model inputs.
-PROPERTY_FEATURES = (
-    ["price", "size_sq_ft", "year", "month", "day_of_week"]
-    + ["price_to_income_ratio", "price_to_savings_ratio", "affordability_score"]
-    + AMENITY_FLAGS
-    + LOCATION_FLAGS
-    + ["latitude", "longitude", "epc_rating_encoded"]
-    + TYPE_FLAGS
-    + ["bedrooms", "bathrooms", "tenure", "price_relative_to_county_avg"]
-    + COUNTY_FLAGS
-    + ["log_price", "log_size"]
-)
+# Property inputs of the model in their order.
+PROPERTY_FEATURES = [
+    "price", "size_sq_ft", "year", "month", "day_of_week",
+    "price_to_income_ratio", "price_to_savings_ratio", "affordability_score",
+    "has_garden", "has_parking",
+    "location_Urban", "location_Suburban", "location_Rural",
+    "latitude", "longitude", "epc_rating_encoded",
+    "property_type_Detached", "property_type_Semi_Detached", "property_type_Terraced", "property_type_Flat_Maisonette", "property_type_Other",
+    "bedrooms", "bathrooms", "tenure", "price_relative_to_county_avg",
+    "county_buckinghamshire", "county_bedfordshire", "county_hertfordshire", "county_oxfordshire", "county_berkshire", "county_northamptonshire",
+    "log_price", "log_size",
+]
+# Buyer inputs of the model in their order.
 USER_FEATURES = ["income", "savings", "max_commute_time", "family_size", "tenure_preference"]
 MODEL_FEATURES = PROPERTY_FEATURES + USER_FEATURES
 

@@ -17,21 +17,21 @@ FOLDER = "/root/testdata/sf0.001"
 
 def registry_lines():
     places = [("A1", "2023-01-15", "BUCKINGHAMSHIRE"), ("A2", "2022-06-01", "WEST BERKSHIRE"), ("A3", "2023-12-31 23:59", "BUCKINGHAMSHIRE"), ("A4", "2023-02-03", "OXFORDSHIRE")]
-    return [f'"{key}","200000","{day}","HP1 1AA","D","Y","F","THE CHAPEL, 17","","HIGH STREET","","AYLESBURY","AYLESBURY VALE","{county}","A","A"' for key, day, county in places]
+    return [f'"{key}","317000","{day}","QX4 4BD","D","Y","F","MILL HOUSE, 8","","LONG LANE","","THAME","SOUTH DOWNLAND","{county}","A","A"' for key, day, county in places]
 
 
 def test_cleanse_keeps_three_of_four(spark, tmp_path):
     (tmp_path / "raw.csv").write_text("\n".join(registry_lines()))
     counts = jobs.cleanse(spark, str(tmp_path / "raw.csv"), str(tmp_path / "out"), ["Buckinghamshire", "Oxfordshire"], 2023)
     assert [tuple(r) for r in counts.collect()] == [("BUCKINGHAMSHIRE", 2), ("OXFORDSHIRE", 1)]
-    assert files.read_registry(spark, str(tmp_path / "raw.csv")).first()["PAON"] == "THE CHAPEL, 17"
+    assert files.read_registry(spark, str(tmp_path / "raw.csv")).first()["PAON"] == "MILL HOUSE, 8"
 
 
 def listing(number, price, address="1 Road", features=("Tenure: Leasehold", "Parking")):
     return {
         "id": number, "property_url": f"https://h.example/details/{number}/", "title": "flat", "address": address, "price": price,
-        "pricing_qualifier": "Guide price", "listing_time": "Added today", "property_type": "Apartment", "bedrooms": "2 bed", "bathrooms": "1bath",
-        "epc_rating": "EPC rating: E*", "size": "312 sq ft / 29 sq m", "features": list(features),
+        "pricing_qualifier": "Guide price", "listing_time": "Added today", "property_type": "Apartment", "bedrooms": "4 bed", "bathrooms": "3bath",
+        "epc_rating": "EPC rating: C*", "size": "452 sq ft / 42 sq m", "features": list(features),
     }
 
 
@@ -41,17 +41,17 @@ def gazetteer(spark, rows):
 
 def test_premerge_resumes(spark, tmp_path):
     source = tmp_path / "property_data_oxfordshire_900000.json"
-    source.write_text(json.dumps([listing(1, "£105,000"), listing(2, "Price not available")]))
+    source.write_text(json.dumps([listing(1, "£214,500"), listing(2, "Price not available")]))
     registry = tmp_path / "registry.csv"
     registry.write_text("\n".join([",".join(f'"{c}"' for c in REGISTRY_COLUMNS), *registry_lines()]))
     places = (gazetteer(spark, [("1 Road, Buckinghamshire, UK", 51.5, -0.1)]),
-              gazetteer(spark, [(f"HIGH STREET, AYLESBURY, AYLESBURY VALE, {c}, UK", 51.8, -0.8) for c in ("BUCKINGHAMSHIRE", "WEST BERKSHIRE", "OXFORDSHIRE")]))
+              gazetteer(spark, [(f"LONG LANE, THAME, SOUTH DOWNLAND, {c}, UK", 51.8, -0.8) for c in ("BUCKINGHAMSHIRE", "WEST BERKSHIRE", "OXFORDSHIRE")]))
     target = str(tmp_path / "premerged.csv")
     first = jobs.run_premerge(spark, str(source), str(registry), target, places)
     assert first.count() == 6 and stores.file_complete(spark, target)
     found = {r["property_url"] or r["Unique Transaction Identifier"]: r for r in first.collect()}
-    assert found["https://h.example/details/1/"]["price"] == 105000.0 and found["https://h.example/details/1/"]["Property Type"] == "F"
-    assert found["A1"]["price"] == 200000.0 and str(found["A1"]["Date"])[:10] == "2023-01-15"
+    assert found["https://h.example/details/1/"]["price"] == 214500.0 and found["https://h.example/details/1/"]["Property Type"] == "F"
+    assert found["A1"]["price"] == 317000.0 and str(found["A1"]["Date"])[:10] == "2023-01-15"
     source.write_text("[]")
     assert jobs.run_premerge(spark, str(source), str(registry), target, places).count() == 6
 
@@ -82,7 +82,7 @@ def test_full_run_fills_stored_listings_and_merged_rows(spark, tmp_path):
     registry = tmp_path / "registry.csv"
     registry.write_text("\n".join([",".join(f'"{c}"' for c in REGISTRY_COLUMNS), *registry_lines()]))
     store, today = str(tmp_path / "store"), dt.date(2024, 1, 31)
-    places = (gazetteer(spark, [("1 Road, UK", 51.5, -0.1)]), gazetteer(spark, [("HP1AA, UK", 51.8, -0.8)]))  # the key of HP1 1AA
+    places = (gazetteer(spark, [("1 Road, UK", 51.5, -0.1)]), gazetteer(spark, [("QX4BD, UK", 51.8, -0.8)]))  # the key of QX4 4BD
     source.write_text(json.dumps([listing(1, "£100")]))
     jobs.run_standardise(spark, store, today, "full", str(registry), [str(source)])
     source.write_text(json.dumps([listing(2, "£300", "2 Road")]))
