@@ -327,10 +327,19 @@ def test_cascade_is_exact(spark):
     universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 37 == 0).alias("listed"))
     levels = url_filter.cascade(universe)
     assert len(levels) > 1
-    wrong = universe.where(url_filter.is_listed(levels, F.col("key")) != F.col("listed"))
+    wrong = url_filter.with_filters(universe, levels).where(url_filter.is_listed(levels, F.col("key")) != F.col("listed"))
     assert wrong.count() == 0
 
 
+def test_listed_hosts_decide_where_no_rule_fits(spark):
+    urls = [f"http://h{i}.org/x" for i in range(300)] + ["http://h3.com/", "http://h5.example.com/en/", None, ""]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
+    listed = spark.createDataFrame([(f"h{i}.org",) for i in range(0, 300, 7)] + [("h3.com",), ("absent.org",)], "host string")
+    found = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, RULES, listed).collect()}
+    assert [found[i] for i in range(300)] == ["block" if i % 7 == 0 else "allow" for i in range(300)]
+    assert [found[300 + i] for i in range(4)] == ["allow", "block", "allow", "allow"]
+
+
 def test_packing(odd, empty):
     from tokenizers import Tokenizer
 
