@@ -1,11 +1,14 @@
 """Licence scan by a positional index of rare licence words, in DataFrame functions only.
 
-Words of the licence templates are found in every file with their places. Their
-document frequencies over the whole corpus give each template its rarest words,
-and these make the index: word, template, place in the template. A word of a
-file votes for the template at the place where the template would start; words
-that agree on the start add up. A template holds where its rare words reach a
-share of their total weight and its mandatory phrase stands at its place.
+Words of the licence templates are found in every file with their places, and
+their document frequencies over the whole corpus weigh them. Each file looks up
+its highest-weighted licence words first: a template can only reach its share of
+agreeing weight where one of its heaviest words stands, so the lighter words
+("the", "in") are looked up for no template. A found word says where the
+template would start; starts where the mandatory key phrase stands at its place
+are kept, and there alone all words of the template are compared by their
+relative places. A template holds where the words in place reach a share of its
+total weight.
 """
 
 from __future__ import annotations
@@ -47,8 +50,7 @@ TEMPLATES = (
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
 )
-#: Rarest words of a template that make its index, and the share of their weight that must agree.
-RARE_WORDS = 5
+#: Share of a template's weight that must stand in place.
 LEAST_SHARE = 0.7
 
 
@@ -112,36 +114,47 @@ def word_weights(rows: DataFrame, words: list[str]) -> dict[str, float]:
     return {w: math.log((total + 1) / (held.get(w, 0) + 1)) + 1 for w in words}
 
 
-def rare_places(template: Template, weights: dict[str, float], count: int) -> list[tuple[str, int]]:
-    """The rarest words of a template with their places; earlier places first among equals."""
-    return sorted(((w, i) for i, w in enumerate(template.words)), key=lambda x: (-weights[x[0]], x[1]))[:count]
+def heaviest_places(template: Template, weights: dict[str, float], least: float) -> list[tuple[str, int]]:
+    """Words to look up with their places: the heaviest ones without which the rest cannot reach the share."""
+    ranked = sorted(((w, i) for i, w in enumerate(template.words)), key=lambda x: (-weights[x[0]], x[1]))
+    rest, out = sum(weights[w] for w in template.words), []
+    need = least * rest
+    for word, place in ranked:
+        if rest < need - 1e-9:
+            break
+        out.append((word, place))
+        rest -= weights[word]
+    return out
 
 
-def scan_licences(docs: DataFrame, given=TEMPLATES, rare: int = RARE_WORDS, least: float = LEAST_SHARE, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licences(docs: DataFrame, given=TEMPLATES, least: float = LEAST_SHARE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Base phrases, templates and labels of every text.
 
     ``score`` is the largest agreeing share of a template that holds, 1 where a
     base phrase stands, else 0. Null and empty texts have no words and no
-    labels; repeated rows are scanned each; an empty table gives no rows; other
-    columns, whatever their names, are ignored. The index and the figures it is
-    chosen by are bounded by the templates, not by the corpus.
+    labels; texts of any length are scanned whole; repeated rows are scanned
+    each; an empty table gives no rows; other columns, whatever their names, are
+    ignored. The index and the figures it is chosen by are bounded by the
+    templates, not by the corpus.
     """
     spark = docs.sparkSession
     known = templates(given)
     words = vocabulary(known)
     rows = saved(licence_words(docs, words, key, text), "licence-words")
     weights = word_weights(rows, words)
-    chosen = {t.number: rare_places(t, weights, rare) for t in known}
-    postings = [(w, t.number, i, weights[w]) for t in known for w, i in chosen[t.number]]
-    needs = [(t.number, least * sum(weights[w] for w, _ in chosen[t.number]), sum(weights[w] for w, _ in chosen[t.number]), t.label) for t in known]
-    index = spark.createDataFrame(postings, "word string, template int, place int, weight double")
-    totals = spark.createDataFrame(needs, "template int, need double, total double, label string")
+    chosen = [(w, t.number, i) for t in known for w, i in heaviest_places(t, weights, least)]
+    looked_up = sorted({w for w, *_ in chosen})
+    index = spark.createDataFrame([(w, t.number, i, weights[w]) for t in known for i, w in enumerate(t.words)], "word string, template int, place int, weight double")
+    totals = spark.createDataFrame([(t.number, sum(weights[w] for w in t.words), t.label) for t in known], "template int, total double, label string")
     hit_rows = rows.where(F.size("hits") > 0)
-    votes = hit_rows.select("row", F.inline("hits")).join(F.broadcast(index), "word")
-    agreed = votes.groupBy("row", "template", (F.col("at") - F.col("place")).alias("start")).agg(F.sum("weight").alias("weight"))
-    near = agreed.join(F.broadcast(totals), "template").where("weight >= need - 1e-9")
+    rare = hit_rows.select("row", F.inline(F.filter("hits", lambda x: x["word"].isin(looked_up))))
+    starting = rare.join(F.broadcast(spark.createDataFrame(chosen, "word string, template int, place int")), "word")
+    starts = starting.select("row", "template", (F.col("at") - F.col("place")).alias("start")).distinct()
     places = F.flatten(F.array(*[template_starts(F.col("hits"), t) for t in known]))
-    held = near.join(hit_rows.select("row", F.inline(places)), ["row", "template", "start"])
+    phrased = saved(starts.join(hit_rows.select("row", F.inline(places)), ["row", "template", "start"]), "licence-starts")
+    compared = hit_rows.select("row", "hits").join(phrased.select("row").distinct(), "row", "left_semi").select("row", F.inline("hits"))
+    votes = compared.join(F.broadcast(index), "word").groupBy("row", "template", (F.col("at") - F.col("place")).alias("start")).agg(F.sum("weight").alias("weight"))
+    held = votes.join(phrased.distinct(), ["row", "template", "start"]).join(F.broadcast(totals), "template").where(F.col("weight") >= least * F.col("total") - 1e-9)
     method = held.groupBy("row").agg(F.collect_set("label").alias("method_labels"), F.max(F.least(F.lit(1.0), F.col("weight") / F.col("total"))).alias("share"))
     base = {label: phrase_starts(F.col("hits"), tuple(phrase.split())) for phrase, label in BASE_PHRASES.items()}
     counted = rows.select("row", "doc_id", "n_words", F.struct(*[starts.alias(label) for label, starts in base.items()]).alias("b"))

@@ -81,7 +81,6 @@ WITH templates(template, label, tw, pw, phrase_at) AS (
     SELECT template, label, unnest(tw) AS word, unnest(range(len(tw))) AS place FROM templates
 ), postings AS (
     SELECT template, label, word, place, weight FROM places JOIN weights USING (word)
-    QUALIFY row_number() OVER (PARTITION BY template ORDER BY weight DESC, place) <= {license_scan.RARE_WORDS}
 ), totals AS (
     SELECT template, sum(weight) AS total FROM postings GROUP BY template
 ), agreed AS (
