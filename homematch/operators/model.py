@@ -22,6 +22,7 @@ from homematch.operators.filters import profile_mask
 from homematch.operators.pairs import stratified_split
 from homematch.operators.ranking import exact_medians, hash_rank
 from homematch.operators.recommend import linear_part
+from homematch.session import saved
 
 MODELS = {
     "gbt": GBTClassificationModel,
@@ -261,7 +262,7 @@ def price_regression(df: DataFrame, features: Sequence[str], key: str = "id", ta
     if target in features:
         raise ValueError(f"{target} cannot be an input")
     complete = df.na.drop(subset=[*features, target]).select(key, *features, target).withColumn("_all", F.lit(1))
-    divided = stratified_split(complete, "_all", key, seed=seed).drop("_all")
+    divided = saved(stratified_split(saved(complete, "complete"), "_all", key, seed=seed).drop("_all"), "divided")
     columns = [*features, target]
     scaler = fit_scaler(divided.where(F.col("is_test") == 0), columns)
     held = scaler.first()

@@ -54,7 +54,7 @@ _SCALED = {"price": "price", "income": "income", "aff": "affordability_score", "
     SELECT pair_id, y, is_test, {', '.join(f'round(({a} - (SELECT avg({a}) FROM split WHERE is_test = 0)) / (SELECT stddev_pop({a}) FROM split WHERE is_test = 0), 5) AS z_{b}' for a, b in _SCALED.items())}
     FROM split""", "pairs props users")
 def n5(t):
-    split, _ = pairs.scaled_split(pairs.labelled_pairs(t.props, t.users))
+    split, _ = pairs.scaled_split(saved(pairs.labelled_pairs(t.props, t.users), "labelled"))
     return split.select("pair_id", "y", "is_test", *[rounded(f"z_{c}", 5).alias(f"z_{c}") for c in _SCALED.values()])
 
 

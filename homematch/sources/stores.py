@@ -12,6 +12,7 @@ from homematch.functions import dates, text
 from homematch.functions.arrays import parsed_list
 from homematch.operators.joins import one_row
 from homematch.operators.ranking import hash_rank, last_by_key
+from homematch.session import saved
 from homematch.sources.files import ORDER, read_csv
 
 
@@ -96,7 +97,7 @@ def upsert_listings(target: DataFrame, incoming: DataFrame, order: str) -> DataF
     """
     latest = last_rows(incoming, "property_url", order)
     held = target.select("property_url", F.struct("id", "latitude", "longitude").alias("_old"))
-    joined = latest.drop("id").join(held, "property_url", "left")
+    joined = saved(latest.drop("id").join(held, "property_url", "left"), "incoming")
     known = joined.where(F.col("_old").isNotNull()).withColumn("id", F.col("_old.id"))
     highest = one_row(target.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")))
     fresh = hash_rank(joined.where(F.col("_old").isNull()), "property_url", rank="_rank", total="_rows")
