@@ -5,17 +5,23 @@ posted under each (coordinate, value) pair; two sets are a candidate if they
 agree in at least ``MATCHES`` coordinates. Postings follow prefix merging: with
 all pairs in one global order, rarest first, two such sets must meet within
 their first ``COORDINATES - MATCHES + 1`` pairs, so only those are posted and
-the long lists of common values are skipped. Entries whose set sizes rule the
-similarity out are skipped as well. Candidates that reach the match threshold
-are confirmed on their full sets.
-
-Links are only needed to join components, so a posting list is first compared
-with its most central set alone. What is then one component is skipped, and
-only sets of different components that share a list are compared pair by pair.
-A list of thousands of copies thus costs one comparison a copy. Where a list
-holds many sets that are alike but not enough, the rarest fifth of their full
-sets bounds what two of them can share, and pairs below the threshold are
-skipped inside the join.
+the long lists of common values are skipped.
+
+Links are only needed to join components, so each set is first compared with
+the one set, central to lists, that it meets most often. What is then one
+component is skipped, and only sets of different components that share a list
+are looked at again: entries without a partner that can be similar leave their
+list, and what stays is compared pair by pair. A list of thousands of copies
+thus costs one comparison a copy. Whether two sets can be similar is told inside
+the join by their sizes, by the low bits of their signatures, which show in how
+many coordinates they can agree, and by parities: each shingle flips one of 512
+bits, so the bits in which two sets differ are never more than the shingles in
+which they do.
+
+Candidates that are left are confirmed on full sets, worked out again from their
+texts: in each round every set with the one candidate nearest to it by parities,
+then, since that joins most families, all pairs that still are in different
+components.
 
 Two sets with similarity 0.8 agree in 51 of 64 coordinates on average and in
 fewer than 32 with a probability of about 2e-8.
@@ -37,13 +43,22 @@ from homematch.session import saved
 COORDINATES, MATCHES = 64, 32
 #: Similarity of linked documents in per cent.
 PERCENT = 80
-#: Counters of the rarity sketch over full sets; their number changes what is skipped, never what is found.
-SKETCH_BITS = 18
-#: Bits of the bitmap that tells which documents are looked at again; more documents than bits only cost time.
-ID_BITS = 22
+#: Bits kept of each coordinate to count agreements; chance agreements, one in 16, only add pairs to look at.
+SLICES = 4
+#: Bits of the parities over full sets, a power of two; more of them skip more pairs of large sets that are no links.
+PARITY_BITS = 512
+SLICE_NAMES = [f"s{i}" for i in range(SLICES)]
+PARITY_NAMES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+MARKS = [*SLICE_NAMES, *PARITY_NAMES]
+#: Rounds in which each set is confirmed with its nearest candidate alone before all that are left are.
+NEAREST_ROUNDS = 2
+#: Lists in which a set meets a centre to be compared with it ahead; what meets less often is left to the exact step.
+STAR_MEETINGS = 8
+#: Most bits of the filter that tells which texts are read again (32 MB); up to there it has 8 bits for each id, beyond it lets more others through.
+MOST_ID_BITS = 28
 #: Shingles hashed for all coordinates at a time.
 BLOCK = 2048
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 _words: dict[bytes, int] = {}
 
@@ -90,99 +105,88 @@ def arrays(values: list[np.ndarray], kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.empty(0, kind)))
 
 
-def counters(shingles: np.ndarray) -> np.ndarray:
-    """Counter of the rarity sketch for each shingle."""
-    return shingles >> np.uint64(64 - SKETCH_BITS)
+def slices(signatures: np.ndarray) -> np.ndarray:
+    """Low bits of all coordinates, one 64-bit number for each bit; shape (sets, SLICES)."""
+    bits = (signatures.view(np.uint32)[:, None, :] >> np.arange(SLICES, dtype=np.uint32)[None, :, None]) & np.uint32(1)
+    return np.packbits(bits.astype(np.uint8), axis=2, bitorder="little").view("<i8")[:, :, 0]
 
 
-def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, signature, sketch) of every text; the key is a 128-bit digest of the full set.
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles that fall on each of the parity bits, as 64-bit numbers."""
+    counts = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
 
-    Each task adds one row that is no document: its ``sketch`` counts the
-    shingles of the task's texts in a fixed number of counters, each entry
-    holding a counter above and its count below 32 bits.
-    """
+
+def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
+    """(doc_id, n_shingles, set_key, signature, slices, parities) of every text; the key is a 128-bit digest of the full set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "n_shingles", "set_key", "signature", *MARKS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = coefficients(COORDINATES, seed)
-        sketch, id_type = np.zeros(1 << SKETCH_BITS, np.int64), None
-        names = ["doc_id", "n_shingles", "set_key", "signature", "sketch"]
         for batch in batches:
-            id_type = batch.schema.field(0).type
             for start in range(0, batch.num_rows, 500):
                 sets = [shingle_set(t, width) for t in batch.column(1).slice(start, 500).to_pylist()]
                 signed = [signature(s, factors, shifts) if len(s) else np.empty(0, np.int32) for s in sets]
-                sketch += np.bincount(counters(np.concatenate(sets)), minlength=1 << SKETCH_BITS)
+                full = np.array([len(s) > 0 for s in sets])
+                marks = np.zeros((len(sets), len(MARKS)), np.int64)
+                if full.any():
+                    marks[full, :SLICES] = slices(np.stack([s for s in signed if len(s)]))
+                    marks[full, SLICES:] = np.stack([parities(s) for s in sets if len(s)])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, 500),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     arrays(signed, np.int32),
-                    pa.nulls(len(sets), pa.list_(pa.int64())),
+                    *[pa.array(np.ascontiguousarray(marks[:, i])) for i in range(len(MARKS))],
                 ], names)
-        if id_type is not None:
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), arrays([np.empty(0, np.int32)], np.int32), arrays([(np.flatnonzero(sketch) << 32) + sketch[sketch > 0]], np.int64),
-            ], names)
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, signature array<int>, sketch array<bigint>")
+    fields = ", ".join(f"{c} bigint" for c in MARKS)
+    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, signature array<int>, {fields}")
 
 
-def rarity(sketches: DataFrame) -> np.ndarray:
-    """Sum of the tasks' sketches; its size is fixed."""
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    entries = sketches.select(F.explode("sketch").alias("e")).select(F.shiftright("e", 32).alias("counter"), F.col("e").bitwiseAND((1 << 32) - 1).alias("n"))
-    for row in entries.groupBy("counter").agg(F.sum("n").alias("n")).collect():
-        total[row["counter"]] = row["n"]
-    return total
+def id_filter(reps: DataFrame) -> np.ndarray:
+    """Bits in which the given ids are set, by a hash; other ids may be set as well. Its size follows their count."""
+    size = 1 << min(max(8 * reps.count() - 1, 1 << 16).bit_length(), MOST_ID_BITS)
+    at = F.pmod(F.xxhash64("rep"), F.lit(size))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
+    held = reps.select(F.floor(at / 64).cast("bigint").alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    words = np.zeros(size // 64, np.int64)
+    words[held["w"].to_numpy()] = held["b"].to_numpy()
+    return words
 
 
-def id_bits(reps: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size in which the given ids are set, by a hash; other ids may be set as well."""
-    at = F.pmod(F.xxhash64("rep"), F.lit(1 << ID_BITS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
-    words = np.zeros((1 << ID_BITS) // 64, np.int64)
-    for row in reps.select(F.floor(at / 64).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect():
-        words[row["w"]] = row["b"]
-    return np.unpackbits(words.view(np.uint8), bitorder="little")
+def passing(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether ids with these 64-bit hashes pass a filter."""
+    at = hashes % (64 * len(words))
+    return (words[at >> 6] >> (at & 63) & 1).astype(bool)
 
 
-def second_look(texts: DataFrame, width: int, rare_for: DataFrame | None, full_for: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(rep, rarest, last, shingles) of some documents, by one more scan.
+def chosen(texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, text) of some documents, by one more scan; a few other documents may be given too.
 
-    ``rarest`` are the rarest shingles, of which similar sets share some, as
-    32-bit hashes, one more than the sets' sizes leave out; ``last`` is where
-    they end in the order of rarity. They are given for ids of ``rare_for``, and
-    ``shingles`` for ids of ``full_for``. Ids are told by bitmaps of fixed size,
-    so whole texts are not shuffled; a few other documents may be given too.
+    The ids to take are told by a filter, so other texts are not shuffled. Rows
+    that repeat within a task are given once.
     """
     kind = texts.schema["doc_id"].dataType.simpleString()
-    wanted = id_bits(full_for)
-    rare = id_bits(rare_for) if rare_for is not None else np.zeros(1 << ID_BITS, np.uint8)
-    shared = texts.sparkSession.sparkContext.broadcast((np.packbits(rare), np.packbits(wanted), counts))
-    last_type = pa.struct([("often", pa.int64()), ("shingle", pa.int64())])
+    shared = texts.sparkSession.sparkContext.broadcast(id_filter(reps))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare, wanted, counts = (np.unpackbits(shared.value[0]), np.unpackbits(shared.value[1]), shared.value[2])
+        seen: set[bytes] = set()
         for batch in batches:
-            place = batch.column(1).to_numpy(zero_copy_only=False)
-            chosen = np.flatnonzero((rare[place] | wanted[place]) & batch.column(0).is_valid().to_numpy(zero_copy_only=False))
-            for start in range(0, len(chosen), 500):
-                at = chosen[start : start + 500]
-                part = batch.take(pa.array(at))
-                parts, ends, sets = [], [], []
-                for text, want_rare, want_full in zip(part.column(2).to_pylist(), rare[place[at]], wanted[place[at]], strict=True):
-                    s = shingle_set(text, width)
-                    sets.append(s.view(np.int64) if want_full else np.empty(0, np.int64))
-                    often = counts[counters(s)]
-                    order = np.lexsort((s.view(np.int64), often))[: len(s) - -(-PERCENT * len(s) // 100) + 1 if want_rare and len(s) else 0]
-                    parts.append((s[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                    ends.append({"often": int(often[order[-1]]), "shingle": int(s[order[-1:]].view(np.int64)[0])} if len(order) else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), arrays(parts, np.int32), pa.array(ends, last_type), arrays(sets, np.int64)], ["rep", "rarest", "last", "shingles"])
-
-    hashed = texts.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << ID_BITS)).alias("place"), "text")
-    return hashed.mapInArrow(run, f"rep {kind}, rarest array<int>, last struct<often: bigint, shingle: bigint>, shingles array<bigint>")
+            passes = passing(shared.value, batch.column(1).to_numpy(zero_copy_only=False)) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000).take(pa.array(np.flatnonzero(passes[start : start + 1000])))
+                fresh = []
+                for i, (name, text) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True)):
+                    mark = xxhash.xxh3_128_digest(f"{name} {text}".encode("utf-8", "replace"))
+                    if mark not in seen:
+                        seen.add(mark)
+                        fresh.append(i)
+                part = part.take(pa.array(fresh, pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2)], ["rep", "text"])
+
+    return texts.select("doc_id", F.xxhash64("doc_id").alias("hash"), "text").mapInArrow(run, f"rep {kind}, text string")
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
@@ -190,13 +194,31 @@ def sizes_allow(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def short(token: Column) -> Column:
-    """32-bit hash of a token."""
-    return F.hash(token)
+def agree(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Whether two signatures can agree in enough coordinates, by their slices."""
+    apart = a["s0"].bitwiseXOR(b["s0"])
+    for name in SLICE_NAMES[1:]:
+        apart = apart.bitwiseOR(a[name].bitwiseXOR(b[name]))
+    return F.bit_count(apart) <= COORDINATES - MATCHES
+
+
+def parities_apart(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Bits in which the parities of two sets differ."""
+    return sum(F.bit_count(a[name].bitwiseXOR(b[name])) for name in PARITY_NAMES)
+
+
+def parities_allow(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Whether two sets can be similar enough by the bits in which their parities differ."""
+    return (100 + PERCENT) * parities_apart(a, b) <= (100 - PERCENT) * (a["n"] + b["n"])
+
+
+def can_link(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Whether nothing that is known of two sets rules a link out."""
+    return sizes_allow(a["n"], b["n"]) & agree(a, b) & parities_allow(a, b)
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(rep, n, central, tokens) with the prefix of each set under the order of rarity.
+    """(rep, central, tokens) with the prefix of each set under the order of rarity.
 
     Values that one set alone holds come first in the order and are posted
     nowhere; they only shorten the rest of the prefix. ``central`` says how many
@@ -208,26 +230,38 @@ def prefixes(sets: DataFrame) -> DataFrame:
     held = tokens.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
     room = F.size("held") - F.lit(MATCHES - 1)
     central = F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["df"])
-    posted = held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room)["token"].alias("tokens"))
-    return posted.join(sets.select("rep", "n"), "rep").select("rep", "n", "central", "tokens")
+    return held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room)["token"].alias("tokens"))
 
 
-def postings(held: DataFrame) -> DataFrame:
-    """(token, rep, n, central) of every prefix."""
-    return held.select(F.explode("tokens").alias("token"), "rep", "n", "central")
+def listed(held: DataFrame) -> DataFrame:
+    """(token, rep, centre) of every entry of a list that holds several sets; ``centre`` is the list's most central one."""
+    posts = held.select(F.explode("tokens").alias("token"), "rep", "central")
+    centres = posts.groupBy("token").agg(F.max_by("rep", "central").alias("centre"), F.count("*").alias("k")).where("k > 1")
+    return posts.join(centres, "token").select("token", "rep", "centre")
 
 
-def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that agree in enough coordinates.
+def star_pairs(live: DataFrame) -> DataFrame:
+    """Each set with the centre it meets in most lists, if those are enough to say anything."""
+    met = live.where(F.col("rep") != F.col("centre")).select("rep", "centre").repartition("rep")
+    often = met.groupBy("rep", "centre").agg(F.count("*").alias("k")).where(F.col("k") >= STAR_MEETINGS)
+    return often.groupBy("rep").agg(F.max_by("centre", "k").alias("b")).select(F.col("rep").alias("a"), "b")
 
-    The low 15 bits of each value are compared, which halves what is shuffled;
-    a chance agreement, one in 500 pairs, only adds a pair to confirm.
-    """
-    signed = sets.select("rep", F.transform("signature", lambda v: v.bitwiseAND(F.lit(0x7FFF)).cast("smallint")).alias("signature"))
-    left = pairs.join(signed.withColumnsRenamed({"rep": "a", "signature": "sa"}), "a")
-    both = left.join(signed.withColumnsRenamed({"rep": "b", "signature": "sb"}), "b")
-    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    return both.where(same >= MATCHES).select("a", "b")
+
+def sides(*names: str) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Columns of both sides of a pair, prefixed ``a_`` and ``b_``."""
+    return tuple({n: F.col(f"{side}_{n}") for n in names} for side in "ab")
+
+
+def side(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+
+def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that can be links."""
+    columns = ["rep", "n", *MARKS]
+    a, b = sides(*columns)
+    both = pairs.join(side(sets, "a", columns), F.col("a") == a["rep"]).join(side(sets, "b", columns), F.col("b") == b["rep"])
+    return both.where(can_link(a, b)).select("a", "b").distinct()
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -235,54 +269,105 @@ def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
 
 
-def similar(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar."""
-    left = pairs.join(full.select(F.col("rep").alias("a"), F.col("shingles").alias("fa")), "a")
-    both = left.join(full.select(F.col("rep").alias("b"), F.col("shingles").alias("fb")), "b")
-    shared = F.size(F.array_intersect("fa", "fb"))
-    return both.where(100 * shared >= PERCENT * (F.size("fa") + F.size("fb") - shared)).select("a", "b")
+def similar(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Pairs (a, b) whose full sets are similar.
 
+    Texts are shuffled, which compress, and sets are worked out beside each
+    other; the set of a second text that stays the same is kept.
+    """
+    found = chosen(texts, ends(pairs))
+    left = pairs.join(found.withColumnsRenamed({"rep": "a", "text": "ta"}), "a")
+    both = left.join(found.withColumnsRenamed({"rep": "b", "text": "tb"}), "b").select("a", "b", "ta", "tb")
 
-def parts_allow(a: dict[str, Column], b: dict[str, Column]) -> Column:
-    """Whether two sets can be similar enough by their rarest parts.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, None
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                kept = []
+                for i, (x, y) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                    if y != last:
+                        last, held = y, shingle_set(y, width)
+                    own = shingle_set(x, width)
+                    shared = len(np.intersect1d(own, held, assume_unique=True))
+                    if shared and 100 * shared >= PERCENT * (len(own) + len(held) - shared):
+                        kept.append(i)
+                part = part.take(pa.array(kept, pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"])
 
-    Shared shingles up to the earlier of the two ends are in both parts; beyond
-    it the set that ends earlier has so many left. One is added for a collision
-    of the short hashes.
-    """
-    needed = F.ceil(PERCENT * (a["n"] + b["n"]) / (100 + PERCENT))
-    left = F.when(a["last"] < b["last"], a["n"] - F.size(a["rarest"])).otherwise(b["n"] - F.size(b["rarest"]))
-    return F.size(F.array_intersect(a["rarest"], b["rarest"])) + left + 1 >= needed
+    kind = pairs.schema["a"].dataType.simpleString()
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def star_pairs(posts: DataFrame) -> DataFrame:
-    """Each set with the most central set of every list it stands in."""
-    centres = posts.groupBy("token").agg(F.max(F.struct("central", "rep", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    met = posts.join(centres.select("token", F.col("c.rep").alias("centre"), F.col("c.n").alias("centre_n")), "token")
-    met = met.where((F.col("rep") != F.col("centre")) & sizes_allow(F.col("n"), F.col("centre_n")))
-    return met.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+ENTRY = ["token", "rep", "part", "is_main", "n", *MARKS]
 
 
-def crossing_pairs(held: DataFrame, parts: DataFrame, looked: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that share a list and can be similar.
+def mixed_lists(live: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Entries of lists that hold sets of several components.
 
-    In each list the component with most entries is taken as one side only, so
-    its entries are not paired with each other. A pair is met in the first list
-    it shares. Sizes and parts of sets are attached only to the entries left.
+    In each list the component with most entries ``is_main``; its entries need
+    not be compared with each other.
     """
-    named = postings(held).select("token", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
+    named = live.select("token", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     counts = named.groupBy("token", "part").agg(F.count("*").alias("k"))
-    main = counts.groupBy("token").agg(F.max(F.struct("k", "part")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-    active = saved(named.join(main.select("token", F.col("m.part").alias("main")), "token").select("token", "rep", "part", "main"), "active")
-    prefix = F.transform("tokens", short).alias("prefix")
-    known = active.join(looked.select("rep", "rarest", "last").where(F.size("rarest") > 0), "rep").join(held.select("rep", "n", prefix), "rep")
-    few = known.where("part <> main").select("token", *[F.col(c).alias(f"a_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")])
-    every = known.select("token", (F.col("part") == F.col("main")).alias("is_main"), *[F.col(c).alias(f"b_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")])
-    a, b = ({c: F.col(f"{side}_{c}") for c in ("rep", "n", "part", "rarest", "last", "prefix")} for side in "ab")
-    first = F.get(F.array_intersect(a["prefix"], b["prefix"]), 0) == short(few["token"])
-    differ = (a["part"] != b["part"]) & (F.col("is_main") | (a["rep"] < b["rep"]))
-    met = few.join(every, (few["token"] == every["token"]) & differ & sizes_allow(a["n"], b["n"]) & first & parts_allow(a, b))
-    return met.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).distinct()
+    main = counts.groupBy("token").agg(F.max_by("part", "k").alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    mixed = saved(named.join(main, "token").select("token", "rep", "part", (F.col("part") == F.col("main")).alias("is_main")), "mixed-lists")
+    return mixed.join(sets.select("rep", "n", *MARKS), "rep").select(*ENTRY)
+
+
+def with_partners(entries: DataFrame) -> DataFrame:
+    """Entries that can be linked with an entry of another component in their list."""
+    a, b = sides(*ENTRY)
+    meet = (a["token"] == b["token"]) & (a["part"] != b["part"]) & can_link(a, b)
+    main, few, every = entries.where("is_main"), entries.where("NOT is_main"), entries
+    kept = [side(x, "a", ENTRY).join(side(y, "b", ENTRY), meet, "left_semi") for x, y in ((main, few), (few, every))]
+    return kept[0].unionByName(kept[1]).select(*[F.col(f"a_{c}").alias(c) for c in ENTRY])
+
+
+def crossing_pairs(entries: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a list and can be links, with how far ``apart`` their parities are.
+
+    A pair is met in the first list it shares.
+    """
+    columns = [*ENTRY, "tokens"]
+    known = entries.join(held.select("rep", "tokens"), "rep")
+    a, b = sides(*columns)
+    differ = (a["part"] != b["part"]) & (b["is_main"] | (a["rep"] < b["rep"]))
+    first = F.get(F.array_intersect(a["tokens"], b["tokens"]), 0) == a["token"]
+    met = side(known.where("NOT is_main"), "a", columns).join(side(known, "b", columns), (a["token"] == b["token"]) & differ & can_link(a, b) & first)
+    return met.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b"), parities_apart(a, b).alias("apart")).distinct()
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """Of each set, on either side of its pairs, the pair with its nearest candidate."""
+    of_a = pairs.groupBy("a").agg(F.min_by("b", "apart").alias("b"))
+    of_b = pairs.groupBy("b").agg(F.min_by("a", "apart").alias("a"))
+    return of_a.select("a", "b").unionByName(of_b.select("a", "b")).distinct()
+
+
+def still_apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs whose sets are in different components of the links found so far."""
+    parts = saved(components(near), "parts")
+    left = pairs.join(parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+    both = left.join(parts.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "apart")
+
+
+def confirmed(pairs: DataFrame, near: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """All links found before, and those among the pairs that join components."""
+    for _ in range(NEAREST_ROUNDS):
+        first = saved(nearest(pairs), "nearest")
+        near = near.unionByName(saved(similar(first, texts, width), "nearest-links"))
+        pairs = saved(still_apart(pairs.join(first, ["a", "b"], "left_anti"), near), "pairs-left")
+    return near.unionByName(saved(similar(pairs.select("a", "b"), texts, width), "crossing-links"))
+
+
+def own_links(linked: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of documents with several different texts to the representatives of each."""
+    key = F.xxhash64("set_key")
+    several = linked.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).where("low <> high").select("doc_id")
+    held = linked.select("doc_id", "set_key").join(several, "doc_id").join(sets.select("set_key", "rep"), "set_key")
+    return held.where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -292,28 +377,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "
     ones and those without words have no shingles and no links. Equal sets are
     one class with its smallest doc_id as representative, so copies and repeated
     rows cost nothing beyond their count; rows that share a doc_id count as one
-    document. A null doc_id has no component and is not kept. An empty table
-    gives no rows; other columns, whatever their names, are ignored.
+    document, linked by any of its texts. A null doc_id has no component and is
+    not kept. Texts of any length are taken whole, and sets are compared by
+    64-bit shingles. An empty table gives no rows; other columns, whatever their
+    names, are ignored.
     """
     texts = docs.select(docs[key].alias("doc_id"), docs[text].cast("string").alias("text"))
-    written = saved(signed_documents(texts, width, seed), "signatures")
-    rows = written.where("sketch IS NULL")
+    rows = saved(signed_documents(texts, width, seed), "signatures")
     linked = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    sets = saved(
-        linked.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("m"))
-        .select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.signature").alias("signature")), "sets",
-    )
+    own = ["doc_id", "n_shingles", "signature", *MARKS]
+    sets = saved(linked.groupBy("set_key").agg(F.min(F.struct(*own)).alias("m")).select("set_key", "m.*").withColumnsRenamed({"doc_id": "rep", "n_shingles": "n"}), "sets")
     held = saved(prefixes(sets), "prefixes")
-    posts = postings(held)
-    several = posts.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    listed = posts.join(several, "token", "left_semi").select("rep").distinct()
-    star = saved(agreeing(star_pairs(posts), sets), "star-pairs")
-    counts = rarity(written.where("sketch IS NOT NULL"))
-    looked = saved(second_look(texts, width, listed, ends(star), counts), "second-look")
-    near = saved(similar(star, looked), "star-links")
-    crossing = saved(agreeing(crossing_pairs(held, components(near), looked), sets), "crossing-pairs")
-    full = second_look(texts, width, None, ends(crossing), counts)
-    near = near.unionByName(saved(similar(crossing, saved(full, "full-sets")), "crossing-links"))
+    live = saved(listed(held), "lists")
+    star = saved(agreeing(star_pairs(live), sets), "star-pairs")
+    near = saved(similar(star, texts, width), "star-links")
+    entries = saved(with_partners(mixed_lists(live, saved(components(near), "star-parts"), sets)), "entries")
+    crossing = saved(crossing_pairs(entries, held), "crossing-pairs")
+    near = confirmed(crossing, near, texts, width).unionByName(own_links(linked, sets))
     parts = saved(components(near), "components")
     classes = sets.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     placed = rows.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
