@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROUNDS = 6
 ROWS_PER_BUCKET = 65_536
+#: Copies of one row that a task numbers at a time; more of them are dealt to other tasks.
+COPIES = 65_536
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -57,7 +59,8 @@ def numbered(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[Dat
     """All rows of a light frame with ``row_number`` from 0, and their count.
 
     Equal rows are counted before the shuffle and take neighbouring numbers, so
-    a row that makes up a third of the table is one row while it is ordered.
+    a row that makes up a third of the table is one row while it is ordered; its
+    copies are then written out by many tasks.
     Buckets come from a hash of the whole row and hold about
     ``rows_per_bucket`` different rows; only one bucket is ordered at a time.
     """
@@ -72,8 +75,13 @@ def numbered(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[Dat
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     offsets = sizes.select("_bucket", (F.sum("_held").over(earlier) - F.col("_held")).alias("_offset"))
     placed = counted.withColumn("_before", before).join(offsets, "_bucket")
-    first = F.col("_offset") + F.col("_before")
-    return placed.select(*columns, F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("row_number")), total
+    first = (F.col("_offset") + F.col("_before")).alias("_first")
+    runs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / COPIES)))
+    spread = placed.select(*columns, "_n", first).withColumn("_run", runs)
+    spread = spread.where(F.col("_n") <= COPIES).unionByName(spread.where(F.col("_n") > COPIES).repartition("_first", "_run"))
+    start = F.col("_first") + F.col("_run") * COPIES
+    stop = F.least(F.col("_first") + F.col("_n"), start + COPIES) - 1
+    return spread.select(*columns, F.explode(F.sequence(start, stop)).alias("row_number")), total
 
 
 def shard_rows(docs: DataFrame, shards: int, seed: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:

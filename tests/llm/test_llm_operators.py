@@ -250,6 +250,14 @@ def test_shards(odd, empty):
     assert sorted(map(repr, found)) == sorted(map(repr, again)) and sharding.shard_rows(empty, 5).count() == 0
 
 
+def test_many_copies_of_one_row_are_numbered_in_runs(spark, monkeypatch):
+    rows = spark.range(50).select((F.col("id") % 3 * F.when(F.col("id") < 40, 0).otherwise(1)).alias("v"))
+    whole = sorted(map(tuple, sharding.numbered(rows)[0].collect()), key=lambda r: r[1])
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    assert sorted(map(tuple, sharding.numbered(rows)[0].collect()), key=lambda r: r[1]) == whole
+    assert [n for _, n in whole] == list(range(50))
+
+
 def test_quality_rules(odd, empty):
     found = {r.doc_id: r for r in quality_rules.judge_documents(odd).collect()}
     for row in odd.collect():
