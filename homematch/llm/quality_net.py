@@ -26,7 +26,7 @@ BLOCK = HALF * 256
 #: Labelled documents the learning sample has at most, about.
 SAMPLE_ROWS = 3000
 #: Passes over the sample, and updates that are made at least.
-EPOCHS, UPDATES, BATCH, RATE = 4, 500, 16, 0.004
+EPOCHS, UPDATES, BATCH, RATE = 4, 300, 16, 0.004
 THRESHOLD = 0.7
 
 
