@@ -30,12 +30,9 @@ def county_flags(county: Column, names: Sequence[str] = tuple(SHIRES)) -> dict[s
     return {f"county_{name}": _flag(county == name) for name in names}
 
 
-def found_flags(df: DataFrame, key: str, column: str = "county") -> DataFrame:
-    """Rows (key, ``flag``) of the flags that are set, for whatever names the column holds; a missing one sets none.
-
-    The names stay rows, so there may be any number of them.
-    """
-    return df.where(F.col(column).isNotNull()).select(key, F.concat(F.lit("county_"), F.col(column)).alias("flag"))
+def county_names(df: DataFrame, column: str = "county") -> list[str]:
+    """County names that occur, for flags by data instead of the fixed six; they become columns, so all of them are needed."""
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def location_flags(latitude: Column, longitude: Column, county: Column) -> dict[str, Column]:

@@ -295,3 +295,11 @@ def test_second_gazetteer_fills_half_empty_and_repeated_rows(spark):
     secondary = spark.createDataFrame([(key, 51.0, 0.25), (key, 51.0, 0.25)], fields)
     asked = spark.createDataFrame([("1 High Street",)], "address string")
     assert [tuple(r)[1:] for r in joins.coordinates_for(asked, "address", primary, secondary).collect()] == [(51.0, 0.25)]
+
+
+def test_flags_by_found_names_keep_every_row(spark):
+    df = spark.createDataFrame([(1, "Kent"), (2, None), (3, "Bucks"), (3, "Bucks")], "id int, county string")
+    names = encode.county_names(df)
+    flags = df.select("id", *[c.alias(n) for n, c in encode.county_flags(F.col("county"), names).items()])
+    assert names == ["Bucks", "Kent"]
+    assert sorted(map(tuple, flags.collect())) == [(1, 0, 1), (2, 0, 0), (3, 1, 0), (3, 1, 0)]
