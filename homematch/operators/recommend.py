@@ -103,9 +103,9 @@ def in_intervals(offers: DataFrame, budgets: DataFrame) -> DataFrame:
     """
     highest = budgets.agg(F.coalesce(F.max(cell(F.col("budget"))), F.lit(0)).alias("highest")).scalar()
     levels = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.col("_highest"), F.lit(1)))).cast("int"))
-    spans = F.transform(levels, lambda level: F.struct(level.alias("level"), _shifted(F.col("_cell"), level).alias("place")))
     known = offers.withColumn("_highest", highest).withColumn("_cell", cell(F.col("price")))
-    return known.withColumn("_span", F.explode(F.filter(spans, lambda span: span["place"] % 2 == 0))).select(*offers.columns, "_span.level", "_span.place")
+    spans = known.withColumn("level", F.explode(levels)).withColumn("place", _shifted(F.col("_cell"), F.col("level")))
+    return spans.where(F.col("place") % 2 == 0).select(*offers.columns, *INTERVAL)
 
 
 def _shifted(value: Column, level: Column) -> Column:
@@ -119,16 +119,19 @@ def in_own_cell(offers: DataFrame) -> DataFrame:
 
 def covering(budgets: DataFrame) -> DataFrame:
     """Budgets with the intervals that cover all cells below theirs, and their own cell."""
-    at = cell(F.col("budget"))
-    spans = F.transform(F.sequence(F.lit(0), F.lit(39)), lambda level: F.struct(level.alias("level"), (_shifted(at, level) - 1).alias("place")))
-    own = F.array(F.struct(F.lit(OWN_CELL).alias("level"), at.alias("place")))
-    below = F.filter(spans, lambda span: span["place"] % 2 == 0)
-    return budgets.withColumn("_span", F.explode(F.concat(below, own))).select(*budgets.columns, "_span.level", "_span.place")
+    spans = budgets.withColumn("_at", cell(F.col("budget"))).withColumn("level", F.explode(F.sequence(F.lit(OWN_CELL), F.lit(39))))
+    own = F.col("level") == OWN_CELL
+    spans = spans.withColumn("place", F.when(own, F.col("_at")).otherwise(_shifted(F.col("_at"), F.col("level")) - 1))
+    return spans.where(own | (F.col("place") % 2 == 0)).select(*budgets.columns, *INTERVAL)
 
 
 def affordable(offers: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Offers of intervals and own cells with each budget that covers them; an offer meets a budget at most once."""
-    return covering(budgets).join(offers, [*MARKET, *INTERVAL]).where(F.col("price").isNull() | (F.col("price") <= F.col("budget")))
+    """Offers of intervals and own cells with each budget that covers them; an offer meets a budget at most once.
+
+    A budget becomes up to forty rows after the shuffle by which its size is
+    judged, so both sides are merged and neither is ever sent to the driver.
+    """
+    return covering(budgets).hint("merge").join(offers, [*MARKET, *INTERVAL]).where(F.col("price").isNull() | (F.col("price") <= F.col("budget")))
 
 
 def eligible_counts(profiles: DataFrame, properties: DataFrame) -> DataFrame:

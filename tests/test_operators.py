@@ -297,6 +297,17 @@ def test_second_gazetteer_fills_half_empty_and_repeated_rows(spark):
     assert [tuple(r)[1:] for r in joins.coordinates_for(asked, "address", primary, secondary).collect()] == [(51.0, 0.25)]
 
 
+def test_budgets_are_not_broadcast(spark):
+    """Budgets turn into forty rows after the shuffle whose size adaptive execution sees, too many for the driver."""
+    market = {c: "x" for c in ("county", "location", "kind")} | {"garden": 0, "parking": 0}
+    offers = spark.createDataFrame([{"id": i, "price": float(i), **market} for i in range(50)])
+    budgets = spark.createDataFrame([{"budget": float(a), **market} for a in range(40)]).distinct()
+    met = recommend.affordable(recommend.in_own_cell(offers).unionByName(recommend.in_intervals(offers, budgets)), budgets)
+    assert met.count() == sum(range(1, 41))
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+
+
 def test_flags_by_found_names_keep_every_row(spark):
     df = spark.createDataFrame([(1, "Kent"), (2, None), (3, "Bucks"), (3, "Bucks")], "id int, county string")
     names = encode.county_names(df)
