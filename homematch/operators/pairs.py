@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from homematch import schemas
 from homematch.functions import numbers, text
@@ -12,10 +12,12 @@ from homematch.operators.encode import fit_scaler, scale
 from homematch.operators.filters import columns_with_prefix, first_rows, with_missing_columns
 from homematch.operators.impute import fill_features, fill_medians, fill_pair_size
 from homematch.operators.joins import with_row
-from homematch.operators.ranking import hash_order, hash_rank
+from homematch.operators.ranking import bucket_offsets, hash_order, hash_rank
 from homematch.session import saved
 
 ANY_TENURE = 2
+#: Leading hex digits of a hash by which rows are counted to find where a share of them ends.
+CUT_DIGITS = 3
 
 
 def tenure_pools(properties: DataFrame, key: str = "id") -> DataFrame:
@@ -116,9 +118,41 @@ def suitable() -> Column:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Flag ``is_test`` on an exact share of each class, in the hash order of a unique key."""
-    ranked = hash_rank(df, key, by=[label], seed=seed, rank="_rank", total="_total")
-    return ranked.withColumn("is_test", (F.col("_rank") < F.round(F.col("_total") * test_share)).cast("int")).drop("_rank", "_total")
+    """Flag ``is_test`` on an exact share of each class, in the hash order of a key.
+
+    The rows are not ranked: the last test row of each class is found from
+    labels and keys alone, and a row is a test row if it does not come after it.
+    Only where rows of that one key fall on both sides are they numbered.
+    """
+    cuts = saved(last_test_rows(df, label, key, test_share, seed), "cuts")
+    whole = F.col(label).isNotNull() & F.col(key).isNotNull()
+    known = df.where(whole).withColumn("_hash", hash_order(F.col(key), seed)).join(F.broadcast(cuts), label)
+    tied = F.coalesce(F.struct("_hash", F.col(key).alias("key")) == F.col("_cut"), F.lit(False))
+    before = F.coalesce(F.struct("_hash", F.col(key).alias("key")) < F.col("_cut"), F.lit(False))
+    flagged = known.withColumn("is_test", (before | tied).cast("int"))
+    if not cuts.where(F.col("_taken") < F.col("_tied")).isEmpty():
+        place = F.row_number().over(Window.partitionBy(label).orderBy("_hash"))
+        flagged = known.where(~tied).withColumn("is_test", before.cast("int")).unionByName(
+            known.where(tied).withColumn("is_test", (place <= F.col("_taken")).cast("int")))
+    return flagged.select(*df.columns, "is_test")
+
+
+def last_test_rows(df: DataFrame, label: str, key: str, test_share: float, seed: int) -> DataFrame:
+    """Per class the hash and key of its last test row as ``_cut``, null without one; of the
+    ``_tied`` rows with that key, ``_taken`` are test rows.
+
+    Rows are counted per leading digits of their hash; only those of the one
+    bucket in which the share ends are sorted. Rows without a key count in the
+    share and come first, but are no test rows.
+    """
+    keys = df.where(F.col(label).isNotNull()).select(F.col(label), F.col(key).alias("key")).withColumn("_hash", hash_order(F.col("key"), seed))
+    keys = keys.withColumn("_bucket", F.substring("_hash", 1, CUT_DIGITS))
+    spans = bucket_offsets(keys, [label], "_bucket", F.lit(1).cast("bigint")).withColumn("_share", F.round(F.col("_total") * test_share).cast("bigint"))
+    ends = spans.where((F.col("_before") < F.col("_share")) & (F.col("_before") + F.col("_held") >= F.col("_share"))).select(label, "_bucket", "_share", "_before")
+    equal = keys.join(F.broadcast(ends), [label, "_bucket"]).groupBy(label, "_hash", "key", "_share", "_before").agg(F.count(F.lit(1)).alias("_tied"))
+    running = F.sum("_tied").over(Window.partitionBy(label).orderBy("_hash", "key").rowsBetween(Window.unboundedPreceding, 0))
+    last = equal.withColumn("_taken", F.col("_share") - F.col("_before") - running + F.col("_tied")).where((F.col("_taken") > 0) & (F.col("_taken") <= F.col("_tied")))
+    return spans.select(label).distinct().join(last.select(label, F.struct("_hash", "key").alias("_cut"), "_tied", "_taken"), label, "left")
 
 
 def labelled_pairs(

@@ -314,3 +314,20 @@ def test_flags_by_found_names_keep_every_row(spark):
     flags = df.select("id", *[c.alias(n) for n, c in encode.county_flags(F.col("county"), names).items()])
     assert names == ["Bucks", "Kent"]
     assert sorted(map(tuple, flags.collect())) == [(1, 0, 1), (2, 0, 0), (3, 1, 0), (3, 1, 0)]
+
+
+def test_split_moves_no_rows_and_keeps_its_order(spark):
+    """The split of whole ranks, by a filter on a hash and key instead of a sort of all rows."""
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 7 < 5 THEN 1 WHEN id < 2990 THEN 0 END AS y", "id * 2 AS v").repartition(3)
+    ranked = hash_rank(df, "id", by=["y"], seed=42, rank="r", total="n").withColumn("is_test", (F.col("r") < F.round(F.col("n") * 0.2)).cast("int"))
+    split = pairs.stratified_split(df, "y", "id")
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, ranked.select(*split.columns).collect()))
+    assert "Window" not in split._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_split_is_exact_with_repeated_keys(spark):
+    df = spark.range(1000).selectExpr("id % 4 AS id", "id % 2 AS y", "id AS v")
+    counts = {(r.y, r.is_test): r["count"] for r in pairs.stratified_split(df, "y", "id").groupBy("y", "is_test").count().collect()}
+    assert counts == {(0, 1): 100, (0, 0): 400, (1, 1): 100, (1, 0): 400}
+    few = spark.createDataFrame([(1, 0), (2, 0)], "id int, y int")
+    assert {r.is_test for r in pairs.stratified_split(few, "y", "id").collect()} == {0}
