@@ -35,8 +35,9 @@ def sample_pairs(
     Properties get a rank in the hash order of their pool. A user takes the k
     ranks from a hashed start on, wrapping at the end, and an equi-join on
     (pool, rank) resolves them: no product of users and properties, and even
-    join keys whatever the pool sizes are. A pool without properties falls back
-    to all of them.
+    join keys whatever the pool sizes are. That is a merge join: users are
+    judged by their size before each becomes k requests, and would be broadcast.
+    A pool without properties falls back to all of them.
     """
     sizes = properties.agg(
         F.count_if(F.col("tenure") == 0).alias("freehold"),
@@ -61,15 +62,19 @@ def sample_pairs(
     )
     picked = picked.select("user_id", "pool", ((F.col("_start") + F.col("_step")) % F.col("_size")).alias("rank"))
     ranked = hash_rank(tenure_pools(properties), "property_id", by=["pool"], seed=seed)
-    return picked.join(ranked.select("pool", "rank", "property_id"), ["pool", "rank"]).select("user_id", "property_id")
+    return picked.join(ranked.select("pool", "rank", "property_id").hint("merge"), ["pool", "rank"]).select("user_id", "property_id")
 
 
 def pair_rows(pairs: DataFrame, properties: DataFrame, users: DataFrame) -> DataFrame:
-    """Pairs with all columns of both sides and both ids."""
+    """Pairs with all columns of both sides and both ids.
+
+    Both sides grow with the pairs and are judged by their files, which are far
+    smaller than their rows, so neither is broadcast.
+    """
     left = properties.withColumnRenamed("id", "property_id")
     shared = [c for c in users.columns if c in left.columns]
     right = users.drop(*shared).withColumnRenamed("id", "user_id") if "id" not in shared else users.withColumnRenamed("id", "user_id")
-    return pairs.join(left, "property_id").join(right, "user_id")
+    return pairs.join(left.hint("merge"), "property_id").join(right.hint("merge"), "user_id")
 
 
 def prepare_features(pairs: DataFrame, numeric_preference: bool = False) -> DataFrame:

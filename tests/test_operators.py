@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
@@ -151,6 +152,25 @@ def test_pairs_follow_the_tenure_rule(spark):
     assert pairs.sample_pairs(properties.where("id < 0"), users, 5).count() == 0
 
 
+def planned_joins(df, keys):
+    """Kind of each planned join on the named keys, before any part of it has run."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    found = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[([^\]]*)\]", plan)
+    return [kind for kind, at in found if re.sub(r"#\d+L?", "", at) == keys]
+
+
+def test_pairs_are_merged_however_small_their_files_look(spark):
+    properties = spark.range(30).selectExpr("id", "CAST(id % 3 AS INT) AS tenure", "id * 1E0 AS price")
+    users = spark.range(20).selectExpr("id", "'Freehold' AS tenure_preference", "id * 2E0 AS income")
+    sampled = pairs.sample_pairs(properties, users, 4)
+    assert planned_joins(sampled, "pool, rank") == ["SortMergeJoin"]
+    rows = pairs.pair_rows(sampled, properties, users)
+    assert planned_joins(rows, "property_id") == ["SortMergeJoin"] and planned_joins(rows, "user_id") == ["SortMergeJoin"]
+    found = rows.collect()
+    assert len(found) == len({(r.user_id, r.property_id) for r in found}) == 80
+    assert all(r.tenure == 0 and r.price == r.property_id and r.income == 2 * r.user_id for r in found)
+
+
 def test_split_is_exact_per_class(spark):
     df = spark.range(1000).withColumn("y", (F.col("id") < 700).cast("int"))
     counts = {(r.y, r.is_test): r["count"] for r in pairs.stratified_split(df, "y", "id").groupBy("y", "is_test").count().collect()}
