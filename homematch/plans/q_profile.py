@@ -147,7 +147,7 @@ def d10(t):
 def d11(t):
     from homematch.operators.pairs import sample_pairs
 
-    rows = sample_pairs(t.props, t.users).join(t.users.select(F.col("id").alias("user_id"), "income"), "user_id")
+    rows = sample_pairs(t.props, t.users).join(t.users.select(F.col("id").alias("user_id"), "income").hint("merge"), "user_id")
     return profile.distinct_counts(rows, ["property_id", "income"])
 
 
@@ -241,7 +241,7 @@ def e5(t):
 def f1(t):
     from homematch.operators.pairs import sample_pairs
 
-    scored = sample_pairs(t.props, t.users).join(t.props.select(F.col("id").alias("property_id"), "price", "property_score"), "property_id")
+    scored = sample_pairs(t.props, t.users).join(t.props.select(F.col("id").alias("property_id"), "price", "property_score").hint("merge"), "property_id")
     top = top_per_group(scored, ["user_id"], [F.desc("property_score"), F.col("property_id")], 5)
     return top.select("user_id", whole("position").alias("position"), "property_id", "price")
 
