@@ -39,17 +39,20 @@ def join_statistics(df: DataFrame, statistics: DataFrame, keys: Sequence[str]) -
     return df.join(named, same, "left").drop(*[f"_{k}" for k in keys])
 
 
-def left_join_present(df: DataFrame, right: DataFrame, key: str, salts: int = 64) -> DataFrame:
+def left_join_present(df: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join in which rows without a key are spread out.
 
-    They get one of many salts that the right side never has, instead of all
-    meeting in the task of the null key.
+    They get a hash of their other columns beside the null key, instead of all
+    meeting in one task. The salt of present keys is 0, on the right worked out
+    from the key: a literal there would be put into the condition and leave the
+    rows dealt by key alone. It is a merge join: the right side is judged by
+    files far smaller than its rows and would be broadcast, or the left one,
+    once shuffled, be read again in as few tasks as wrote it.
     """
-    missing = F.lit(0 if df.schema[key].dataType != T.StringType() else "").cast(df.schema[key].dataType)
-    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[c for c in df.columns if c != key]), F.lit(salts)) + 1)
-    left = df.withColumns({"_key": F.coalesce(key, missing), "_salt": F.coalesce(spread, F.lit(0).cast("bigint"))})
-    salted = right.withColumn("_salt", F.lit(0).cast("bigint")).withColumnRenamed(key, "_key")
-    return left.join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*[c for c in df.columns if c != key])).otherwise(F.lit(0).cast("bigint"))
+    left = df.withColumns({"_key": F.col(key), "_salt": spread})
+    salted = right.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1))).withColumnRenamed(key, "_key")
+    return left.join(salted.hint("merge"), ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def first_listing_per_address(listings: DataFrame) -> DataFrame:

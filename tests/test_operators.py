@@ -171,6 +171,14 @@ def test_pairs_are_merged_however_small_their_files_look(spark):
     assert all(r.tenure == 0 and r.price == r.property_id and r.income == 2 * r.user_id for r in found)
 
 
+def test_rows_without_a_key_are_spread_and_kept(spark):
+    rows = spark.range(400).selectExpr("id", "CASE WHEN id % 4 = 0 THEN id % 3 END AS place")
+    found = joins.left_join_present(rows, spark.createDataFrame([(0, "a"), (1, "b"), (None, "c")], "place long, name string"), "place")
+    assert {(r.id, r.place, r.name) for r in found.collect()} == {
+        (n, *((n % 3, {0: "a", 1: "b"}.get(n % 3)) if n % 4 == 0 else (None, None))) for n in range(400)}
+    assert planned_joins(found, "_key, _salt") == ["SortMergeJoin"]
+
+
 def test_split_is_exact_per_class(spark):
     df = spark.range(1000).withColumn("y", (F.col("id") < 700).cast("int"))
     counts = {(r.y, r.is_test): r["count"] for r in pairs.stratified_split(df, "y", "id").groupBy("y", "is_test").count().collect()}
