@@ -57,11 +57,11 @@ def assembled(lines: DataFrame, ranges: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, inside, head, line, begun, starts_file, held = None, 0, False, 0, 0, False, []
 
-        def frame(numbers: list, kinds: int, values: list | pa.Array) -> pa.RecordBatch:
+        def frame(numbers: list | np.ndarray, kinds: int, values: list | pa.Array) -> pa.RecordBatch:
             whole = values if isinstance(values, pa.Array) else pa.array(values, pa.string())
-            size = len(whole)
+            size, numbers = len(whole), np.asarray(numbers, np.int64)
             return pa.RecordBatch.from_arrays([
-                pa.array(np.full(size, place)), pa.array(numbers, pa.int64()), pa.array([starts_file and n == 0 for n in numbers], pa.bool_()), pa.array(np.full(size, kinds, np.int32)), whole], names)
+                pa.array(np.full(size, place)), pa.array(numbers), pa.array((numbers == 0) & starts_file), pa.array(np.full(size, kinds, np.int32)), whole], names)
 
         for batch in batches:
             numbers = batch.column(0).to_numpy()
@@ -79,7 +79,7 @@ def assembled(lines: DataFrame, ranges: DataFrame) -> DataFrame:
                 single = (before == 0) & (after == 0)
                 if single.any():
                     at = np.flatnonzero(single)
-                    yield frame((at + line).tolist(), WHOLE, values.take(pa.array(at)))
+                    yield frame(at + line, WHOLE, values if len(at) == b - a else values.take(pa.array(at)))
                 for i in np.flatnonzero(~single).tolist():
                     if not before[i]:
                         begun = line + i
