@@ -54,6 +54,8 @@ def keyed(docs: DataFrame, key: str) -> DataFrame:
     marks = F.xxhash64(text), F.xxhash64(F.lit(1), text)
     ids = docs.select(own.alias(one), marks[0].alias(low)).groupBy(one).agg(F.min(low).alias("least"), F.max(low).alias("most"))
     shared = saved(ids.where(F.col(one).isNull() | (F.col("least") != F.col("most"))).select(one), "shared-ids")
+    if shared.isEmpty():
+        return docs.withColumn(key, own)
     highest = docs.agg(F.coalesce(F.max(own), F.lit(0)).alias("top")).scalar()
     same = own.eqNullSafe(F.col(one))
     several = docs.join(shared, same, "left_semi").select(own.alias(one), marks[0].alias(low), marks[1].alias(high)).distinct()

@@ -9,7 +9,7 @@ the sample that was not learned from calibrates the probabilities.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,6 +61,28 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, x / max(np.sqrt(x @ x), 1e-12)
 
 
+class Sample:
+    """Texts to learn from as (buckets, weights, label), worked out anew each time from their counts, which take little memory."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, int]], idf: np.ndarray):
+        self.rows, self.idf = rows, idf
+
+    @staticmethod
+    def row(text: str, label: int) -> tuple[np.ndarray, np.ndarray, int]:
+        counts = gram_counts(text)
+        at = np.flatnonzero(counts)
+        return at.astype(np.uint16), counts[at].astype(np.min_scalar_type(counts.max(initial=0))), label
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, int]:
+        at, held, label = self.rows[i]
+        counts = np.zeros(BUCKETS, np.int64)
+        counts[at] = held
+        return *weighted(counts, self.idf), label
+
+
 @dataclass
 class LanguageModel:
     """Languages, document weights, sparse weights by bucket, intercepts and temperature."""
@@ -105,7 +127,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     return total
 
 
-def learned(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def learned(rows: Sequence[tuple[np.ndarray, np.ndarray, int]], classes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and intercepts by follow-the-regularised-leader with elastic-net penalty."""
     z, n = np.zeros((BUCKETS, classes)), np.zeros((BUCKETS, classes))
     bias, bias_n = np.zeros(classes), np.zeros(classes)
@@ -165,8 +187,8 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: in
     sample = labelled.where(share < limit).select("text", "lang").withColumn("_order", F.xxhash64(F.lit(seed + 1), "text", "lang"))
     rows = sorted((r["_order"], r["lang"], r["text"]) for r in sample.toLocalIterator())
     number = {language: i for i, language in enumerate(languages)}
-    ready = [(*weighted(gram_counts(text), idf), number[lang]) for _, lang, text in rows]
-    held, used = ready[::5], [r for i, r in enumerate(ready) if i % 5] or ready
+    ready = [Sample.row(text, number[lang]) for _, lang, text in rows]
+    held, used = Sample(ready[::5], idf), Sample([r for i, r in enumerate(ready) if i % 5] or ready, idf)
     model = LanguageModel(languages, idf, *learned(used, len(languages), seed), 1.0)
     model.temperature = fitted_temperature(np.array([model.logits(at, x) for at, x, _ in held]), np.array([label for *_, label in held]))
     return model

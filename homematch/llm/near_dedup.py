@@ -36,7 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from homematch.llm.components import components
+from homematch.llm.components import components, extended
 from homematch.llm.sharding import mixed
 from homematch.session import saved
 
@@ -145,11 +145,12 @@ def signed_documents(docs: DataFrame, width: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, signature array<int>, {fields}")
 
 
-def id_filter(reps: DataFrame) -> np.ndarray:
-    """Bits in which the given ids are set, by a hash; other ids may be set as well. Its size follows their count."""
-    size = 1 << min(max(8 * reps.count() - 1, 1 << 16).bit_length(), MOST_ID_BITS)
+def id_filter(pairs: DataFrame, count: int) -> np.ndarray:
+    """Bits in which the ids of ``count`` pairs are set, by a hash; other ids may be set as well. Its size follows the count."""
+    size = 1 << min(max(16 * count - 1, 1 << 16).bit_length(), MOST_ID_BITS)
     at = F.pmod(F.xxhash64("rep"), F.lit(size))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
+    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     held = reps.select(F.floor(at / 64).cast("bigint").alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     words = np.zeros(size // 64, np.int64)
     words[held["w"].to_numpy()] = held["b"].to_numpy()
@@ -162,14 +163,14 @@ def passing(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (words[at >> 6] >> (at & 63) & 1).astype(bool)
 
 
-def chosen(texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, text) of some documents, by one more scan; a few other documents may be given too.
+def chosen(texts: DataFrame, pairs: DataFrame, count: int) -> DataFrame:
+    """(rep, text) of the documents in ``count`` pairs, by one more scan; a few other documents may be given too.
 
     The ids to take are told by a filter, so other texts are not shuffled. Rows
     that repeat within a task are given once.
     """
     kind = texts.schema["doc_id"].dataType.simpleString()
-    shared = texts.sparkSession.sparkContext.broadcast(id_filter(reps))
+    shared = texts.sparkSession.sparkContext.broadcast(id_filter(pairs, count))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -264,18 +265,17 @@ def agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(can_link(a, b)).select("a", "b").distinct()
 
 
-def ends(pairs: DataFrame) -> DataFrame:
-    """Ids that occur in pairs."""
-    return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-
-
 def similar(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar.
 
     Texts are shuffled, which compress, and sets are worked out beside each
-    other; the set of a second text that stays the same is kept.
+    other; the set of a second text that stays the same is kept. Without pairs no
+    text is read.
     """
-    found = chosen(texts, ends(pairs))
+    count = pairs.count()
+    if not count:
+        return pairs
+    found = chosen(texts, pairs, count)
     left = pairs.join(found.withColumnsRenamed({"rep": "a", "text": "ta"}), "a")
     both = left.join(found.withColumnsRenamed({"rep": "b", "text": "tb"}), "b").select("a", "b", "ta", "tb")
 
@@ -345,21 +345,28 @@ def nearest(pairs: DataFrame) -> DataFrame:
     return of_a.select("a", "b").unionByName(of_b.select("a", "b")).distinct()
 
 
-def still_apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
+def still_apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs whose sets are in different components of the links found so far."""
-    parts = saved(components(near), "parts")
     left = pairs.join(parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
     both = left.join(parts.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "apart")
 
 
-def confirmed(pairs: DataFrame, near: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """All links found before, and those among the pairs that join components."""
+def linked_by(parts: DataFrame, pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Components after the links among the pairs; as they were if there are none."""
+    links = saved(similar(pairs, texts, width), "pair-links")
+    return parts if links.isEmpty() else saved(extended(parts, links), "parts")
+
+
+def confirmed(pairs: DataFrame, parts: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Components of all links found before and those among the pairs that join components."""
     for _ in range(NEAREST_ROUNDS):
+        if pairs.isEmpty():
+            return parts
         first = saved(nearest(pairs), "nearest")
-        near = near.unionByName(saved(similar(first, texts, width), "nearest-links"))
-        pairs = saved(still_apart(pairs.join(first, ["a", "b"], "left_anti"), near), "pairs-left")
-    return near.unionByName(saved(similar(pairs.select("a", "b"), texts, width), "crossing-links"))
+        parts = linked_by(parts, first, texts, width)
+        pairs = saved(still_apart(pairs.join(first, ["a", "b"], "left_anti"), parts), "pairs-left")
+    return linked_by(parts, pairs.select("a", "b"), texts, width)
 
 
 def own_links(linked: DataFrame, sets: DataFrame) -> DataFrame:
@@ -390,11 +397,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "
     held = saved(prefixes(sets), "prefixes")
     live = saved(listed(held), "lists")
     star = saved(agreeing(star_pairs(live), sets), "star-pairs")
-    near = saved(similar(star, texts, width), "star-links")
-    entries = saved(with_partners(mixed_lists(live, saved(components(near), "star-parts"), sets)), "entries")
+    near = saved(similar(star, texts, width).unionByName(own_links(linked, sets)), "star-links")
+    parts = saved(components(near), "star-parts")
+    entries = saved(with_partners(mixed_lists(live, parts, sets)), "entries")
     crossing = saved(crossing_pairs(entries, held), "crossing-pairs")
-    near = confirmed(crossing, near, texts, width).unionByName(own_links(linked, sets))
-    parts = saved(components(near), "components")
+    parts = confirmed(crossing, parts, texts, width)
     classes = sets.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     placed = rows.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

@@ -74,6 +74,41 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def executions(spark, work):
+    """What ``work`` gives, and how many plans Spark ran for it."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    found = work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return found, store.executionsCount() - before
+
+
+def test_components_of_stars_need_no_step(spark):
+    links = spark.createDataFrame([(5, i) for i in range(6, 60)] + [(3, 4)], "a bigint, b bigint")
+    found, ran = executions(spark, lambda: {r.node: r.component for r in components.components(links).collect()})
+    assert found == {**{i: 5 for i in range(5, 60)}, 3: 3, 4: 3}
+    assert ran == 3
+
+
+def test_components_extended_by_links(spark):
+    r = random.Random(3)
+    for kind, name in (("bigint", int), ("string", lambda i: f"n{i:03}")):
+        first, second = ([(name(r.randrange(120)), name(r.randrange(120))) for _ in range(n)] for n in (50, 30))
+        old, new, both = (spark.createDataFrame(x, f"a {kind}, b {kind}") for x in (first, second, first + second))
+        found = components.extended(components.components(old), new).collect()
+        assert len({x.node for x in found}) == len(found)
+        expected = {x.node: x.component for x in components.components(both).collect()}
+        assert {x.node: x.component for x in found if x.node in expected} == expected and {x.node for x in found} <= expected.keys()
+
+
+def test_near_duplicates_without_candidates_run_few_plans(spark):
+    rows = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(20)], "doc_id bigint, text string")
+    found, ran = executions(spark, lambda: near_dedup.near_duplicates(rows).collect())
+    assert all(x.kept and x.component_id == x.doc_id for x in found) and len(found) == 20
+    assert ran <= 20
+
+
 def test_quality_net_learns_and_handles_odd_rows(spark, odd, empty):
     r = random.Random(1)
     words = ["green", "house", "by", "the", "river", "and", "hill", "with", "old", "trees"]
