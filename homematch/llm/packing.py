@@ -10,9 +10,9 @@ fit, in groups of a bounded size, so nothing grows with the table in any task.
 from __future__ import annotations
 
 import json
-import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +25,19 @@ from homematch.session import saved
 OPEN_WINDOWS = 64
 GROUP_WINDOWS = 8192
 END_ID = 0
-#: Entries in each of the two generations of units that a worker keeps, and the longest unit it keeps.
-CACHE_UNITS, CACHE_CHARS = 400_000, 64
-#: Marks a text's first unit; no valid text holds it.
-FIRST = "\ud800"
+#: Texts encoded and handed on at a time.
+ROWS = 200
 #: How byte-level vocabularies of this kind split a text before merging. Fixed value.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FIELDS = "start bigint, length bigint, doc_tokens bigint, window bigint, offset bigint, used bigint, closed boolean, ids binary"
 
 
+def special_tokens(path: str) -> list[str]:
+    """Texts of the tokens that are taken as they stand."""
+    with open(path, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file)["added_tokens"]]
+
+
 def vocabulary_ranks(path: str) -> dict[bytes, int]:
     """Bytes of each token and its id; ids follow the order of merges.
 
@@ -50,71 +54,33 @@ def vocabulary_ranks(path: str) -> dict[bytes, int]:
 
 
 class UnitTokenizer:
-    """Ids of whole texts as the tokenizers library gives them, worked out once per different unit.
-
-    Units are merged by rank over the same vocabulary, which gives the same ids
-    in a third of the time. A unit ends where a single ASCII space stands between two characters that
-    are no white space. The splitting pattern of the vocabulary attaches that
-    space to what follows and never matches across such a place, so the ids of a
-    text are those of its units in a row. A text that holds a special token is
-    given to the library whole.
-    """
+    """Ids of whole texts as the tokenizers library gives them.
 
-    BREAK = re.compile(r"(?<=\S)(?= \S)")
-    BESIDE = re.compile(r"\s | \s")
+    The units into which the vocabulary's pattern splits a text are merged by
+    rank over the same vocabulary, which gives the same ids in less than half of
+    the time. Nothing of a text is kept for later ones, so a worker's memory does
+    not grow with the texts it has seen. A text that holds a special token is
+    given to the library, which is loaded for the first of them.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.special = path, special_tokens(path)
         self.merger = tiktoken.Encoding("units", pat_str=SPLIT_PATTERN, mergeable_ranks=vocabulary_ranks(path), special_tokens={})
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.units: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
-    def split(self, text: str) -> list[str]:
-        """Units of a text, the first after an added space that is taken off again; each is meant with a leading space."""
+    def ids_of(self, text: str) -> list[int]:
         if any(s in text for s in self.special):
-            return [FIRST + text]
-        if self.BESIDE.search(text):
-            first, *rest = self.BREAK.split(text)
-            return [FIRST + first, *[r[1:] for r in rest]]
-        first, *rest = text.split(" ")
-        return [FIRST + first, *rest]
-
-    def ids_of(self, units: list[str]) -> list[bytes]:
-        """Ids of units; those marked as a text's first have no leading space."""
-        merge, out = self.merger.encode_ordinary, []
-        for u in units:
-            if u[:1] != FIRST:
-                out.append(array("I", merge(" " + u)).tobytes())
-            elif any(s in u for s in self.special):
-                out.append(self.whole(u[1:]))
-            else:
-                out.append(array("I", merge(u[1:])).tobytes())
-        return out
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.merger.encode_ordinary(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        split = [self.split(t) for t in texts]
-        found = [list(map(self.units.get, parts)) for parts in split]
-        missing = dict.fromkeys(u for parts, ids in zip(split, found, strict=True) if None in ids for u, i in zip(parts, ids, strict=True) if i is None)
-        local = {u: self.older[u] for u in missing if u in self.older}
-        fresh = [u for u in missing if u not in local]
-        local.update(zip(fresh, self.ids_of(fresh), strict=True))
-        out = [
-            b"".join([local[u] if i is None else i for u, i in zip(parts, ids, strict=True)] if None in ids else ids)
-            for parts, ids in zip(split, found, strict=True)
-        ]
-        for unit, ids in local.items():
-            if len(unit) <= CACHE_CHARS:
-                if len(self.units) >= CACHE_UNITS:
-                    self.older, self.units = self.units, {}
-                self.units[unit] = ids
-        return out
+        return [array("I", self.ids_of(t)).tobytes() for t in texts]
 
 
 _tokenizers: dict[str, UnitTokenizer] = {}
@@ -185,9 +151,9 @@ def pack_tasks(docs: DataFrame, path: str, size: int, keep: int, key: str, text:
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for start in range(0, batch.num_rows, 1000):
-                keys = batch.column(0).slice(start, 1000).to_pylist()
-                texts = [t or "" for t in batch.column(1).slice(start, 1000).to_pylist()]
+            for start in range(0, batch.num_rows, ROWS):
+                keys = batch.column(0).slice(start, ROWS).to_pylist()
+                texts = [t or "" for t in batch.column(1).slice(start, ROWS).to_pylist()]
                 for name, ids in zip(keys, use.encode(texts), strict=True):
                     ids += END_ID.to_bytes(4, "little")
                     total = len(ids) // 4

@@ -2,6 +2,7 @@
 
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -415,6 +416,18 @@ def test_unit_tokenizer_equals_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_unit_tokenizer_keeps_nothing_of_texts():
+    own = packing.UnitTokenizer(BYTES)
+    own.encode(["a b"])
+    tracemalloc.start()
+    try:
+        for start in range(0, 100_000, 1000):
+            assert len(own.encode([" ".join(f"w{i:x}" for i in range(start, start + 1000))])) == 1
+        assert tracemalloc.get_traced_memory()[0] < 1_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_piece_codec_equals_the_library(odd, empty):
     import sentencepiece
 
