@@ -1,4 +1,8 @@
-"""Connected components of a graph given by its links."""
+"""Connected components of a graph given by its links.
+
+Links name few nodes again and again, so their files are far smaller than their
+rows; joins are merge joins at every size, not broadcasts by the size of files.
+"""
 
 from __future__ import annotations
 
@@ -26,10 +30,10 @@ def components(links: DataFrame) -> DataFrame:
     while not _are_stars(held):
         both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = saved(large, "large-star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        small = large.join(low.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         held = saved(small.select("e.u", "e.v").where("u <> v").distinct(), "small-star")
     roots = held.select(F.col("v").alias("node")).distinct()
     return held.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
@@ -41,8 +45,8 @@ def extended(parts: DataFrame, links: DataFrame) -> DataFrame:
     Only links between different components are looked at, by the names of these,
     so what was found before is not worked out again.
     """
-    of_a, of_b = (parts.select(F.col("node").alias(end), F.col("component").alias(f"{end}_part")) for end in "ab")
+    of_a, of_b = (parts.select(F.col("node").alias(end), F.col("component").alias(f"{end}_part")).hint("merge") for end in "ab")
     named = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
     merged = saved(components(named), "merged")
-    moved = parts.join(merged.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
-    return moved.select("node", F.coalesce("into", "component").alias("component")).unionByName(merged.join(parts, "node", "left_anti"))
+    moved = parts.join(merged.select(F.col("node").alias("component"), F.col("component").alias("into")).hint("merge"), "component", "left")
+    return moved.select("node", F.coalesce("into", "component").alias("component")).unionByName(merged.join(parts.hint("merge"), "node", "left_anti"))

@@ -25,6 +25,10 @@ components.
 
 Two sets with similarity 0.8 agree in 51 of 64 coordinates on average and in
 fewer than 32 with a probability of about 2e-8.
+
+Rows that come out of an array, and files of ids that repeat, are judged far too
+small by Spark, which would broadcast them; their joins are merge joins at every
+size.
 """
 
 from __future__ import annotations
@@ -228,7 +232,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
     token = F.call_function("shiftleft", F.col("pos").cast("bigint"), F.lit(32)) + (F.col("value").cast("bigint") + F.lit(1 << 31))
     tokens = sets.select("rep", F.posexplode("signature").alias("pos", "value")).select("rep", token.alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    held = tokens.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
+    held = tokens.hint("merge").join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
     room = F.size("held") - F.lit(MATCHES - 1)
     central = F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["df"])
     return held.where(room > 0).select("rep", central.alias("central"), F.slice("held", F.lit(1), room)["token"].alias("tokens"))
@@ -238,7 +242,7 @@ def listed(held: DataFrame) -> DataFrame:
     """(token, rep, centre) of every entry of a list that holds several sets; ``centre`` is the list's most central one."""
     posts = held.select(F.explode("tokens").alias("token"), "rep", "central")
     centres = posts.groupBy("token").agg(F.max_by("rep", "central").alias("centre"), F.count("*").alias("k")).where("k > 1")
-    return posts.join(centres, "token").select("token", "rep", "centre")
+    return posts.hint("merge").join(centres, "token").select("token", "rep", "centre")
 
 
 def star_pairs(live: DataFrame) -> DataFrame:
@@ -275,7 +279,7 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     count = pairs.count()
     if not count:
         return pairs
-    found = chosen(texts, pairs, count)
+    found = chosen(texts, pairs, count).hint("merge")
     left = pairs.join(found.withColumnsRenamed({"rep": "a", "text": "ta"}), "a")
     both = left.join(found.withColumnsRenamed({"rep": "b", "text": "tb"}), "b").select("a", "b", "ta", "tb")
 
@@ -308,11 +312,11 @@ def mixed_lists(live: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame
     In each list the component with most entries ``is_main``; its entries need
     not be compared with each other.
     """
-    named = live.select("token", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+    named = live.select("token", "rep").join(parts.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     counts = named.groupBy("token", "part").agg(F.count("*").alias("k"))
     main = counts.groupBy("token").agg(F.max_by("part", "k").alias("main"), F.count("*").alias("parts")).where("parts > 1")
     mixed = saved(named.join(main, "token").select("token", "rep", "part", (F.col("part") == F.col("main")).alias("is_main")), "mixed-lists")
-    return mixed.join(sets.select("rep", "n", *MARKS), "rep").select(*ENTRY)
+    return mixed.hint("merge").join(sets.select("rep", "n", *MARKS), "rep").select(*ENTRY)
 
 
 def with_partners(entries: DataFrame) -> DataFrame:
@@ -330,7 +334,7 @@ def crossing_pairs(entries: DataFrame, held: DataFrame) -> DataFrame:
     A pair is met in the first list it shares.
     """
     columns = [*ENTRY, "tokens"]
-    known = entries.join(held.select("rep", "tokens"), "rep")
+    known = entries.hint("merge").join(held.select("rep", "tokens"), "rep")
     a, b = sides(*columns)
     differ = (a["part"] != b["part"]) & (b["is_main"] | (a["rep"] < b["rep"]))
     first = F.get(F.array_intersect(a["tokens"], b["tokens"]), 0) == a["token"]
@@ -347,8 +351,8 @@ def nearest(pairs: DataFrame) -> DataFrame:
 
 def still_apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs whose sets are in different components of the links found so far."""
-    left = pairs.join(parts.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-    both = left.join(parts.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    left = pairs.join(parts.select(F.col("node").alias("a"), F.col("component").alias("ca")).hint("merge"), "a", "left")
+    both = left.join(parts.select(F.col("node").alias("b"), F.col("component").alias("cb")).hint("merge"), "b", "left")
     return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "apart")
 
 
@@ -365,7 +369,7 @@ def confirmed(pairs: DataFrame, parts: DataFrame, texts: DataFrame, width: int)
             return parts
         first = saved(nearest(pairs), "nearest")
         parts = linked_by(parts, first, texts, width)
-        pairs = saved(still_apart(pairs.join(first, ["a", "b"], "left_anti"), parts), "pairs-left")
+        pairs = saved(still_apart(pairs.join(first.hint("merge"), ["a", "b"], "left_anti"), parts), "pairs-left")
     return linked_by(parts, pairs.select("a", "b"), texts, width)
 
 
@@ -402,7 +406,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, seed: int = 1, key: str = "
     entries = saved(with_partners(mixed_lists(live, parts, sets)), "entries")
     crossing = saved(crossing_pairs(entries, held), "crossing-pairs")
     parts = confirmed(crossing, parts, texts, width)
-    classes = sets.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
+    classes = sets.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     placed = rows.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))

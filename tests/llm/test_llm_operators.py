@@ -463,6 +463,21 @@ def test_near_duplicates_of_ids_with_several_texts(spark):
     assert {(r.doc_id, r.component_id) for r in found} == {(3, 3), (4, 3), (5, 3), (9, 9)} and len(found) == 6
 
 
+def test_rows_of_arrays_and_files_of_ids_are_not_broadcast(spark):
+    from homematch.llm import components
+
+    sets = spark.createDataFrame([(i, [j % 7 for j in range(64)]) for i in range(3)], "rep bigint, signature array<int>")
+    held = near_dedup.prefixes(sets)
+    pairs = spark.createDataFrame([(1, 2, 0), (2, 3, 0), (4, 5, 0)], "a bigint, b bigint, apart int")
+    parts = spark.createDataFrame([(1, 1), (2, 1)], "node bigint, component bigint")
+    frames = [held, near_dedup.listed(held), near_dedup.still_apart(pairs, parts), components.extended(parts, pairs.select("a", "b"))]
+    for df in frames:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert held.count() == 3 and frames[1].count() == 3 * 33
+    assert {(r.a, r.b) for r in frames[2].collect()} == {(2, 3), (4, 5)}
+    assert {tuple(r) for r in frames[3].collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)}
+
+
 def test_parities_never_exceed_the_difference():
     r = random.Random(7)
     for _ in range(200):
