@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
@@ -75,18 +76,22 @@ def validation_split(train: DataFrame, key: str = "pair_id", seed: int = 42) ->
     return divided.withColumn("is_validation", F.col("is_test") == 1)
 
 
+def with_validation(train: DataFrame, key: str = "pair_id", seed: int = 42) -> DataFrame:
+    """Training rows with ``is_validation``, as they are if they were divided before."""
+    return train if "is_validation" in train.columns else validation_split(train, key, seed)
+
+
 def train_classifier(train: DataFrame, kind: str = "gbt", key: str = "pair_id", rounds: int = 40, seed: int = 42) -> Model:
     """Fit a classifier for ``y`` on ``features``.
 
     Boosted trees stop early on a validation tenth cut from the training rows,
-    so the test rows play no part in it.
+    so the test rows play no part in it; rows that were divided before stay so.
     """
     if kind == "gbt":
-        divided = validation_split(train, key, seed)
         return GBTClassifier(
             labelCol="y", featuresCol="features", maxIter=rounds, maxDepth=5, seed=seed,
             validationIndicatorCol="is_validation", validationTol=0.001,
-        ).fit(divided)
+        ).fit(with_validation(train, key, seed))
     if kind == "logistic":
         return LogisticRegression(labelCol="y", featuresCol="features", maxIter=rounds, regParam=0.001).fit(train)
     if kind == "perceptron":
@@ -95,32 +100,103 @@ def train_classifier(train: DataFrame, kind: str = "gbt", key: str = "pair_id",
     raise ValueError(f"unknown kind of classifier: {kind}")
 
 
-def round_accuracies(model: GBTClassificationModel, df: DataFrame) -> list[float | None]:
-    """Accuracy after each round of boosted trees, all in one pass."""
-    out = df.select("y", "features").withColumn("_m", F.lit(0.0))
-    hits = []
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        out = tree.setFeaturesCol("features").setPredictionCol("_t").transform(out)
-        out = out.withColumn("_m", F.col("_m") + F.lit(float(weight)) * F.col("_t")).drop("_t")
-        out = out.withColumn(f"_hit_{i}", ((F.col("_m") > 0).cast("int") == F.col("y")).cast("double"))
-        hits.append(F.avg(f"_hit_{i}").alias(f"_hit_{i}"))
-    return list(out.agg(*hits).first())
+@dataclass(frozen=True)
+class FlatTree:
+    """Nodes of one tree as arrays; a leaf is its own child on both sides."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    children: np.ndarray
+    prediction: np.ndarray
+    depth: int
+    #: Left categories of the nodes that ask for one.
+    categories: dict[int, np.ndarray]
+
+    @classmethod
+    def of(cls, tree) -> FlatTree:
+        nodes, categories = [], {}
+
+        def add(node) -> int:
+            at = len(nodes)
+            nodes.append((0, np.inf, at, at, node.prediction()))
+            if node.getClass().getSimpleName() != "LeafNode":
+                split = node.split()
+                if split.getClass().getSimpleName() == "CategoricalSplit":
+                    categories[at], threshold = np.array(list(split.leftCategories())), np.nan
+                else:
+                    threshold = split.threshold()
+                nodes[at] = split.featureIndex(), threshold, add(node.leftChild()), add(node.rightChild()), node.prediction()
+            return at
+
+        add(tree._java_obj.rootNode())
+        feature, threshold, left, right, prediction = zip(*nodes, strict=True)
+        children = np.array([right, left], np.int64).T.reshape(-1)
+        return cls(np.array(feature, np.int64), np.array(threshold), children, np.array(prediction), tree.depth, categories)
+
+    def predict(self, inputs: np.ndarray) -> np.ndarray:
+        """Predictions for rows of inputs, all rows one level down at a time."""
+        at, start = np.zeros(len(inputs), np.int64), np.arange(len(inputs)) * inputs.shape[1]
+        values = inputs.reshape(-1)
+        for _ in range(self.depth):
+            value = values[start + self.feature[at]]
+            left = value <= self.threshold[at]
+            for node, held in self.categories.items():
+                here = at == node
+                left[here] = np.isin(value[here], held)
+            at = self.children[2 * at + left]
+        return self.prediction[at]
+
+
+def round_figures(model: GBTClassificationModel, rows: DataFrame) -> dict[tuple[bool, int], tuple[float, float]]:
+    """Mean log loss and accuracy by ``is_validation`` and round of boosted trees, all in one pass.
+
+    Tasks hand on one sum a round, so the driver gets a few rows of any table.
+    """
+    trees = [(FlatTree.of(tree), float(weight)) for tree, weight in zip(model.trees, model.treeWeights, strict=True)]
+    width = model.numFeatures
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, len(trees), 2))
+        counts = np.zeros(2, np.int64)
+        for batch in batches:
+            inputs = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            labels = batch.column(1).to_numpy(zero_copy_only=False)
+            held = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            sides = [np.flatnonzero(~held), np.flatnonzero(held)]
+            counts += [len(side) for side in sides]
+            margin = np.zeros(batch.num_rows)
+            for i, (tree, weight) in enumerate(trees):
+                margin += weight * tree.predict(inputs)
+                loss = 2 * np.logaddexp(0, -2 * (2 * labels - 1) * margin)
+                hit = (margin > 0) == labels
+                for part, side in enumerate(sides):
+                    sums[part, i] += loss[side].sum(), hit[side].sum()
+        yield pa.RecordBatch.from_pydict({
+            "part": pa.array(np.repeat([0, 1], len(trees)), pa.int32()),
+            "round": pa.array(np.tile(np.arange(len(trees)), 2), pa.int32()),
+            "loss": sums[:, :, 0].reshape(-1),
+            "hits": sums[:, :, 1].reshape(-1),
+            "n": pa.array(np.repeat(counts, len(trees)), pa.int64()),
+        })
+
+    inputs = rows.select(vector_to_array("features").alias("features"), F.col("y").cast("double").alias("y"), "is_validation")
+    found = inputs.mapInArrow(run, "part int, round int, loss double, hits double, n bigint")
+    means = found.where("n > 0").groupBy("part", "round").agg((F.sum("loss") / F.sum("n")).alias("loss"), (F.sum("hits") / F.sum("n")).alias("accuracy"))
+    return {(bool(r["part"]), r["round"]): (r["loss"], r["accuracy"]) for r in means.collect()}
 
 
 def training_history(model: Model, train: DataFrame, key: str = "pair_id", seed: int = 42) -> DataFrame:
     """Loss and accuracy per training round, one row per round.
 
     The validation figures are of the tenth that ``train_classifier`` held back
-    for the same key and seed, never of test rows. Other kinds than boosted trees
-    have the loss alone.
+    for the same key and seed, never of test rows; rows that were divided before
+    stay so. Other kinds than boosted trees have the loss alone.
     """
     spark = train.sparkSession
     if isinstance(model, GBTClassificationModel):
-        divided = validation_split(train, key, seed)
-        parts = [divided.where(~F.col("is_validation")), divided.where("is_validation")]
-        losses = [model.evaluateEachIteration(p) for p in parts]
-        accuracies = [round_accuracies(model, p) for p in parts]
-        rows = [(i, float(a), float(b), c, d) for i, (a, b, c, d) in enumerate(zip(*losses, *accuracies, strict=True), start=1)]
+        found = round_figures(model, with_validation(train, key, seed))
+        rounds = [(found.get((False, i), (None, None)), found.get((True, i), (None, None))) for i in range(len(model.trees))]
+        rows = [(i, own[0], held[0], own[1], held[1]) for i, (own, held) in enumerate(rounds, start=1)]
     else:
         rows = [(i, float(v), None, None, None) for i, v in enumerate(model.summary.objectiveHistory)]
     return spark.createDataFrame(rows, "round int, train_loss double, validation_loss double, train_accuracy double, validation_accuracy double")

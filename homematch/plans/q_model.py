@@ -123,6 +123,7 @@ def n7(t):
 def n8(t):
     """First against last round, on training rows and on the validation tenth."""
     train, _, _ = training_rows(t)
+    train = model.validation_split(train)
     history = model.training_history(model.train_classifier(train, "gbt"), train)
     tall = history.select("round", F.explode(F.array(*[
         F.struct(F.lit(p).alias("part"), F.col(f"{p}_loss").alias("loss"), F.col(f"{p}_accuracy").alias("accuracy")) for p in ("train", "validation")])).alias("e"))
