@@ -59,12 +59,14 @@ def n5(t):
 
 
 INPUTS = [f"z_{c}" for c in schemas.MODEL_FEATURES]
+#: Rows that one file of the written split holds, so that training, which keeps its rows in memory by file part, is dealt evenly.
+ROWS_PER_FILE = 20_000
 
 
 def training_rows(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Assembled training and test pairs, written once, and the scaler."""
     split, scaler = pairs.scaled_split(saved(pairs.labelled_pairs(t.props, t.users), "labelled"))
-    ready = model.assembled(saved(split.select("pair_id", "user_id", "property_id", "y", "is_test", *INPUTS), "split"))
+    ready = model.assembled(saved(split.select("pair_id", "user_id", "property_id", "y", "is_test", *INPUTS), "split", ROWS_PER_FILE))
     return ready.where("is_test = 0"), ready.where("is_test = 1"), scaler
 
 
